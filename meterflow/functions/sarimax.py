@@ -1,0 +1,169 @@
+"""Seasonal ARIMA with regressors on one series, fitted by conditional least squares.
+
+    u = y - X b,   w = u - lag(u)
+    ar(L) sar(L^24) w = c + ma(L) sma(L^24) e
+
+Residuals are conditional on the first 50 differences and start from zero.
+"""
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+
+SEASON = 24
+START = 2 + 2 * SEASON          # differences the residuals are conditional on
+MIN_POINTS = 150
+Z95 = 1.959964
+
+
+def param_names(regressors) -> list[str]:
+    return ["intercept", *regressors, "ar.L1", "ar.L2", "ma.L1", "ma.L2",
+            "ar.S.L24", "ar.S.L48", "ma.S.L24", "ma.S.L48"]
+
+
+def _polynomial(sign: float, near, seasonal) -> np.ndarray:
+    """(1 + sign(a L + b L2)) (1 + sign(A L24 + B L48)) as coefficients by lag."""
+    inner = np.concatenate([[1.0], sign * np.asarray(near)])
+    outer = np.zeros(START - 1)
+    outer[[0, SEASON, 2 * SEASON]] = [1.0, sign * seasonal[0], sign * seasonal[1]]
+    return np.convolve(inner, outer)
+
+
+def _undo(x: np.ndarray, a: float, b: float, lag: int) -> np.ndarray:
+    """Solve e + a e[-lag] + b e[-2 lag] = x, with e = 0 before the start."""
+    if lag == 1:
+        out, e1, e2 = [], 0.0, 0.0
+        for v in x.tolist():
+            e1, e2 = v - a * e1 - b * e2, e1
+            out.append(e1)
+        return np.array(out)
+    rows = -(-len(x) // lag)
+    grid = np.zeros((rows + 2, lag))
+    grid[2:].flat[:len(x)] = x
+    for i in range(2, rows + 2):
+        grid[i] -= a * grid[i - 1] + b * grid[i - 2]
+    return grid[2:].ravel()[:len(x)]
+
+
+def _reflect(a: float, b: float) -> tuple[float, float]:
+    """Move roots of 1 + a z + b z2 that lie inside the unit circle outside it."""
+    inverse = np.roots([1.0, a, b])
+    size = np.abs(inverse)
+    if np.all(size < 0.999):
+        return a, b
+    inverse = np.where(size >= 0.999, inverse / np.maximum(size, 1.0) ** 2 * 0.998, inverse)
+    moved = np.poly(inverse).real
+    return float(moved[1]), float(moved[2])
+
+
+def stable(params: np.ndarray, k: int) -> np.ndarray:
+    """Parameters with stationary AR and invertible MA parts."""
+    p = params.copy()
+    for at, sign in ((1 + k, -1.0), (3 + k, 1.0), (5 + k, -1.0), (7 + k, 1.0)):
+        a, b = _reflect(sign * p[at], sign * p[at + 1])
+        p[at], p[at + 1] = sign * a, sign * b
+    return p
+
+
+def residuals(p: np.ndarray, dy: np.ndarray, dx: np.ndarray) -> np.ndarray:
+    """One-step errors from the 51st difference on."""
+    k = dx.shape[1]
+    near_ar, near_ma, far_ar, far_ma = p[1 + k:3 + k], p[3 + k:5 + k], p[5 + k:7 + k], p[7 + k:9 + k]
+    w = dy - dx @ p[1:1 + k]
+    v = np.convolve(w, _polynomial(-1.0, near_ar, far_ar), "valid") - p[0]
+    return _undo(_undo(v, *far_ma, SEASON), *near_ma, 1)
+
+
+@dataclass
+class Fit:
+    params: np.ndarray
+    errors: np.ndarray
+    sigma: float
+    std_err: np.ndarray
+
+    @property
+    def loglik(self) -> float:
+        n = len(self.errors)
+        return -0.5 * n * (np.log(2 * np.pi * self.sigma ** 2) + 1)
+
+    @property
+    def aic(self) -> float:
+        return 2 * (len(self.params) + 1) - 2 * self.loglik
+
+
+def _jacobian(p, e, dy, dx) -> np.ndarray:
+    columns = []
+    for i in range(len(p)):
+        step = 1e-6 * max(1.0, abs(p[i]))
+        moved = p.copy()
+        moved[i] += step
+        columns.append((residuals(moved, dy, dx) - e) / step)
+    return np.column_stack(columns)
+
+
+def fit(y: np.ndarray, x: np.ndarray, max_iter: int = 60, tol: float = 1e-8) -> Fit:
+    """Levenberg-Marquardt on the sum of squared one-step errors."""
+    dy, dx = np.diff(y), np.diff(x, axis=0)
+    k = x.shape[1]
+    start = np.linalg.lstsq(np.column_stack([np.ones(len(dy)), dx]), dy, rcond=None)[0]
+    p = np.concatenate([start, np.full(8, 0.05)])
+    e = residuals(p, dy, dx)
+    sse, damping = float(e @ e), 1e-3
+    jac = _jacobian(p, e, dy, dx)
+    for _ in range(max_iter):
+        normal, slope = jac.T @ jac, jac.T @ e
+        scale = np.maximum(np.diag(normal), 1e-12)
+        improved = False
+        while damping < 1e10:
+            step = np.linalg.lstsq(normal + damping * np.diag(scale), -slope, rcond=None)[0]
+            trial = stable(p + step, k)
+            trial_e = residuals(trial, dy, dx)
+            trial_sse = float(trial_e @ trial_e)
+            if np.isfinite(trial_sse) and trial_sse < sse:
+                improved = True
+                break
+            damping *= 4
+        if not improved:
+            break
+        gain, p, e, sse = (sse - trial_sse) / max(sse, 1e-300), trial, trial_e, trial_sse
+        damping = max(damping / 8, 1e-10)
+        jac = _jacobian(p, e, dy, dx)
+        if gain < tol:
+            break
+    variance = sse / len(e)
+    std_err = np.sqrt(np.maximum(np.diag(np.linalg.pinv(jac.T @ jac)) * variance, 0.0))
+    return Fit(p, e, float(np.sqrt(variance)), std_err)
+
+
+def apply(p: np.ndarray, sigma: float, std_err: np.ndarray, y: np.ndarray, x: np.ndarray) -> Fit:
+    """The same model over a longer sample."""
+    return Fit(p, residuals(p, np.diff(y), np.diff(x, axis=0)), sigma, std_err)
+
+
+def one_step(f: Fit, y: np.ndarray) -> np.ndarray:
+    """Prediction of each point from the ones before it; NaN for the points conditioned on."""
+    return np.concatenate([np.full(START + 1, np.nan), y[START + 1:] - f.errors])
+
+
+def dynamic(f: Fit, y: np.ndarray, x: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prediction from position ``at`` on, fed with its own values, and its standard errors."""
+    k, steps = x.shape[1], len(y) - at
+    p = f.params
+    ar = _polynomial(-1.0, p[1 + k:3 + k], p[5 + k:7 + k])
+    ma = _polynomial(1.0, p[3 + k:5 + k], p[7 + k:9 + k])
+    u = y - x @ p[1:1 + k]
+    w, e = np.zeros(at - 1 + steps), np.zeros(at - 1 + steps)
+    w[:at - 1] = np.diff(u[:at])
+    e[START:at - 1] = f.errors[:at - 1 - START]
+    ar_lags, ma_lags = np.flatnonzero(ar[1:]) + 1, np.flatnonzero(ma[1:]) + 1
+    for t in range(at - 1, at - 1 + steps):
+        w[t] = p[0] - ar[ar_lags] @ w[t - ar_lags] + ma[ma_lags] @ e[t - ma_lags]
+    level = u[at - 1] + np.cumsum(w[at - 1:])
+    full = np.convolve(ar, [1.0, -1.0])
+    lags = np.flatnonzero(full[1:]) + 1
+    psi = np.zeros(steps)
+    for j in range(steps):
+        back = lags[lags <= j]
+        psi[j] = (ma[j] if j < len(ma) else 0.0) - full[back] @ psi[j - back]
+    return level + x[at:] @ p[1:1 + k], f.sigma * np.sqrt(np.cumsum(psi ** 2))

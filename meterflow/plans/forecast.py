@@ -1,0 +1,113 @@
+"""Seasonal forecasts of many series in parallel, one Spark group per series.
+
+A fit walks its series in order, so it needs the whole series in one task. That is
+bounded by the calendar and not by the table: the rows are first reduced, map-side,
+to one per (keys, time), and an hourly year is 8,760 rows of a few numbers.
+"""
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
+
+from ..functions import sarimax
+from ..functions.scalars import nan_to_null
+from ..operators.correlate import pair_endog_exog
+from ..operators.filters import display_window
+from ..operators.layout import Series
+
+_RESULT = ("status string, kind string, {time} timestamp_ntz, observed double, predicted double, lower double, "
+           "upper double, param string, estimate double, std_err double, z double")
+
+
+def fit_series(prod: DataFrame, weather: DataFrame | None, s: Series, measure: str, cutoff, exog: Sequence[str] = ("temp", "wspd"),
+               fit_until=None) -> DataFrame:
+    """Fit every series and predict it, as one long table.
+
+    ``kind`` is ``param`` (estimate, std_err, z), ``one_step`` or ``dynamic``
+    (observed, predicted, lower, upper); a series that cannot be fitted gives one row
+    with the reason as ``status``. The whole sample is fitted unless ``fit_until``
+    ends it. Write the result or checkpoint it to use several kinds without refitting.
+    """
+    on = [*s.keys, s.time]
+    rows = prod.select(*on, measure)
+    if exog:
+        rows = pair_endog_exog(rows, weather, on, exog)
+    numbers = [measure, *exog]
+    rows = nan_to_null(rows).groupBy(*on).agg(*[F.avg(c).alias(c) for c in numbers])
+    keys = [rows.schema[k] for k in s.keys]
+    tail = T.StructType.fromDDL(_RESULT.format(time=s.time))
+    schema = T.StructType([*keys, *tail.fields])
+    cutoff, until = pd.Timestamp(cutoff), None if fit_until is None else pd.Timestamp(fit_until)
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        out = _fit_group(group.sort_values(s.time), s.time, measure, list(exog), cutoff, until)
+        for name, value in zip(s.keys, key):
+            out[name] = value
+        return out.reindex(columns=schema.names)
+
+    return rows.groupBy(*s.keys).applyInPandas(run, schema)
+
+
+def _fit_group(group: pd.DataFrame, time: str, measure: str, exog: list[str], cutoff, until) -> pd.DataFrame:
+    times = group[time].reset_index(drop=True)
+    y, x = group[measure].to_numpy(float), group[exog].to_numpy(float).reshape(len(group), len(exog))
+    at = int(times.searchsorted(cutoff))
+    fitted = len(y) if until is None else int(times.searchsorted(until, side="right"))
+    problem = _problem(y, x, at, fitted)
+    if problem:
+        return pd.DataFrame({"status": [problem]})
+    f = sarimax.fit(y[:fitted], x[:fitted])
+    if fitted < len(y):
+        f = sarimax.apply(f.params, f.sigma, f.std_err, y, x)
+    names = sarimax.param_names(exog)
+    z = np.divide(f.params, f.std_err, out=np.full(len(f.params), np.nan), where=f.std_err > 0)
+    params = pd.DataFrame({"kind": "param", "param": names, "estimate": f.params, "std_err": f.std_err, "z": z})
+    totals = {"sigma2": f.sigma ** 2, "loglik": f.loglik, "aic": f.aic, "n_obs": float(len(y))}
+    summary = pd.DataFrame({"kind": "param", "param": list(totals), "estimate": list(totals.values())})
+    steps = _band("one_step", times, time, y, sarimax.one_step(f, y), np.full(len(y), f.sigma))
+    parts = [params, summary, steps]
+    if at < len(y):
+        predicted, se = sarimax.dynamic(f, y, x, at)
+        parts.append(_band("dynamic", times[at:], time, y[at:], predicted, se))
+    return pd.concat(parts, ignore_index=True).assign(status="ok")
+
+
+def _problem(y, x, at: int, fitted: int) -> str | None:
+    if fitted < sarimax.MIN_POINTS:
+        return "too few points"
+    if not (np.isfinite(y).all() and np.isfinite(x).all()):
+        return "missing values"
+    if at <= sarimax.START + 1:
+        return "cutoff too early"
+    if np.ptp(np.diff(y)) == 0:
+        return "constant series"
+    return None
+
+
+def _band(kind: str, times, time: str, observed, predicted, se) -> pd.DataFrame:
+    return pd.DataFrame({"kind": kind, time: np.asarray(times), "observed": observed, "predicted": predicted,
+                         "lower": predicted - sarimax.Z95 * se, "upper": predicted + sarimax.Z95 * se})
+
+
+def forecast_params(fits: DataFrame, s: Series) -> DataFrame:
+    """The parameter table of every series, and the status of those not fitted."""
+    rows = fits.filter((F.col("kind") == "param") | (F.col("status") != "ok"))
+    return rows.select(*s.keys, "status", "param", "estimate", "std_err", "z")
+
+
+def forecast(fits: DataFrame, s: Series, kind: str) -> DataFrame:
+    """``one_step`` or ``dynamic`` predictions with their 95 % band."""
+    return nan_to_null(fits.filter(F.col("kind") == kind).select(*s.keys, s.time, "kind", "observed", "predicted", "lower", "upper"))
+
+
+def forecast_frame(fits: DataFrame, s: Series, cutoff, months: int = 2) -> DataFrame:
+    """Observed values and both predictions around the cutoff, one row per time."""
+    rows = display_window(nan_to_null(fits.filter(F.col("kind").isin("one_step", "dynamic"))), s.time, cutoff, 1, months)
+    values = [F.max("observed").alias("observed")]
+    for kind in ("one_step", "dynamic"):
+        values += [F.max(F.when(F.col("kind") == kind, F.col(c))).alias(f"{kind}_{c}") for c in ("predicted", "lower", "upper")]
+    return rows.groupBy(*s.keys, s.time).agg(*values)
