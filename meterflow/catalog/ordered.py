@@ -216,9 +216,9 @@ def price_wind_corr(t):
 
 
 @query("price_wind_corr_dct", _with(sql("", "price", "wind"), _pair_sql(0)) + ", "
-       + _dct_ctes("a", "(select dt, purchase as price from price)", "", "dt", "price", 20) + ", " + _dct_ctes("b", "lagw", "", "dt", "wind_used", 20)
-       + _corr_sql("price", "wind_used", 7, "", "dt", "(select dt, a.smooth as price, b.smooth as wind_used from as_ a full join bs b using (dt))".replace("as_", "\"as\""),
-                   "dt, round(price + 1e-9, 4) + 0.0 as price, round(wind_used + 1e-9, 6) + 0.0 as wind_used").replace("round(case when n", "round(case when n"))
+       + _dct_ctes("pr_", "(select dt, purchase as price from price)", "", "dt", "price", 20) + ", " + _dct_ctes("wi_", "lagw", "", "dt", "wind_used", 20)
+       + _corr_sql("price", "wind_used", 7, "", "dt", "(select dt, a.smooth as price, b.smooth as wind_used from pr_s a full join wi_s b using (dt))",
+                   "dt, round(price + 1e-9, 4) + 0.0 as price, round(wind_used + 1e-9, 6) + 0.0 as wind_used"))
 def price_wind_corr_dct(t):
     rows = correlation.price_wind_corr(views.price(t), "dt", "purchase", views.wind(t), "hourutc", "wspd", dct_filter=True, dct_cutoff=20)
     return rounded(rounded(rows, "price", digits=4), "wind_used", "corr")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import truncate_whole
-from .layout import (CHUNK, EARLIER, FROM_HERE, HOME, INDEX, LATER, SO_FAR, Series, by_time_chunk, frame, join_state,
+from .layout import (CHUNK, HOME, INDEX, SO_FAR, Series, by_time_chunk, frame, join_state, spread,
                      with_halo, with_index)
 
 
@@ -28,11 +28,10 @@ def forward_fill(df: DataFrame, s: Series, columns: str | Sequence[str]) -> Data
     """Replace missing values by the last known one; leading gaps stay."""
     cols = _names(columns)
     chunked = by_time_chunk(df, s)
-    across = s.across().rowsBetween(*EARLIER)
     state = chunked.groupBy(*s.keys, CHUNK).agg(*[last_known(c, s.time).alias(f"_{c}") for c in cols]).select(
-        *s.keys, CHUNK, *[F.last(f"_{c}", ignorenulls=True).over(across).alias(f"_before_{c}") for c in cols])
+        *s.keys, CHUNK, *[F.last(f"_{c}", ignorenulls=True).over(s.earlier()).alias(f"_before_{c}") for c in cols])
     here = s.local().rowsBetween(*SO_FAR)
-    filled = chunked.withColumns({c: F.last(c, ignorenulls=True).over(here) for c in cols})
+    filled = spread(chunked, s).withColumns({c: F.last(c, ignorenulls=True).over(here) for c in cols})
     out = join_state(filled, state, s)
     return out.withColumns({c: F.coalesce(c, f"_before_{c}") for c in cols}).select(*df.columns)
 
@@ -41,11 +40,9 @@ def backward_fill(df: DataFrame, s: Series, columns: str | Sequence[str]) -> Dat
     """Replace missing values by the next known one; trailing gaps stay."""
     cols = _names(columns)
     chunked = by_time_chunk(df, s)
-    across = s.across().rowsBetween(*LATER)
     state = chunked.groupBy(*s.keys, CHUNK).agg(*[next_known(c, s.time).alias(f"_{c}") for c in cols]).select(
-        *s.keys, CHUNK, *[F.first(f"_{c}", ignorenulls=True).over(across).alias(f"_after_{c}") for c in cols])
-    here = s.local().rowsBetween(*FROM_HERE)
-    filled = chunked.withColumns({c: F.first(c, ignorenulls=True).over(here) for c in cols})
+        *s.keys, CHUNK, *[F.last(f"_{c}", ignorenulls=True).over(s.later()).alias(f"_after_{c}") for c in cols])
+    filled = spread(chunked, s).withColumns({c: F.coalesce(F.col(c), s.next_value(c)) for c in cols})
     out = join_state(filled, state, s)
     return out.withColumns({c: F.coalesce(c, f"_after_{c}") for c in cols}).select(*df.columns)
 
@@ -88,8 +85,8 @@ def impute(df: DataFrame, s: Series, rules: Iterable[Rule]) -> DataFrame:
         source = indexed.withColumn(CHUNK, s.chunk_of(F.col(INDEX)))
         rows, order = with_halo(indexed, s, max(r.window for r in rolling) - 1), INDEX
     else:
-        source = rows = by_time_chunk(df, s)
-        order = s.time
+        source = by_time_chunk(df, s)
+        rows, order = spread(source, s) if forward or backward else source, s.time
 
     state = _chunk_state(source, s, order, forward, backward, gated)
     local = s.local(order)
@@ -97,7 +94,7 @@ def impute(df: DataFrame, s: Series, rules: Iterable[Rule]) -> DataFrame:
     for r in rolling:
         values[f"_mean_{r.column}"] = F.avg(r.column).over(frame(s, r.window - 1))
     for r in backward:
-        values[f"_next_{r.column}"] = F.first(r.column, ignorenulls=True).over(local.rowsBetween(*FROM_HERE))
+        values[f"_next_{r.column}"] = s.next_value(r.column, order)
     for r in forward:
         values[f"_last_{r.column}"] = F.last(r.column, ignorenulls=True).over(local.rowsBetween(*SO_FAR))
     rows = rows.withColumns(values) if values else rows
@@ -115,10 +112,10 @@ def _chunk_state(source, s, order, forward, backward, gated) -> DataFrame | None
     if not aggregates:
         return None
     summary = source.groupBy(*s.keys, CHUNK).agg(F.count("*").alias("_rows"), *aggregates)
-    across, whole = s.across(), Window.partitionBy(*s.keys)
-    carried = [F.last(f"_l_{r.column}", ignorenulls=True).over(across.rowsBetween(*EARLIER)).alias(f"_before_{r.column}")
+    whole = Window.partitionBy(*s.keys)
+    carried = [F.last(f"_l_{r.column}", ignorenulls=True).over(s.earlier()).alias(f"_before_{r.column}")
                for r in forward]
-    carried += [F.first(f"_n_{r.column}", ignorenulls=True).over(across.rowsBetween(*LATER)).alias(f"_after_{r.column}")
+    carried += [F.last(f"_n_{r.column}", ignorenulls=True).over(s.later()).alias(f"_after_{r.column}")
                 for r in backward]
     total = F.sum("_rows").over(whole)
     carried += [((total - F.sum(f"_c_{r.column}").over(whole)) * 100 / total).alias(f"_pct_{r.column}") for r in gated]

@@ -20,12 +20,14 @@ def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     A dimension whose size was checked is broadcast. A larger one is joined by a
     shuffle on (key, salt): the facts of one key are dealt over ``salts`` tasks, so a
-    key holding a third of the facts does not end in one of them.
+    key holding a third of the facts does not end in one of them. The salt is a hash of
+    the row and of the partition it lies in: equal rows are dealt out too, and a retried
+    task deals as before.
     """
     side = dim.select(F.col(dim_key).alias("_dim_key"), *columns)
     if is_small(side, max_rows):
         return fact.join(F.broadcast(side), fact[fact_key] == side["_dim_key"]).drop("_dim_key")
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
+    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.lit(salts)).cast("int"))
     copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = salted.join(copies, (F.col(fact_key) == F.col("_dim_key")) & (salted["_salt"] == copies["_salt"]))
     return joined.select(*[salted[c] for c in fact.columns], *columns)

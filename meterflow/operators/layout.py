@@ -31,7 +31,8 @@ class Series:
 
     ``keys``     non-null columns naming one series; () for a single series
     ``time``     the time column, at most one row per (keys, time)
-    ``step``     sampling interval, the unit in which chunks are measured
+    ``step``     sampling interval, the unit in which chunks are measured; a longer one
+                 than the data's puts more rows into a chunk
     ``chunk``    chunk length in steps: the most rows one window group holds
     ``regular``  True if no step is left out, i.e. row frames are time frames;
                  saves the numbering pass that other tables need for row frames
@@ -56,15 +57,25 @@ class Series:
     def local(self, order: str | None = None) -> WindowSpec:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(order or self.time)
 
-    def across(self) -> WindowSpec:
-        """Over the one-row-per-chunk table of a series."""
-        return Window.partitionBy(*self.keys).orderBy(CHUNK)
+    def next_value(self, column: str, order: str | None = None) -> Column:
+        """The first non-null value after a row, within its chunk.
+
+        A ``first`` over the rows that follow would walk them again for every row;
+        ``lead`` moves on once. The DataFrame function has no IGNORE NULLS.
+        """
+        by = ", ".join(f"`{k}`" for k in (*self.keys, CHUNK))
+        return F.expr(f"lead(`{column}`, 1) ignore nulls over (partition by {by} order by `{order or self.time}`)")
+
+    def earlier(self) -> WindowSpec:
+        """Over the one-row-per-chunk table: the chunks before this one."""
+        return Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+
+    def later(self) -> WindowSpec:
+        """The chunks after this one, farthest first, so the frame only grows: take the last."""
+        return Window.partitionBy(*self.keys).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
 
 
-EARLIER = (Window.unboundedPreceding, -1)
-LATER = (1, Window.unboundedFollowing)
 SO_FAR = (Window.unboundedPreceding, Window.currentRow)
-FROM_HERE = (Window.currentRow, Window.unboundedFollowing)
 
 
 def floor_div(value: Column, by: int) -> Column:
@@ -75,6 +86,15 @@ def by_time_chunk(df: DataFrame, s: Series) -> DataFrame:
     return df.withColumn(CHUNK, s.chunk_of(s.slot()))
 
 
+def spread(df: DataFrame, s: Series) -> DataFrame:
+    """Shuffle by (keys, chunk).
+
+    Asked for, because rows already hashed by the keys alone would count as clustered,
+    and the chunks of one long series would stay in one task.
+    """
+    return df.repartition(*s.keys, CHUNK)
+
+
 def join_state(df: DataFrame, state: DataFrame, s: Series) -> DataFrame:
     """Give every row its chunk's state. Unique on (keys, chunk), so no row is multiplied."""
     return df.join(state, [*s.keys, CHUNK], "left")
@@ -83,14 +103,13 @@ def join_state(df: DataFrame, state: DataFrame, s: Series) -> DataFrame:
 def with_position(df: DataFrame, s: Series, name: str = INDEX, tie: Sequence[str] = (), count: str | None = None) -> DataFrame:
     """Add each row's 0-based place in its series (and the series' row count)."""
     chunked = by_time_chunk(df, s)
-    across = s.across()
     state = chunked.groupBy(*s.keys, CHUNK).agg(F.count("*").alias(COUNT)).select(
         *s.keys, CHUNK,
-        F.coalesce(F.sum(COUNT).over(across.rowsBetween(*EARLIER)), F.lit(0)).alias("_offset"),
+        F.coalesce(F.sum(COUNT).over(s.earlier()), F.lit(0)).alias("_offset"),
         F.sum(COUNT).over(Window.partitionBy(*s.keys)).alias(COUNT),
     )
     local = Window.partitionBy(*s.keys, CHUNK).orderBy(s.time, *tie)
-    numbered = join_state(chunked.withColumn("_row", F.row_number().over(local)), state, s)
+    numbered = join_state(spread(chunked, s).withColumn("_row", F.row_number().over(local)), state, s)
     out = numbered.withColumn(name, F.col("_offset") + F.col("_row") - 1)
     if count:
         out = out.withColumn(count, F.col(COUNT))
@@ -109,7 +128,7 @@ def with_halo(indexed: DataFrame, s: Series, before: int, after: int = 0) -> Dat
     then complete for every row marked as at home in its chunk.
     """
     first, last = s.chunk_of(F.col(INDEX) - after), s.chunk_of(F.col(INDEX) + before)
-    copies = indexed.withColumn(CHUNK, F.explode(F.sequence(first, last)))
+    copies = spread(indexed.withColumn(CHUNK, F.explode(F.sequence(first, last))), s)
     return copies.withColumn(HOME, F.col(CHUNK) == s.chunk_of(F.col(INDEX)))
 
 
@@ -120,7 +139,7 @@ def frame(s: Series, before: int, after: int = 0) -> WindowSpec:
 def global_rank(df: DataFrame, piece: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """1-based place in the order (piece, order) over the whole table, numbered piece by piece."""
     sizes = df.groupBy(*piece).agg(F.count("*").alias(COUNT)).select(
-        *piece, F.coalesce(F.sum(COUNT).over(Window.orderBy(*piece).rowsBetween(*EARLIER)), F.lit(0)).alias("_offset"))
+        *piece, F.coalesce(F.sum(COUNT).over(Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     local = F.row_number().over(Window.partitionBy(*piece).orderBy(*order))
     ranked = df.withColumn("_row", local).join(sizes, list(piece))
     return ranked.withColumn(name, F.col("_offset") + F.col("_row")).drop("_offset", "_row")

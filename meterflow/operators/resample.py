@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import day_of
-from .layout import CHUNK, LATER, Series, by_time_chunk, join_state
+from .layout import CHUNK, Series, by_time_chunk, join_state, spread
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -39,8 +39,8 @@ def asfreq_ffill(df: DataFrame, s: Series) -> DataFrame:
     """
     chunked = by_time_chunk(df, s)
     state = chunked.groupBy(*s.keys, CHUNK).agg(F.min(s.time).alias("_first")).select(
-        *s.keys, CHUNK, F.first("_first").over(s.across().rowsBetween(*LATER)).alias("_after"))
-    rows = join_state(chunked.withColumn("_next", F.lead(s.time).over(s.local())), state, s)
+        *s.keys, CHUNK, F.last("_first").over(s.later()).alias("_after"))
+    rows = join_state(spread(chunked, s).withColumn("_next", F.lead(s.time).over(s.local())), state, s)
     until = F.coalesce(F.col("_next"), F.col("_after"))
     step = _interval(s)
     times = F.when(until.isNull(), F.array(F.col(s.time))).otherwise(

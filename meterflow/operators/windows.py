@@ -6,8 +6,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .fill import _names, next_known
-from .layout import (CHUNK, COUNT, EARLIER, FROM_HERE, HOME, INDEX, LATER, SO_FAR, Series, by_time_chunk, frame,
-                     join_state, with_halo, with_index, with_position)
+from .layout import (CHUNK, COUNT, HOME, INDEX, SO_FAR, Series, by_time_chunk, frame, join_state, spread,
+                     with_halo, with_index, with_position)
 
 
 def series_position(df: DataFrame, s: Series, name: str = "position", tie: Sequence[str] = ()) -> DataFrame:
@@ -22,12 +22,11 @@ def find_gaps(df: DataFrame, s: Series, column: str) -> DataFrame:
     runs are found by counting, and a run of any length is reduced map-side.
     """
     chunked = by_time_chunk(df.select(*s.keys, s.time, column), s)
-    across = s.across().rowsBetween(*EARLIER)
     state = chunked.groupBy(*s.keys, CHUNK).agg(F.count("*").alias(COUNT), F.count(column).alias("_seen")).select(
         *s.keys, CHUNK,
-        F.coalesce(F.sum(COUNT).over(across), F.lit(0)).alias("_rows_before"),
-        F.coalesce(F.sum("_seen").over(across), F.lit(0)).alias("_seen_before"))
-    rows = chunked.withColumns({
+        F.coalesce(F.sum(COUNT).over(s.earlier()), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("_seen").over(s.earlier()), F.lit(0)).alias("_seen_before"))
+    rows = spread(chunked, s).withColumns({
         "_row": F.row_number().over(s.local()),
         "_seen_here": F.count(column).over(s.local().rowsBetween(*SO_FAR)),
     }).filter(F.col(column).isNull())
@@ -74,13 +73,13 @@ def lag_backfill(df: DataFrame, s: Series, column: str, lag: int, name: str = "l
     # chunk number over both.
     chunks = indexed.select(*s.keys, s.chunk_of(F.col(INDEX)).alias(CHUNK)).groupBy(*s.keys, CHUNK).agg(F.lit(1).alias("_own"))
     state = chunks.join(summary.select(*s.keys, CHUNK, reachable.alias("_value")), [*s.keys, CHUNK], "full")
-    state = state.withColumn("_after", F.first("_value", ignorenulls=True).over(s.across().rowsBetween(*LATER)))
+    state = state.withColumn("_after", F.last("_value", ignorenulls=True).over(s.later()))
     state = state.filter("_own = 1").select(*s.keys, CHUNK, "_after")
 
     rows = with_halo(indexed, s, lag)
     shifted = F.first(column).over(frame(s, lag).rangeBetween(-lag, -lag))
     rows = rows.withColumn("_shifted", shifted)
-    rows = rows.withColumn("_filled", F.first("_shifted", ignorenulls=True).over(s.local(INDEX).rowsBetween(*FROM_HERE)))
+    rows = rows.withColumn("_filled", F.coalesce(F.col("_shifted"), s.next_value("_shifted", INDEX)))
     rows = join_state(rows.filter(HOME), state, s)
     return rows.withColumn(name, F.coalesce("_filled", "_after")).select(*df.columns, name)
 
@@ -89,11 +88,10 @@ def running_abs_max(df: DataFrame, s: Series, columns: str | Sequence[str], pref
     """Largest absolute value so far, at every time at once."""
     cols = _names(columns)
     chunked = by_time_chunk(df, s)
-    across = s.across().rowsBetween(*EARLIER)
     state = chunked.groupBy(*s.keys, CHUNK).agg(*[F.max(F.abs(c)).alias(f"_{c}") for c in cols]).select(
-        *s.keys, CHUNK, *[F.max(f"_{c}").over(across).alias(f"_before_{c}") for c in cols])
+        *s.keys, CHUNK, *[F.max(f"_{c}").over(s.earlier()).alias(f"_before_{c}") for c in cols])
     here = s.local().rowsBetween(*SO_FAR)
-    rows = join_state(chunked.withColumns({f"_here_{c}": F.max(F.abs(c)).over(here) for c in cols}), state, s)
+    rows = join_state(spread(chunked, s).withColumns({f"_here_{c}": F.max(F.abs(c)).over(here) for c in cols}), state, s)
     return rows.withColumns({prefix + c: F.greatest(f"_here_{c}", f"_before_{c}") for c in cols}).select(
         *df.columns, *[prefix + c for c in cols])
 

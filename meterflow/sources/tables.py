@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import row_id
+from ..functions.scalars import nan_to_null, row_id
 from .storage import new_folder
 
 # Stored type per in-flight type; anything else is stored as text (fixed values).
@@ -21,9 +21,9 @@ def table_path(base: str, name: str, namespace: str) -> str:
 
 def read_table(spark: SparkSession, base: str, name: str, namespace: str, schema: T.StructType | str | None = None,
                fmt: str = "parquet", **options) -> DataFrame:
-    """A stored table, lazily: filters and column choices reach the files."""
+    """A stored table, lazily: filters and column choices reach the files. NaN reads as missing."""
     reader = spark.read.format(fmt).options(**options)
-    return (reader.schema(schema) if schema else reader).load(table_path(base, name, namespace))
+    return nan_to_null((reader.schema(schema) if schema else reader).load(table_path(base, name, namespace)))
 
 
 def write_table(df: DataFrame, base: str, name: str, namespace: str, insert: bool = True, add_id: bool = True,
