@@ -47,7 +47,7 @@ def fit_series(prod: DataFrame, weather: DataFrame | None, s: Series, measure: s
         out = _fit_group(group.sort_values(s.time), s.time, measure, list(exog), cutoff, until)
         for name, value in zip(s.keys, key):
             out[name] = value
-        return out.reindex(columns=schema.names)
+        return _shaped(out.reindex(columns=schema.names), s.time)
 
     return rows.groupBy(*s.keys).applyInPandas(run, schema)
 
@@ -76,6 +76,14 @@ def _fit_group(group: pd.DataFrame, time: str, measure: str, exog: list[str], cu
     return pd.concat(parts, ignore_index=True).assign(status="ok")
 
 
+def _shaped(out: pd.DataFrame, time: str) -> pd.DataFrame:
+    """Give columns without values the type Arrow expects of them."""
+    out[time] = pd.to_datetime(out[time])
+    for name in ("kind", "param"):
+        out[name] = out[name].astype(object).where(out[name].notna(), None)
+    return out
+
+
 def _problem(y, x, at: int, fitted: int) -> str | None:
     if fitted < sarimax.MIN_POINTS:
         return "too few points"

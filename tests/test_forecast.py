@@ -1,0 +1,106 @@
+import numpy as np
+import pandas as pd
+import pytest
+
+from meterflow import Series
+from meterflow.functions import sarimax
+from meterflow.plans import forecast
+
+TRUE = np.array([0.02, 0.8, -0.5, 0.4, 0.2, 0.3, -0.2, 0.3, 0.2, 0.2, 0.1])  # c, b1, b2, ar, ma, seasonal ar, seasonal ma
+
+
+def simulate(n=900, sigma=1.0, seed=0):
+    rng = np.random.default_rng(seed)
+    x = np.column_stack([10 + np.cumsum(rng.normal(0, 0.5, n)), rng.normal(5, 2, n)])
+    ar, ma = sarimax._polynomial(-1, TRUE[3:5], TRUE[7:9]), sarimax._polynomial(1, TRUE[5:7], TRUE[9:11])
+    e, w = rng.normal(0, sigma, n), np.zeros(n)
+    for t in range(sarimax.START, n):
+        w[t] = TRUE[0] - ar[1:] @ w[t - np.arange(1, 51)] + ma @ e[t - np.arange(51)]
+    return np.cumsum(w) + x @ TRUE[1:3], x
+
+
+@pytest.fixture(scope="module")
+def sample():
+    return simulate()
+
+
+def test_fit_recovers_noise_and_regressors(sample):
+    y, x = sample
+    f = sarimax.fit(y, x)
+    truth = sarimax.residuals(TRUE, np.diff(y), np.diff(x, axis=0))
+    assert f.errors @ f.errors <= truth @ truth
+    assert f.sigma == pytest.approx(1.0, abs=0.08)
+    assert f.params[1:3] == pytest.approx(TRUE[1:3], abs=0.1)
+    predicted = sarimax.one_step(f, y)[sarimax.START + 1:]
+    covered = np.abs(y[sarimax.START + 1:] - predicted) <= sarimax.Z95 * f.sigma
+    assert 0.92 < covered.mean() < 0.98
+
+
+def test_residuals_against_plain_recursion(sample):
+    y, x = sample
+    dy, dx = np.diff(y), np.diff(x, axis=0)
+    got = sarimax.residuals(TRUE, dy, dx)
+    ar, ma = sarimax._polynomial(-1, TRUE[3:5], TRUE[7:9]), sarimax._polynomial(1, TRUE[5:7], TRUE[9:11])
+    w, e = dy - dx @ TRUE[1:3], np.zeros(len(dy))
+    for t in range(sarimax.START, len(w)):
+        e[t] = sum(ar[j] * w[t - j] for j in range(51)) - TRUE[0] - sum(ma[j] * e[t - j] for j in range(1, 51) if t - j >= sarimax.START)
+    np.testing.assert_allclose(got, e[sarimax.START:], atol=1e-8)
+
+
+def test_dynamic_starts_as_one_step_and_widens(sample):
+    y, x = sample
+    f = sarimax.fit(y, x)
+    at = 600
+    mean, se = sarimax.dynamic(f, y, x, at)
+    assert mean[0] == pytest.approx(sarimax.one_step(f, y)[at], abs=1e-8)
+    assert se[0] == pytest.approx(f.sigma) and (np.diff(se) >= 0).all() and len(mean) == len(y) - at
+    # Observations from the cutoff on do not matter, regressors do.
+    changed = y.copy()
+    changed[at:] += 50
+    again, _ = sarimax.dynamic(sarimax.apply(f.params, f.sigma, f.std_err, changed, x), changed, x, at)
+    np.testing.assert_allclose(again, mean, atol=1e-8)
+
+
+def test_roots_are_reflected():
+    a, b = sarimax._reflect(2.5, 1.0)   # roots -0.5 and -2 of 1 + 2.5 z + z^2
+    assert (np.abs(np.roots([1.0, a, b])) < 1).all()
+    assert sarimax._reflect(0.3, 0.1) == (0.3, 0.1)
+    p = sarimax.stable(np.array([0.0, 1.5, 0.2, 3.0, 0.1, 0.5, 0.8, -0.2, 2.0]), 0)
+    for i in (1, 5):
+        assert (np.abs(np.roots([1.0, -p[i], -p[i + 1]])) < 1).all()
+    for i in (3, 7):
+        assert (np.abs(np.roots([1.0, p[i], p[i + 1]])) < 1).all()
+
+
+def test_fit_job(spark, sample):
+    y, x = sample
+    times = pd.date_range("2022-01-01", periods=len(y), freq="h").to_pydatetime()
+    prod, weather = [], []
+    for key, n, offset in (("a", len(y), 0.0), ("b", 400, 3.0), ("short", 100, 0.0)):
+        prod += [(key, t, float(v) + offset) for t, v in zip(times[:n], y)]
+        weather += [(key, t, float(p), float(q)) for t, (p, q) in zip(times[:n], x)]
+    gap = [("gap", t, float(v)) for t, v in zip(times[:300], y)]
+    prod += gap
+    weather += [("gap", t, None if i == 9 else 1.0, 2.0 + i % 5) for i, t in enumerate(times[:300])]
+    prod += [("flat", t, 1.0) for t in times[:300]]
+    weather += [("flat", t, float(p), float(q)) for t, (p, q) in zip(times[:300], x)]
+    s = Series(("m",), "t")
+    prod = spark.createDataFrame(prod, "m string, t timestamp_ntz, y double")
+    weather = spark.createDataFrame(weather, "m string, t timestamp_ntz, temp double, wspd double")
+    cutoff = times[300]
+    fits = forecast.fit_series(prod, weather, s, "y", cutoff).cache()
+    status = {r.m: r.status for r in fits.select("m", "status").distinct().collect()}
+    assert status == {"a": "ok", "b": "ok", "short": "too few points", "gap": "missing values", "flat": "constant series"}
+    params = forecast.forecast_params(fits, s).filter("m = 'a'").toPandas().set_index("param")
+    assert params.estimate["temp"] == pytest.approx(0.8, abs=0.1) and params.estimate["n_obs"] == len(y)
+    assert set(params.index) >= {"intercept", "ar.L1", "ma.S.L48", "sigma2", "loglik", "aic"}
+    one, dyn = (forecast.forecast(fits, s, k).filter("m = 'b'").orderBy("t").toPandas() for k in ("one_step", "dynamic"))
+    assert len(one) == 400 and len(dyn) == 100 and one.predicted.isna().sum() == 51
+    assert one.predicted[300] == pytest.approx(dyn.predicted[0])
+    assert ((dyn.upper - dyn.lower).diff().dropna() >= -1e-9).all()
+    frame = forecast.forecast_frame(fits, s, cutoff).filter("m = 'a'").orderBy("t").toPandas()
+    assert frame.t.min() == pd.Timestamp(cutoff) - pd.Timedelta(days=7) and frame.dynamic_predicted.notna().sum() == len(y) - 300
+    no_regressors = forecast.fit_series(prod.filter("m = 'b'"), None, s, "y", cutoff, exog=(), fit_until=times[350])
+    got = forecast.forecast_params(no_regressors, s).toPandas()
+    assert (got.status == "ok").all() and "temp" not in set(got.param)
+    fits.unpersist()
