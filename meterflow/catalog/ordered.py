@@ -305,11 +305,12 @@ FORECAST_CUTOFF = "2024-01-25 00:00:00"
 
 
 def _fits(t: Tables):
-    measured = fill.impute_rolling(views.series(t).select("entity", "hourutc", "v"), SERIES, "v")
-    regressors = fill.impute(views.series(t).select("entity", "hourutc", "v_view", "v_click"), WIDE,
-                             [Rule("v_view", window=168), Rule("v_click", window=168)])
-    regressors = fill.forward_fill(regressors, SERIES, ["v_view", "v_click"])
-    return forecast.fit_series(measured, regressors, SERIES, "v", FORECAST_CUTOFF, exog=("v_view", "v_click"))
+    rules = [Rule("v", window=24), Rule("v_view", window=168), Rule("v_click", window=168)]
+    filled = fill.impute(views.series(t).select("entity", "hourutc", "v", "v_view", "v_click"), WIDE, rules)
+    filled = fill.forward_fill(filled, WIDE, ["v", "v_view", "v_click"])
+    on = ["entity", "hourutc"]
+    return forecast.fit_series(filled.select(*on, "v"), filled.select(*on, "v_view", "v_click"), SERIES, "v", FORECAST_CUTOFF,
+                               exog=("v_view", "v_click"))
 
 
 @query("forecast_params")

@@ -79,7 +79,8 @@ SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
 def floor_div(value: Column, by: int) -> Column:
-    return ((value - F.pmod(value, F.lit(by))) / F.lit(by)).cast("bigint")
+    """Exact for values below 2**52, which microseconds reach in 2112."""
+    return F.floor(value / F.lit(by))
 
 
 def by_time_chunk(df: DataFrame, s: Series) -> DataFrame:
@@ -100,8 +101,8 @@ def join_state(df: DataFrame, state: DataFrame, s: Series) -> DataFrame:
     return df.join(state, [*s.keys, CHUNK], "left")
 
 
-def with_position(df: DataFrame, s: Series, name: str = INDEX, tie: Sequence[str] = (), count: str | None = None) -> DataFrame:
-    """Add each row's 0-based place in its series (and the series' row count)."""
+def positioned(df: DataFrame, s: Series, tie: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Rows with their chunk, 0-based place in the series and the series' row count; and the chunk table."""
     chunked = by_time_chunk(df, s)
     state = chunked.groupBy(*s.keys, CHUNK).agg(F.count("*").alias(COUNT)).select(
         *s.keys, CHUNK,
@@ -110,10 +111,13 @@ def with_position(df: DataFrame, s: Series, name: str = INDEX, tie: Sequence[str
     )
     local = Window.partitionBy(*s.keys, CHUNK).orderBy(s.time, *tie)
     numbered = join_state(spread(chunked, s).withColumn("_row", F.row_number().over(local)), state, s)
-    out = numbered.withColumn(name, F.col("_offset") + F.col("_row") - 1)
-    if count:
-        out = out.withColumn(count, F.col(COUNT))
-    return out.drop("_offset", "_row", CHUNK, COUNT)
+    return numbered.withColumn(INDEX, F.col("_offset") + F.col("_row") - 1).drop("_offset", "_row"), state
+
+
+def with_position(df: DataFrame, s: Series, name: str = INDEX, tie: Sequence[str] = ()) -> DataFrame:
+    """Add each row's 0-based place in its series."""
+    rows, _ = positioned(df, s, tie)
+    return rows.select(*df.columns, F.col(INDEX).alias(name))
 
 
 def with_index(df: DataFrame, s: Series) -> DataFrame:

@@ -19,9 +19,15 @@ def _interval(s: Series) -> Column:
 
 
 def calendar(entities: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
-    """Every hour from first to last for each row of ``entities`` (days first, to keep arrays short)."""
+    """Every hour from first to last for each row of ``entities`` (days first, to keep arrays short).
+
+    The days are dealt out under a set number of partitions: adaptive execution would
+    fold the short list of entities into one task, which the calendar then multiplies.
+    """
+    spark = entities.sparkSession
     day = F.explode(F.sequence(day_of(first), day_of(last), F.make_dt_interval(days=F.lit(1)))).alias("_day")
     days = entities.select("*", first.alias("_first"), last.alias("_last")).select("*", day)
+    days = days.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *entities.columns, "_day")
     hour = F.explode(F.sequence(F.col("_day"), F.col("_day") + F.make_dt_interval(hours=F.lit(23)), F.make_dt_interval(hours=F.lit(1))))
     hours = days.withColumn(name, hour)
     return hours.filter(F.col(name).between(F.col("_first"), F.col("_last"))).drop("_day", "_first", "_last")

@@ -3,17 +3,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .fill import _names
-from .layout import CHUNK, COUNT, INDEX, Series, by_time_chunk, join_state, with_position
-
-
-def _cosine(k: Column, position: Column, count: Column) -> Column:
-    # k(2n+1) is reduced modulo the period in whole numbers before the cosine.
-    phase = F.pmod(k * (position * 2 + 1), count * 4)
-    return F.cos(phase * math.pi / (count * 2))
+from .joins import with_scalars
+from .layout import CHUNK, COUNT, INDEX, Series, join_state, positioned
 
 
 def dct_smooth(df: DataFrame, s: Series, columns: str | Sequence[str], max_val: int = 10,
@@ -22,33 +19,26 @@ def dct_smooth(df: DataFrame, s: Series, columns: str | Sequence[str], max_val:
 
     The coefficients are plain sums, so every series is reduced map-side to
     ``max_val + 1`` numbers; they come back to the rows by (keys, chunk). A series
-    with a missing value smooths to null throughout.
+    with a missing value smooths to null throughout; rows without a key are in no series.
     """
     cols = _names(columns)
-    rows = with_position(df, s, INDEX, tie, count="_n")
-    n, position = F.col("_n"), F.col(INDEX)
-    sums = [F.sum(F.col(c) * _cosine(F.lit(k), position, n)) for c in cols for k in range(max_val + 1)]
-    width = max_val + 1
-    complete = [F.count(c) == F.max("_n") for c in cols]
-    coefficients = rows.groupBy(*s.keys).agg(*[
-        F.when(ok, F.array(*sums[i * width:(i + 1) * width])).alias(f"_x_{c}")
-        for i, (c, ok) in enumerate(zip(cols, complete))])
-    chunks = by_time_chunk(df, s).groupBy(*s.keys, CHUNK).agg(F.lit(1).alias(COUNT)).drop(COUNT)
-    state = chunks.join(coefficients, list(s.keys)) if s.keys else _beside(chunks, coefficients)
-    out = join_state(by_time_chunk(rows, s), state, s)
+    # Said here, as the joins infer it for one of the two uses of the rows only: with equal
+    # plans the shuffled rows are read twice instead of being shuffled twice.
+    known = df.filter(reduce(and_, [F.col(k).isNotNull() for k in s.keys])) if s.keys else df
+    rows, chunks = positioned(known, s, tie)
+    rows = rows.withColumn("_angle", (F.col(INDEX) * 2 + 1) * math.pi / (F.col(COUNT) * 2))
+    angle = F.col("_angle")
+    coefficients = []
     for c in cols:
-        out = out.withColumn(c + suffix, _inverse(F.col(f"_x_{c}"), position, n, max_val))
-    return out.select(*df.columns, *[c + suffix for c in cols])
-
-
-def _inverse(x: Column, position: Column, n: Column, max_val: int) -> Column:
-    # Coefficients at and past n do not exist for a short series.
-    kept = F.sequence(F.lit(0), F.least(F.lit(max_val).cast("bigint"), n - 1).cast("int"))
-    terms = F.zip_with(F.slice(x, 1, F.size(kept)), kept,
-                       lambda v, k: F.when(k == 0, v).otherwise(v * 2 * _cosine(k, position, n)))
-    return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b) / n
-
-
-def _beside(rows: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put the columns of a one-row table next to every row, as scalar subqueries."""
-    return rows.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
+        # Only as many coefficients exist as the series has rows.
+        sums = [F.when(F.max(COUNT) > k, F.sum(F.col(c) * F.cos(angle * k)) * (2.0 if k else 1.0) / F.max(COUNT)).otherwise(0.0)
+                for k in range(max_val + 1)]
+        complete = F.count(c) == F.max(COUNT)
+        coefficients.append(F.when(complete, F.array(*sums)).alias(f"_x_{c}"))
+    found = rows.groupBy(*s.keys).agg(*coefficients)
+    chunks = chunks.select(*s.keys, CHUNK)
+    state = chunks.join(found, list(s.keys), "left") if s.keys else with_scalars(chunks, found)
+    out = join_state(rows, state, s)
+    smooth = {c + suffix: F.aggregate(F.transform(f"_x_{c}", lambda x, k: x * F.cos(angle * k)), F.lit(0.0), lambda a, b: a + b)
+              for c in cols}
+    return out.withColumns(smooth).select(*df.columns, *smooth)

@@ -12,6 +12,7 @@ from ..operators.layout import Series
 from ..operators.resample import daily_mean_by_entity, daily_resample
 from ..operators.spectral import dct_smooth
 from ..operators.windows import lag_backfill
+from ..sources.storage import settled
 
 DAILY = Series((), "dt", step=timedelta(days=1))
 
@@ -34,11 +35,14 @@ def price_wind_corr(price: DataFrame, price_time: str, price_col: str, weather:
     """Sliding correlation of the daily price with the daily mean wind of all entities.
 
     The wind is clipped to the price's days, then lagged, then both are smoothed, in
-    this order. Days are matched by date, also when smoothing.
+    this order. Days are matched by date, also when smoothing. The raw tables are read
+    once; everything after runs on the stored days.
     """
     prices = price.select(F.col(price_time).cast("date").alias("dt"), F.col(price_col).alias("price"))
-    winds = daily_resample(weather, [], time, [wind]).withColumnRenamed(wind, "wind")
-    winds = lag_backfill(clip_to_range(winds, "dt", prices, "dt"), DAILY, "wind", lag, "wind_used").drop("wind")
+    prices = settled(prices, "daily-price")
+    winds = settled(daily_resample(weather, [], time, [wind]).withColumnRenamed(wind, "wind"), "daily-wind")
+    # A clipped calendar has no holes, unlike the union of both sides' days below.
+    winds = lag_backfill(clip_to_range(winds, "dt", prices, "dt"), DAILY.over(regular=True), "wind", lag, "wind_used").drop("wind")
     if dct_filter:
         prices = dct_smooth(prices, DAILY, "price", dct_cutoff).drop("price").withColumnRenamed("price_smooth", "price")
         winds = dct_smooth(winds, DAILY, "wind_used", dct_cutoff).drop("wind_used").withColumnRenamed("wind_used_smooth", "wind_used")

@@ -105,8 +105,10 @@ def extract_html_table(pages: DataFrame, html_col: str, table_class: str, schema
                        keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per table row of every page, typed by ``schema`` (thousands separators dropped).
 
-    Pages are parsed where they lie; ``keep`` carries page columns along.
+    Pages are parsed where they lie, and only those with a table tag in them; ``keep``
+    carries page columns along.
     """
+    pages = pages.filter(F.lower(F.col(html_col)).contains("<table"))
     names = [f.name for f in schema.fields]
     kept = [pages.schema[c] for c in keep]
     raw = T.StructType([*kept, *[T.StructField(n, T.StringType()) for n in names]])
