@@ -13,7 +13,7 @@ from ..plans import views as dashboard
 from . import views
 from .registry import query, r, rounded
 from .shapes import CUTOFF
-from .views import KINDS, MEASURES, SERIES, Tables, sql
+from .views import MEASURES, SERIES, Tables, sql
 
 IRREGULAR = SERIES.over(regular=False)
 CHUNKED = SERIES.over(regular=False, chunk=72)
@@ -271,6 +271,12 @@ def impute_weather(t):
 
 # Dashboard frames
 
+@query("latest_point", sql(f"""select entity, hourutc, {r('v')}, {r('v_view')} from series where hourutc <= timestamp '{CUTOFF}'
+    qualify row_number() over (partition by entity order by hourutc desc) = 1""", "series"))
+def latest_point(t):
+    return rounded(dashboard.latest_point(views.series(t).select("entity", "hourutc", "v", "v_view"), SERIES, CUTOFF), "v", "v_view")
+
+
 @query("map_slice", sql(f"""select hourutc, entity, round(value + 1e-9, 6) + 0.0 as value, round(scaled + 1e-9, 6) + 0.0 as scaled, round(scaled * 15 + 1e-9, 6) + 0.0 as marker, lat, lon from
     (select hourutc, entity, v as value, (v - min(v) over ()) / nullif(max(v) over () - min(v) over (), 0) as scaled from series where hourutc = timestamp '{CUTOFF}')
     join areas on entity = entity_no order by entity""", "series", "areas"))
@@ -292,10 +298,10 @@ def line_view(t):
     return rounded(dashboard.line_view(views.series(t), SERIES, CUTOFF, "v", 10, entity=3), "v", "smoothed_signal")
 
 
-@query("dashboard_load", """select event_id, cast(ts as timestamp) as hourutc, event_type, value from events order by hourutc""")
+@query("dashboard_load", """select event_id, cast(ts as timestamp) as hourutc, event_type, value from events order by hourutc, event_id""")
 def dashboard_load(t):
     stored = t.events.select("event_id", F.col("ts").alias("time"), "event_type", F.col("value").cast("string").alias("value"))
-    tables = dashboard.dashboard_load({"weather": stored}, {"weather": "hourutc"}, {"weather": ["value"]}, {"weather": {"time": "hourutc"}})
+    tables = dashboard.dashboard_load({"weather": stored}, {"weather": ["hourutc", "event_id"]}, {"weather": ["value"]}, {"weather": {"time": "hourutc"}})
     return tables["weather"]
 
 

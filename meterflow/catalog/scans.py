@@ -5,15 +5,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import row_id
-from ..functions.times import local_to_utc, month_of
+from ..functions.times import local_to_utc
 from ..operators import filters, resample, schema
 from ..plans import imputation, ingest
 from ..sources.html import extract_html_table
 from ..sources.records import read_records
 from ..sources.storage import new_folder
-from ..sources.tables import (insert_documents, overwrite_table, read_documents, read_table, typed_write, write_table)
+from ..sources.tables import (insert_documents, overwrite_table, read_documents, read_series, read_table, typed_write,
+                              write_series, write_table)
 from . import views
-from .registry import query, rounded, r
+from .registry import query, rounded
 from .views import Tables, sql
 
 ORDER_FIELDS = "OrderKey bigint, CustKey bigint, Status string, TotalPrice double, OrderDate string, Priority string"
@@ -114,6 +115,16 @@ def typed_written(t):
     return stored.withColumn("has_id", F.length("id") == 36).drop("id")
 
 
+@query("series_store", """select l_orderkey, l_linenumber, l_returnflag, l_shipdate, l_quantity from lineitem
+    where l_shipdate >= timestamp '1997-01-15' and l_shipdate < timestamp '1997-04-02'""")
+def series_store(t):
+    folder = new_folder(t.spark, "series")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity")
+    layout = views.Series(("l_returnflag",), "l_shipdate")
+    write_series(rows, layout, folder, "lineitem", "store", add_id=False)
+    return read_series(t.spark, layout, folder, "lineitem", "store", "1997-01-15", "1997-04-02")
+
+
 @query("row_id", "select count(*) as n, count(*) as ids, count(*) as digests from events")
 def row_ids(t):
     rows = t.events.select(row_id().alias("id"), row_id("event_id", "ts").alias("digest"))

@@ -4,12 +4,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import sqrt_or_null
-from ..operators import aggregates, correlate, filters, joins, profile, resample
+from ..operators import aggregates, correlate, filters, joins, profile
 from ..plans import exchange as plan_exchange
 from ..plans import ingest
 from . import views
 from .registry import query, r, rounded
-from .views import KINDS, MEASURES, SERIES, Tables, sql
+from .views import MEASURES, SERIES, sql
 
 CUTOFF = "2024-01-15 00:00:00"
 EXCHANGES = ("x_no", "x_se", "x_nl", "x_ge")

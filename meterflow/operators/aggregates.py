@@ -1,10 +1,13 @@
 """Grouped summaries."""
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.storage import settled
+from .joins import join_dimension
 from .layout import Series, global_rank
 
 _AGGREGATES = {
@@ -46,8 +49,8 @@ def median_by_group(df: DataFrame, key: str, column: str, name: str, accuracy: i
     margin = 2 / accuracy
     bracket = rows.groupBy(key).agg(
         F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_b"))
-    bracket = bracket.select(key, F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"))
-    placed = rows.join(bracket, key)
+    bracket = settled(bracket.select(key, F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high")), "bracket")
+    placed = join_dimension(rows, bracket, key, key, ["_low", "_high"])
     sizes = placed.groupBy(key).agg(F.count("*").alias("_n"), F.count_if(F.col("_v") < F.col("_low")).alias("_below"))
     inside = placed.filter(F.col("_v").between(F.col("_low"), F.col("_high"))).groupBy(key, "_v").agg(F.count("*").alias("_c"))
     upto = F.sum("_c").over(Window.partitionBy(key).orderBy("_v"))
@@ -110,7 +113,6 @@ def random_series(df: DataFrame, key: str, time: str, columns: Sequence[str], se
 
     The pick is the smallest hash of seed and name, the same on every engine and run.
     """
-    import hashlib
     measure = min(columns, key=lambda c: hashlib.md5(f"{seed}{c}".encode()).hexdigest())
     picked = df.select(key).distinct().agg(F.min_by(key, F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string"))))).scalar()
     chosen = df.filter(F.col(key) == picked)

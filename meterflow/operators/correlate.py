@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from .layout import CHUNK, HOME, INDEX, Series, frame, with_halo, with_index
+from .layout import HOME, Series, frame, with_halo, with_index
 
 
 def align_series(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

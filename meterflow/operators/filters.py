@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.times import ts
 
 
-def time_range(df: DataFrame, time: str, start, end, offset: int = 0) -> DataFrame:
-    """Rows from start up to but not including end; ``offset`` skips the first rows in time order."""
+def time_range(df: DataFrame, time: str, start, end, offset: int = 0, ties: Sequence[str] = ()) -> DataFrame:
+    """Rows from start up to but not including end; ``offset`` leaves out the first rows by (time, ties).
+
+    Spark's own OFFSET would send every row through one task; here only the ``offset``
+    first rows are picked, as a top-k, and subtracted.
+    """
     rows = df.filter((F.col(time) >= ts(start)) & (F.col(time) < ts(end)))
-    return rows.orderBy(time).offset(offset) if offset else rows
+    return rows.exceptAll(rows.orderBy(time, *ties).limit(offset)) if offset else rows
 
 
 def up_to(df: DataFrame, time: str, t) -> DataFrame:

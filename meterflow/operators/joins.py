@@ -15,8 +15,8 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns: Sequence[str],
-                   max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
-    """Inner join of a fact table with a dimension that adds ``columns``.
+                   max_rows: int = BROADCAST_ROWS, salts: int = SALTS, how: str = "inner") -> DataFrame:
+    """Join a fact table with a dimension that adds ``columns`` (facts without a match are dropped, or kept with "left").
 
     A dimension whose size was checked is broadcast. A larger one is joined by a
     shuffle on (key, salt): the facts of one key are dealt over ``salts`` tasks, so a
@@ -26,10 +26,10 @@ def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """
     side = dim.select(F.col(dim_key).alias("_dim_key"), *columns)
     if is_small(side, max_rows):
-        return fact.join(F.broadcast(side), fact[fact_key] == side["_dim_key"]).drop("_dim_key")
+        return fact.join(F.broadcast(side), fact[fact_key] == side["_dim_key"], how).drop("_dim_key")
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.lit(salts)).cast("int"))
     copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(copies, (F.col(fact_key) == F.col("_dim_key")) & (salted["_salt"] == copies["_salt"]))
+    joined = salted.join(copies, (F.col(fact_key) == F.col("_dim_key")) & (salted["_salt"] == copies["_salt"]), how)
     return joined.select(*[salted[c] for c in fact.columns], *columns)
 
 

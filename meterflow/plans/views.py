@@ -1,7 +1,7 @@
 """The dashboard's frames: map slice, line view, table load."""
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,21 +29,30 @@ def map_slice(df: DataFrame, time: str, t, entity: str, measure: str, kind: str,
     return join_dimension(rows, areas, entity, area_key, ["lat", "lon"]).orderBy(entity)
 
 
-def line_view(df: DataFrame, s: Series, t, measure: str, max_val: int = 10, **only) -> DataFrame:
-    """A series up to a time: observed, smoothed, and whether it is the latest point."""
-    rows = of_entity(up_to(df, s.time, t), **only).select(*s.keys, s.time, measure)
-    smooth = dct_smooth(rows, s, measure, max_val).withColumnRenamed(measure + "_smooth", "smoothed_signal")
-    last = latest_row(rows, list(s.keys), s.time).select(*s.keys, F.col(s.time).alias("_last"))
-    marked = smooth.join(last, list(s.keys), "left") if s.keys else smooth.withColumn("_last", rows.agg(F.max(s.time)).scalar())
-    return marked.withColumn("is_latest", F.col(s.time) == F.col("_last")).drop("_last")
+def line_view(df: DataFrame, s: Series, t, measure: str, max_val: int = 10, **entity) -> DataFrame:
+    """One series up to a time: observed, smoothed, and whether it is the latest point.
 
+    ``entity`` names the series by all its keys (and may narrow it, as by branch).
+    """
+    unnamed = [k for k in s.keys if k not in entity]
+    if unnamed:
+        raise ValueError(f"a line view shows one series: give {unnamed}")
+    rows = of_entity(up_to(df, s.time, t), **entity).select(*s.keys, s.time, measure)
+    smooth = dct_smooth(rows, s.over(keys=()), measure, max_val).withColumnRenamed(measure + "_smooth", "smoothed_signal")
+    return smooth.withColumn("is_latest", F.col(s.time) == rows.agg(F.max(s.time)).scalar())
 
-def dashboard_load(tables: Mapping[str, DataFrame], order: Mapping[str, str], measures: Mapping[str, list[str]],
+
+def latest_point(df: DataFrame, s: Series, t) -> DataFrame:
+    """The row a line view marks, for every series at once."""
+    return latest_row(up_to(df, s.time, t), list(s.keys), s.time)
+
+
+def dashboard_load(tables: Mapping[str, DataFrame], order: Mapping[str, Sequence[str]], measures: Mapping[str, list[str]],
                    names: Mapping[str, Mapping[str, str]]) -> dict[str, DataFrame]:
     """All tables renamed, with their measures as numbers, sorted. Nothing is read until a frame is used."""
     loaded = {}
     for name, df in tables.items():
         df = rename_columns(df, names.get(name, {}))
         df = nan_to_null(cast_columns(df, {c: "double" for c in measures.get(name, [])}))
-        loaded[name] = sort_by_time(df, order[name])
+        loaded[name] = sort_by_time(df, *order[name])
     return loaded

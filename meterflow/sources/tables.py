@@ -7,11 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import nan_to_null, row_id
+from ..functions.times import month_of, ts
+from ..operators.filters import time_range
+from ..operators.layout import Series
 from .storage import new_folder
 
 # Stored type per in-flight type; anything else is stored as text (fixed values).
 STORED_TYPES = {"int": "int", "bigint": "int", "float": "double", "double": "double", "string": "string",
                 "boolean": "boolean", "timestamp": "timestamp_ntz", "timestamp_ntz": "timestamp_ntz"}
+MONTH = "month"
 DOCUMENT_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
@@ -37,6 +41,24 @@ def write_table(df: DataFrame, base: str, name: str, namespace: str, insert: boo
     writer.parquet(table_path(base, name, namespace))
 
 
+def write_series(df: DataFrame, s: Series, base: str, name: str, namespace: str, insert: bool = True, add_id: bool = True,
+                 id_keys: Sequence[str] = ()) -> None:
+    """Store a measurement table by month, each file a stretch of few series in time order.
+
+    The rows are cut by range over (month, keys, time): a series or month of any size is
+    spread evenly, and filters on time and entity skip partitions and files.
+    """
+    order = [MONTH, *s.keys, s.time]
+    rows = df.withColumn(MONTH, month_of(s.time)).repartitionByRange(*order).sortWithinPartitions(*order)
+    write_table(rows, base, name, namespace, insert, add_id, id_keys, partition_by=[MONTH])
+
+
+def read_series(spark: SparkSession, s: Series, base: str, name: str, namespace: str, start, end) -> DataFrame:
+    """A stretch of a table stored by month, from start up to but not including end."""
+    months = F.col(MONTH).between(month_of(ts(start)), month_of(ts(end)))
+    return time_range(read_table(spark, base, name, namespace).filter(months), s.time, start, end).drop(MONTH)
+
+
 def overwrite_table(df: DataFrame, base: str, name: str, namespace: str, add_id: bool = False,
                     id_keys: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
     """Replace a table, also by a result that was computed from it.

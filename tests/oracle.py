@@ -62,7 +62,7 @@ if __name__ == "__main__":
     sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
     from tests.session import make_session
     import __spark_entry__ as entry
-    folder = f"/root/testdata/{sys.argv[1]}"
+    folder = sys.argv[1] if "/" in sys.argv[1] else f"/root/testdata/{sys.argv[1]}"
     wanted = sys.argv[2:]
     spark, con = make_session(), duck(folder)
     bad = 0

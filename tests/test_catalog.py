@@ -95,3 +95,35 @@ def test_other_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == want
+
+
+def test_months_are_pruned(spark):
+    from meterflow import Series
+    from meterflow.sources.storage import new_folder
+    from meterflow.sources.tables import read_series, write_series
+    folder, s = new_folder(spark, "months"), Series(("l_returnflag",), "l_shipdate")
+    write_series(spark.read.parquet(f"{FOLDER}/lineitem.parquet"), s, folder, "lineitem", "store")
+    rows = read_series(spark, s, folder, "lineitem", "store", "1997-01-15", "1997-02-02")
+    scan = plan(rows)
+    assert "PartitionFilters: [isnotnull(month" in scan and "GreaterThanOrEqual(l_shipdate" in scan
+    assert set(r[0].month for r in rows.select("l_shipdate").distinct().collect()) == {1, 2}
+
+
+def test_skewed_tables_match_sql(spark, tmp_path):
+    """A third of the events, orders and line items share one key and time, line items also as equal copies."""
+    import duckdb
+    c = duckdb.connect()
+    c.execute(f"""copy (select event_id, case when event_id % 3 = 0 then timestamp '2024-01-10 05:00:00' + interval (event_id) microsecond else ts end as ts,
+        case when event_id % 3 = 0 then 1 else user_id end as user_id, case when event_id % 3 = 0 then 'view' else event_type end as event_type, value, props
+        from '{FOLDER}/events.parquet') to '{tmp_path}/events.parquet'""")
+    c.execute(f"""copy (select o_orderkey, case when o_orderkey % 3 = 0 then 7 else o_custkey end as o_custkey, o_orderstatus, o_totalprice,
+        case when o_orderkey % 3 = 0 then timestamp '1997-02-03' else o_orderdate end as o_orderdate, o_orderpriority
+        from '{FOLDER}/orders.parquet') to '{tmp_path}/orders.parquet'""")
+    c.execute(f"""copy (select * from '{FOLDER}/lineitem.parquet' where l_orderkey % 3 > 0 union all select l.* from
+        (select * from '{FOLDER}/lineitem.parquet' order by all limit 1) l, range(2000)) to '{tmp_path}/lineitem.parquet'""")
+    for name in ("region nation customer supplier part documents embeddings pages benchmark labels conversations").split():
+        (tmp_path / f"{name}.parquet").symlink_to(f"{FOLDER}/{name}.parquet")
+    con = duck(str(tmp_path))
+    for name in ("impute_threshold", "find_gaps", "enrich_orders", "summary_by_group", "dedupe_first", "series_position", "first_order",
+                 "daily_resample", "price_wind_corr", "minmax_by_time"):
+        assert compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], str(tmp_path)) == [], name
