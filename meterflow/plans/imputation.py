@@ -9,17 +9,29 @@ from ..functions.scalars import nan_to_null
 from ..operators.fill import Rule, fill_all, fill_constant, impute
 from ..operators.layout import Series
 from ..operators.schema import cast_columns, sort_by_time
+from ..sources.schemas import WEATHER_MEASURES
 
-# The measure names and windows that the results depend on.
-WEATHER_MEASURES = ("coco", "dwpt", "prcp", "pres", "rhum", "snow", "temp", "tsun", "wdir", "wpgt", "wspd")
+# The measures, areas and windows that the results depend on.
 ZERO_FILLED_PRODUCTION = ("offshorewindge100mw_mwh", "offshorewindlt100mw_mwh", "solarmwh", "thermalpowermwh")
 ZERO_FILLED_PRICES = ("eexlowestpricesaledkk_kwh", "eexhighestpricepurchasedkk_kwh")
 MAX_MISSING_PCT = 40.0
 DAY, WEEK = 24, 168
+SNOW_AREAS = ("Ærø", "Sønderborg")
+PRCP_AREAS = (
+    "Billund", "Horsens", "Samsø", "Kerteminde", "Frederikssund", "Odense", "Assens", "Esbjerg", "Varde", "Fanø",
+    "Nyborg", "Nordfyn", "Hedensted", "Syddjurs", "Norddjurs", "Odder", "Skanderborg", "Aarhus", "Favrskov", "Rebild",
+    "Aalborg", "Ikast-Brande", "Silkeborg", "Holstebro", "Jammerbugt", "Viborg", "Frederikshavn", "Bornholm",
+    "Faaborg-Midtfyn", "Fredensborg", "Fredericia", "Ringkøbing-Skjern", "Herning", "Middelfart", "Roskilde", "Vejen",
+    "Langeland", "Vejle", "Kolding", "Greve", "Solrød", "Svendborg", "Guldborgsund", "Haderslev", "Hjørring",
+    "Hillerød", "Brøndby", "Copenhagen", "Ballerup", "Allerød", "Rødovre", "Rudersdal", "Vallensbæk", "Albertslund",
+    "Brønderslev", "Herlev", "Glostrup", "Gladsaxe", "Høje-Taastrup", "Hørsholm", "Ishøj", "Egedal", "Hvidovre",
+    "Gentofte", "Furesø", "Lyngby-Taarbæk", "Frederiksberg", "Tårnby", "Dragør", "Læsø", "Kalundborg", "Slagelse",
+    "Sorø",
+)
 
 
-def weather_rules(snow_entities: tuple | None = None, prcp_entities: tuple | None = None) -> list[Rule]:
-    """The weather table's rules. Snow and rain are filled only for the entities named, or for all."""
+def weather_rules(snow_entities: tuple | None = SNOW_AREAS, prcp_entities: tuple | None = PRCP_AREAS) -> list[Rule]:
+    """The weather table's rules. Snow and rain are filled only for the areas named, or for all (None)."""
     gated = [Rule(c, window=DAY, max_missing_pct=MAX_MISSING_PCT) for c in ("wpgt", "dwpt", "pres", "rhum", "temp", "wspd")]
     return [
         Rule("snow", method="forward", entities=snow_entities),

@@ -8,16 +8,11 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import nan_to_null
 from ..operators.joins import join_dimension
-from ..operators.schema import cast_columns, lowercase_columns, parse_timestamps, sort_by_time
+from ..operators.schema import cast_columns, lowercase_columns, parse_timestamps, rename_columns, sort_by_time
+from ..sources import schemas
+from ..sources.html import extract_html_table
 from ..sources.records import read_records
-from ..sources.tables import overwrite_table, read_table
-
-# Column names of the area table as found on the page, and ours.
-AREA_COLUMNS = {
-    "LAU-1 code 1": "municipalityNo", "Municipality": "municipality", "Administrative Center": "adminCenter",
-    "Total Area (km²)": "totalArea_km2", "Population (2012-01-01)": "population", "Region": "region",
-}
-
+from ..sources.tables import insert_documents, overwrite_table, read_table, typed_columns, write_table
 
 def clean_records(raw: DataFrame, times: Sequence[str], types: Mapping[str, str]) -> DataFrame:
     """Lower-case names, parse times, cast the named columns, NaN to null."""
@@ -26,7 +21,23 @@ def clean_records(raw: DataFrame, times: Sequence[str], types: Mapping[str, str]
 
 def ingest_records(spark: SparkSession, path: str, schema: T.StructType | str, times: Sequence[str],
                    types: Mapping[str, str], per_line: bool = False) -> DataFrame:
-    return clean_records(read_records(spark, path, schema, per_line), times, types)
+    """Payload files to a cleaned table. Field names match in any case; the columns are lower-case."""
+    return clean_records(read_records(spark, path, schema, per_line, any_case=True), times, types)
+
+
+def ingest_all(spark: SparkSession, landing: str, area_pages: DataFrame, base: str, namespace: str) -> None:
+    """Landed payloads (one folder per dataset) and the area page to cleaned, typed, stored tables.
+
+    ``area_pages`` needs an ``html`` column.
+    """
+    for name, (fields, times, types) in schemas.PAYLOADS.items():
+        rows = ingest_records(spark, f"{landing.rstrip('/')}/{name}", fields, times, types)
+        if name in schemas.DOCUMENTS:
+            insert_documents(rows, base, name, namespace)
+        else:
+            write_table(typed_columns(rows), base, name, namespace)
+    found = extract_html_table(area_pages, "html", schemas.AREA_TABLE_CLASS, T.StructType.fromDDL(schemas.AREA_PAGE))
+    insert_documents(rename_columns(found, schemas.AREA_NAMES), base, "municipalities", namespace)
 
 
 def enrich(fact: DataFrame, areas: DataFrame, fact_key: str, area_key: str, name: str) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import nan_to_null, sqrt_or_null
 from ..operators.filters import at_time, of_entity, up_to
@@ -12,6 +12,8 @@ from ..operators.layout import Series
 from ..operators.schema import cast_columns, rename_columns, sort_by_time
 from ..operators.spectral import dct_smooth
 from ..operators.windows import latest_row, minmax_by_time
+from ..sources import schemas
+from ..sources.tables import read_documents, read_table
 
 # Marker size per table kind; the first is scaled 0..1, the others by square root.
 MARKER_SIZE = {"weather": 15.0, "consumption": 0.05, "production": 3.0}
@@ -56,3 +58,21 @@ def dashboard_load(tables: Mapping[str, DataFrame], order: Mapping[str, Sequence
         df = nan_to_null(cast_columns(df, {c: "double" for c in measures.get(name, [])}))
         loaded[name] = sort_by_time(df, *order[name])
     return loaded
+
+
+def dashboard_tables(spark: SparkSession, base: str, namespace: str, enriched: bool = True) -> dict[str, DataFrame]:
+    """The six stored tables as the dashboard uses them, each read only when a frame is used.
+
+    ``enriched`` production and consumption carry the area name.
+    """
+    tables = {}
+    for name, fields in schemas.STORED.items():
+        if name in schemas.DOCUMENTS:
+            tables[name] = read_documents(spark, base, name, namespace, fields)
+        else:
+            named = enriched and name in ("production", "consumption")
+            tables[name] = read_table(spark, base, name, namespace, fields + (", municipality string" if named else ""))
+    order = {"municipalities": ["municipality"], "gas": ["gasday"], "production": ["hourutc", "municipalityno"],
+             "consumption": ["hourutc", "municipalityno", "branche"], "prodcons": ["hourutc", "pricearea"],
+             "weather": ["hourutc", "municipality"]}
+    return dashboard_load(tables, order, {"weather": list(schemas.WEATHER_MEASURES)}, {"weather": {"time": "hourutc"}})

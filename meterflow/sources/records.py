@@ -5,18 +5,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
-def records_of(payloads: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
-    """One row per entry of each payload's ``records`` array. A payload that is no JSON raises."""
-    fields = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_json(F.col(column), f"records array<struct<{_colons(fields)}>>", {"mode": "FAILFAST"})
-    return payloads.select(F.inline(parsed["records"]))
+def records_of(payloads: DataFrame, column: str, schema: T.StructType | str, any_case: bool = False) -> DataFrame:
+    """One row per entry of each payload's ``records`` array. A payload that is no JSON raises.
 
+    ``any_case`` finds the fields whatever the case of their names in the payload.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    entry = "map<string, string>" if any_case else fields.simpleString()
+    parsed = F.from_json(F.col(column), f"struct<records: array<{entry}>>", {"mode": "FAILFAST"})
+    records = payloads.select(F.explode(parsed["records"]).alias("_r"))
+    if not any_case:
+        return records.select("_r.*")
+    named = records.select(F.transform_keys("_r", lambda k, v: F.lower(k)).alias("_r"))
+    return named.select(*[F.col("_r")[f.name.lower()].cast(f.dataType).alias(f.name) for f in fields.fields])
 
-def _colons(fields: str) -> str:
-    struct = T.StructType.fromDDL(fields)
-    return ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in struct.fields)
 
-
-def read_records(spark: SparkSession, path: str, schema: T.StructType | str, per_line: bool = False) -> DataFrame:
+def read_records(spark: SparkSession, path: str, schema: T.StructType | str, per_line: bool = False, any_case: bool = False) -> DataFrame:
     """Read payload files, one document per file (or per line)."""
-    return records_of(spark.read.text(path, wholetext=not per_line), "value", schema)
+    return records_of(spark.read.text(path, wholetext=not per_line), "value", schema, any_case)

@@ -25,6 +25,8 @@ def test_payload_files_one_document_each(spark, tmp_path):
     assert len(got) == 6 and [r.Mwh for r in got if r.Mwh is not None] == [0.5, 1.5, 2.5]
     by_struct = T.StructType([T.StructField("Mwh", T.DoubleType())])
     assert records.read_records(spark, str(tmp_path), by_struct).columns == ["Mwh"]
+    upper = records.read_records(spark, str(tmp_path), "hourutc string, MWH double", any_case=True)
+    assert upper.columns == ["hourutc", "MWH"] and upper.filter("MWH > 1").count() == 2 and upper.count() == 6
     (tmp_path / "bad.json").write_text('{"records": [')
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         records.read_records(spark, str(tmp_path), "Mwh double").collect()
