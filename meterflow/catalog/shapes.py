@@ -207,13 +207,13 @@ def coverage_ratio(t):
     return aggregates.coverage_ratio(t.events, "event_type", "click", "view")
 
 
-@query("first_observed", sql("""select entity, first_time, row_number() over (order by first_time, md5(cast(entity as varchar))) as ordinal
+@query("first_observed", sql("""select entity, first_time, row_number() over (order by first_time, entity) as ordinal
     from (select entity, min(hourutc) as first_time from series where v_error is not null group by entity)""", "series"))
 def first_observed(t):
     return aggregates.first_observed(views.series(t), SERIES, "v_error")
 
 
-@query("first_order", """select o_custkey, first_time, row_number() over (order by first_time, md5(cast(o_custkey as varchar))) as ordinal
+@query("first_order", """select o_custkey, first_time, row_number() over (order by first_time, o_custkey) as ordinal
     from (select o_custkey, min(o_orderdate) as first_time from orders where o_totalprice is not null group by o_custkey)""")
 def first_order(t):
     """The same over many entities."""

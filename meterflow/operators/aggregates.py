@@ -97,15 +97,10 @@ def coverage_ratio(df: DataFrame, key: str, entity, other) -> DataFrame:
 
 
 def first_observed(df: DataFrame, s: Series, column: str) -> DataFrame:
-    """First time each entity has a value, numbered in that order.
-
-    Entities that start at the same time are ordered by a hash of their name, so a
-    large tie is numbered in pieces.
-    """
+    """First time each entity has a value, numbered in that order (then by name)."""
     (key,) = s.keys
     first = df.filter(F.col(column).isNotNull()).groupBy(key).agg(F.min(s.time).alias("first_time"))
-    first = first.withColumn("_hash", F.md5(F.col(key).cast("string"))).withColumn("_prefix", F.substring("_hash", 1, 2))
-    return global_rank(first, ["first_time", "_prefix"], ["_hash"], "ordinal").drop("_hash", "_prefix")
+    return global_rank(first, ["first_time", key], "ordinal")
 
 
 def random_series(df: DataFrame, key: str, time: str, columns: Sequence[str], seed: int) -> DataFrame:

@@ -21,6 +21,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.times import epoch_micros
+from ..sources.storage import settled
 
 CHUNK, INDEX, HOME, COUNT = "_chunk", "_index", "_home", "_count"
 
@@ -140,10 +141,18 @@ def frame(s: Series, before: int, after: int = 0) -> WindowSpec:
     return s.local(INDEX).rangeBetween(-before, after)
 
 
-def global_rank(df: DataFrame, piece: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """1-based place in the order (piece, order) over the whole table, numbered piece by piece."""
-    sizes = df.groupBy(*piece).agg(F.count("*").alias(COUNT)).select(
-        *piece, F.coalesce(F.sum(COUNT).over(Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    local = F.row_number().over(Window.partitionBy(*piece).orderBy(*order))
-    ranked = df.withColumn("_row", local).join(sizes, list(piece))
-    return ranked.withColumn(name, F.col("_offset") + F.col("_row")).drop("_offset", "_row")
+def global_rank(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """1-based place of each row in a total order over the whole table.
+
+    The rows are cut into balanced ranges of that order and written, so that a range
+    keeps its number; rows are then counted per range and numbered within it.
+    """
+    ranged = df.repartitionByRange(*order).withColumn(CHUNK, F.spark_partition_id())
+    ranged = settled(ranged, "ranges")
+    sizes = ranged.groupBy(CHUNK).agg(F.count("*").alias(COUNT))
+    # One row per range: as many as the shuffle has partitions.
+    before = F.sum(COUNT).over(Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(CHUNK, F.coalesce(before, F.lit(0)).alias("_offset"))
+    within = F.row_number().over(Window.partitionBy(CHUNK).orderBy(*order))
+    ranked = ranged.withColumn("_row", within).join(sizes, CHUNK)
+    return ranked.withColumn(name, F.col("_offset") + F.col("_row")).drop("_offset", "_row", CHUNK)

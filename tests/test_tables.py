@@ -13,6 +13,7 @@ from meterflow import Series
 from meterflow.functions.scalars import nan_to_null, one_decimal, row_id, sqrt_or_null
 from meterflow.functions.times import local_to_utc
 from meterflow.operators import aggregates, filters, joins, profile, schema
+from meterflow.operators.layout import global_rank
 from meterflow.sources import html, records, tables
 from meterflow.sources.storage import new_folder
 
@@ -129,12 +130,13 @@ def test_profiles(spark):
     assert [tuple(r) for r in profile.missing_pct_matrix(df, "e", ["x", "y"]).collect()] == [("a", "x", 100.0), ("a", "y", 50.0)]
 
 
-def test_first_observed_numbers_ties_in_pieces(spark):
+def test_first_observed_is_numbered_in_pieces(spark):
     t0 = datetime.datetime(2022, 1, 1)
     rows = [(f"e{i}", t0 + datetime.timedelta(hours=i // 40), float(i) if i != 3 else None) for i in range(90)]
     got = aggregates.first_observed(spark.createDataFrame(rows, "e string, t timestamp_ntz, x double"), Series(("e",), "t"), "x").collect()
     assert sorted(r.ordinal for r in got) == list(range(1, 90))
-    assert [r.first_time for r in sorted(got, key=lambda r: r.ordinal)] == sorted(r.first_time for r in got)
+    assert [(r.first_time, r.e) for r in sorted(got, key=lambda r: r.ordinal)] == sorted((r.first_time, r.e) for r in got)
+    assert [r.n for r in global_rank(spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v")), ["v"], "n").orderBy("v").collect()] == list(range(1, 5001))
 
 
 def test_scalars(spark):
