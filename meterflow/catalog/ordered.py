@@ -10,6 +10,7 @@ from ..operators.fill import Rule
 from ..operators.layout import Series
 from ..plans import correlation, forecast, imputation
 from ..plans import views as dashboard
+from ..sources.storage import settled
 from . import views
 from .registry import query, r, rounded
 from .shapes import CUTOFF
@@ -313,7 +314,7 @@ FORECAST_CUTOFF = "2024-01-25 00:00:00"
 def _fits(t: Tables):
     rules = [Rule("v", window=24), Rule("v_view", window=168), Rule("v_click", window=168)]
     filled = fill.impute(views.series(t).select("entity", "hourutc", "v", "v_view", "v_click"), WIDE, rules)
-    filled = fill.forward_fill(filled, WIDE, ["v", "v_view", "v_click"])
+    filled = settled(fill.forward_fill(filled, WIDE, ["v", "v_view", "v_click"]), "filled")
     on = ["entity", "hourutc"]
     return forecast.fit_series(filled.select(*on, "v"), filled.select(*on, "v_view", "v_click"), SERIES, "v", FORECAST_CUTOFF,
                                exog=("v_view", "v_click"))

@@ -88,6 +88,20 @@ def by_time_chunk(df: DataFrame, s: Series) -> DataFrame:
     return df.withColumn(CHUNK, s.chunk_of(s.slot()))
 
 
+def by_range_chunk(df: DataFrame, s: Series, tie: Sequence[str]) -> DataFrame:
+    """Chunks for a table with several rows at one time: balanced ranges of (keys, time, tie).
+
+    A stretch of time may then hold any share of the table, a range may not. The ranges
+    are written, so that every use of a row sees it in the same one.
+    """
+    return by_range(df, [*s.keys, s.time, *tie])
+
+
+def by_range(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    ranged = df.repartitionByRange(*order).withColumn(CHUNK, F.spark_partition_id().cast("bigint"))
+    return settled(ranged, "ranges")
+
+
 def spread(df: DataFrame, s: Series) -> DataFrame:
     """Shuffle by (keys, chunk).
 
@@ -103,8 +117,11 @@ def join_state(df: DataFrame, state: DataFrame, s: Series) -> DataFrame:
 
 
 def positioned(df: DataFrame, s: Series, tie: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Rows with their chunk, 0-based place in the series and the series' row count; and the chunk table."""
-    chunked = by_time_chunk(df, s)
+    """Rows with their chunk, 0-based place in the series and the series' row count; and the chunk table.
+
+    ``tie`` orders rows at the same time.
+    """
+    chunked = by_range_chunk(df, s, tie) if tie else by_time_chunk(df, s)
     state = chunked.groupBy(*s.keys, CHUNK).agg(F.count("*").alias(COUNT)).select(
         *s.keys, CHUNK,
         F.coalesce(F.sum(COUNT).over(s.earlier()), F.lit(0)).alias("_offset"),
@@ -147,8 +164,7 @@ def global_rank(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     The rows are cut into balanced ranges of that order and written, so that a range
     keeps its number; rows are then counted per range and numbered within it.
     """
-    ranged = df.repartitionByRange(*order).withColumn(CHUNK, F.spark_partition_id())
-    ranged = settled(ranged, "ranges")
+    ranged = by_range(df, order)
     sizes = ranged.groupBy(CHUNK).agg(F.count("*").alias(COUNT))
     # One row per range: as many as the shuffle has partitions.
     before = F.sum(COUNT).over(Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1))
