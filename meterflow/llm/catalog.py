@@ -1,7 +1,8 @@
 """The registered queries of this subpackage and, where SQL can say the same, their SQL."""
 from __future__ import annotations
 
+from .packing import op10_best_fit
 from .shards import op9_byte_shards
 
-QUERIES = {f.__name__: f for f in (op9_byte_shards,)}
+QUERIES = {f.__name__: f for f in (op9_byte_shards, op10_best_fit)}
 ORACLE: dict[str, str] = {}
