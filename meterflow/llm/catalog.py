@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from .packing import op10_best_fit
 from .shards import op9_byte_shards
+from .toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op9_byte_shards, op10_best_fit)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op9_byte_shards, op10_best_fit)}
 ORACLE: dict[str, str] = {}
