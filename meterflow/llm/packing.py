@@ -1,20 +1,24 @@
 """Sequences of a fixed number of tokens, filled by bounded-space online best-fit."""
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .chunks import texts_in_chunks
+from .chunks import Words, texts_in_chunks
 
 CAPACITY = 2048
 OPEN_BINS = 512
 ROWS_PER_BLOCK = 2_000
-CACHED_WORDS = 400_000
+KNOWN_WORDS = 3_000_000
+WORDS_PER_CALL = 10_000
+CHUNK_BYTES = 2 << 20
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -22,49 +26,54 @@ SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 class WordIds:
     """Token ids of texts, by way of the ids of their words.
 
-    The tokenizer splits at white space before it merges, so a text has the ids of its words in a row. Words
-    met before are looked up; the table is emptied when it holds ``CACHED_WORDS``.
+    The tokenizer puts letters in lower case and splits at white space before it merges, so a text has the ids of
+    its words in a row. Words met before are found by their hash in a sorted table, which is emptied when
+    it holds ``KNOWN_WORDS``; a worker keeps it from task to task.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.begin, self.length, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
-
-    def learn(self, words: list[bytes]) -> None:
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(lengths.sum()))
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
-        self.flat = np.concatenate([self.flat, flat])
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.key, self.begin, self.length = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+
+    def learn(self, keys: np.ndarray, words: list[str]) -> None:
+        lengths, flats = [], [self.flat]
+        for i in range(0, len(words), WORDS_PER_CALL):
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(words[i:i + WORDS_PER_CALL], add_special_tokens=False)]
+            lengths += map(len, coded)
+            flats.append(np.fromiter(chain.from_iterable(coded), self.flat.dtype))
+        length = np.array(lengths, np.int64)
+        begin = len(self.flat) + np.cumsum(length) - length
+        self.flat = np.concatenate(flats)
+        place = np.searchsorted(self.key, keys)
+        self.key, self.begin, self.length = (np.insert(old, place, new) for old, new in
+                                             ((self.key, keys), (self.begin, begin), (self.length, length)))
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
-        words: list[bytes] = []
-        counts = []
-        for t in texts:
-            own = t.split()
-            counts.append(len(own))
-            words += own
-        if len(self.place) > CACHED_WORDS:
+        words = Words(texts, lower=not any(b"<|" in t for t in texts))  # in lower case, a text could spell a special token
+        keys, first, word = np.unique(words.hash, return_index=True, return_inverse=True)
+        if len(self.key) > KNOWN_WORDS:
             self.clear()
-        new = list({w for w in words if w not in self.place})
-        if new:
-            self.learn(sorted(new))
-        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        lengths = self.length[places]
+        place = np.searchsorted(self.key, keys)
+        new = np.flatnonzero(np.append(self.key, np.uint64(0))[place] != keys) if len(self.key) else np.arange(len(keys))
+        new = np.union1d(new, np.flatnonzero(place == len(self.key)))
+        if len(new):
+            spans = zip(words.begin[first[new]].tolist(), words.end[first[new]].tolist())
+            self.learn(keys[new], [words.bytes[a:b].decode() for a, b in spans])
+            place = np.searchsorted(self.key, keys)
+        place = place[word]
+        lengths = self.length[place]
         ends = np.cumsum(lengths)
-        ids = self.flat[np.repeat(self.begin[places] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        ids = self.flat[np.repeat(self.begin[place] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
         sums = np.concatenate([[0], ends])
-        edges = np.cumsum(counts)
-        return ids, sums[edges] - sums[edges - counts]
+        return ids, sums[words.first[1:]] - sums[words.first[:-1]]
 
 
 class OpenBins:
@@ -124,7 +133,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
         ids_of = _tokenizers.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
         _tokenizers[tokenizer_path] = ids_of
         bins, prefix = OpenBins(capacity, open_bins), TaskContext.get().partitionId() << 32
-        for batch, texts in texts_in_chunks(batches, text):
+        for batch, texts in texts_in_chunks(batches, text, CHUNK_BYTES):
             ids, counts = ids_of(texts)
             rows: list[tuple] = []
             own_ids: list[np.ndarray] = []
