@@ -177,16 +177,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     give none; rows repeated in either table repeat in the result. Documents are read once for each
     ``ITEMS_PER_PASS`` items, which are what is sent to every task.
     """
-    known = benchmark.where(F.col(item_column).isNotNull() & F.col(item_text).isNotNull()).select(
-        F.col(item_column).cast("long").alias("item"), F.col(item_text).alias("words"))
-    passes = -(-known.count() // ITEMS_PER_PASS)
     chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, item_id long, first_word long, n_words long, similarity double"
     result = docs.sparkSession.createDataFrame([], schema)
-    for number in range(passes):
-        part = known.where(F.pmod(F.xxhash64("item", "words"), F.lit(passes)) == number).orderBy("item", "words").collect()
-        items = Items([(r["item"], r["words"].encode("utf-8", "replace")) for r in part], radius)
-
+    for items in _passes(benchmark, item_column, item_text, radius):
         def found(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
                 ids = batch.column(0).to_pylist()
@@ -196,11 +190,33 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                                      ["doc_id", "item_id", "first_word", "n_words", "similarity"])
 
-        own = chosen.mapInArrow(found, schema)
-        result = own if number == 0 else result.unionAll(own)
+        result = result.unionAll(chosen.mapInArrow(found, schema))
     return result
 
 
+def _passes(benchmark: DataFrame, item_column: str, item_text: str, radius: int) -> Iterator[Items]:
+    known = benchmark.where(F.col(item_column).isNotNull() & F.col(item_text).isNotNull()).select(
+        F.col(item_column).cast("long").alias("item"), F.col(item_text).alias("words"))
+    passes = -(-known.count() // ITEMS_PER_PASS)
+    for number in range(passes):
+        part = known.where(F.pmod(F.xxhash64("item", "words"), F.lit(passes)) == number).orderBy("item", "words").collect()
+        yield Items([(r["item"], r["words"].encode("utf-8", "replace")) for r in part], radius)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_column: str = "item_id", item_text: str = "text",
+                      threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+    """The rows, with all their columns, that ``find_passages`` would find no item in."""
+    for items in _passes(benchmark, item_column, item_text, radius):
+        def clean(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
+            for batch, texts in texts_in_chunks(batches, text, CHUNK_BYTES):
+                keep = np.ones(len(texts), bool)
+                keep[[t for t, *_ in items.search(texts, threshold)]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs
+
+
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the items."""
     return find_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -171,6 +171,20 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(scored, "doc_id long, score double")
 
 
+def keep_below(docs: DataFrame, model: Model, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text is scored below the threshold; null and empty texts are scored as ``score`` does."""
+    features, coefficients, intercept, schema = model.features, model.coefficients, model.intercept, docs.schema
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << BITS, np.float64)
+        table[features] = coefficients
+        known = table != 0
+        for batch, texts in texts_in_chunks(batches, text):
+            yield batch.filter(pa.array(_scores(table, known, intercept, texts) < threshold))
+
+    return docs.mapInArrow(kept, schema)
+
+
 def held_out(column: str = "doc_id", folds: int = 5, fold: int = 0):
     """Whether crc32 of the id as text falls into the fold kept from training (null for a null id)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds == fold
