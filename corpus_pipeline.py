@@ -23,7 +23,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that the classifier scores 0.5 or more. It is fitted on labelled documents of the table, leaving out
     the fold that the toxicity query holds out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out())
-    model = train(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels)
+    model = train(docs, labels)
     return keep_below(docs, model)
 
 

@@ -5,14 +5,26 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, functions as F
 
 CHUNK_BYTES = 4 << 20
+NO_ID = -(1 << 62)
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
 _powers: dict[int, np.ndarray] = {}
 
 
+def document_key(id_column: str, text: str) -> Column:
+    """The id; for a null id a number below all ids (which are taken to be above ``NO_ID``) that depends on the text."""
+    own = F.col(id_column).cast("long")
+    return F.coalesce(own, F.lit(NO_ID) - F.lit(1) - F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 61)))
+
+
+def document_id(key: str) -> Column:
+    return F.when(F.col(key) > NO_ID, F.col(key))
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
     held = _powers.get(base)

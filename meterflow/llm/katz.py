@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 
-from .chunks import Words, mix, texts_in_chunks
+from .chunks import Words, document_id, document_key, mix, texts_in_chunks
 from .store import step
 from .toxicity import held_out
 
@@ -173,10 +173,9 @@ def score_documents(docs: DataFrame, learn, id_column: str = "doc_id", text: str
     sends each of its words and pairs once; the tables of counts are partitioned by them; a block gets back only
     what it can't know itself. Per row: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one) and
     ``score``, both log10. Null and empty texts have the end alone. Rows that repeat an id count as often as they come in what is learnt, and
-    give one row with the figures of one of them if their texts agree. Null ids count as one.
+    give one row if their texts agree; so do rows of one text without an id.
     """
-    null_id = -(1 << 63)
-    every = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(null_id)).alias("doc"), F.coalesce(learn, F.lit(False)).alias("train"), F.col(text).alias("text"))
+    every = docs.select(document_key(id_column, text).alias("doc"), F.coalesce(learn, F.lit(False)).alias("train"), F.col(text).alias("text"))
     span = docs.agg(F.min(F.col(id_column).cast("long")).alias("low"), F.max(F.col(id_column).cast("long")).alias("high"), F.count("*").alias("n")).first()
     low, high = span["low"] or 0, span["high"] or 0
     width = max(1, (high - low + 1) * DOCS_PER_BLOCK // max(1, span["n"]))
@@ -204,7 +203,7 @@ def score_documents(docs: DataFrame, learn, id_column: str = "doc_id", text: str
     backed = parts.where("kind = 2").select("id", "other", "x").join(weights, "other").groupBy("id").agg(F.sum(F.col("x") * F.col("weight")).alias("more"))
     each = parts.where("kind = 0").groupBy("id").agg(F.max("other").alias("n_tokens"), F.max("x").cast("long").alias("n_known"), F.max("y").alias("base_score"), F.max("z").alias("found"))
     return each.join(backed, "id", "left").select(
-        F.when(F.col("id") != null_id, F.col("id")).alias("doc_id"), "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),
+        document_id("id").alias("doc_id"), "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),
         "base_score", (F.col("found") + F.coalesce("more", F.lit(0.0))).alias("score"))
 
 

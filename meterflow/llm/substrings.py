@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .chunks import Words, mix, rolling, texts_in_chunks
+from .chunks import Words, document_id, document_key, mix, texts_in_chunks
 from .store import step
 
 WINDOW = 20
@@ -25,20 +25,18 @@ def _table(names: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names.split())
 
 
-def _first_of_equal(key: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by (key, doc, place); whether a row is the first of its key, and whether its key has several rows."""
-    order = np.lexsort((place, doc, key))
-    key = key[order]
-    same = key[1:] == key[:-1]
-    return order, np.concatenate([[True], ~same])[:len(key)], np.concatenate([[False], same])[:len(key)] | np.concatenate([same, [False]])[:len(key)]
-
-
 def _rows(key: np.ndarray, doc: np.ndarray, place: np.ndarray, others: bool) -> pa.RecordBatch:
     """One row for each key of a chunk, its first occurrence, to be compared with other chunks. The further ones are known to be
     repeated (``sure``) and go under keys of their own, so a key has as many rows as there are chunks at most.
-    With ``others`` the first is sure as well if its key has several rows."""
-    order, first, several = _first_of_equal(key, doc, place)
+    With ``others`` the first is sure as well if its key has several rows. A place that comes twice counts once."""
+    order = np.lexsort((place, doc, key))
     key, doc, place = key[order], doc[order], place[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])
+    key, doc, place = key[new], doc[new], place[new]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    several = ~first | ~np.append(first[1:], True)
     spread = mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
     return _table("key doc place sure", np.where(first, key, spread).view(np.int64), doc, place.astype(np.int32), ~first | (several & others))
 
@@ -113,7 +111,8 @@ def _windows(docs: DataFrame, window: int, period: int) -> DataFrame:
                 continue
             text, place = _places(words)
             lists = batch.column("places")
-            anchor = np.repeat(words.first[:-1], lists.value_lengths().to_numpy()) + lists.flatten().to_numpy()
+            owner, at = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+            anchor = (words.first[owner] + at)[at < words.count[owner]]  # of two texts under one id, one may be shorter
             marks = np.zeros(len(text) + 1, np.int32)
             np.add.at(marks, np.maximum(anchor - period + 1, words.first[text[anchor]]), 1)
             np.add.at(marks, anchor + 1, -1)
@@ -136,8 +135,9 @@ def _kept(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
                 total.append(len(own))
                 if starts.is_valid:
                     marks = np.zeros(len(own) + 1, np.int32)
-                    np.add.at(marks, starts.values.to_numpy(), 1)
-                    np.add.at(marks, starts.values.to_numpy() + window, -1)
+                    begin = np.minimum(starts.values.to_numpy(), len(own))
+                    np.add.at(marks, begin, 1)
+                    np.add.at(marks, np.minimum(begin + window, len(own)), -1)
                     own = [own[i] for i in np.flatnonzero(np.cumsum(marks)[:-1] == 0).tolist()]
                 removed.append(total[-1] - len(own))
                 left = b" ".join(own)
@@ -157,19 +157,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
     Of any two places some shift below ``period`` moves both onto positions of the cover, so two equal windows share
     a hash of ``window`` - ``period`` + 1 words at such a position. Hashes found once are dropped; only windows around the
     others are hashed whole and compared, exactly but for 64-bit hashes. Per row: ``doc_id``, ``n_words``, ``n_removed``,
-    ``kept_sha256`` and with ``with_text`` the ``kept`` words. A null text has no words, a null id counts as the
-    smallest; rows that repeat an id and its text are one document and give that row as often as they come.
+    ``kept_sha256`` and with ``with_text`` the ``kept`` words. A null text has no words; null ids
+    come before all others; rows that repeat an id (or have none) and a text are one document and give that row as often as they come.
     """
     if not covers_all(period, cover) or period > window:
         raise ValueError("the cover must hold every difference, and the period fit into the window")
-    null_id = -(1 << 63)
-    own = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(null_id)).alias("doc"), F.col(text).alias("text"))
+    own = docs.select(document_key(id_column, text).alias("doc"), F.col(text).alias("text"))
     anchors = step(_repeated(_anchors(own, window, period, cover), later_only=False), "anchors")
     of_doc = anchors.groupBy("doc").agg(F.collect_list("place").alias("places"))
     removed = step(_repeated(_windows(own.join(of_doc, "doc"), window, period), later_only=True), "removed")
     starts = removed.groupBy("doc").agg(F.collect_list("place").alias("places"))
     found = _kept(own.join(starts, "doc", "left"), window, with_text)
-    return found.select(F.when(F.col("doc") != null_id, F.col("doc")).alias("doc_id"), *found.columns[1:])
+    return found.select(document_id("doc").alias("doc_id"), *found.columns[1:])
 
 
 def op5_difference_cover(spark, sf_dir: str) -> DataFrame:
