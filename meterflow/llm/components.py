@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.storage import settled
+from .store import step
 
 
 def _ordered(links: DataFrame) -> DataFrame:
@@ -30,10 +30,10 @@ def components(links: DataFrame) -> DataFrame:
     def mark(table: DataFrame) -> tuple:
         return tuple(table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    held = settled(_ordered(links), "links")
+    held = step(_ordered(links), "links")
     before = mark(held)
     while before[0]:
-        held = settled(_star(_star(held, large=True), large=False), "links")
+        held = step(_star(_star(held, large=True), large=False), "links")
         after = mark(held)
         if after == before:
             break

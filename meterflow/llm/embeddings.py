@@ -8,13 +8,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.storage import settled
 from .components import components
+from .store import step
 
 THRESHOLD = 0.98
 SAMPLE = 20_000
-PER_CELL = 256
+PER_CELL = 512
 MAX_CODES = 256
+TARGET_RECALL = 0.9995
 BLOCK = 4_096
 SEED = 7
 
@@ -36,6 +37,10 @@ class Codebooks:
             found.append(np.maximum(bound, 0) ** 2)
         return found
 
+    def needed(self, asking: np.ndarray, linked: np.ndarray) -> np.ndarray:
+        """The reach at which each asking vector visits the home of the linked one."""
+        return sum(bound[np.arange(len(linked)), home.argmin(1)] for bound, home in zip(self.bounds(asking), self.bounds(linked)))
+
     def cells(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Home cell of each vector, and (vector, cell) of each cell visited: those whose two bounds sum to no more than
         the reach, found by walking both halves in the order of their bounds."""
@@ -80,8 +85,9 @@ def _unit(column, width: int) -> np.ndarray:
 def fit(vectors: DataFrame, rows: int, width: int, threshold: float, target_recall: float, sample: int = SAMPLE) -> Codebooks:
     """Codebooks fitted on at most ``sample`` vectors, those with the least hash.
 
-    Vectors of cosine c are sqrt(2 - 2c) apart, so with a target recall of 1 every cell that can hold a linked
-    vector is visited. For a smaller target the reach is that quantile of what the links inside the sample need.
+    The reach is the ``target_recall`` quantile of what is needed, over vectors of the sample and links to them at
+    the very threshold in random directions, and over the links inside the sample. With a target of 1 it is the square of the
+    distance of linked vectors, sqrt(2 - 2 * threshold), so that every cell that can hold one is visited.
     """
     picked = vectors.orderBy("h1", "h2").limit(sample).select("label", "v").toArrow()
     unit = _unit(picked["v"].combine_chunks(), width)
@@ -89,13 +95,19 @@ def fit(vectors: DataFrame, rows: int, width: int, threshold: float, target_reca
     split = max(1, width // 2)
     books = Codebooks((_kmeans(unit[:, :split], codes), _kmeans(unit[:, split:], codes)), 2 - 2 * threshold + 1e-9)
     if target_recall < 1:
-        first, second = books.bounds(unit)
-        own1, own2, label = first.argmin(1), second.argmin(1), picked["label"].to_numpy()
-        needed = []
+        rng = np.random.default_rng(SEED)
+        ask = unit[rng.choice(len(unit), min(len(unit), 4_000), replace=False)]
+        away = rng.standard_normal(ask.shape)
+        away -= (away * ask).sum(1, keepdims=True) * ask
+        away *= np.sqrt(1 - threshold ** 2) / np.maximum(np.sqrt((away ** 2).sum(1, keepdims=True)), 1e-300)
+        needed = [books.needed(ask, threshold * ask + away)]
+        label = picked["label"].to_numpy()
         for begin in range(0, len(unit), 512):
             rows_, other = np.nonzero((unit[begin:begin + 512] @ unit.T >= threshold) & (label[begin:begin + 512, None] == label))
-            needed.append(first[begin + rows_, own1[other]] + second[begin + rows_, own2[other]])
-        books.reach = min(books.reach, float(np.quantile(np.concatenate(needed), target_recall)))
+            own = rows_ + begin != other
+            if own.any():
+                needed.append(books.needed(unit[begin + rows_[own]], unit[other[own]]))
+        books.reach = min(books.reach, max(float(np.quantile(x, target_recall)) for x in needed[:1] + [np.concatenate(needed)]))
     return books
 
 
@@ -110,7 +122,7 @@ def _visits(vectors: DataFrame, books: Codebooks, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*extra.columns, pa.array(cell.astype(np.int64)), pa.array(home[vector] == cell)],
                                                  ["label", "rep", "copies", "v", "cell", "home"])
 
-    return vectors.select("label", "rep", "copies", "v").mapInArrow(rows, "label string, rep long, copies long, v array<double>, cell long, home boolean")
+    return vectors.select("label", "rep", "copies", "v").mapInArrow(rows, f"label string, rep long, copies long, v {vectors.schema['v'].dataType.simpleString()}, cell long, home boolean")
 
 
 def _least(mask: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -140,17 +152,19 @@ def _linked(table: pa.Table, width: int, threshold: float) -> pa.Table:
     return pa.table({"rep": pa.array(rep[visitor]), "links": pa.array(links.astype(np.int64)), "root": pa.array(root[place[visitor]])})
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_recall: float = 1.0, id_column: str = "vec_id",
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, id_column: str = "vec_id",
                     vector: str = "embedding", label: str = "label") -> DataFrame:
     """Per vector: ``vec_id``, ``n_links`` (other vectors of its label with a cosine of at least ``threshold``),
     ``component_id`` (least id that links lead to) and ``kept`` (whether that is its own).
 
     Equal vectors of a label are one entry with a count. Entries visit cells of the multi-index, where only entries of
     the same label and length are compared, in blocks of at most some ``BLOCK`` entries, so that a
-    crowded cell becomes many tasks; blocks give sums and roots, never pairs. Vectors that are null, empty or zero, or have null or
+    crowded cell becomes many tasks; blocks give sums and roots, never pairs. With the default target recall few in ten thousand
+    links may be missed, with 1 none is, and many more cells are visited. Vectors that are null, empty or zero, or have null or
     non-finite components, a null label or a null id, link with nothing. Rows repeated with an id count once.
     """
-    numbers = F.col(vector).cast("array<double>")
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"
+    numbers = F.col(vector) if single else F.col(vector).cast("array<double>")
     sound = (F.col(id_column).isNotNull() & F.col(label).isNotNull() & F.col(vector).isNotNull()
              & F.forall(numbers, lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists(numbers, lambda x: x != 0))
     own = vectors.select(F.col(id_column).cast("long").alias("vec_id"), numbers.alias("v"), F.coalesce(sound, F.lit(False)).alias("sound"),
@@ -159,14 +173,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
     ids = own.where("sound").select("vec_id", "label", "h1", "h2").distinct()
     counts = ids.groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     entries = own.where("sound").groupBy("label", "h1", "h2").agg(F.any_value("v").alias("v")).join(counts, ["label", "h1", "h2"])
-    entries = settled(entries, "entries")
+    entries = step(entries, "entries")
     size = entries.agg(F.count("*").alias("rows"), F.max(F.size("v")).alias("width")).first()
     nothing = own.where("not sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                                             F.col("vec_id").isNotNull().alias("kept")).distinct()
     if not size["rows"]:
         return nothing
     width = size["width"]
-    visits = settled(_visits(entries, fit(entries, size["rows"], width, threshold, target_recall), width), "visits")
+    visits = step(_visits(entries, fit(entries, size["rows"], width, threshold, target_recall), width), "visits")
     crowds = visits.groupBy("label", "cell").agg(F.ceil(F.count_if("home") / BLOCK).alias("homes"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("homes > 0")
     placed = visits.join(crowds, ["label", "cell"])
     share = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
@@ -179,7 +193,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
     def linked(table: pa.Table) -> pa.Table:
         return _linked(table, width, threshold)
 
-    found = settled(dealt.groupBy("label", "cell", "s", "t").applyInArrow(linked, "rep long, links long, root long").where("links > 0"), "found")
+    found = step(dealt.groupBy("label", "cell", "s", "t").applyInArrow(linked, "rep long, links long, root long").where("links > 0"), "found")
     links = found.groupBy(F.col("rep").alias("_rep")).agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     entry = entries.select("label", "h1", "h2", "rep", "copies")
