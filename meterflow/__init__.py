@@ -1,8 +1,7 @@
 """Time-series analytics over entity-keyed measurement tables, as Spark jobs.
 
 Every operator is a function from DataFrame to DataFrame. Nothing here keeps a
-session, collects rows to the driver or moves a whole series into one task
-(model fitting excepted, see ``plans.forecast``).
+session, collects rows to the driver or moves a whole series into one task.
 """
 import sys
 

@@ -1,4 +1,4 @@
-"""Window operators, smoothing, correlation, imputation, dashboard frames, forecasts."""
+"""Window operators, smoothing, correlation, imputation, dashboard frames."""
 from __future__ import annotations
 
 from datetime import timedelta
@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from ..operators import fill, resample, spectral, windows
 from ..operators.fill import Rule
 from ..operators.layout import Series
-from ..plans import correlation, forecast, imputation
+from ..plans import correlation, imputation
 from ..plans import views as dashboard
-from ..sources.storage import settled
 from . import views
-from .registry import query, r, rounded
+from .registry import by_user, query, r, rounded
 from .shapes import CUTOFF
 from .views import MEASURES, SERIES, Tables, sql
 
@@ -44,14 +43,10 @@ def rolling_mean(t):
     return rounded(rows.select("entity", "hourutc", "rolling"), "rolling")
 
 
-_OBSERVED = "(select entity, hourutc, v_view from series where v is not null)"
-
-
-@query("rolling_mean_irregular", sql(f"select entity, hourutc, round(avg(v_view) {_over('167 preceding and current row')} + 1e-9, 6) + 0.0 as rolling from {_OBSERVED}", "series"))
+@query("rolling_mean_irregular", sql(f"select entity, hourutc, round(avg(v) {_over('167 preceding and current row')} + 1e-9, 6) + 0.0 as rolling from readings", "readings"))
 def rolling_mean_irregular(t):
-    """Row frames over a series with left-out hours: counted positions instead of step numbers."""
-    rows = views.series(t).filter("v is not null").select("entity", "hourutc", "v_view")
-    return rounded(fill.rolling_mean(rows, CHUNKED, "v_view", 168).select("entity", "hourutc", "rolling"), "rolling")
+    """Row frames over series of times at no grid: counted positions instead of step numbers."""
+    return rounded(fill.rolling_mean(views.readings(t), CHUNKED, "v", 168).select("entity", "hourutc", "rolling"), "rolling")
 
 
 def _impute_sql(c: str, window: int, source: str = "series", keep: str = "") -> str:
@@ -118,11 +113,12 @@ def _calendar(source: str, keys: str, how: str = "day", cast: str = "date") -> s
     return f"(select {lead}cast(unnest(generate_series(min(dt), max(dt), interval 1 {how})) as {cast}) as dt from {source} {group})"
 
 
-@query("daily_resample", sql(f"""select entity, dt, round(wspd + 1e-9, 6) as wspd from {_calendar('daily', 'entity')} left join daily using (entity, dt)""", "wind").replace(
-    "lineitem)", "lineitem), daily as (select entity, cast(hourutc as date) as dt, avg(wspd) as wspd from wind where wspd > 40 and month(hourutc) % 2 = 0 group by 1, 2)", 1))
+@query("daily_resample", f"""with daily as (select l_suppkey as entity, cast(l_shipdate as date) as dt, avg(l_quantity) as wspd from lineitem group by 1, 2)
+    select entity, dt, round(wspd + 1e-9, 6) as wspd from {_calendar('daily', 'entity')} left join daily using (entity, dt)""")
 def daily_resample(t):
-    some = views.wind(t).filter((F.col("wspd") > 40) & (F.month("hourutc") % 2 == 0))
-    return rounded(resample.daily_resample(some, ["entity"], "hourutc", ["wspd"]), "wspd")
+    """By supplier, whose shipments leave most days out."""
+    rows = t.lineitem.select(F.col("l_suppkey").alias("entity"), F.col("l_shipdate").alias("hourutc"), F.col("l_quantity").alias("wspd"))
+    return rounded(resample.daily_resample(rows, ["entity"], "hourutc", ["wspd"]), "wspd")
 
 
 @query("daily_mean_by_entity", sql("select entity, dt, " + ", ".join(r(c) for c in MEASURES) + " from (select entity, cast(hourutc as date) as dt, "
@@ -131,12 +127,12 @@ def daily_mean_by_entity(t):
     return rounded(resample.daily_mean_by_entity(views.series(t), "entity", "hourutc"), *MEASURES)
 
 
-@query("asfreq_ffill", sql(f"""select g.entity, g.dt as hourutc, round(s.v + 1e-9, 6) + 0.0 as v, round(s.v_view + 1e-9, 6) + 0.0 as v_view
-    from {_calendar('(select entity, hourutc as dt from series where v is not null)', 'entity', 'hour', 'timestamp')} g
-    asof join (select * from series where v is not null) s on g.entity = s.entity and g.dt >= s.hourutc""", "series"))
+@query("asfreq_ffill", sql(f"""select g.entity, g.dt as hourutc, round(s.v + 1e-9, 6) + 0.0 as v
+    from {_calendar('(select entity, hourutc as dt from readings)', 'entity', 'hour', 'timestamp')} g
+    asof join readings s on g.entity = s.entity and g.dt >= s.hourutc""", "readings"))
 def asfreq_ffill(t):
-    rows = views.series(t).filter("v is not null").select("entity", "hourutc", "v", "v_view")
-    return rounded(resample.asfreq_ffill(rows, SERIES), "v", "v_view")
+    """Times at no grid, put on the one that starts at each series' first."""
+    return rounded(resample.asfreq_ffill(views.readings(t), SERIES), "v")
 
 
 @query("dedupe_first", """select l_shipdate, l_returnflag, l_orderkey, l_linenumber, l_extendedprice from
@@ -306,35 +302,4 @@ def dashboard_load(t):
     return tables["weather"]
 
 
-# Forecasts
-
-FORECAST_CUTOFF = "2024-01-25 00:00:00"
-
-
-def _fits(t: Tables):
-    rules = [Rule("v", window=24), Rule("v_view", window=168), Rule("v_click", window=168)]
-    filled = fill.impute(views.series(t).select("entity", "hourutc", "v", "v_view", "v_click"), WIDE, rules)
-    filled = settled(fill.forward_fill(filled, WIDE, ["v", "v_view", "v_click"]), "filled")
-    on = ["entity", "hourutc"]
-    return forecast.fit_series(filled.select(*on, "v"), filled.select(*on, "v_view", "v_click"), SERIES, "v", FORECAST_CUTOFF,
-                               exog=("v_view", "v_click"))
-
-
-@query("forecast_params")
-def forecast_params(t):
-    return forecast.forecast_params(_fits(t), SERIES)
-
-
-@query("forecast_one_step")
-def forecast_one_step(t):
-    return forecast.forecast(_fits(t), SERIES, "one_step")
-
-
-@query("forecast_dynamic")
-def forecast_dynamic(t):
-    return forecast.forecast(_fits(t), SERIES, "dynamic")
-
-
-@query("forecast_frame")
-def forecast_frame(t):
-    return forecast.forecast_frame(_fits(t), SERIES, FORECAST_CUTOFF)
+by_user("forward_fill", "impute_rolling", "impute_threshold", "impute_weather", "find_gaps", "sliding_corr", "dct_smooth")

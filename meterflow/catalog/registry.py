@@ -9,11 +9,13 @@ from .views import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+BUILDS: dict[str, Callable[[Tables], DataFrame]] = {}
 
 
 def query(name: str, oracle: str | None = None):
     """Register a function of the tables under ``name``."""
     def add(build: Callable[[Tables], DataFrame]):
+        BUILDS[name] = build
         QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if oracle is not None:
             ORACLE[name] = oracle
@@ -21,6 +23,14 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+def by_user(*names: str) -> None:
+    """Register queries over ``series`` once more, with every user as an entity."""
+    for name in names:
+        build = BUILDS[name]
+        QUERIES[f"user_{name}"] = lambda spark, folder, build=build: build(Tables(spark, folder, by_user=True))
+        ORACLE[f"user_{name}"] = ORACLE[name].replace("least(user_id % 8, 3)", "user_id")
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Engines add doubles in different orders: compare to ``digits`` places.
 

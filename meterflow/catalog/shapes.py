@@ -8,7 +8,7 @@ from ..operators import aggregates, correlate, filters, joins, profile
 from ..plans import exchange as plan_exchange
 from ..plans import ingest
 from . import views
-from .registry import query, r, rounded
+from .registry import by_user, query, r, rounded
 from .views import MEASURES, SERIES, sql
 
 CUTOFF = "2024-01-15 00:00:00"
@@ -55,11 +55,10 @@ def filter_expr(t):
 
 
 @query("clip_to_range", """select l_orderkey, l_linenumber, l_shipdate from lineitem
-    where l_shipdate >= (select min(o_orderdate) from orders where o_orderstatus = 'F')
-      and l_shipdate <= (select max(o_orderdate) from orders where o_orderstatus = 'F')""")
+    where l_shipdate >= (select min(o_orderdate) from orders) and l_shipdate <= (select max(o_orderdate) from orders)""")
 def clip_to_range(t):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
-    return correlate.clip_to_range(rows, "l_shipdate", t.orders.filter("o_orderstatus = 'F'"), "o_orderdate")
+    return correlate.clip_to_range(rows, "l_shipdate", t.orders, "o_orderdate")
 
 
 @query("having_threshold", sql(f"""select entity, {r('pct')} from
@@ -85,9 +84,9 @@ def enrich_join(t):
 
 @query("enrich_orders", "select o_orderkey, o_custkey, o_totalprice, c_name, c_nationkey from orders join customer on o_custkey = c_custkey")
 def enrich_orders(t):
-    """The same join where the dimension is taken to be past its broadcast bound."""
+    """The same join with the facts of hot keys dealt out."""
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return joins.join_dimension(rows, t.customer, "o_custkey", "c_custkey", ["c_name", "c_nationkey"], max_rows=0)
+    return joins.join_dimension(rows, t.customer, "o_custkey", "c_custkey", ["c_name", "c_nationkey"], hot_share=0.01)
 
 
 @query("align_series", sql(f"""select dt, {r('purchase', 4)}, {r('wspd')} from price full join
@@ -282,3 +281,6 @@ def country_dim(t):
     totals = sums.select(entries).select("e.*")
     countries = plan_exchange.country_dim(t.spark).select("country", "city", "lat", "lon")
     return rounded(countries.join(totals, "country", "left"), "total", digits=4)
+
+
+by_user("missing_pct_matrix")

@@ -1,6 +1,7 @@
 """The given tables in the shape of measurement tables: Spark builds and SQL texts.
 
     series    entity x hour on a complete grid, with gaps      (weather, production)
+    readings  entity x time at which an event came             (weather, off the grid)
     usage     entity x hour x branch                           (consumption)
     exchange  signed differences per area and hour             (settlement)
     price     one row per day                                  (gas prices)
@@ -23,8 +24,8 @@ MEASURES = ["v", *[f"v_{k}" for k in KINDS]]
 class Tables:
     """The given tables, read lazily."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, by_user: bool = False):
+        self.spark, self.folder, self.by_user = spark, folder, by_user
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -32,7 +33,8 @@ class Tables:
 
 def events(t: Tables, entity: Column | None = None) -> DataFrame:
     """Events with their hour and an entity; most events belong to one entity."""
-    entity = F.least(F.col("user_id") % 8, F.lit(3)) if entity is None else entity
+    if entity is None:
+        entity = F.col("user_id") if t.by_user else F.least(F.col("user_id") % 8, F.lit(3))
     return t.events.select(hour_of("ts").alias("hr"), entity.alias("entity"), "event_type", "value")
 
 
@@ -45,6 +47,11 @@ def series(t: Tables, entity: Column | None = None, kinds=KINDS) -> DataFrame:
     return grid.join(measured, ["entity", "hourutc"], "left")
 
 
+def readings(t: Tables) -> DataFrame:
+    """Each user's values at the times they came, on no grid."""
+    return t.events.groupBy(F.col("user_id").alias("entity"), F.col("ts").alias("hourutc")).agg(F.avg("value").alias("v"))
+
+
 def usage(t: Tables) -> DataFrame:
     code = F.when(F.col("entity") == 3, F.lit(999)).otherwise(F.col("entity")).cast("bigint")
     return events(t).groupBy(F.col("hr").alias("hourutc"), code.alias("entity_no"), F.col("event_type").alias("branche")).agg(
@@ -84,6 +91,7 @@ SQL = {
                  from (select distinct entity from ev), (select min(hr) as lo, max(hr) as hi from ev)),
         series as (select g.entity, g.hourutc, m.* exclude (entity, hourutc)
                    from grid g left join measured m on g.entity = m.entity and g.hourutc = m.hourutc)""",
+    "readings": "readings as (select user_id as entity, cast(ts as timestamp) as hourutc, avg(value) as v from events group by 1, 2)",
     "usage": """usage as (select hr as hourutc, cast(case when entity = 3 then 999 else entity end as bigint) as entity_no,
                 event_type as branche, sum(value) as consumption from ev group by all)""",
     "exchange": """exchange as (select hourutc, entity as area, v_view - v_click as x_no, v_click - v_purchase as x_se,

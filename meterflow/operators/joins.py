@@ -5,31 +5,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 100_000
 SALTS = 32
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``max_rows`` rows; reads no more than that to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns: Sequence[str],
-                   max_rows: int = BROADCAST_ROWS, salts: int = SALTS, how: str = "inner") -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns: Sequence[str], how: str = "inner",
+                   hot_share: float | None = None, salts: int = SALTS) -> DataFrame:
     """Join a fact table with a dimension that adds ``columns`` (facts without a match are dropped, or kept with "left").
 
-    A dimension whose size was checked is broadcast. A larger one is joined by a
-    shuffle on (key, salt): the facts of one key are dealt over ``salts`` tasks, so a
-    key holding a third of the facts does not end in one of them. The salt is a hash of
-    the row and of the partition it lies in: equal rows are dealt out too, and a retried
-    task deals as before.
+    A plain equi-join: adaptive execution picks the strategy by measured bytes and splits skewed partitions. With
+    ``hot_share``, keys that hold at least that share of the facts are found by a count that is combined before its shuffle;
+    their facts alone are dealt over ``salts`` tasks, and their rows of the dimension alone are copied. There
+    are at most 1 / ``hot_share`` such keys, so they are broadcast. The salt is a hash of the row and of the
+    partition it lies in: equal rows are dealt out too, and a retried task deals as before.
     """
     side = dim.select(F.col(dim_key).alias("_dim_key"), *columns)
-    if is_small(side, max_rows):
-        return fact.join(F.broadcast(side), fact[fact_key] == side["_dim_key"], how).drop("_dim_key")
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.lit(salts)).cast("int"))
-    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(copies, (F.col(fact_key) == F.col("_dim_key")) & (salted["_salt"] == copies["_salt"]), how)
+    if hot_share is None:
+        return fact.join(side, fact[fact_key] == side["_dim_key"], how).drop("_dim_key")
+    counts = fact.groupBy(F.col(fact_key).alias("_hot_key")).agg(F.count("*").alias("_n"))
+    total = fact.agg(F.count("*").alias("n")).scalar()
+    hot = F.broadcast(counts.where((F.col("_n") >= total * hot_share) & F.col("_hot_key").isNotNull()).select("_hot_key"))
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.lit(salts)).cast("int")
+    salted = fact.withColumn("_spread", spread).join(hot, F.col(fact_key) == F.col("_hot_key"), "left")
+    salted = salted.withColumn("_salt", F.when(F.col("_hot_key").isNotNull(), F.col("_spread")).otherwise(0))
+    copied = side.join(hot.withColumnRenamed("_hot_key", "_hot_dim"), F.col("_dim_key") == F.col("_hot_dim"), "left")
+    copies = copied.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot_dim").isNotNull(), salts - 1).otherwise(0))))
+    joined = salted.join(copies, (F.col(fact_key) == F.col("_dim_key")) & (F.col("_salt") == F.col("_copy")), how)
     return joined.select(*[salted[c] for c in fact.columns], *columns)
 
 

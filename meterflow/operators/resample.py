@@ -2,12 +2,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from ..functions.times import day_of
-from .layout import CHUNK, Series, by_time_chunk, join_state, spread
+from ..functions.times import day_of, epoch_micros
+from .layout import CHUNK, Series, by_time_chunk, floor_div, join_state, spread
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -39,20 +40,29 @@ def date_range(first: Column, last: Column, source: DataFrame, name: str = "dt")
 
 
 def asfreq_ffill(df: DataFrame, s: Series) -> DataFrame:
-    """Put a series on its regular grid: a left-out step repeats the row before it.
+    """Put each series on the regular grid that starts at its first time; a grid point has the last row up to it.
 
-    Each row is stretched up to the row after it, so no calendar has to be joined.
+    A row owns the grid points from its time to the next row's, found by whole division, so no calendar has to
+    be joined. A long hole is opened in stretches first, so that no array holds more than ``Series.chunk`` points.
     """
+    micros = s.step // timedelta(microseconds=1)
     chunked = by_time_chunk(df, s)
-    state = chunked.groupBy(*s.keys, CHUNK).agg(F.min(s.time).alias("_first")).select(
-        *s.keys, CHUNK, F.last("_first").over(s.later()).alias("_after"))
+    state = chunked.groupBy(*s.keys, CHUNK).agg(F.min(s.time).alias("_least")).select(
+        *s.keys, CHUNK, F.last("_least").over(s.later()).alias("_after"), F.min("_least").over(Window.partitionBy(*s.keys)).alias("_first"))
     rows = join_state(spread(chunked, s).withColumn("_next", F.lead(s.time).over(s.local())), state, s)
     until = F.coalesce(F.col("_next"), F.col("_after"))
-    step = _interval(s)
-    times = F.when(until.isNull(), F.array(F.col(s.time))).otherwise(
-        F.filter(F.sequence(F.col(s.time), until, step), lambda t: t < until))
-    stretched = rows.withColumn("_time", F.explode(times))
-    return stretched.select(*[F.col("_time").alias(c) if c == s.time else F.col(c) for c in df.columns])
+
+    def points_before(time: Column) -> Column:
+        return floor_div(epoch_micros(time) - epoch_micros(F.col("_first")) + F.lit(micros - 1), micros)
+
+    low = points_before(F.col(s.time))
+    on_grid = epoch_micros(F.col("_first")) + low * micros == epoch_micros(F.col(s.time))
+    high = F.when(until.isNotNull(), points_before(until) - 1).otherwise(F.when(on_grid, low).otherwise(low - 1))
+    owned = rows.withColumns({"_low": low, "_high": high}).filter("_low <= _high")
+    parts = owned.withColumn("_part", F.explode(F.sequence(F.col("_low"), F.col("_high"), F.lit(s.chunk).cast("bigint"))))
+    points = parts.withColumn("_point", F.explode(F.sequence(F.col("_part"), F.least(F.col("_part") + s.chunk - 1, F.col("_high")))))
+    time = F.col("_first") + F.col("_point") * _interval(s)
+    return points.select(*[time.alias(c) if c == s.time else F.col(c) for c in df.columns])
 
 
 def daily_resample(df: DataFrame, keys: Sequence[str], time: str, columns: Sequence[str], name: str = "dt",

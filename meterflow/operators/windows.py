@@ -5,7 +5,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..sources.storage import settled
 from .fill import _names, next_known
 from .joins import join_dimension
 from .layout import (CHUNK, COUNT, HOME, INDEX, SO_FAR, Series, by_time_chunk, frame, join_state, spread,
@@ -100,16 +99,16 @@ def running_abs_max(df: DataFrame, s: Series, columns: str | Sequence[str], pref
 
 def minmax_by_time(df: DataFrame, time: str, column: str, name: str = "normalized") -> DataFrame:
     """Scale a column to 0..1 across all entities at the same time; null where all are equal."""
-    bounds = settled(df.groupBy(time).agg(F.min(column).alias("_low"), F.max(column).alias("_high")), "bounds")
+    bounds = df.groupBy(time).agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
     spread_out = F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
     rows = join_dimension(df, bounds, time, time, ["_low", "_high"], how="left")
     return rows.withColumn(name, (F.col(column) - F.col("_low")) / spread_out).drop("_low", "_high")
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """The last row of every series."""
+    """The last row of every series; of several at that time, the largest by its columns in their order."""
     rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), time).alias("_last")
+    last = F.max_by(F.struct(*rest), F.struct(time, *rest)).alias("_last")
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 

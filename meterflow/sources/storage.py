@@ -1,23 +1,14 @@
 """Where written tables go."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it.
-
-    Only a local session without one gets a folder of this machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="meterflow-")
+    """The folder all executors share: the one the session names, else one in its warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_steps"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -24,15 +24,18 @@ def table_path(base: str, name: str, namespace: str) -> str:
 
 
 def read_table(spark: SparkSession, base: str, name: str, namespace: str, schema: T.StructType | str | None = None,
-               fmt: str = "parquet", **options) -> DataFrame:
-    """A stored table, lazily: filters and column choices reach the files. NaN reads as missing."""
+               fmt: str = "parquet", clean: bool = False, **options) -> DataFrame:
+    """A stored table, lazily: filters on any column and column choices reach the files. Tables written here hold no NaN;
+    with ``clean`` those of a foreign table read as missing, and filters on such columns run after the scan."""
     reader = spark.read.format(fmt).options(**options)
-    return nan_to_null((reader.schema(schema) if schema else reader).load(table_path(base, name, namespace)))
+    table = (reader.schema(schema) if schema else reader).load(table_path(base, name, namespace))
+    return nan_to_null(table) if clean else table
 
 
 def write_table(df: DataFrame, base: str, name: str, namespace: str, insert: bool = True, add_id: bool = True,
                 id_keys: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
-    """Append to a table (or replace it with ``insert=False``), giving each row an id."""
+    """Append to a table (or replace it with ``insert=False``), giving each row an id. NaN is stored as missing."""
+    df = nan_to_null(df)
     if add_id:
         df = df.withColumn("id", row_id(*id_keys))
     writer = df.write.mode("append" if insert else "overwrite")
@@ -83,6 +86,7 @@ def typed_columns(df: DataFrame, types: Mapping[str, str] = STORED_TYPES) -> Dat
 def typed_write(df: DataFrame, base: str, name: str, namespace: str, types: Mapping[str, str] = STORED_TYPES,
                 id_keys: Sequence[str] = ()) -> None:
     """Create a table with ``id`` first and every column in its stored type, unless it exists."""
+    df = nan_to_null(df)
     rest = typed_columns(df.drop("id"), types)
     ident = F.col("id").cast("string") if "id" in df.columns else row_id(*id_keys)
     rows = df.withColumn("id", ident).select("id", *[F.col(f.name).cast(f.dataType) for f in rest.schema.fields])

@@ -190,6 +190,16 @@ def test_asfreq_and_daily(spark, case):
         same(got.x.astype(float), want)
 
 
+def test_asfreq_off_the_grid(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.concat([pd.DataFrame({"entity": e, "hourutc": pd.to_datetime("2022-01-01 00:10") + pd.to_timedelta(np.sort(rng.choice(60 * 24 * 40, n, False)), unit="min"),
+                                   "x": rng.normal(size=n)}) for e, n in (("a", 1), ("b", 2), ("c", 40), ("d", 900))])
+    got = resample.asfreq_ffill(to_spark(spark, pdf), S.over(chunk=50)).toPandas().sort_values(["entity", "hourutc"])
+    want = pd.concat([g.set_index("hourutc").asfreq("h", method="ffill").reset_index() for _, g in pdf.groupby("entity")])
+    assert (got.hourutc.to_numpy() == want.hourutc.to_numpy()).all() and len(got) > 500
+    same(got.x.astype(float), want.x)
+
+
 def test_empty_days(spark):
     pdf = pd.DataFrame({"entity": "a", "hourutc": pd.to_datetime(["2022-01-01 05:00", "2022-01-03 06:00"]), "x": [1.0, 3.0]})
     mean = resample.daily_resample(to_spark(spark, pdf), ["entity"], "hourutc", ["x"]).orderBy("dt").collect()

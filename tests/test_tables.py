@@ -90,13 +90,27 @@ def test_salted_join_equals_broadcast(spark):
     fact = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id") % 50).alias("k"), F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("x"))
     dim = spark.range(40).select(F.col("id").alias("no"), F.concat(F.lit("n"), "id").alias("name"))
     small = joins.join_dimension(fact, dim, "k", "no", ["name"])
-    large = joins.join_dimension(fact, dim, "k", "no", ["name"], max_rows=10)
+    large = joins.join_dimension(fact, dim, "k", "no", ["name"], hot_share=0.01)
     assert small.columns == large.columns == ["k", "x", "name"]
     assert sorted(small.collect()) == sorted(large.collect()) and small.count() == 1000 + 1600
+    kept = joins.join_dimension(fact, dim, "k", "no", ["name"], how="left", hot_share=0.01)
+    assert kept.count() == 3000 and kept.where("name is null").count() == 400
     salted = fact.withColumn("s", F.pmod(F.xxhash64(F.spark_partition_id(), "k", "x"), F.lit(32))).filter("k = 7 and x = 0")
     assert salted.select("s").distinct().count() > 1
 
 
+def test_filters_on_doubles_reach_the_files(spark):
+    base = new_folder(spark, "t")
+    tables.write_table(spark.createDataFrame([(1, 2.0), (2, float("nan")), (3, 9.0)], "k int, x double"), base, "m", "ns", add_id=False)
+    stored = tables.read_table(spark, base, "m", "ns").filter("x > 3 and k > 0")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(x,3.0)" in plan and "GreaterThan(k,0)" in plan
+    assert [r.k for r in stored.collect()] == [3] and tables.read_table(spark, base, "m", "ns").filter("x is null").count() == 1
+    foreign = new_folder(spark, "f")
+    spark.createDataFrame([(1, float("nan"))], "k int, x double").write.parquet(f"{foreign}/ns/m")
+    assert tables.read_table(spark, foreign, "m", "ns", clean=True).collect()[0].x is None
+
+
 def test_summaries(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 2001, p=[0.6, 0.3, 0.1]), "x": rng.integers(0, 40, 2001) / 4})
