@@ -21,12 +21,13 @@ ORDER_FIELDS = "OrderKey bigint, CustKey bigint, Status string, TotalPrice doubl
 
 
 def _payload(t: Tables):
-    """Orders as API payload documents, one per line."""
+    """Orders as API payload documents, one per line, each with the records of up to 500 orders."""
     record = F.struct(
         F.col("o_orderkey").alias("OrderKey"), F.col("o_custkey").alias("CustKey"), F.col("o_orderstatus").alias("Status"),
         F.col("o_totalprice").alias("TotalPrice"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("OrderDate"),
         F.col("o_orderpriority").alias("Priority"))
-    return t.orders.select(F.to_json(F.struct(F.array(record).alias("records"))).alias("value"))
+    pages = t.orders.groupBy(F.expr("o_orderkey div 500")).agg(F.collect_list(record).alias("records"))
+    return pages.select(F.to_json(F.struct("records")).alias("value"))
 
 
 def _land_payloads(t: Tables) -> str:

@@ -136,11 +136,9 @@ _HOWS = {"sum": "sum", "mean": "avg", "min": "min", "max": "max", "count": "coun
     f"select '{how}' as how, branche, round(cast({fn}(consumption) as double) + 1e-9, 4) + 0.0 as consumption from usage group by branche"
     for how, fn in _HOWS.items()), "usage"))
 def summary_by_group(t):
-    rows, out = views.usage(t), None
-    for how in _HOWS:
-        part = aggregates.summary_by_group(rows, "branche", "consumption", how).select(F.lit(how).alias("how"), "branche", F.col("consumption").cast("double").alias("consumption"))
-        out = part if out is None else out.unionByName(part)
-    return rounded(out, "consumption", digits=4)
+    wide = aggregates.summaries_by_group(views.usage(t), "branche", "consumption", list(_HOWS))
+    each = F.explode(F.array(*[F.struct(F.lit(how).alias("how"), F.col(how).cast("double").alias("consumption")) for how in _HOWS])).alias("e")
+    return rounded(wide.select("branche", each).select("e.how", "branche", "e.consumption"), "consumption", digits=4)
 
 
 @query("summary_two_level", sql(f"select branche, entity_no, {r('consumption', 4)} from (select branche, entity_no, sum(consumption) as consumption from usage group by 1, 2)", "usage"))
@@ -271,9 +269,20 @@ def exchange_labels(t):
     return plan_exchange.exchange_labels(used).select("hourutc", "country", "used_label", "unused_label")
 
 
+_CITIES = """(values ('Norway', 'Oslo', 59.9139e0, 10.7522e0), ('Sweden', 'Stockholm', 59.3327e0, 18.0656e0), ('Netherlands', 'Amsterdam', 52.3676e0, 4.9041e0),
+    ('Germany', 'Berlin', 52.52e0, 13.405e0), ('Denmark', 'Copenhagen', 55.6761e0, 12.5683e0), ('Great Britain', 'London', 51.5072e0, 0.1276e0)) c(country, city, lat, lon)"""
+
+
+@query("exchange_map", sql(f"""select country, city, lat, lon, hourutc, {r('exchange')}, {r('capacity')}, round(abs(exchange) + 1e-9, 6) as used,
+    case when exchange is null then null when exchange >= 0 then 'Export' else 'Import' end as direction, round(abs(exchange) / nullif(capacity, 0) + 1e-9, 6) as utilisation
+    from {_CITIES} left join (select * from ({_UTILISATION}) where hourutc = timestamp '{CUTOFF}') using (country)""", "exchange"))
+def exchange_map(t):
+    rows = plan_exchange.exchange_map(views.exchange(t), "hourutc", CUTOFF, _COUNTRY).drop("remaining")
+    return rounded(rows, "exchange", "capacity", "used", "utilisation")
+
+
 @query("country_dim", sql(f"""select country, city, lat, lon, round(total + 1e-9, 4) + 0.0 as total from
-    (values ('Norway', 'Oslo', 59.9139e0, 10.7522e0), ('Sweden', 'Stockholm', 59.3327e0, 18.0656e0), ('Netherlands', 'Amsterdam', 52.3676e0, 4.9041e0),
-            ('Germany', 'Berlin', 52.52e0, 13.405e0), ('Denmark', 'Copenhagen', 55.6761e0, 12.5683e0), ('Great Britain', 'London', 51.5072e0, 0.1276e0)) c(country, city, lat, lon)
+    {_CITIES}
     left join ({' union all '.join(f"select '{k}' as country, sum({c}) as total from exchange" for k, c in _COUNTRY.items())}) using (country)""", "exchange"))
 def country_dim(t):
     sums = views.exchange(t).agg(*[F.sum(c).alias(c) for c in EXCHANGES])

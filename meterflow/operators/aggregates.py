@@ -37,6 +37,18 @@ def summary_by_group(df: DataFrame, key: str, column: str, how: str = "sum", nam
     return _known(df, [key]).groupBy(key).agg(_AGGREGATES[how](column).alias(name))
 
 
+def summaries_by_group(df: DataFrame, key: str, column: str, hows: Sequence[str]) -> DataFrame:
+    """Several named aggregates per group, a column each: one pass for all but the median."""
+    named = [how for how in hows if how != "median"]
+    unknown = [how for how in named if how not in _AGGREGATES]
+    if unknown:
+        raise ValueError(f"unknown aggregates {unknown}")
+    result = _known(df, [key]).groupBy(key).agg(F.count("*").alias("_rows"), *[_AGGREGATES[how](column).alias(how) for how in named]).drop("_rows")
+    if "median" in hows:
+        result = result.join(median_by_group(df, key, column, "median"), key, "left")
+    return result.select(key, *hows)
+
+
 def median_by_group(df: DataFrame, key: str, column: str, name: str, accuracy: int = 100_000) -> DataFrame:
     """Exact median per group without ordering a whole group.
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import direction, megawatt_label
 from ..operators.aggregates import sum_by
+from ..operators.filters import at_time
 from ..operators.layout import Series
 from ..operators.windows import running_abs_max
 
@@ -54,6 +55,12 @@ def exchange_utilisation(settlement: DataFrame, time: str, columns: Mapping[str,
         direction("exchange").alias("direction"), F.try_divide(used, F.col("capacity")).alias("utilisation"))
 
 
+def exchange_map(settlement: DataFrame, time: str, t, columns: Mapping[str, str]) -> DataFrame:
+    """Every country with its city and coordinates, and its connection at one time; the static ones have none."""
+    used = at_time(exchange_utilisation(settlement, time, columns), time, t)
+    return country_dim(settlement.sparkSession).drop("measure").join(used, "country", "left")
+
+
 def exchange_labels(utilisation: DataFrame) -> DataFrame:
     return utilisation.withColumns({
         "used_label": megawatt_label(F.col("direction"), "used"),

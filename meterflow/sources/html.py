@@ -91,13 +91,15 @@ def first_table(html: str | None, table_class: str) -> list[dict[str, str]]:
     parser.feed(html)
     parser.close()
     header, *body = _grid(parser.rows) or [[]]
-    return [dict(zip(header, line)) for line in body]
+    # A name that comes again is numbered: Name, Name (2), Name (3).
+    names = [f"{cell} ({header[:i + 1].count(cell)})" if cell in header[:i] else cell for i, cell in enumerate(header)]
+    return [dict(zip(names, line)) for line in body]
 
 
 def _typed(name: str, kind: T.DataType) -> Column:
     text = F.nullif(F.col(name), F.lit(""))
     if isinstance(kind, T.NumericType):
-        text = F.replace(text, F.lit(","), F.lit(""))
+        text = F.nullif(F.replace(text, F.lit(","), F.lit("")), F.lit("NaN"))
     return text.try_cast(kind).alias(name)
 
 
@@ -115,11 +117,10 @@ def extract_html_table(pages: DataFrame, html_col: str, table_class: str, schema
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for row in batch.itertuples(index=False):
-                for cells in first_table(row[-1], table_class):
-                    found.append((*row[:-1], *[cells.get(n) for n in names]))
-            yield pd.DataFrame(found, columns=raw.names)
+            for row in batch.itertuples(index=False):  # a page at a time: a batch may hold many large tables
+                found = [(*row[:-1], *[cells.get(n) for n in names]) for cells in first_table(row[-1], table_class)]
+                if found:
+                    yield pd.DataFrame(found, columns=raw.names)
 
     cells = pages.select(*keep, html_col).mapInPandas(parse, raw)
     return cells.select(*keep, *[_typed(f.name, f.dataType) for f in schema.fields])

@@ -203,3 +203,10 @@ def test_coverage_and_grouping(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert aggregates.coverage_ratio(df, "k", "a", "b").collect()[0].ratio == 2.0
     assert aggregates.coverage_ratio(df, "k", "a", "none").collect()[0].ratio is None
+
+
+def test_repeated_headers_and_missing_cells(spark):
+    page = "<table class='t'><tr><th>A</th><th>B</th><th>A</th></tr><tr><td>1</td><td>NaN</td><td>2</td></tr></table>"
+    fields = T.StructType.fromDDL("A int, B double, `A (2)` int")
+    got = html.extract_html_table(spark.createDataFrame([(page,)], "html string"), "html", "t", fields).collect()
+    assert [tuple(r) for r in got] == [(1, None, 2)]
