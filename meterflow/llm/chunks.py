@@ -5,6 +5,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 CHUNK_BYTES = 4 << 20
@@ -58,17 +59,16 @@ def rolling(values: np.ndarray, k: int) -> np.ndarray:
 
 def texts_in_chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches whose texts have at most ``limit`` bytes (a longer text is a slice of its own), with
-    the texts as bytes, nulls as empty ones."""
+    the texts as bytes, nulls as empty ones. Only the texts of one slice are copied at a time."""
     for batch in batches:
-        texts = [(t or "").encode("utf-8", "replace") for t in batch.column(text).to_pylist()]
+        column = batch.column(text).cast(pa.binary())
+        lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         begin, held = 0, 0
-        for i, t in enumerate(texts):
-            if held and held + len(t) > limit:
-                yield batch.slice(begin, i - begin), texts[begin:i]
+        for i, length in enumerate([*lengths, None]):
+            if i > begin and (length is None or held + length > limit):
+                yield batch.slice(begin, i - begin), [t or b"" for t in column.slice(begin, i - begin).to_pylist()]
                 begin, held = i, 0
-            held += len(t)
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+            held += length or 0
 
 
 class Words:
