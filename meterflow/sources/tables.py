@@ -1,6 +1,7 @@
 """Named tables and document collections: scans, appends, overwrites, typed writes."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,6 @@ from ..functions.scalars import nan_to_null, row_id
 from ..functions.times import month_of, ts
 from ..operators.filters import time_range
 from ..operators.layout import Series
-from .storage import new_folder
 
 # Stored type per in-flight type; anything else is stored as text (fixed values).
 STORED_TYPES = {"int": "int", "bigint": "int", "float": "double", "double": "double", "string": "string",
@@ -62,20 +62,34 @@ def read_series(spark: SparkSession, s: Series, base: str, name: str, namespace:
     return time_range(read_table(spark, base, name, namespace).filter(months), s.time, start, end).drop(MONTH)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system a path is in, and the class of its paths."""
+    kind = spark._jvm.org.apache.hadoop.fs.Path
+    return kind(path).getFileSystem(spark._jsc.hadoopConfiguration()), kind
+
+
 def overwrite_table(df: DataFrame, base: str, name: str, namespace: str, add_id: bool = False,
                     id_keys: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
     """Replace a table, also by a result that was computed from it.
 
-    The result is written aside first: while it is being computed the old table is
-    still there to be read again, as after a lost executor.
+    The result is written once, next to the table, and takes its place by renaming when it is complete. Until then
+    the old table is there to be read, as after a lost executor, and it stays if the write fails.
     """
-    spark = df.sparkSession
-    if add_id:
-        df = df.withColumn("id", row_id(*id_keys))
-    aside = new_folder(spark, f"stage-{name}")
-    df.write.parquet(aside)
-    write_table(spark.read.schema(df.schema).parquet(aside), base, name, namespace, insert=False, add_id=False,
-                partition_by=partition_by)
+    spark, path = df.sparkSession, table_path(base, name, namespace)
+    staged, old = (f"{path}.{word}-{uuid.uuid4().hex}" for word in ("new", "old"))
+    files, kind = _files(spark, path)
+    df = nan_to_null(df)
+    writer = (df.withColumn("id", row_id(*id_keys)) if add_id else df).write
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
+    except Exception:
+        files.delete(kind(staged), True)
+        raise
+    if files.exists(kind(path)):
+        files.rename(kind(path), kind(old))
+    files.rename(kind(staged), kind(path))
+    files.delete(kind(old), True)
+    spark.catalog.refreshByPath(path)
 
 
 def typed_columns(df: DataFrame, types: Mapping[str, str] = STORED_TYPES) -> DataFrame:

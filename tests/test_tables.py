@@ -99,6 +99,18 @@ def test_salted_join_equals_broadcast(spark):
     assert salted.select("s").distinct().count() > 1
 
 
+def test_a_failed_overwrite_leaves_the_table(spark, tmp_path):
+    base = str(tmp_path)
+    tables.write_table(spark.range(5), base, "m", "ns", add_id=False)
+    stored = tables.read_table(spark, base, "m", "ns")
+    with pytest.raises(PySparkException):
+        tables.overwrite_table(stored.select(F.raise_error(F.lit("stop")).cast("long").alias("id")), base, "m", "ns")
+    assert stored.count() == 5 and [p.name for p in (tmp_path / "ns").iterdir()] == ["m"]
+    tables.overwrite_table(stored.select((F.col("id") * 2).alias("id")), base, "m", "ns", partition_by=())
+    assert sorted(r.id for r in tables.read_table(spark, base, "m", "ns").collect()) == [0, 2, 4, 6, 8]
+    assert [p.name for p in (tmp_path / "ns").iterdir()] == ["m"]
+
+
 def test_filters_on_doubles_reach_the_files(spark):
     base = new_folder(spark, "t")
     tables.write_table(spark.createDataFrame([(1, 2.0), (2, float("nan")), (3, 9.0)], "k int, x double"), base, "m", "ns", add_id=False)
