@@ -5,7 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .chunks import Words, mix, rolling, texts_in_chunks
 from .components import components
@@ -13,12 +13,14 @@ from .store import step
 
 SHINGLE = 5
 #: Shingles that are ordered last, so that prefixes avoid them; bounds what is sent to every task.
-COMMON = 1 << 16
+COMMON = 1 << 18
 COMMON_FROM = 8
 TREE_BITS = 512
 MAX_BITS = 1 << 16
 FAN = 8
 BLOCK = 16_384
+TRIED = 6
+MARKS = 1 << 24
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -126,19 +128,18 @@ def _across(rows: DataFrame, value: str) -> DataFrame:
 
 
 def _neighbours(shared: DataFrame) -> DataFrame:
-    """Pairs of a class with the smallest set of its shingle, and with the set next smaller than its own."""
+    """Pairs of a class with the smallest set of a shingle, and with the set next smaller than its own, for a few of its
+    shingles: those with the least hash, which are the same ones for most of its near copies."""
+    by_hash = Window.partitionBy("class").orderBy(F.xxhash64("shingle"), "shingle")
+    few = shared.withColumn("_place", F.row_number().over(by_hash)).where(F.col("_place") <= TRIED)
     by_size = Window.partitionBy("shingle").orderBy("n", "class")
     ahead = F.struct("class", "n", "early")
-    both = shared.select("class", "n", F.first(ahead).over(by_size).alias("one"), F.lag(ahead).over(by_size).alias("two"))
+    both = few.select("class", "n", F.first(ahead).over(by_size).alias("one"), F.lag(ahead).over(by_size).alias("two"))
     pairs = [both.where(F.col(x).isNotNull() & F.col(f"{x}.early") & (4 * F.col(f"{x}.n") >= 3 * F.col("n")) & (F.col(f"{x}.class") != F.col("class")))
              .select(F.col(f"{x}.class").alias("a"), F.col("class").alias("b")) for x in ("one", "two")]
     return pairs[0].unionAll(pairs[1]).distinct()
 
 
-def _fits(small: np.ndarray, large: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    return (4 * large >= 3 * small) & (4 * small >= 3 * large) & (7 * shared >= 3 * (small + large))
-
-
 class Tree:
     """Members in the order of their sizes; ``FAN`` nodes make one of the next level. A node has the range of its
     members' sizes and components, the bitmaps of all combined, and the most shingles that share a bit with another in one member."""
@@ -242,6 +243,21 @@ def _dealt(entries: DataFrame) -> DataFrame:
     return one.unionByName(many)
 
 
+def _mark(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(MARKS))
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bitmap of ``MARKS`` bits with those of the ids set: what is not marked is not wanted. Its size does not depend on the table."""
+    bit = ids.select((_mark("doc") + 1).alias("bit"))
+    parts = bit.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    marks = np.zeros(MARKS // 8, np.uint8)
+    for row in parts:
+        own = np.frombuffer(row["bits"], np.uint8)
+        marks[(row["part"] - 1) * len(own):row["part"] * len(own)] = own
+    return marks
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that link. Those whose bitmaps rule it out go first; then the sets of the others are read and compared."""
     def by_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,14 +277,20 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     side = lambda x: classes.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "bits")])
     left = step(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "rep_a", "rep_b", "n_a", "n_b", "bits_a", "bits_b")
                 .mapInArrow(by_bits, "a long, b long, rep_a long, rep_b long"), "candidates")
-    wanted = left.select(F.col("rep_a").alias("doc")).unionAll(left.select(F.col("rep_b").alias("doc"))).distinct()
+    wanted = step(left.select(F.col("rep_a").alias("doc")).unionAll(left.select(F.col("rep_b").alias("doc"))).distinct(), "wanted")
+    marks = _marks(wanted)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in texts_in_chunks(batches, "text"):
-            found = [s.tobytes() for s in _of(*shingle_sets(texts))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(found, pa.binary())], ["doc", "own"])
-
-    read = step(docs.join(wanted, "doc").mapInArrow(sets, "doc long, own binary").groupBy("doc").agg(F.max("own").alias("own")), "sets")
+        for batch in batches:
+            mark = batch.column("mark").to_numpy()
+            own = batch.filter(pa.array(marks[mark >> 3] >> (mark & 7) & 1 == 1))
+            for part, texts in texts_in_chunks([own], "text"):
+                found = [s.tobytes() for s in _of(*shingle_sets(texts))]
+                yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(found, pa.binary())], ["doc", "own"])
+
+    marked = docs.select("doc", "text", _mark("doc").alias("mark"))
+    read = marked.mapInArrow(sets, "doc long, own binary").join(wanted, "doc", "left_semi").groupBy("doc").agg(F.max("own").alias("own"))
+    read = step(read, "sets")
 
     def by_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
