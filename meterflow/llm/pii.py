@@ -63,23 +63,26 @@ def _script(text: Column) -> Column:
     return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _numbers(key: str, attempt: Column, *parts: Column) -> Column:
-    """128 numbers from 0 to 255 that only who has the key can tell."""
-    digest = lambda block: F.sha2(F.concat_ws("|", F.lit(key), *parts, attempt.cast("string"), F.lit(str(block))), 256)
-    joined = F.concat(*[digest(b) for b in range(4)])
-    return F.transform(F.sequence(F.lit(0), F.lit(127)), lambda i: F.conv(F.substr(joined, i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
+def _digest(key: str, attempt: Column, *parts: Column) -> Column:
+    """256 hexadecimal digits that only who has the key can tell."""
+    return F.concat(*[F.sha2(F.concat_ws("|", F.lit(key), *parts, attempt.cast("string"), F.lit(str(block))), 256) for block in range(4)])
+
+
+def _number(digest: Column, i: Column) -> Column:
+    """The i-th of 128 numbers from 0 to 255, from two digits each."""
+    return F.conv(F.substr(digest, i % 128 * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
 def _pick(options: Column, size: int, number: Column) -> Column:
     return F.substr(options, number % size + 1, F.lit(1))
 
 
-def _letters(core: Column, kept_head: Column, kept_tail: Column, numbers: Column, hexadecimal: Column) -> Column:
+def _letters(core: Column, kept_head: Column, kept_tail: Column, digest: Column, hexadecimal: Column) -> Column:
     """Replace each letter and digit of ``core`` by one of its kind and script, but for some at both ends."""
     size = F.length(core)
 
     def one(char: Column, i: Column) -> Column:
-        number = F.element_at(numbers, i % 128 + 1)
+        number = _number(digest, i)
         result = char
         for alphabet in reversed(ALPHABETS.values()):
             result = F.when(F.lit(alphabet).contains(char), _pick(F.lit(alphabet), len(alphabet), number)).otherwise(result)
@@ -99,10 +102,9 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, x: a + x) % 10
 
 
-def _surrogate(key: str, kind: Column, core: Column, gender: Column, attempt: Column) -> Column:
+def _surrogate(kind: Column, core: Column, gender: Column, digest: Column) -> Column:
     """A candidate for an entity, in the form of its core."""
-    numbers = _numbers(key, attempt, kind, core)
-    n = lambda i: F.element_at(numbers, i)
+    n = lambda i: _number(digest, F.lit(i))
     octet = lambda part, i: (F.when(F.length(part) == 1, n(i) % 10).when(F.length(part) == 2, 10 + n(i) % 90)
                              .otherwise(100 + n(i) % 156)).cast("string")
     ip = F.concat_ws(".", *[octet(F.split_part(core, F.lit("."), F.lit(i)), i) for i in range(1, 5)])
@@ -110,7 +112,7 @@ def _surrogate(key: str, kind: Column, core: Column, gender: Column, attempt: Co
             .when((kind == "secret") & core.rlike("^gh[pousr]_|^akia"), 4).otherwise(0))
     tail = F.when(kind == "email", F.length(F.substring_index(core, ".", -1)) + 1).otherwise(0)
     hexadecimal = (kind == "secret") & core.rlike("^[0-9a-f]+$")
-    plain = _letters(core, head, tail, numbers, hexadecimal)
+    plain = _letters(core, head, tail, digest, hexadecimal)
     # a check digit that leaves the card's rule as the original has it
     front = F.substr(plain, F.lit(1), F.length(plain) - 1)
     wrong = (_luhn(F.concat(front, F.lit("0"))) - _luhn(core) + 20) % 10
@@ -119,7 +121,7 @@ def _surrogate(key: str, kind: Column, core: Column, gender: Column, attempt: Co
     for (g, script), names in NAMES.items():
         options = names.split()
         given = F.when((gender == g) & (_script(core) == script), F.element_at(F.array(*[F.lit(x.lower()) for x in options]), n(1) % len(options) + 1)).otherwise(given)
-    family = _letters(F.substring_index(core, " ", -1), F.lit(0), F.lit(0), numbers, F.lit(False))
+    family = _letters(F.substring_index(core, " ", -1), F.lit(0), F.lit(0), digest, F.lit(False))
     person = F.when(core.contains(" "), F.concat(given, F.lit(" "), family)).otherwise(family)
     return F.when(kind == "ip", ip).when(kind == "card", card).when(kind == "person", person).otherwise(plain)
 
@@ -129,7 +131,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     table, all but the first get the next candidate, until all surrogates differ from each other and from every entity."""
     tried = entities.withColumn("attempt", F.lit(0))
     for _ in range(MAX_ROUNDS):
-        made = step(tried.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("core"), F.col("gender"), F.col("attempt"))), "surrogates")
+        # The digest is stored before it is used: an expression over it would hash anew for each character.
+        hashed = step(tried.withColumn("digest", _digest(key, F.col("attempt"), F.col("kind"), F.col("core"))), "digests")
+        made = step(hashed.withColumn("surrogate", _surrogate(F.col("kind"), F.col("core"), F.col("gender"), F.col("digest"))).drop("digest"), "surrogates")
         same = Window.partitionBy("kind", "surrogate").orderBy("attempt", "core", "gender")
         real = entities.select("kind", F.col("core").alias("surrogate"), F.lit(True).alias("real")).distinct()
         judged = (made.withColumn("place", F.row_number().over(same)).join(real, ["kind", "surrogate"], "left")
