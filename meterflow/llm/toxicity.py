@@ -14,7 +14,7 @@ from .chunks import mix, texts_in_chunks
 ORDERS = (4, 5, 6, 7)
 BITS = 20
 SLICES = 64
-ROWS_PER_CLASS = 8_000
+ROWS_PER_CLASS = 6_000
 PARTS = 16
 SMOOTHING = 4.0
 MIN_SURPRISE = 10.0
@@ -88,7 +88,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     Document frequencies of every n-gram by class are counted in Spark. The log-count ratio of a feature is
     smoothed towards none by ``SMOOTHING`` expected documents; features whose frequencies differ by a
     log-likelihood ratio under ``MIN_SURPRISE`` are left out. The weights are fitted on the counts of the kept
-    features in the sample, by logistic regression. Without labels of both classes the model knows no
+    features in the sample, by logistic regression in one task. Without labels of both classes the model knows no
     feature, and its intercept is the share of the class there is.
     """
     share = {r["k"]: r["n"] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).alias("k")).agg(F.countDistinct(id_column).alias("n")).collect()}
@@ -130,15 +130,25 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
             lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(x)) for x in (feature.astype(np.int32), value.astype(np.float32))]
             yield pa.RecordBatch.from_arrays([batch.column("_label").cast(pa.int32()), *lists], ["label", "feature", "value"])
 
-    fitted = sample.mapInArrow(rows, "label int, feature array<int>, value array<float>").toArrow()
-    label_ = fitted["label"].to_numpy().astype(float)
-    lists = fitted["feature"].combine_chunks()
-    doc = np.repeat(np.arange(len(label_)), lists.value_lengths().to_numpy())
-    feature = np.searchsorted(kept.feature.to_numpy(), lists.flatten().to_numpy())
-    value = fitted["value"].combine_chunks().flatten().to_numpy() * kept.ratio.to_numpy()[feature]
-    weight = np.where(label_ == 1, 2.0 * share[1] / n1, share[0] / n0)
-    coefficients, intercept = _regression(doc, feature, value, label_, weight / weight.sum(), len(kept), rounds)
-    return Model(kept.feature.to_numpy(), coefficients * kept.ratio.to_numpy(), intercept)
+    weights = (share[0] / n0, 2.0 * share[1] / n1)
+    ratios = kept.ratio.to_numpy()
+    places = kept.feature.to_numpy()
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches), pa.schema([("label", pa.int32()), ("feature", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))]))
+        lists = table["feature"].combine_chunks()
+        doc = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy())
+        feature = np.searchsorted(places, lists.flatten().to_numpy()).astype(np.int32)
+        value = table["value"].combine_chunks().flatten().to_numpy() * ratios[feature].astype(np.float32)
+        label_ = table["label"].to_numpy().astype(float)
+        weight = np.where(label_ == 1, weights[1], weights[0])
+        coefficients, intercept = _regression(doc, feature, value, label_, weight / weight.sum(), len(places), rounds)
+        yield pa.RecordBatch.from_arrays([pa.array([coefficients.tolist()], pa.list_(pa.float64())), pa.array([intercept])], ["coefficients", "intercept"])
+
+    # The sample is bounded, so one task can hold the kept features of its documents.
+    found = sample.mapInArrow(rows, "label int, feature array<int>, value array<float>").repartition(1).mapInArrow(
+        fit, "coefficients array<double>, intercept double").first()
+    return Model(places, np.array(found["coefficients"]) * ratios, found["intercept"])
 
 
 def _regression(doc, feature, value, label, weight, features: int, rounds: int, rate: float = 0.2, decay: float = 1e-5) -> tuple[np.ndarray, float]:
