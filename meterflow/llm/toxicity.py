@@ -19,6 +19,7 @@ PARTS = 16
 SMOOTHING = 4.0
 MIN_SURPRISE = 10.0
 PER = 1000.0
+AT_ONCE = 1 << 20
 
 
 def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,10 +156,15 @@ def _regression(doc, feature, value, label, weight, features: int, rounds: int,
     """Logistic regression by full-batch steps scaled by the root of the summed squared gradients."""
     w, b = np.zeros(features), 0.0
     seen_w, seen_b = np.full(features, 1e-8), 1e-8
+    slices = [slice(i, i + AT_ONCE) for i in range(0, len(doc), AT_ONCE)]  # bounds what is held besides the sample
     for _ in range(rounds):
-        sums = np.clip(np.bincount(doc, value * w[feature], len(label)) + b, -30, 30)
-        error = (1 / (1 + np.exp(-sums)) - label) * weight
-        gradient = np.bincount(feature, value * error[doc], features) + decay * w
+        sums = np.full(len(label), b)
+        for k in slices:
+            sums += np.bincount(doc[k], value[k] * w[feature[k]], len(label))
+        error = (1 / (1 + np.exp(-np.clip(sums, -30, 30))) - label) * weight
+        gradient = decay * w
+        for k in slices:
+            gradient += np.bincount(feature[k], value[k] * error[doc[k]], features)
         seen_w += gradient ** 2
         w -= rate * gradient / np.sqrt(seen_w)
         seen_b += error.sum() ** 2
