@@ -128,15 +128,18 @@ def _across(rows: DataFrame, value: str) -> DataFrame:
 
 
 def _neighbours(shared: DataFrame) -> DataFrame:
-    """Pairs of a class with the smallest set of a shingle, and with the set next smaller than its own, for a few of its
-    shingles: those with the least hash, which are the same ones for most of its near copies."""
-    by_hash = Window.partitionBy("class").orderBy(F.xxhash64("shingle"), "shingle")
-    few = shared.withColumn("_place", F.row_number().over(by_hash)).where(F.col("_place") <= TRIED)
-    by_size = Window.partitionBy("shingle").orderBy("n", "class")
-    ahead = F.struct("class", "n", "early")
-    both = few.select("class", "n", F.first(ahead).over(by_size).alias("one"), F.lag(ahead).over(by_size).alias("two"))
-    pairs = [both.where(F.col(x).isNotNull() & F.col(f"{x}.early") & (4 * F.col(f"{x}.n") >= 3 * F.col("n")) & (F.col(f"{x}.class") != F.col("class")))
-             .select(F.col(f"{x}.class").alias("a"), F.col("class").alias("b")) for x in ("one", "two")]
+    """Pairs of a class with the most typical member under a shingle, and with the one next smaller in size, for a few of
+    its shingles: those with the least hash, which are the same ones for most of its near copies. The text that others are copies of is
+    the most typical: it holds what they share, and nothing of their own."""
+    own, by_class = Window.partitionBy("shingle"), Window.partitionBy("class")
+    counted = shared.withColumn("_members", F.count("*").over(own))
+    few = counted.withColumns({"_typical": F.sum("_members").over(by_class) / F.col("n"),
+                               "_place": F.row_number().over(by_class.orderBy(F.xxhash64("shingle"), "shingle"))})
+    few = few.where(F.col("_place") <= TRIED)
+    ahead = F.struct("class", "n")
+    both = few.select("class", "n", F.first(ahead).over(own.orderBy(F.desc("_typical"), "class")).alias("one"), F.lag(ahead).over(own.orderBy("n", "class")).alias("two"))
+    pairs = [both.where(F.col(x).isNotNull() & (4 * F.col(f"{x}.n") >= 3 * F.col("n")) & (4 * F.col("n") >= 3 * F.col(f"{x}.n")) & (F.col(f"{x}.class") != F.col("class")))
+             .select(F.least(f"{x}.class", "class").alias("a"), F.greatest(f"{x}.class", "class").alias("b")) for x in ("one", "two")]
     return pairs[0].unionAll(pairs[1]).distinct()
 
 
