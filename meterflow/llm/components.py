@@ -1,11 +1,18 @@
 """Connected components of a link table."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .store import step
 
 
+AT_ONCE = 2_000_000
+
+
 def _ordered(links: DataFrame) -> DataFrame:
     """Each link once, from the larger node ``a`` to the smaller ``b``."""
     return links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -21,16 +28,53 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return _ordered(moved.unionAll(least.select("a", F.col("m").alias("b"))))
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that tie the same nodes together, each node to the least one of its component."""
+    ids, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = place[:len(a)], place[len(a):]
+    root = np.arange(len(ids))
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    tied = root != np.arange(len(ids))
+    return ids[tied], ids[root[tied]]
+
+
+def _within_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The forest of each ``AT_ONCE`` links a task reads."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= AT_ONCE:
+            yield _forest_of(held)
+            held = []
+    if held:
+        yield _forest_of(held)
+
+
+def _forest_of(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    a, b = forest(*(np.concatenate([x.column(c).to_numpy() for x in batches]) for c in ("a", "b")))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(``id``, ``component``) of every node of the undirected links (``a``, ``b``): the least node that can be reached.
 
-    Large and small stars take turns until a round changes nothing, some log n rounds. A step is an aggregate,
-    combined before its shuffle, and a join; no task holds the links of a node together. Each round is a written table.
+    Links that a task reads are reduced to a forest first, which is all there is to do for a small table. Large and small
+    stars then take turns until a round changes nothing, some log n rounds. A step is an aggregate, combined
+    before its shuffle, and a join; no task holds the links of a node together. Each round is a written table.
     """
     def mark(table: DataFrame) -> tuple:
         return tuple(table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    held = step(_ordered(links), "links")
+    held = step(_ordered(links.select("a", "b").where("a is not null and b is not null").mapInArrow(_within_tasks, "a long, b long")), "links")
+    held = step(held.mapInArrow(_within_tasks, "a long, b long"), "links")
     before = mark(held)
     while before[0]:
         held = step(_star(_star(held, large=True), large=False), "links")
