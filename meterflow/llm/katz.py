@@ -12,8 +12,9 @@ from .chunks import Words, document_id, document_key, mix, texts_in_chunks
 from .store import step
 from .toxicity import held_out
 
-DOCS_PER_BLOCK = 4_096
-TOKENS_AT_ONCE = 3_000_000
+DOCS_PER_BLOCK = 2_048
+TOKENS_AT_ONCE = 1_200_000
+CHUNK_BYTES = 1 << 20
 #: Counts up to this have discounts of their own.
 LARGEST = 5
 END = np.uint64(0xA0761D6478BD642F)
@@ -86,7 +87,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size, now = 0, None
     join = lambda: tuple(np.concatenate(x) for x in zip(*held))
-    for batch, texts in texts_in_chunks(batches, "text", 2 << 20):
+    for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
         block, train = batch.column("block").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(block)]):
@@ -132,7 +133,7 @@ def _score_block(docs: pa.Table, looked: pa.Table, totals: Totals) -> pa.Table:
     word_keys, word_counts, _ = _sorted_by_key(looked, 1)
     pair_keys_, pair_counts, pair_owner = _sorted_by_key(looked, 2)
     ids = docs["doc"].to_numpy()
-    parts = [tokens_of(texts) for _, texts in texts_in_chunks(docs.to_batches(), "text")]
+    parts = [tokens_of(texts) for _, texts in texts_in_chunks(docs.to_batches(), "text", CHUNK_BYTES)]
     tokens, counts = (np.concatenate(x) for x in zip(*parts))
     doc = np.repeat(np.arange(len(counts)), counts)
     learnt = np.repeat(docs["train"].to_numpy(), counts)
