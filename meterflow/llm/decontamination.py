@@ -1,14 +1,14 @@
-"""Benchmark passages in documents: SimHash windows of the items' sizes, looked up by Hamming blocks, verified on weighted shingles."""
+"""Benchmark passages in documents: SimHash windows of the items' sizes, looked up by Hamming blocks, and the items' heaviest
+shingles, looked up by their hashes; verified on weighted shingles."""
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .chunks import Words, texts_in_chunks
+from .chunks import Words, rolling, texts_in_chunks
 
 RADIUS = 5
 STRIDE = 4
@@ -18,6 +18,7 @@ SHINGLE = 5
 THRESHOLD = 0.75
 ITEMS_PER_PASS = 20_000
 CHUNK_BYTES = 1 << 19
+MARKS = 1 << 21
 
 #: A-Z to a-z; what is no letter, digit or part of a non-ASCII character to a space.
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -96,83 +97,149 @@ class Blocks:
         return pairs // len(self.prints), pairs % len(self.prints)
 
 
-def shingles(words: list[bytes]) -> Counter:
-    """Counts of the five-word shingles; fewer words are one shingle."""
-    return Counter(tuple(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1)))
+def shingles(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the five-word shingles of some words; fewer words are one shingle."""
+    return rolling(hashes, min(SHINGLE, len(hashes)))
 
 
 class Items:
-    """The benchmark items of one pass: shingles, their weights, and by window size the blocks of their fingerprints.
+    """The benchmark items of one pass: shingles, their weights, by window size the blocks of their fingerprints, and their anchors.
 
-    A shingle weighs 1 / (number of items that hold it): what many items share says little.
+    A shingle weighs 1 / (number of items that hold it): what many items share says little. The anchors of an item are its heaviest
+    shingles, as many as weigh more than 1 - ``threshold`` of it all: words that hold none of them are less similar than ``threshold``.
     """
 
-    def __init__(self, rows: list[tuple[int, bytes]], radius: int):
+    def __init__(self, rows: list[tuple[int, bytes]], radius: int, threshold: float):
         self.ids, texts = [], []
         for number, text in rows:
             words = plain(text).split()
             if words:
                 self.ids.append(number)
                 texts.append(words)
+        self.threshold = threshold
         self.length = [len(w) for w in texts]
         self.longest = max([window_size(n)[0] for n in self.length], default=1)
-        self.shingles = [shingles(w) for w in texts]
-        self.held_by = Counter(s for own in self.shingles for s in own)
+        hashes = [Words([b" ".join(words)], lower=False).hash for words in texts]
+        #: by item: its different shingles, ascending, and how often it has each
+        self.shingles = [np.unique(shingles(h), return_counts=True) for h in hashes]
+        held, held_by = np.unique(np.concatenate([own for own, _ in self.shingles] or [np.empty(0, np.uint64)]), return_counts=True)
+        self.held, self.held_weight = held, 1 / held_by
+        self.weight = [self.held_weight[np.searchsorted(held, own)] for own, _ in self.shingles]
+        self.total = [float((w * n).sum()) for w, (_, n) in zip(self.weight, self.shingles)]
         classes: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for item, words in enumerate(texts):
-            size, stride = window_size(len(words))
-            hashes = Words([b" ".join(words)], lower=False).hash
-            prints = fingerprints(bit_sums(hashes, self.longest), np.arange(stride), size)
+        anchors: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for item, own in enumerate(hashes):
+            size, stride = window_size(len(own))
+            prints = fingerprints(bit_sums(own, self.longest), np.arange(stride), size)
             classes.setdefault((size, stride), []).extend((int(p), item, o) for o, p in enumerate(prints))
+            picked = self._anchors(item)
+            anchors.setdefault(min(SHINGLE, len(own)), []).append((picked, np.full(len(picked), item)))
         self.classes = [(size, stride, Blocks(np.array([r[0] for r in rows_], np.uint64), radius), [r[1:] for r in rows_])
                         for (size, stride), rows_ in sorted(classes.items())]
-
-    def similarity(self, item: int, words: list[bytes]) -> float:
-        """Weighted Jaccard similarity of the item's shingles with those of the words."""
-        mine, other = self.shingles[item], shingles(words)
-        weight = lambda s: 1 / max(1, self.held_by[s])
-        shared = sum(weight(s) * min(n, other[s]) for s, n in mine.items() if s in other)
-        union = sum(weight(s) * n for s, n in mine.items()) + sum(weight(s) * n for s, n in other.items()) - shared
-        return shared / union
-
-    def search(self, texts: list[bytes], threshold: float) -> Iterator[tuple[int, int, int, float]]:
+        self.anchors = {}
+        for size, found in anchors.items():
+            keys, item = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(keys, kind="stable")
+            marks = np.zeros(MARKS, bool)
+            marks[keys & np.uint64(MARKS - 1)] = True
+            self.anchors[size] = keys[order], item[order], marks
+
+    def _anchors(self, item: int) -> np.ndarray:
+        (own, n), weight = self.shingles[item], self.weight[item]
+        order = np.argsort(-weight, kind="stable")
+        held = np.cumsum((weight * n)[order])
+        return own[order[:np.searchsorted(held, (1 - self.threshold) * self.total[item] + 1e-9, side="right") + 1]]
+
+    def similarity(self, item: int, other: np.ndarray) -> float:
+        """Weighted Jaccard similarity of the item's shingles with others."""
+        own, n = self.shingles[item]
+        place = np.minimum(np.searchsorted(own, other), len(own) - 1)
+        same = own[place] == other
+        both = np.bincount(place[same], minlength=len(own))
+        shared = float((self.weight[item] * np.minimum(n, both)).sum())
+        more = float((self.weight[item] * np.maximum(0, both - n)).sum())
+        rest = other[~same]
+        at = np.minimum(np.searchsorted(self.held, rest), len(self.held) - 1)
+        more += float(np.where(self.held[at] == rest, self.held_weight[at], 1.0).sum())
+        return shared / (self.total[item] + more)
+
+    def best(self, item: int, hashes: np.ndarray, low: int, high: int) -> tuple[float, int] | None:
+        """The most similar, then first, place of the item among those from ``low`` to ``high`` in a text, if it is similar enough.
+
+        The weight of all shingles there that the item holds bounds the similarity; places are tried from the highest bound down.
+        """
+        length = self.length[item]
+        size, total = min(SHINGLE, length), self.total[item]
+        if len(hashes) < length:
+            found = self.similarity(item, shingles(hashes))
+            return (found, 0) if found >= self.threshold else None
+        own = self.shingles[item][0]
+        grams = rolling(hashes[low:high + length], size)
+        place = np.minimum(np.searchsorted(own, grams), len(own) - 1)
+        sums = np.concatenate([[0.0], np.cumsum(np.where(own[place] == grams, self.weight[item][place], 0.0))])
+        n = length - size + 1
+        bound = np.round(np.minimum(1.0, (sums[n:] - sums[:-n]) / total), 9)
+        best = None
+        order = np.flatnonzero(bound >= self.threshold - 1e-8)
+        for begin in order[np.argsort(-bound[order], kind="stable")].tolist():
+            if best and bound[begin] <= best[0] - 1e-8 or best and best[0] >= 1.0 and best[1] <= low + begin:
+                break
+            found = self.similarity(item, grams[begin:begin + n])
+            if found >= self.threshold and (best is None or (-found, low + begin) < (-best[0], best[1])):
+                best = found, low + begin
+        return best
+
+    def search(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, float]]:
         """(text, item, first word, similarity) of the best verified place of each item in each text."""
-        plains = [plain(t) for t in texts]
-        words = Words(plains, lower=False)
+        words = Words([plain(t) for t in texts], lower=False)
         counts, text = words.count, words.text_of()
         place = np.arange(len(words.hash)) - words.first[text]
         sums = bit_sums(words.hash, self.longest)
-        split: dict[int, list[bytes]] = {}
-        best: dict[tuple[int, int], tuple[float, int]] = {}
-        tried = set()
+        length = np.array(self.length, np.int64)
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for size, stride, blocks, entries in self.classes:
             starts = np.flatnonzero((place % stride == 0) & (place + size <= counts[text]))
             if not len(starts):
                 continue
-            for own, held in zip(*(x.tolist() for x in blocks.within(fingerprints(sums, starts, size)))):
-                item, offset = entries[held]
-                t, begin = int(text[starts[own]]), int(place[starts[own]]) - offset
-                length = self.length[item]
-                begin = max(0, min(begin, int(counts[t]) - length))
-                if (t, item, begin) in tried:
-                    continue
-                tried.add((t, item, begin))
-                if t not in split:
-                    split[t] = plains[t].split()
-                found = self.similarity(item, split[t][begin:begin + length])
-                if found >= threshold and (-found, begin) < best.get((t, item), (0.0, 0)):
-                    best[t, item] = (-found, begin)
-        for (t, item), (found, begin) in best.items():
-            yield t, item, begin, -found
+            own, held = blocks.within(fingerprints(sums, starts, size))
+            if len(own):
+                item, offset = np.array(entries, np.int64)[held].T
+                begin = place[starts[own]] - offset
+                met.append((text[starts[own]], item, begin, begin))
+        for size, (keys, items, marks) in self.anchors.items():
+            grams = rolling(words.hash, size)
+            at = np.flatnonzero(marks[grams & np.uint64(MARKS - 1)])
+            first = np.searchsorted(keys, grams[at])
+            count = np.searchsorted(keys, grams[at], side="right") - first
+            at, first, count = (x[(count > 0) & (text[at] == text[at + size - 1])] for x in (at, first, count))
+            if not len(at):
+                continue
+            item = items[np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())]
+            at = np.repeat(at, count)
+            met.append((text[at], item, place[at] - length[item] + size, place[at]))
+        if not met:
+            return
+        t, item, low, high = (np.concatenate(x) for x in zip(*met))
+        last = np.maximum(0, counts[t] - length[item])
+        pairs, which = np.unique(t * len(length) + item, return_inverse=True)
+        lows, highs = np.full(len(pairs), np.iinfo(np.int64).max), np.zeros(len(pairs), np.int64)
+        np.minimum.at(lows, which, np.clip(low, 0, last))
+        np.maximum.at(highs, which, np.clip(high, 0, last))
+        for pair, low_, high_ in zip(pairs.tolist(), lows.tolist(), highs.tolist()):
+            t, item = divmod(pair, len(length))
+            found = self.best(item, words.hash[words.first[t]:words.first[t + 1]], low_, high_)
+            if found:
+                yield t, item, found[1], found[0]
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", item_column: str = "item_id",
                   item_text: str = "text", threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """Documents that hold a benchmark item: ``doc_id``, ``item_id``, ``first_word``, ``n_words``, ``similarity``.
 
-    Each window of a document that has the size of an item is hashed to 64 bits; every pair of fingerprints that differ
-    in at most ``radius`` bits is found, and kept if the weighted Jaccard similarity of the
-    shingles of the item and of as many words of the document is at least ``threshold``. A document gives one row per
+    A place of a document holds an item if the weighted Jaccard similarity of the shingles of the item and of as many words
+    of the document is at least ``threshold``. Each window of a document that has the size of an item is hashed to 64 bits, and every pair of
+    fingerprints that differ in at most ``radius`` bits is tried; so is every place around one of the item's heaviest shingles,
+    one of which all such places hold, so that none is lost whatever was changed in a copy. A document gives one row per
     item, at its most similar (then first) place. Documents and items without words, and null ids of items,
     give none; rows repeated in either table repeat in the result. Documents are read once for each
     ``ITEMS_PER_PASS`` items, which are what is sent to every task.
@@ -180,11 +247,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, item_id long, first_word long, n_words long, similarity double"
     result = docs.sparkSession.createDataFrame([], schema)
-    for items in _passes(benchmark, item_column, item_text, radius):
+    for items in _passes(benchmark, item_column, item_text, radius, threshold):
         def found(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
                 ids = batch.column(0).to_pylist()
-                rows = [(ids[t], items.ids[i], begin, items.length[i], s) for t, i, begin, s in items.search(texts, threshold)]
+                rows = [(ids[t], items.ids[i], begin, items.length[i], s) for t, i, begin, s in items.search(texts)]
                 if rows:
                     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
@@ -194,23 +261,23 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     return result
 
 
-def _passes(benchmark: DataFrame, item_column: str, item_text: str, radius: int) -> Iterator[Items]:
+def _passes(benchmark: DataFrame, item_column: str, item_text: str, radius: int, threshold: float) -> Iterator[Items]:
     known = benchmark.where(F.col(item_column).isNotNull() & F.col(item_text).isNotNull()).select(
         F.col(item_column).cast("long").alias("item"), F.col(item_text).alias("words"))
     passes = -(-known.count() // ITEMS_PER_PASS)
     for number in range(passes):
         part = known.where(F.pmod(F.xxhash64("item", "words"), F.lit(passes)) == number).orderBy("item", "words").collect()
-        yield Items([(r["item"], r["words"].encode("utf-8", "replace")) for r in part], radius)
+        yield Items([(r["item"], r["words"].encode("utf-8", "replace")) for r in part], radius, threshold)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_column: str = "item_id", item_text: str = "text",
                       threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """The rows, with all their columns, that ``find_passages`` would find no item in."""
-    for items in _passes(benchmark, item_column, item_text, radius):
+    for items in _passes(benchmark, item_column, item_text, radius, threshold):
         def clean(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch, texts in texts_in_chunks(batches, text, CHUNK_BYTES):
                 keep = np.ones(len(texts), bool)
-                keep[[t for t, *_ in items.search(texts, threshold)]] = False
+                keep[[t for t, *_ in items.search(texts)]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(clean, docs.schema)

@@ -342,6 +342,44 @@ def test_benchmark_items_are_found_wherever_they_stand(spark):
     assert long == {(d, k) for d, k in want if k > 1}
 
 
+def changed_copy(rng, words, edits):
+    """The words with some replaced, put in or left out."""
+    out = list(words)
+    for at in sorted(rng.sample(range(len(words)), edits), reverse=True):
+        kind = rng.choice(["replace", "insert", "leave out"])
+        out[at:at + (kind != "insert")] = [] if kind == "leave out" else [f"x{rng.randrange(10 ** 9)}"]
+    return out
+
+
+def most_similar(item, words):
+    """By reading on from every word: the best Jaccard similarity of five-word shingles."""
+    def grams(w):
+        return collections.Counter(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4)))
+    best = 0.0
+    for begin in range(max(1, len(words) - len(item) + 1)):
+        a, b = grams(item), grams(words[begin:begin + len(item)])
+        best = max(best, sum((a & b).values()) / sum((a | b).values()))
+    return best
+
+
+def test_changed_copies_are_found_as_by_brute_force():
+    rng = random.Random(12)
+    items, texts, want = [], [], {}
+    for n in (13, 25, 40, 80, 100, 200, 300):
+        for edits in [k for k in (1, 2, 4, 6, 8) for _ in range(4) if k <= max(1, n // 30)]:
+            own = [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+            around = [[f"y{rng.randrange(10 ** 9)}" for _ in range(rng.randrange(1, 40))] for _ in range(2)]
+            words = around[0] + changed_copy(rng, own, edits) + around[1]
+            items.append((len(items), " ".join(own).encode()))
+            texts.append(" ".join(words).encode())
+            best = most_similar(own, words)
+            if best >= 0.75:
+                want[len(items) - 1] = best
+    got = {t: s for t, i, _, s in decontamination.Items(items, decontamination.RADIUS, 0.75).search(texts) if t == i}
+    assert len(want) > 30 and sum(s < 1 for s in want.values()) > 30
+    assert got == pytest.approx(want)
+
+
 def test_every_fingerprint_within_the_radius_is_met():
     rng = np.random.default_rng(1)
     held = rng.integers(0, 1 << 63, 300).astype(np.uint64)
