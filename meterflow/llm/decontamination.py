@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .chunks import Words, rolling, texts_in_chunks
+from .store import step
 
 RADIUS = 5
 STRIDE = 4
@@ -105,26 +106,31 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
 class Items:
     """The benchmark items of one pass: shingles, their weights, by window size the blocks of their fingerprints, and their anchors.
 
-    A shingle weighs 1 / (number of items that hold it): what many items share says little. The anchors of an item are its heaviest
+    A shingle weighs 1 / (number of different items of the whole benchmark that hold it): what many items share says little. ``shared``
+    has the shingles that several hold, ascending, and by how many. Items of the same words are one, with several ids. The anchors of an item are its heaviest
     shingles, as many as weigh more than 1 - ``threshold`` of it all: words that hold none of them are less similar than ``threshold``.
     """
 
-    def __init__(self, rows: list[tuple[int, bytes]], radius: int, threshold: float):
-        self.ids, texts = [], []
+    def __init__(self, rows: list[tuple[int, bytes]], radius: int, threshold: float, shared: tuple[np.ndarray, np.ndarray] | None = None):
+        by_words: dict[bytes, list[int]] = {}
         for number, text in rows:
             words = plain(text).split()
             if words:
-                self.ids.append(number)
-                texts.append(words)
+                by_words.setdefault(b" ".join(words), []).append(number)
+        self.ids, texts = list(by_words.values()), [words.split() for words in by_words]
         self.threshold = threshold
         self.length = [len(w) for w in texts]
         self.longest = max([window_size(n)[0] for n in self.length], default=1)
         hashes = [Words([b" ".join(words)], lower=False).hash for words in texts]
         #: by item: its different shingles, ascending, and how often it has each
         self.shingles = [np.unique(shingles(h), return_counts=True) for h in hashes]
-        held, held_by = np.unique(np.concatenate([own for own, _ in self.shingles] or [np.empty(0, np.uint64)]), return_counts=True)
-        self.held, self.held_weight = held, 1 / held_by
-        self.weight = [self.held_weight[np.searchsorted(held, own)] for own, _ in self.shingles]
+        several, held_by = shared or (np.empty(0, np.uint64), np.empty(0, np.int64))
+        self.weight = []
+        for own, _ in self.shingles:
+            self.weight.append(np.ones(len(own)))
+            if len(several):
+                place = np.minimum(np.searchsorted(several, own), len(several) - 1)
+                self.weight[-1] = 1 / np.where(several[place] == own, held_by[place], 1)
         self.total = [float((w * n).sum()) for w, (_, n) in zip(self.weight, self.shingles)]
         classes: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         anchors: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -151,17 +157,15 @@ class Items:
         return own[order[:np.searchsorted(held, (1 - self.threshold) * self.total[item] + 1e-9, side="right") + 1]]
 
     def similarity(self, item: int, other: np.ndarray) -> float:
-        """Weighted Jaccard similarity of the item's shingles with others."""
+        """Weighted Jaccard similarity of the item's shingles with others. A shingle that is not the item's weighs as much as those
+        that are missing do on average: it stands in the place of one of them."""
         own, n = self.shingles[item]
         place = np.minimum(np.searchsorted(own, other), len(own) - 1)
-        same = own[place] == other
-        both = np.bincount(place[same], minlength=len(own))
-        shared = float((self.weight[item] * np.minimum(n, both)).sum())
-        more = float((self.weight[item] * np.maximum(0, both - n)).sum())
-        rest = other[~same]
-        at = np.minimum(np.searchsorted(self.held, rest), len(self.held) - 1)
-        more += float(np.where(self.held[at] == rest, self.held_weight[at], 1.0).sum())
-        return shared / (self.total[item] + more)
+        both = np.minimum(n, np.bincount(place[own[place] == other], minlength=len(own)))
+        total, missing = self.total[item], int((n - both).sum())
+        shared = float((self.weight[item] * both).sum())
+        more = (total - shared) * (len(other) - int(both.sum())) / missing if missing else 0.0
+        return shared / (total + more)
 
     def best(self, item: int, hashes: np.ndarray, low: int, high: int) -> tuple[float, int] | None:
         """The most similar, then first, place of the item among those from ``low`` to ``high`` in a text, if it is similar enough.
@@ -241,7 +245,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     fingerprints that differ in at most ``radius`` bits is tried; so is every place around one of the item's heaviest shingles,
     one of which all such places hold, so that none is lost whatever was changed in a copy. A document gives one row per
     item, at its most similar (then first) place. Documents and items without words, and null ids of items,
-    give none; rows repeated in either table repeat in the result. Documents are read once for each
+    give none; rows repeated in either table repeat in the result. Weights are counted over the whole benchmark, so that passes decide
+    nothing. Documents are read once for each
     ``ITEMS_PER_PASS`` items, which are what is sent to every task.
     """
     chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -251,7 +256,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
         def found(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
                 ids = batch.column(0).to_pylist()
-                rows = [(ids[t], items.ids[i], begin, items.length[i], s) for t, i, begin, s in items.search(texts)]
+                rows = [(ids[t], item, begin, items.length[i], s) for t, i, begin, s in items.search(texts) for item in items.ids[i]]
                 if rows:
                     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
@@ -265,9 +270,29 @@ def _passes(benchmark: DataFrame, item_column: str, item_text: str, radius: int,
     known = benchmark.where(F.col(item_column).isNotNull() & F.col(item_text).isNotNull()).select(
         F.col(item_column).cast("long").alias("item"), F.col(item_text).alias("words"))
     passes = -(-known.count() // ITEMS_PER_PASS)
+    if not passes:
+        return
+    of_pass = F.pmod(F.xxhash64("item", "words"), F.lit(passes))
+    grams = step(known.select(of_pass.alias("pass"), "words").mapInArrow(_shingles_of, "pass long, own long, shingle long"), "shingles")
+    held = step(grams.select("own", "shingle").distinct().groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     for number in range(passes):
-        part = known.where(F.pmod(F.xxhash64("item", "words"), F.lit(passes)) == number).orderBy("item", "words").collect()
-        yield Items([(r["item"], r["words"].encode("utf-8", "replace")) for r in part], radius, threshold)
+        part = known.where(of_pass == number).orderBy("item", "words").collect()
+        found = grams.where(F.col("pass") == number).select("shingle").distinct().join(held, "shingle").toArrow()
+        key = found["shingle"].to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        yield Items([(r["item"], r["words"].encode("utf-8", "replace")) for r in part], radius, threshold, (key[order], found["n"].to_numpy()[order]))
+
+
+def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different shingles of each item, with its pass and the hash of its words."""
+    for batch in batches:
+        for part, texts in texts_in_chunks([batch], "words", CHUNK_BYTES):
+            for number, text in zip(part.column("pass").to_pylist(), texts):
+                hashes = Words([plain(text)], lower=False).hash
+                if len(hashes):
+                    own, grams = rolling(hashes, len(hashes)).view(np.int64), np.unique(shingles(hashes)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), x)) for x in (number, own[0])] + [pa.array(grams)],
+                                                     ["pass", "own", "shingle"])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_column: str = "item_id", item_text: str = "text",

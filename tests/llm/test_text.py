@@ -380,6 +380,25 @@ def test_changed_copies_are_found_as_by_brute_force():
     assert got == pytest.approx(want)
 
 
+def test_similarity_does_not_depend_on_passes_or_repeated_items(spark, monkeypatch):
+    rng = random.Random(14)
+    frame = [f"t{rng.randrange(10 ** 9)}" for _ in range(60)]
+    single = [f"w{rng.randrange(10 ** 9)}" for _ in range(45)]
+    items = [(0, " ".join(single)), (1, " ".join(single).upper()), (2, ", ".join(single))]
+    items += [(10 + k, " ".join(frame + [f"u{k}n{j}" for j in range(20)])) for k in range(5)]
+    changed = lambda words, at: " ".join(words[:at] + ["other"] + words[at + 1:])
+    docs = [(0, "head " + changed(single, 20) + " tail"), (1, "head " + changed(items[3][1].split(), 30) + " tail")]
+    docs, table = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    seen = []
+    for size in (20_000, 2, 1):
+        monkeypatch.setattr(decontamination, "ITEMS_PER_PASS", size)
+        seen.append({(r["doc_id"], r["item_id"]): r["similarity"] for r in decontamination.find_passages(docs, table).collect()})
+    assert set(seen[0]) == {(0, 0), (0, 1), (0, 2), (1, 10)} and seen[1] == pytest.approx(seen[0]) and seen[2] == pytest.approx(seen[0])
+    assert seen[0][0, 0] == pytest.approx(36 / 46)
+    # 56 shingles of the frame, held by five items, five of them changed; 20 of the item's own
+    assert seen[0][1, 10] == pytest.approx((51 / 5 + 20) / (56 / 5 + 20 + 5 / 5))
+
+
 def test_every_fingerprint_within_the_radius_is_met():
     rng = np.random.default_rng(1)
     held = rng.integers(0, 1 << 63, 300).astype(np.uint64)
