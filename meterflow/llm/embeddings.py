@@ -15,7 +15,7 @@ THRESHOLD = 0.98
 SAMPLE = 20_000
 PER_CELL = 512
 MAX_CODES = 256
-TARGET_RECALL = 0.9995
+TARGET_RECALL = 1.0
 BLOCK = 4_096
 SEED = 7
 
@@ -43,7 +43,7 @@ class Codebooks:
 
     def cells(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Home cell of each vector, and (vector, cell) of each cell visited: those whose two bounds sum to no more than
-        the reach, found by walking both halves in the order of their bounds."""
+        the reach, found by walking both halves in the order of their bounds. Of two cells only one is visited from the other."""
         first, second = self.bounds(unit)
         codes = len(self.halves[1])
         home = first.argmin(1) * codes + second.argmin(1)
@@ -57,7 +57,10 @@ class Codebooks:
             rank = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
             vectors.append(own)
             cells.append(code * codes + order[own, rank])
-        return home, np.concatenate(vectors), np.concatenate(cells)
+        vector, cell = np.concatenate(vectors), np.concatenate(cells)
+        mine = home[vector]
+        kept = (cell == mine) | ((cell < mine) == ((cell + mine) % 2 == 0))
+        return home, vector[kept], cell[kept]
 
 
 def _kmeans(points: np.ndarray, codes: int, rounds: int = 12) -> np.ndarray:
@@ -130,7 +133,8 @@ def _least(mask: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _linked(table: pa.Table, width: int, threshold: float) -> pa.Table:
-    """For the vectors that visit a block: copies of linked vectors at home in it, and the least vector they hang together with."""
+    """For the vectors of a block: copies of linked vectors, and the least vector they hang together with. A visitor counts those at home in
+    it; these count the visitors from other cells, which they do not visit themselves."""
     home = table["home"].to_numpy()
     unit = _unit(table["v"].combine_chunks(), width)
     rep, copies = table["rep"].to_numpy(), table["copies"].to_numpy()
@@ -140,6 +144,8 @@ def _linked(table: pa.Table, width: int, threshold: float) -> pa.Table:
              for i in range(0, len(mine), 512)]
     mask = lambda k: np.unpackbits(masks[k], axis=1, count=len(own)).astype(bool)
     links = np.concatenate([mask(k) @ copies[home] for k in range(len(masks))]) if masks else np.empty(0, np.int64)
+    foreign = np.where(table["here"].to_numpy()[visitor], 0, copies[visitor])
+    met = sum((foreign[512 * k:512 * k + 512] @ mask(k) for k in range(len(masks))), np.zeros(len(own), np.int64))
     ids, place = np.unique(rep, return_inverse=True)
     root, changed = ids.copy(), True
     while changed and len(own):
@@ -149,7 +155,8 @@ def _linked(table: pa.Table, width: int, threshold: float) -> pa.Table:
             np.minimum.at(root, at, _least(m, root[place[home]]))
             np.minimum.at(root, place[home], _least(m.T, root[at]))
         changed = bool((root != before).any())
-    return pa.table({"rep": pa.array(rep[visitor]), "links": pa.array(links.astype(np.int64)), "root": pa.array(root[place[visitor]])})
+    both = [np.concatenate(x) for x in ((rep[visitor], rep[home]), (links, met), (root[place[visitor]], root[place[home]]))]
+    return pa.table({name: pa.array(x.astype(np.int64)) for name, x in zip(("rep", "links", "root"), both)})
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, id_column: str = "vec_id",
@@ -159,8 +166,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
 
     Equal vectors of a label are one entry with a count. Entries visit cells of the multi-index, where only entries of
     the same label and length are compared, in blocks of at most some ``BLOCK`` entries, so that a
-    crowded cell becomes many tasks; blocks give sums and roots, never pairs. With the default target recall few in ten thousand
-    links may be missed, with 1 none is, and many more cells are visited. Vectors that are null, empty or zero, or have null or
+    crowded cell becomes many tasks; blocks give sums and roots, never pairs. By default no link is missed. A lower target recall visits fewer cells;
+    its reach rests on a sample, and on large tables more links may be missed than it says. Vectors that are null, empty or zero, or have null or
     non-finite components, a null label or a null id, link with nothing. Rows repeated with an id count once.
     """
     single = vectors.schema[vector].dataType.simpleString() == "array<float>"
@@ -182,13 +189,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
     width = size["width"]
     visits = step(_visits(entries, fit(entries, size["rows"], width, threshold, target_recall), width), "visits")
     crowds = visits.groupBy("label", "cell").agg(F.ceil(F.count_if("home") / BLOCK).alias("homes"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("homes > 0")
-    placed = visits.join(crowds, ["label", "cell"])
+    placed = visits.join(crowds, ["label", "cell"]).withColumn("here", F.col("home"))
     share = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
     single = placed.where("homes = 1 and blocks = 1").select("*", F.lit(True).alias("visits"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("t"))
     crowded = placed.where("homes > 1 or blocks > 1")
     asking = crowded.select("*", F.lit(True).alias("visits"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("homes") - 1)).alias("s"), share("blocks").alias("t")).withColumn("home", F.lit(False))
     held = crowded.where("home").select("*", F.lit(False).alias("visits"), share("homes").alias("s"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("t"))
-    dealt = single.unionByName(asking).unionByName(held).select("label", "cell", "s", "t", "rep", "copies", "v", "home", "visits")
+    dealt = single.unionByName(asking).unionByName(held).select("label", "cell", "s", "t", "rep", "copies", "v", "home", "here", "visits")
 
     def linked(table: pa.Table) -> pa.Table:
         return _linked(table, width, threshold)

@@ -51,6 +51,21 @@ def test_recall_of_the_calibrated_index(spark):
     assert all(got[i] <= want[i][0] for i in want)
 
 
+def test_links_along_lines_between_centres_are_found_outside_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "PER_CELL", 8)
+    fit = embeddings.fit
+    monkeypatch.setattr(embeddings, "fit", lambda *args: fit(*args, sample=300))
+    rng = np.random.default_rng(4)
+    centres = np.linalg.qr(rng.standard_normal((32, 32)))[0]
+    rows = []
+    for a, b in rng.integers(32, size=(400, 2)):
+        if a != b:
+            for angle in np.radians(rng.uniform(0, 90) + np.array([0.0, 11.3])):
+                rows.append((len(rows), (np.cos(angle) * centres[a] + np.sin(angle) * centres[b]).tolist(), 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r["vec_id"]: tuple(r)[1:] for r in embeddings.near_duplicates(df).collect()} == plain(rows)
+
+
 def test_empty_repeated_and_without_id(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert embeddings.near_duplicates(spark.createDataFrame([], schema)).collect() == []
