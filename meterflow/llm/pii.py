@@ -43,7 +43,8 @@ ALPHABETS = {
 
 ANY = "|".join(f"(?:{p})" for _, p in PATTERNS).replace(r"([ -]?)\d{4}", r"[ -]?\d{4}")
 #: What every entity holds one of.
-HINT = rf"@|\d|{MALE_TITLES}|{FEMALE_TITLES}|[0-9a-fA-F]{{32}}"
+HINT = rf"@|\d|{MALE_TITLES}|{FEMALE_TITLES}|[0-9a-fA-F]{{32}}|AKIA|gh[pousr]_"
+TITLE = f"^(?:{MALE_TITLES}|{FEMALE_TITLES})" + r"\.? "
 
 
 def _kind(found: Column) -> Column:
@@ -55,7 +56,7 @@ def _kind(found: Column) -> Column:
 
 def _core(kind: Column, found: Column) -> Column:
     """What two mentions of one entity have in common: letters and digits in lower case; of a person, the name without the title."""
-    name = F.regexp_replace(found, f"^(?:{MALE_TITLES}|{FEMALE_TITLES})" + r"\.? ", "")
+    name = F.regexp_replace(found, TITLE, "")
     return F.when(kind == "person", F.lower(name)).when(kind.isin("email", "ip"), F.lower(found)).otherwise(F.lower(F.regexp_replace(found, r"[^\p{L}\p{N}_]", "")))
 
 
@@ -128,7 +129,7 @@ def _surrogate(kind: Column, core: Column, gender: Column, digest: Column) -> Co
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """(``kind``, ``core``, ``gender``) with a ``surrogate`` each. Of entities with one candidate, and where it is itself an entity of the
-    table, all but the first get the next candidate, until all surrogates differ from each other and from every entity."""
+    table, all but the first get the next candidate, until all surrogates differ from each other and from every entity, and family names from their own."""
     tried = entities.withColumn("attempt", F.lit(0))
     for _ in range(MAX_ROUNDS):
         # The digest is stored before it is used: an expression over it would hash anew for each character.
@@ -136,8 +137,10 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         made = step(hashed.withColumn("surrogate", _surrogate(F.col("kind"), F.col("core"), F.col("gender"), F.col("digest"))).drop("digest"), "surrogates")
         same = Window.partitionBy("kind", "surrogate").orderBy("attempt", "core", "gender")
         real = entities.select("kind", F.col("core").alias("surrogate"), F.lit(True).alias("real")).distinct()
+        last = lambda c: F.substring_index(c, " ", -1)
+        same_family = (F.col("kind") == "person") & (last("surrogate") == last("core"))
         judged = (made.withColumn("place", F.row_number().over(same)).join(real, ["kind", "surrogate"], "left")
-                  .withColumn("again", (F.col("place") > 1) | F.coalesce("real", F.lit(False))))
+                  .withColumn("again", (F.col("place") > 1) | F.coalesce("real", F.lit(False)) | same_family))
         judged = step(judged, "judged")
         if not judged.where("again").limit(1).count():
             return made.drop("attempt")
@@ -147,7 +150,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
 def _shaped(found: Column, kind: Column, surrogate: Column) -> Column:
     """The surrogate in the form of one mention: its separators, title and capitals."""
-    title = F.regexp_extract(found, f"^(?:{MALE_TITLES}|{FEMALE_TITLES})" + r"\.? ", 0)
+    title = F.regexp_extract(found, TITLE, 0)
+    name = F.when(F.regexp_replace(found, TITLE, "").contains(" "), surrogate).otherwise(F.substring_index(surrogate, " ", -1))
     separate = r"[\p{L}\p{N}_]"
     chars = F.filter(F.split(found, ""), lambda c: c != "")
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
@@ -159,13 +163,44 @@ def _shaped(found: Column, kind: Column, surrogate: Column) -> Column:
 
     filled = F.aggregate(chars, start, add, lambda s: s["out"])
     whole = F.when(F.lower(found) == found, surrogate).when(F.upper(found) == found, F.upper(surrogate)).otherwise(surrogate)
-    return F.when(kind == "person", F.concat(title, F.initcap(surrogate))).when(kind.isin("email", "ip"), whole).otherwise(filled)
+    return F.when(kind == "person", F.concat(title, F.initcap(name))).when(kind.isin("email", "ip"), whole).otherwise(filled)
+
+
+def _gender(found: Column) -> Column:
+    return F.when(found.rlike(f"^(?:{MALE_TITLES})" + r"\.? "), "male").otherwise("female")
+
+
+def _people(found: Column) -> Column:
+    """Who is named behind a title, full names first."""
+    def one(mention: Column) -> Column:
+        name = F.regexp_replace(mention, TITLE, "")
+        return F.struct(name.alias("name"), F.substring_index(name, " ", -1).alias("family"), _gender(mention).alias("gender"))
+
+    people = F.transform(F.filter(found, lambda x: x.rlike(TITLE)), one)
+    return F.array_distinct(F.concat(F.filter(people, lambda p: p["name"] != p["family"]), F.filter(people, lambda p: p["name"] == p["family"])))
+
+
+def _with_names(people: Column) -> Column:
+    """The pattern of all entities, and of the full and family names of the people, which are only letters, without a title."""
+    names = F.array_distinct(F.concat(F.transform(people, lambda p: p["name"]), F.transform(people, lambda p: p["family"])))
+    ordered = F.concat(F.filter(names, lambda x: x.contains(" ")), F.filter(names, lambda x: ~x.contains(" ")))
+    return F.concat(F.lit(f"{ANY}|{START}(?:"), F.array_join(ordered, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+
+
+def _person(mention: Column, people: Column) -> Column:
+    """The one of the people whom a mention means: by the same name, or by the family name alone; where it has a title, of its gender."""
+    name, bare = F.regexp_replace(mention, TITLE, ""), ~mention.rlike(TITLE)
+    return F.get(F.filter(people, lambda p: ((p["name"] == name) | (p["family"] == name)) & (bare | (p["gender"] == _gender(mention)))), F.lit(0))
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text", with_count: bool = False) -> DataFrame:
     """The rows with every entity of ``text`` replaced; other columns stay, and with ``with_count`` a column
     ``n_entities`` is added. Texts without entities, nulls and empty ones come back as they are, without a shuffle.
 
+    A person is found behind a title; the full and the family name are then found again in the same text, with or without one, and
+    mean the same person (of several of one family name, the first with a full name). A name that has no title anywhere in its
+    text, or a given name alone, is not found.
+
     One entity (a person's name, an address in any case, the digits of a number with any separators) has one
     surrogate in the whole table, and no two entities share one. Surrogates depend on the key: whoever lacks it can't tie them to
     what they stand for. They keep what makes the type: separators and capitals, top-level domains, country
@@ -175,15 +210,20 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", with_count:
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("body"))
     found = F.when(F.col("body").rlike(HINT), F.regexp_extract_all("body", F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     marked = whole.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
+    marked = marked.withColumn("people", _people(F.col("found")))
     count = [F.lit(0).cast("long").alias("n_entities")] if with_count else []
     plain = marked.where(F.size("found") == 0).select("row.*", *count)
-    held = step(marked.where(F.size("found") > 0).withColumns({"number": F.monotonically_increasing_id(), "between": F.split("body", ANY, -1)}).drop("body"), "held")
-    each = held.select("number", F.posexplode("found").alias("place", "mention"))
-    kind = _kind(F.col("mention"))
-    each = each.withColumn("kind", kind).withColumn("core", _core(F.col("kind"), F.col("mention")))
-    male = F.col("mention").rlike(f"^(?:{MALE_TITLES})" + r"\.? ")
-    gender = F.when(F.col("kind") != "person", "").when(male, "male").otherwise("female")
-    each = each.withColumn("gender", gender)
+    with_names, some = _with_names(F.col("people")), F.size("people") > 0
+    held = step(marked.where(F.size("found") > 0).withColumns({
+        "number": F.monotonically_increasing_id(), "found": F.when(some, F.regexp_extract_all("body", with_names, F.lit(0))).otherwise(F.col("found")),
+        "between": F.when(some, F.split("body", with_names, -1)).otherwise(F.split("body", ANY, -1))}).drop("body"), "held")
+    each = held.select("number", "people", F.posexplode("found").alias("place", "mention"))
+    each = each.withColumn("kind", _kind(F.col("mention")))
+    each = each.withColumn("person", F.when(F.col("kind").isin("person", "other"), _person(F.col("mention"), F.col("people")))).drop("people")
+    each = each.withColumn("kind", F.when(F.col("person").isNotNull(), "person").otherwise(F.col("kind")))
+    each = each.withColumn("core", F.coalesce(F.lower("person.name"), _core(F.col("kind"), F.col("mention"))))
+    gender = F.when(F.col("kind") != "person", "").otherwise(F.coalesce("person.gender", _gender(F.col("mention"))))
+    each = each.withColumn("gender", gender).drop("person")
     given = assign(step(each.select("kind", "core", "gender").distinct(), "entities"), key)
     shaped = each.join(given, ["kind", "core", "gender"]).select("number", "place", _shaped(F.col("mention"), F.col("kind"), F.col("surrogate")).alias("new"))
     lists = shaped.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("new"))

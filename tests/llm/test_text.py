@@ -150,6 +150,18 @@ def test_one_surrogate_for_an_entity_and_none_for_two(spark):
     assert re.sub(r"\D", "", b.split(" is ")[0]) == re.sub(r"\D", "", b.split(" is ")[1])
 
 
+def test_names_are_found_again_without_their_title(spark):
+    key = "ghp_" + "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ"
+    one, two, three, four = replaced(spark, ["Mr. John Smith came. John Smith sat, Smith said; Mr. Smith left Smithfield. Mrs. Smith stayed", "token " + key, "Smith was here",
+                                             "Smith first, then Mr. John Smith and Mr. Paul Smith"])
+    found = re.fullmatch(r"Mr\. (\w+) (\w{5}) came\. (\w+) (\w{5}) sat, (\w{5}) said; Mr\. (\w{5}) left Smithfield\. Mrs\. (\w{5}) stayed", one)
+    given, family, *rest, other = found.groups()
+    assert rest == [given, family, family, family] and family != "Smith" and other not in ("Smith", family)
+    assert re.fullmatch(r"token ghp_\w{36}", two) and key not in two
+    assert three == "Smith was here"
+    assert "Smith" not in four and four.startswith(family) and f"Mr. {given} {family}" in four
+
+
 def test_texts_without_entities_stay(spark):
     texts = [None, "", "nothing here", "room 12 of 2024", "a@b", "1.2.3", "x" * 100_000]
     assert replaced(spark, texts) == texts
