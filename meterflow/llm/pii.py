@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .store import step
 
+#: Attempts in an entity's own format; each further one makes the format wider.
 MAX_ROUNDS = 100
 
 # Patterns (Java syntax), titles, names and alphabets.
@@ -127,14 +128,25 @@ def _surrogate(kind: Column, core: Column, gender: Column, digest: Column) -> Co
     return F.when(kind == "ip", ip).when(kind == "card", card).when(kind == "person", person).otherwise(plain)
 
 
+def _widened(kind: Column, core: Column, extra: Column) -> Column:
+    """The core as one of a wider format: address parts of three digits, else ``extra`` more letters or digits."""
+    more = lambda c: F.repeat(c, extra)
+    wider = (F.when(kind == "ip", F.lit("100.100.100.100")).when(kind == "email", F.concat(more(F.lit("a")), core))
+             .when(kind == "person", F.concat(core, more(F.right(core, F.lit(1))))).otherwise(F.concat(core, more(F.lit("0")))))
+    return F.when(extra > 0, wider).otherwise(core)
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """(``kind``, ``core``, ``gender``) with a ``surrogate`` each. Of entities with one candidate, and where it is itself an entity of the
-    table, all but the first get the next candidate, until all surrogates differ from each other and from every entity, and family names from their own."""
+    table, all but the first get the next candidate, until all surrogates differ from each other and from every entity, and family names from their own.
+    What has had no free candidate in ``MAX_ROUNDS`` attempts gets candidates of a wider format, as its own may hold no more."""
     tried = entities.withColumn("attempt", F.lit(0))
-    for _ in range(MAX_ROUNDS):
+    while True:
         # The digest is stored before it is used: an expression over it would hash anew for each character.
         hashed = step(tried.withColumn("digest", _digest(key, F.col("attempt"), F.col("kind"), F.col("core"))), "digests")
-        made = step(hashed.withColumn("surrogate", _surrogate(F.col("kind"), F.col("core"), F.col("gender"), F.col("digest"))).drop("digest"), "surrogates")
+        form = _widened(F.col("kind"), F.col("core"), F.col("attempt") - MAX_ROUNDS + 1)
+        made = step(hashed.withColumn("form", form).withColumn("surrogate", _surrogate(F.col("kind"), F.col("form"), F.col("gender"), F.col("digest")))
+                    .drop("digest", "form"), "surrogates")
         same = Window.partitionBy("kind", "surrogate").orderBy("attempt", "core", "gender")
         real = entities.select("kind", F.col("core").alias("surrogate"), F.lit(True).alias("real")).distinct()
         last = lambda c: F.substring_index(c, " ", -1)
@@ -145,7 +157,6 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         if not judged.where("again").limit(1).count():
             return made.drop("attempt")
         tried = judged.select("kind", "core", "gender", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
-    raise RuntimeError("no distinct surrogates were found: there are too many entities of a short format")
 
 
 def _shaped(found: Column, kind: Column, surrogate: Column) -> Column:
@@ -161,7 +172,7 @@ def _shaped(found: Column, kind: Column, surrogate: Column) -> Column:
         return F.when(c.rlike(separate), F.struct(F.concat(state["out"], F.when(c.rlike(r"\p{Lu}"), F.upper(own)).otherwise(own)).alias("out"), (state["i"] + 1).alias("i"))) \
             .otherwise(F.struct(F.concat(state["out"], c).alias("out"), state["i"].alias("i")))
 
-    filled = F.aggregate(chars, start, add, lambda s: s["out"])
+    filled = F.aggregate(chars, start, add, lambda s: F.concat(s["out"], F.substr(surrogate, s["i"])))
     whole = F.when(F.lower(found) == found, surrogate).when(F.upper(found) == found, F.upper(surrogate)).otherwise(surrogate)
     return F.when(kind == "person", F.concat(title, F.initcap(name))).when(kind.isin("email", "ip"), whole).otherwise(filled)
 
@@ -202,7 +213,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", with_count:
     text, or a given name alone, is not found.
 
     One entity (a person's name, an address in any case, the digits of a number with any separators) has one
-    surrogate in the whole table, and no two entities share one. Surrogates depend on the key: whoever lacks it can't tie them to
+    surrogate in the whole table, and no two entities share one; where a format has too few values for all, some get a longer one. Surrogates depend on the key: whoever lacks it can't tie them to
     what they stand for. They keep what makes the type: separators and capitals, top-level domains, country
     codes, digits per address part, the check rule of card numbers, title and gender and script of names.
     """

@@ -162,6 +162,15 @@ def test_names_are_found_again_without_their_title(spark):
     assert "Smith" not in four and four.startswith(family) and f"Mr. {given} {family}" in four
 
 
+def test_full_formats_get_wider(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MAX_ROUNDS", 2)
+    letters = pii.ALPHABETS["latin"]
+    mentions = [".".join(f"{n:04}") for n in range(6_000)] + [f"Mr. {a.upper()}{b}" for a in letters for b in letters]
+    new = replaced(spark, mentions)
+    assert len(set(new)) == len(mentions) and not set(new) & set(mentions)
+    assert all(re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}" if "Mr" not in old else r"Mr\. [A-Z][a-z]+", text) for old, text in zip(mentions, new))
+
+
 def test_texts_without_entities_stay(spark):
     texts = [None, "", "nothing here", "room 12 of 2024", "a@b", "1.2.3", "x" * 100_000]
     assert replaced(spark, texts) == texts
