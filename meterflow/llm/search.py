@@ -13,11 +13,12 @@ from .chunks import Words, texts_in_chunks
 from .shards import with_offsets
 from .store import step
 
-WIDTH = 1024             # coordinates of a sketch, a power of two
+HASHES = 2               # sketches of a document, each by its own hash: a term's impact is bounded by the least of its coordinates
+WIDTH_BITS = 12          # 2 ** WIDTH_BITS coordinates in each
 STEP = 16                # impacts are kept in steps of 16, rounded up, so that 16 bits hold them
 LENGTH_PCT = 75          # how much of a document's length counts against it
 POSTINGS_AT_ONCE = 500_000
-DOCS_AT_ONCE = 4_096
+DOCS_AT_ONCE = 2_048
 RESCORE = 32             # documents scored exactly at a time
 TERMS_PER_BATCH = 200_000
 NO_ID = -(1 << 63)
@@ -73,13 +74,19 @@ class Block:
         m = 100 - LENGTH_PCT + (LENGTH_PCT * self.n * documents) // total
         return (1_000_000_000 * self.tf) // (1000 * self.tf + 8 * m[self.doc])
 
-    def sketch(self, impacts: np.ndarray) -> np.ndarray:
-        """Per coordinate (row) and document (column) the largest impact of the terms hashed there, in steps of ``STEP``, rounded up."""
+    def sketches(self, impacts: np.ndarray) -> np.ndarray:
+        """Per hash, coordinate and document the largest impact of the terms hashed there, in steps of ``STEP``, rounded up."""
         steps = ((impacts + STEP - 1) // STEP).astype(np.uint16)
         rising = np.argsort(steps, kind="stable")  # of several assignments to one place the last one stays
-        sketch = np.zeros((WIDTH, len(self.ids)), np.uint16)
-        sketch[(self.terms[rising] & np.uint64(WIDTH - 1)).astype(np.int64), self.doc[rising]] = steps[rising]
-        return sketch
+        terms, doc, steps = self.terms[rising], self.doc[rising], steps[rising]
+        found = np.zeros((HASHES, 1 << WIDTH_BITS, len(self.ids)), np.uint16)
+        for number, sketch in enumerate(found):
+            sketch[coordinates(terms, number), doc] = steps
+        return found
+
+
+def coordinates(terms: np.ndarray, number: int) -> np.ndarray:
+    return ((terms >> np.uint64(number * WIDTH_BITS)) & np.uint64((1 << WIDTH_BITS) - 1)).astype(np.int64)
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
@@ -141,7 +148,7 @@ class Best:
 def _search_block(block: Block, batch: Batch, best: list[Best], documents: int, total: int) -> int:
     """Take the documents of a block into the queries' best ones; returns how many were scored exactly."""
     impacts = block.impacts(documents, total)
-    sketch = block.sketch(impacts)
+    sketches = block.sketches(impacts)
     own, place = batch.find(block.terms)
     first = np.searchsorted(block.doc[own], np.arange(len(block.ids) + 1))
     gain = impacts[own]
@@ -149,9 +156,11 @@ def _search_block(block: Block, batch: Batch, best: list[Best], documents: int,
     scored = 0
     for places, repeats, top in zip(batch.places, batch.repeats, best):
         weights = repeats * batch.weights[places]
-        coordinate, group = np.unique(batch.vocabulary[places] & np.uint64(WIDTH - 1), return_inverse=True)
-        # Sums of whole numbers far below 2 ** 53, so the bounds are exact.
-        bounds = np.bincount(group, weights) @ sketch[coordinate.astype(np.int64)].astype(np.float64) * STEP
+        terms = batch.vocabulary[places]
+        most = sketches[0][coordinates(terms, 0)]
+        for number in range(1, HASHES):
+            np.minimum(most, sketches[number][coordinates(terms, number)], out=most)
+        bounds = weights.astype(np.float64) @ most * STEP  # sums of whole numbers below 2 ** 53: no rounding
         candidates = np.flatnonzero(bounds >= top.threshold())
         candidates = candidates[np.argsort(-bounds[candidates], kind="stable")]
         factor[places] = weights
