@@ -56,6 +56,14 @@ def time_range_scan(t):
     return filters.time_range(rows, "l_shipdate", "1997-01-01", "1998-01-01")
 
 
+@query("time_range_offset", """select l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate from lineitem
+    where l_shipdate >= timestamp '1993-01-01' and l_shipdate < timestamp '1998-01-01'
+    order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity offset 10000""")
+def time_range_offset(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    return filters.time_range(rows, "l_shipdate", "1993-01-01", "1998-01-01", 10_000, ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
+
+
 _PAGE_SCHEMA = T.StructType([
     T.StructField("Customer", T.LongType()), T.StructField("Name", T.StringType()),
     T.StructField("Nation", T.IntegerType()), T.StructField("Balance (kr)", T.DoubleType())])

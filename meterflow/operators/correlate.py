@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from .layout import HOME, Series, frame, with_halo, with_index
+from .layout import CHUNK, INDEX, SO_FAR, Series, at_home, floor_div, framed
 
 
 def align_series(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -28,20 +28,49 @@ def clip_to_range(df: DataFrame, time: str, other: DataFrame, other_time: str) -
 def sliding_corr(df: DataFrame, s: Series, x: str, y: str, width: int, name: str = "corr") -> DataFrame:
     """Correlation over a centred frame of ``width`` rows.
 
-    Null unless the whole frame holds pairs, and where either side is constant. Built
-    from moments: the window ``corr`` raises on a constant frame under ANSI mode.
+    Null unless the whole frame holds pairs, and where either side is constant. The rows are cut into blocks of ``width``: a
+    frame is the end of one block and the start of the next, or one block. Moments are carried along every block
+    once forward and once back, so a frame is one merge of two rows' moments whatever its width, and no sum
+    is taken apart again: small spreads on large values keep their digits.
     """
     if width < 1:
         return df.withColumn(name, F.lit(None).cast("double"))
     before, after = width // 2, (width - 1) // 2
-    rows = with_halo(with_index(df, s), s, before, after)
+    rows, table = framed(df, s, before, after)
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    px, py = F.when(both, F.col(x)), F.when(both, F.col(y))
-    over = frame(s, before, after)
-    rows = rows.withColumns({"_px": px, "_py": py}).withColumns({
-        "_pairs": F.count("_px").over(over),
-        "_vx": F.var_pop("_px").over(over), "_vy": F.var_pop("_py").over(over),
-        "_cov": F.covar_pop("_px", "_py").over(over)})
-    usable = (F.col("_pairs") == width) & (F.col("_vx") > 0) & (F.col("_vy") > 0)
-    value = F.when(usable, F.col("_cov") / (F.sqrt("_vx") * F.sqrt("_vy")))
-    return rows.filter(HOME).withColumn(name, value).select(*df.columns, name)
+    rows = rows.withColumns({"_px": F.when(both, F.col(x)), "_py": F.when(both, F.col(y)), "_block": floor_div(F.col(INDEX), width)})
+    block = Window.partitionBy(*s.keys, CHUNK, "_block")
+    back, forth = (block.orderBy(order).rowsBetween(*SO_FAR) for order in (F.desc(INDEX), F.asc(INDEX)))
+    # Each block is measured from a value of its own, so that means keep the digits of the differences.
+    anywhere = block.orderBy(INDEX).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({f"_o{p}": F.first(f"_p{p}", ignorenulls=True).over(anywhere) for p in "xy"})
+    rows = rows.withColumns({f"_p{p}": F.col(f"_p{p}") - F.col(f"_o{p}") for p in "xy"})
+    rows = rows.withColumn("_end", _moments(back)).withColumn("_start", _moments(forth))
+    along = Window.partitionBy(*s.keys, CHUNK).orderBy("_block", INDEX)
+    rows = rows.withColumns({"_end": F.lag("_end", before).over(along), "_start": F.lead("_start", after).over(along)})
+    one_block = F.pmod(F.col(INDEX) - before, F.lit(width)) == 0
+    alone = F.struct(*[F.col(f"_start.{k}") for k in ("n", "xx", "yy", "xy")])
+    rows = rows.withColumn("_frame", F.when(one_block, alone).otherwise(_merged("_end", "_start")))
+    m = lambda field: F.col(f"_frame.{field}")
+    usable = (m("n") == width) & (m("xx") > 0) & (m("yy") > 0)
+    value = F.when(usable, m("xy") / (F.sqrt(m("xx")) * F.sqrt(m("yy"))))
+    return at_home(rows, table, s).withColumn(name, value).select(*dict.fromkeys([*df.columns, name]))
+
+
+def _moments(over: WindowSpec) -> Column:
+    """Count, origins, means from there and sums of squares and products about the means; a stretch without pairs has zeros."""
+    n = F.count("_px").over(over)
+    scaled = lambda f: F.coalesce(f.over(over), F.lit(0.0))
+    origin = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    return F.struct(n.alias("n"), origin("_ox").alias("ox"), origin("_oy").alias("oy"), scaled(F.avg("_px")).alias("x"), scaled(F.avg("_py")).alias("y"),
+                    (scaled(F.var_pop("_px")) * n).alias("xx"), (scaled(F.var_pop("_py")) * n).alias("yy"), (scaled(F.covar_pop("_px", "_py")) * n).alias("xy"))
+
+
+def _merged(a: str, b: str) -> Column:
+    """Moments of two stretches together; null if either is not there."""
+    f = lambda side, field: F.col(f"{side}.{field}")
+    n = f(a, "n") + f(b, "n")
+    share = F.coalesce(f(a, "n") * f(b, "n") / F.nullif(n, F.lit(0)), F.lit(0.0))
+    dx, dy = ((f(b, "o" + c) - f(a, "o" + c)) + (f(b, c) - f(a, c)) for c in "xy")
+    about = {"xx": dx * dx, "yy": dy * dy, "xy": dx * dy}
+    return F.struct(n.alias("n"), *[(f(a, k) + f(b, k) + d * share).alias(k) for k, d in about.items()])

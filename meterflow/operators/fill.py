@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import truncate_whole
-from .layout import (CHUNK, HOME, INDEX, SO_FAR, Series, by_time_chunk, frame, join_state, spread,
-                     with_halo, with_index)
+from .layout import (CHUNK, COUNT, CROWD, HOME, INDEX, SO_FAR, Series, at_home, by_time_chunk, chunk_table, ends, framed, join_state,
+                     no_gaps, spread, whole, with_halo, with_index)
 
 
 def last_known(column: str, order: str) -> Column:
@@ -28,7 +28,7 @@ def forward_fill(df: DataFrame, s: Series, columns: str | Sequence[str]) -> Data
     """Replace missing values by the last known one; leading gaps stay."""
     cols = _names(columns)
     chunked = by_time_chunk(df, s)
-    state = chunked.groupBy(*s.keys, CHUNK).agg(*[last_known(c, s.time).alias(f"_{c}") for c in cols]).select(
+    state = chunk_table(chunked, s, *[last_known(c, s.time).alias(f"_{c}") for c in cols]).select(
         *s.keys, CHUNK, *[F.last(f"_{c}", ignorenulls=True).over(s.earlier()).alias(f"_before_{c}") for c in cols])
     here = s.local().rowsBetween(*SO_FAR)
     filled = spread(chunked, s).withColumns({c: F.last(c, ignorenulls=True).over(here) for c in cols})
@@ -40,13 +40,48 @@ def backward_fill(df: DataFrame, s: Series, columns: str | Sequence[str]) -> Dat
     """Replace missing values by the next known one; trailing gaps stay."""
     cols = _names(columns)
     chunked = by_time_chunk(df, s)
-    state = chunked.groupBy(*s.keys, CHUNK).agg(*[next_known(c, s.time).alias(f"_{c}") for c in cols]).select(
+    state = chunk_table(chunked, s, *[next_known(c, s.time).alias(f"_{c}") for c in cols]).select(
         *s.keys, CHUNK, *[F.last(f"_{c}", ignorenulls=True).over(s.later()).alias(f"_after_{c}") for c in cols])
     filled = spread(chunked, s).withColumns({c: F.coalesce(F.col(c), s.next_value(c)) for c in cols})
     out = join_state(filled, state, s)
     return out.withColumns({c: F.coalesce(c, f"_after_{c}") for c in cols}).select(*df.columns)
 
 
+def trailing_means(rows: DataFrame, s: Series, wanted: dict[str, tuple[str, int]]) -> DataFrame:
+    """Means of frames that end in each row, by name: (column, rows of the frame).
+
+    ``rows`` carry the neighbours of their chunk. A mean is the difference of two running sums, so a row costs the
+    same whatever the frame. Nothing cancels: a value is split at units that are powers of two, chosen by the
+    largest value of the chunk so that the running sums of the first two parts are exact; what is left has less than a
+    2 ** -50th of that value. Values that are not finite count as missing.
+    """
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    most = (s.chunk * (1 if s.regular else CROWD) + max(w for _, w in wanted.values())).bit_length()
+    rows = rows.withColumns({f"_v_{c}": F.when(F.abs(c) < float("inf"), F.col(c).cast("double")) for c in columns})
+    largest = {c: F.nullif(F.max(F.abs(f"_v_{c}")).over(whole(s)), F.lit(0.0)) for c in columns}
+    rows = rows.withColumns({f"_u_{c}": F.pow(F.lit(2.0), F.ceil(F.log2(largest[c])) + (most - 51)) for c in columns})
+
+    def part(value: Column, unit: Column) -> Column:
+        return F.when(unit > 0, F.rint(value / unit) * unit).otherwise(value * 0)
+
+    rows = rows.withColumns({f"_a_{c}": part(F.col(f"_v_{c}"), F.col(f"_u_{c}")) for c in columns})
+    rows = rows.withColumns({f"_b_{c}": part(F.col(f"_v_{c}") - F.col(f"_a_{c}"), F.col(f"_u_{c}") * 2.0 ** (most - 52)) for c in columns})
+    so_far = s.local(INDEX).rowsBetween(*SO_FAR)
+    parts = {c: {"a": F.sum(f"_a_{c}"), "b": F.sum(f"_b_{c}"), "c": F.sum(F.col(f"_v_{c}") - F.col(f"_a_{c}") - F.col(f"_b_{c}")),
+                 "n": F.count(f"_v_{c}")} for c in columns}
+    rows = rows.withColumns({f"_sums_{c}": F.struct(*[f.over(so_far).alias(k) for k, f in fs.items()]) for c, fs in parts.items()})
+    windows = sorted({w for _, w in wanted.values()})
+    rows = rows.withColumns({f"_before_{w}": F.lag(F.struct(*[f"_sums_{c}" for c in columns if (c, w) in wanted.values()]), w).over(s.local(INDEX))
+                             for w in windows})
+
+    def mean(c: str, w: int) -> Column:
+        grown = {k: F.col(f"_sums_{c}.{k}") - F.coalesce(F.col(f"_before_{w}._sums_{c}.{k}"), F.lit(0)) for k in parts[c]}
+        return (grown["a"] + (grown["b"] + grown["c"])) / F.nullif(grown["n"], F.lit(0))
+
+    helpers = [f"_{k}_{c}" for c in columns for k in ("v", "u", "a", "b", "sums")] + [f"_before_{w}" for w in windows]
+    return rows.withColumns({name: mean(c, w) for name, (c, w) in wanted.items()}).drop(*helpers)
+
+
 @dataclass(frozen=True)
 class Rule:
     """How one column is filled.
@@ -90,9 +125,9 @@ def impute(df: DataFrame, s: Series, rules: Iterable[Rule]) -> DataFrame:
 
     state = _chunk_state(source, s, order, forward, backward, gated)
     local = s.local(order)
+    if rolling:
+        rows = trailing_means(rows, s, {f"_mean_{r.column}": (r.column, r.window) for r in rolling})
     values = {}
-    for r in rolling:
-        values[f"_mean_{r.column}"] = F.avg(r.column).over(frame(s, r.window - 1))
     for r in backward:
         values[f"_next_{r.column}"] = s.next_value(r.column, order)
     for r in forward:
@@ -111,14 +146,16 @@ def _chunk_state(source, s, order, forward, backward, gated) -> DataFrame | None
     aggregates += [F.count(r.column).alias(f"_c_{r.column}") for r in gated]
     if not aggregates:
         return None
-    summary = source.groupBy(*s.keys, CHUNK).agg(F.count("*").alias("_rows"), *aggregates)
-    whole = Window.partitionBy(*s.keys)
+    summary = chunk_table(source, s, *aggregates, *(ends(s) if order == INDEX else []))
+    if order == INDEX:
+        summary = no_gaps(summary, s)
+    series = Window.partitionBy(*s.keys)
     carried = [F.last(f"_l_{r.column}", ignorenulls=True).over(s.earlier()).alias(f"_before_{r.column}")
                for r in forward]
     carried += [F.last(f"_n_{r.column}", ignorenulls=True).over(s.later()).alias(f"_after_{r.column}")
                 for r in backward]
-    total = F.sum("_rows").over(whole)
-    carried += [((total - F.sum(f"_c_{r.column}").over(whole)) * 100 / total).alias(f"_pct_{r.column}") for r in gated]
+    total = F.sum(COUNT).over(series)
+    carried += [((total - F.sum(f"_c_{r.column}").over(series)) * 100 / total).alias(f"_pct_{r.column}") for r in gated]
     return summary.select(*s.keys, CHUNK, *carried)
 
 
@@ -155,8 +192,9 @@ def impute_threshold(df: DataFrame, s: Series, column: str, window: int = 24, ma
 
 def rolling_mean(df: DataFrame, s: Series, column: str, window: int = 24, name: str = "rolling") -> DataFrame:
     """Trailing mean over ``window`` rows, missing values skipped; null where the frame has none."""
-    rows = with_halo(with_index(df, s), s, window - 1)
-    return rows.withColumn(name, F.avg(column).over(frame(s, window - 1))).filter(HOME).drop(INDEX, CHUNK, HOME)
+    rows, table = framed(df, s, window - 1)
+    means = trailing_means(rows, s, {"_mean": (column, window)})
+    return at_home(means, table, s).withColumn(name, F.col("_mean")).select(*dict.fromkeys([*df.columns, name]))
 
 
 def fill_constant(df: DataFrame, columns: Sequence[str], value=0) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -24,6 +26,9 @@ from ..functions.times import epoch_micros
 from ..sources.storage import settled
 
 CHUNK, INDEX, HOME, COUNT = "_chunk", "_index", "_home", "_count"
+PIECE = "_piece"
+CROWD = 64  # times as many rows as steps a chunk may hold
+HOT, PIECES, OVER = 1024, 1024, 32  # see ``by_tie_chunk``
 
 
 @dataclass(frozen=True)
@@ -32,11 +37,11 @@ class Series:
 
     ``keys``     non-null columns naming one series; () for a single series
     ``time``     the time column, at most one row per (keys, time)
-    ``step``     sampling interval, the unit in which chunks are measured; a longer one
-                 than the data's puts more rows into a chunk
+    ``step``     sampling interval, the unit in which chunks are measured; a longer one than the data's
+                 puts more rows into a chunk, and more than ``CROWD`` times as many raise
     ``chunk``    chunk length in steps: the most rows one window group holds
-    ``regular``  True if no step is left out, i.e. row frames are time frames;
-                 saves the numbering pass that other tables need for row frames
+    ``regular``  True if no step is left out, i.e. row frames are time frames; saves the numbering pass that
+                 other tables need for row frames. Row frames raise if a step is missing or there twice
     """
 
     keys: tuple[str, ...]
@@ -88,13 +93,40 @@ def by_time_chunk(df: DataFrame, s: Series) -> DataFrame:
     return df.withColumn(CHUNK, s.chunk_of(s.slot()))
 
 
-def by_range_chunk(df: DataFrame, s: Series, tie: Sequence[str]) -> DataFrame:
-    """Chunks for a table with several rows at one time: balanced ranges of (keys, time, tie).
+def by_tie_chunk(df: DataFrame, s: Series, tie: Sequence[str]) -> DataFrame:
+    """Chunks of a table that may have any share of its rows at one time: ``CHUNK`` and, inside it, ``PIECE``.
 
-    A stretch of time may then hold any share of the table, a range may not. The ranges
-    are written, so that every use of a row sees it in the same one.
+    A chunk with more than a ``HOT`` part of all rows is cut at some of its own (time, tie), so that a piece has about a
+    ``PIECES`` part. There are fewer than ``HOT`` such chunks and ``PIECES`` + ``HOT`` cuts, whatever the table, which is
+    what every task gets. Cuts are picked by a hash of what they are made of: whoever computes them finds the same ones,
+    and nothing has to be stored.
     """
-    return by_range(df, [*s.keys, s.time, *tie])
+    chunked = by_time_chunk(df, s)
+    by = [*s.keys, CHUNK]
+    sizes = chunked.groupBy(*by).agg(F.count("*").alias(COUNT))
+    total = sizes.agg(F.sum(COUNT)).scalar()
+    hot = sizes.filter((F.col(COUNT) > s.chunk) & (F.col(COUNT) * HOT > total)).withColumn("_share", F.col(COUNT) / total)
+    place = F.struct(s.time, *tie)
+    hashed = F.pmod(F.xxhash64(s.time, *tie), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # Among ``OVER`` * pieces places picked at random, every ``OVER``-th is a cut.
+    wanted = OVER * PIECES * F.col("_share")
+    picked = _null_safe(chunked, F.broadcast(hot), by).filter(hashed * F.col(COUNT) < wanted).select(*by, place.alias("_place")).distinct()
+    at = F.sort_array(F.collect_list("_place"))
+    cuts = picked.groupBy(*by).agg(F.filter(at, lambda x, i: i % OVER == OVER - 1).alias("_cuts"))
+    cuts = cuts.withColumn("_heads", F.filter("_cuts", lambda x, i: i % OVER == 0))
+    rows = _null_safe(chunked, F.broadcast(cuts), by, "left")
+    # The number of cuts at or before a row: heads first, then the cuts behind the last head that is.
+    heads = F.size(F.filter("_heads", lambda x: x <= place))
+    rest = F.size(F.filter(F.slice("_cuts", (F.greatest(heads, F.lit(1)) - 1) * OVER + 1, F.lit(OVER)), lambda x: x <= place))
+    piece = F.when(heads > 0, (heads - 1) * OVER + rest).otherwise(0)
+    return rows.withColumn(PIECE, F.coalesce(F.when(F.col("_cuts").isNotNull(), piece), F.lit(0))).select(*df.columns, CHUNK, PIECE)
+
+
+def _null_safe(rows: DataFrame, small: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns that may be null."""
+    named = small.select(*[F.col(c).alias(f"_of_{c}") for c in by], *[c for c in small.columns if c not in by])
+    on = reduce(and_, [rows[c].eqNullSafe(named[f"_of_{c}"]) for c in by])
+    return rows.join(F.broadcast(named), on, how).drop(*[f"_of_{c}" for c in by])
 
 
 def by_range(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -102,6 +134,33 @@ def by_range(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return settled(ranged, "ranges")
 
 
+def chunk_table(chunked: DataFrame, s: Series, *aggregates: Column) -> DataFrame:
+    """One row per (keys, chunk): the aggregates and the number of rows, combined map-side.
+
+    Raises for a chunk that is far from bounded, as when seconds are taken for hours.
+    """
+    table = chunked.groupBy(*s.keys, CHUNK).agg(F.count("*").alias(COUNT), *aggregates)
+    message = F.concat(F.lit("a chunk holds "), F.col(COUNT), F.lit(f" rows for {s.chunk} steps of {s.step}: give the series its sampling interval"))
+    return table.filter(F.when(F.col(COUNT) <= s.chunk * CROWD, True).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def ends(s: Series) -> list[Column]:
+    """Aggregates that ``no_gaps`` needs of a chunk."""
+    return [F.min(INDEX).alias("_low"), F.max(INDEX).alias("_high")] if s.regular else []
+
+
+def no_gaps(table: DataFrame, s: Series) -> DataFrame:
+    """The chunk table of a regular series; raises if a step is left out of a series or there twice."""
+    if not s.regular:
+        return table
+    series = Window.partitionBy(*s.keys)
+    steps = F.max("_high").over(series) - F.min("_low").over(series) + 1
+    checked = table.withColumns({"_steps": steps, "_all": F.sum(COUNT).over(series)})
+    message = F.concat(F.lit("a regular series has "), F.col("_all"), F.lit(" rows for "), F.col("_steps"), F.lit(" steps"))
+    fine = F.when(F.col("_steps") == F.col("_all"), True).otherwise(F.raise_error(message).cast("boolean"))
+    return checked.filter(fine).drop("_steps", "_all", "_low", "_high")
+
+
 def spread(df: DataFrame, s: Series) -> DataFrame:
     """Shuffle by (keys, chunk).
 
@@ -121,15 +180,21 @@ def positioned(df: DataFrame, s: Series, tie: Sequence[str] = ()) -> tuple[DataF
 
     ``tie`` orders rows at the same time.
     """
-    chunked = by_range_chunk(df, s, tie) if tie else by_time_chunk(df, s)
-    state = chunked.groupBy(*s.keys, CHUNK).agg(F.count("*").alias(COUNT)).select(
-        *s.keys, CHUNK,
-        F.coalesce(F.sum(COUNT).over(s.earlier()), F.lit(0)).alias("_offset"),
-        F.sum(COUNT).over(Window.partitionBy(*s.keys)).alias(COUNT),
-    )
-    local = Window.partitionBy(*s.keys, CHUNK).orderBy(s.time, *tie)
-    numbered = join_state(spread(chunked, s).withColumn("_row", F.row_number().over(local)), state, s)
-    return numbered.withColumn(INDEX, F.col("_offset") + F.col("_row") - 1).drop("_offset", "_row"), state
+    series = Window.partitionBy(*s.keys)
+    if s.regular and not tie:  # the place is the number of steps since the first
+        chunked = by_time_chunk(df, s).withColumn(INDEX, s.slot())
+        table = chunk_table(chunked, s, *ends(s)).withColumn("_first", F.min("_low").over(series))
+        state = no_gaps(table, s).select(*s.keys, CHUNK, "_first", F.sum(COUNT).over(series).alias(COUNT))
+        return join_state(chunked, state, s).withColumn(INDEX, F.col(INDEX) - F.col("_first")).drop("_first"), state
+    chunked = by_tie_chunk(df, s, tie) if tie else by_time_chunk(df, s).withColumn(PIECE, F.lit(0))
+    by = [*s.keys, CHUNK, PIECE]
+    table = (chunked.groupBy(*by).agg(F.count("*").alias(COUNT)) if tie else chunk_table(chunked, s).withColumn(PIECE, F.lit(0)))
+    earlier = series.orderBy(CHUNK, PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    state = table.select(*by, F.coalesce(F.sum(COUNT).over(earlier), F.lit(0)).alias("_offset"), F.sum(COUNT).over(series).alias(COUNT))
+    local = Window.partitionBy(*by).orderBy(s.time, *tie)
+    numbered = chunked.repartition(*by).withColumn("_row", F.row_number().over(local)).join(state, by, "left")
+    rows = numbered.withColumn(INDEX, F.col("_offset") + F.col("_row") - 1).drop("_offset", "_row", PIECE)
+    return rows, state.select(*s.keys, CHUNK, COUNT).distinct()
 
 
 def with_position(df: DataFrame, s: Series, name: str = INDEX, tie: Sequence[str] = ()) -> DataFrame:
@@ -154,8 +219,25 @@ def with_halo(indexed: DataFrame, s: Series, before: int, after: int = 0) -> Dat
     return copies.withColumn(HOME, F.col(CHUNK) == s.chunk_of(F.col(INDEX)))
 
 
-def frame(s: Series, before: int, after: int = 0) -> WindowSpec:
-    return s.local(INDEX).rangeBetween(-before, after)
+def framed(df: DataFrame, s: Series, before: int, after: int = 0) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with the neighbours that their frames reach, and for a regular series the checked chunk table (see ``at_home``)."""
+    indexed = with_index(df, s)
+    table = no_gaps(chunk_table(indexed.withColumn(CHUNK, s.chunk_of(F.col(INDEX))), s, *ends(s)), s) if s.regular else None
+    return with_halo(indexed, s, before, after), table
+
+
+def at_home(rows: DataFrame, table: DataFrame | None, s: Series) -> DataFrame:
+    """Without the copies, when the frames are done. The chunk table raises if a regular series has gaps; it
+    is an aggregate over keys and times only, and comes to the rows where they are."""
+    own = rows.filter(HOME)
+    if table is None:
+        return own
+    return join_state(own, table.select(*s.keys, CHUNK, COUNT), s).filter(F.coalesce(F.col(COUNT) > 0, F.lit(True)))
+
+
+def whole(s: Series) -> WindowSpec:
+    """All rows of a chunk, in the order that the frames have, so that one sort serves both."""
+    return s.local(INDEX).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def global_rank(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,6 +13,22 @@ from .joins import with_scalars
 from .layout import CHUNK, COUNT, INDEX, Series, join_state, positioned
 
 
+def _cosines(rows: DataFrame, upto: int) -> DataFrame:
+    """Columns ``_c1`` to ``_c<upto>``, cos(k * angle), from one cosine a row.
+
+    cos((m + j) a) = 2 cos(m a) cos(j a) - cos((m - j) a) gives as many again from those there are, so the
+    columns take log2(upto) projections and the rounding grows no faster than that.
+    """
+    c = lambda k: F.col(f"_c{k}") if k else F.lit(1.0)
+    if upto:
+        rows = rows.withColumn("_c1", F.cos((F.col(INDEX) * 2 + 1) * math.pi / (F.col(COUNT) * 2)))
+    m = 1
+    while m < upto:
+        rows = rows.withColumns({f"_c{m + j}": c(m) * c(j) * 2 - c(m - j) for j in range(1, min(m, upto - m) + 1)})
+        m = min(2 * m, upto)
+    return rows
+
+
 def dct_smooth(df: DataFrame, s: Series, columns: str | Sequence[str], max_val: int = 10,
                suffix: str = "_smooth", tie: Sequence[str] = ()) -> DataFrame:
     """Keep cosine coefficients 0..max_val of each series and transform back.
@@ -26,19 +42,18 @@ def dct_smooth(df: DataFrame, s: Series, columns: str | Sequence[str], max_val:
     # plans the shuffled rows are read twice instead of being shuffled twice.
     known = df.filter(reduce(and_, [F.col(k).isNotNull() for k in s.keys])) if s.keys else df
     rows, chunks = positioned(known, s, tie)
-    rows = rows.withColumn("_angle", (F.col(INDEX) * 2 + 1) * math.pi / (F.col(COUNT) * 2))
-    angle = F.col("_angle")
+    turned = _cosines(rows, max_val)
+    cosine = lambda k: F.col(f"_c{k}") if k else F.lit(1.0)
     coefficients = []
     for c in cols:
         # Only as many coefficients exist as the series has rows.
-        sums = [F.when(F.max(COUNT) > k, F.sum(F.col(c) * F.cos(angle * k)) * (2.0 if k else 1.0) / F.max(COUNT)).otherwise(0.0)
+        sums = [F.when(F.max(COUNT) > k, F.sum(F.col(c) * cosine(k)) * (2.0 if k else 1.0) / F.max(COUNT)).otherwise(0.0)
                 for k in range(max_val + 1)]
         complete = F.count(c) == F.max(COUNT)
         coefficients.append(F.when(complete, F.array(*sums)).alias(f"_x_{c}"))
-    found = rows.groupBy(*s.keys).agg(*coefficients)
+    found = turned.groupBy(*s.keys).agg(*coefficients)
     chunks = chunks.select(*s.keys, CHUNK)
     state = chunks.join(found, list(s.keys), "left") if s.keys else with_scalars(chunks, found)
-    out = join_state(rows, state, s)
-    smooth = {c + suffix: F.aggregate(F.transform(f"_x_{c}", lambda x, k: x * F.cos(angle * k)), F.lit(0.0), lambda a, b: a + b)
-              for c in cols}
+    out = _cosines(join_state(rows, state, s), max_val)
+    smooth = {c + suffix: reduce(add, [F.get(f"_x_{c}", F.lit(k)) * cosine(k) for k in range(max_val + 1)]) for c in cols}
     return out.withColumns(smooth).select(*df.columns, *smooth)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .fill import _names, next_known
 from .joins import join_dimension
-from .layout import (CHUNK, COUNT, HOME, INDEX, SO_FAR, Series, by_time_chunk, frame, join_state, spread,
+from .layout import (CHUNK, COUNT, HOME, INDEX, SO_FAR, Series, by_time_chunk, chunk_table, ends, join_state, no_gaps, spread,
                      with_halo, with_index, with_position)
 
 
@@ -23,7 +23,7 @@ def find_gaps(df: DataFrame, s: Series, column: str) -> DataFrame:
     runs are found by counting, and a run of any length is reduced map-side.
     """
     chunked = by_time_chunk(df.select(*s.keys, s.time, column), s)
-    state = chunked.groupBy(*s.keys, CHUNK).agg(F.count("*").alias(COUNT), F.count(column).alias("_seen")).select(
+    state = chunk_table(chunked, s, F.count(column).alias("_seen")).select(
         *s.keys, CHUNK,
         F.coalesce(F.sum(COUNT).over(s.earlier()), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("_seen").over(s.earlier()), F.lit(0)).alias("_seen_before"))
@@ -72,14 +72,12 @@ def lag_backfill(df: DataFrame, s: Series, column: str, lag: int, name: str = "l
     reachable = F.when(F.col("_first_at") <= F.col("_series_end"), F.col("_value"))
     # A chunk of the table need not be one that values land in (the first), so look up by
     # chunk number over both.
-    chunks = indexed.select(*s.keys, s.chunk_of(F.col(INDEX)).alias(CHUNK)).groupBy(*s.keys, CHUNK).agg(F.lit(1).alias("_own"))
+    chunks = no_gaps(chunk_table(indexed.withColumn(CHUNK, s.chunk_of(F.col(INDEX))), s, *ends(s)), s).select(*s.keys, CHUNK, F.lit(1).alias("_own"))
     state = chunks.join(summary.select(*s.keys, CHUNK, reachable.alias("_value")), [*s.keys, CHUNK], "full")
     state = state.withColumn("_after", F.last("_value", ignorenulls=True).over(s.later()))
     state = state.filter("_own = 1").select(*s.keys, CHUNK, "_after")
 
-    rows = with_halo(indexed, s, lag)
-    shifted = F.first(column).over(frame(s, lag).rangeBetween(-lag, -lag))
-    rows = rows.withColumn("_shifted", shifted)
+    rows = with_halo(indexed, s, lag).withColumn("_shifted", F.lag(column, lag).over(s.local(INDEX)))
     rows = rows.withColumn("_filled", F.coalesce(F.col("_shifted"), s.next_value("_shifted", INDEX)))
     rows = join_state(rows.filter(HOME), state, s)
     return rows.withColumn(name, F.coalesce("_filled", "_after")).select(*df.columns, name)
@@ -89,7 +87,7 @@ def running_abs_max(df: DataFrame, s: Series, columns: str | Sequence[str], pref
     """Largest absolute value so far, at every time at once."""
     cols = _names(columns)
     chunked = by_time_chunk(df, s)
-    state = chunked.groupBy(*s.keys, CHUNK).agg(*[F.max(F.abs(c)).alias(f"_{c}") for c in cols]).select(
+    state = chunk_table(chunked, s, *[F.max(F.abs(c)).alias(f"_{c}") for c in cols]).select(
         *s.keys, CHUNK, *[F.max(f"_{c}").over(s.earlier()).alias(f"_before_{c}") for c in cols])
     here = s.local().rowsBetween(*SO_FAR)
     rows = join_state(spread(chunked, s).withColumns({f"_here_{c}": F.max(F.abs(c)).over(here) for c in cols}), state, s)

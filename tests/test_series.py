@@ -1,4 +1,5 @@
 """Series operators against pandas, with chunks short enough that everything crosses them."""
+import math
 from datetime import timedelta
 
 import numpy as np
@@ -177,6 +178,93 @@ def test_dct_constant_and_missing(hourly):
     assert np.isnan(back(spectral.dct_smooth(hourly([5.0, None, 5.0]), S, "x", 2), "x_smooth")).all()
 
 
+@pytest.mark.parametrize("offset,spread", [(1e9, 1e-3), (0.0, 1.0), (-1e12, 1e3)])
+def test_running_sums_do_not_cancel(spark, offset, spread):
+    """Means of a frame as exact as summing the frame itself, also behind a value far larger than the others."""
+    rng = np.random.default_rng(1)
+    x = offset + spread * rng.normal(size=700)
+    x[[40, 300]] = [1e17, np.inf]
+    pdf = pd.DataFrame({"entity": "a", "hourutc": pd.date_range("2022-01-01", periods=len(x), freq="h"), "x": x})
+    frames = [[float(v) for v in x[max(0, i - 23):i + 1] if np.isfinite(v)] for i in range(len(x))]
+    want = [math.fsum(f) / len(f) for f in frames]
+    for s in (REGULAR.over(chunk=4096), REGULAR.over(chunk=50), S.over(chunk=300)):
+        got = back(fill.rolling_mean(to_spark(spark, pdf), s, "x", 24), "rolling")
+        np.testing.assert_allclose(got, want, rtol=1e-15, atol=1e-15 * spread)
+
+
+def test_small_spreads_correlate(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=300)
+    y = x + rng.normal(size=300)
+    pdf = pd.DataFrame({"entity": "a", "hourutc": pd.date_range("2022-01-01", periods=300, freq="h"), "x": 1e9 + 1e-2 * x, "y": y})
+    pdf.loc[100, "x"] = 1e15
+    got = back(correlate.sliding_corr(to_spark(spark, pdf), REGULAR, "x", "y", 8), "corr")
+    for i in range(4, 296):
+        frame = slice(i - 4, i + 4)
+        a, b = pdf.x.to_numpy()[frame], y[frame]
+        a, b = a - a[0], b - b[0]
+        assert got[i] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-7), i
+
+
+@pytest.mark.parametrize("width", [3, 4, 50])
+def test_sliding_corr_of_counted_positions(spark, width):
+    pdf = random_table(missing=0.0, drop=0.3, lengths=(2, 60, 300))
+    got = back(correlate.sliding_corr(to_spark(spark, pdf), S, "x", "y", width), "corr")
+    want = per_series(pdf, lambda g: g.x.rolling(width, center=True).corr(g.y))
+    np.testing.assert_allclose(got, want, atol=1e-6, equal_nan=True)
+
+
+def test_a_grid_with_holes_raises(spark, hourly):
+    hole = hourly([(0, 1.0), (1, 2.0), (3, 4.0), (40, None)])
+    twice = hourly([(0, 1.0), (1, 2.0), (1, 3.0)])
+    uses = [lambda d: fill.rolling_mean(d, REGULAR, "x", 2), lambda d: fill.impute_rolling(d, REGULAR, "x", 2), lambda d: windows.lag_backfill(d, REGULAR, "x", 1),
+            lambda d: correlate.sliding_corr(d, REGULAR, "x", "x", 2), lambda d: windows.series_position(d, REGULAR), lambda d: spectral.dct_smooth(d, REGULAR, "x", 1)]
+    for use in uses:
+        for df in (hole, twice):
+            with pytest.raises(Exception, match="a regular series has"):
+                use(df).collect()
+        assert use(hourly([1.0, None, 3.0])).count() == 3
+        assert use(hourly([])).count() == 0
+    assert fill.rolling_mean(hole, S, "x", 2).count() == 4
+
+
+def test_seconds_under_an_hourly_step_raise(spark):
+    seconds = spark.range(30_000).select(F.lit("a").alias("entity"), F.expr("timestamp_ntz '2022-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("hourutc"),
+                                         F.when(F.col("id") != 5, F.col("id").cast("double")).alias("x"))
+    for use in (lambda s: fill.rolling_mean(seconds, s, "x", 2), lambda s: fill.forward_fill(seconds, s, "x"), lambda s: windows.find_gaps(seconds, s, "x"),
+                lambda s: windows.running_abs_max(seconds, s, "x"), lambda s: windows.series_position(seconds, s)):
+        with pytest.raises(Exception, match="a chunk holds"):
+            use(S).collect()
+        assert use(S.over(step=timedelta(seconds=1), chunk=4096)).count() >= 0
+
+
+def test_places_of_many_rows_at_one_time(spark):
+    """Two thirds of the rows at one time of one series, half of those equal but for their number."""
+    n = 6000
+    rows = spark.range(n).select(F.when(F.col("id") % 3 > 0, F.lit("a")).otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("entity"),
+                                 F.expr("timestamp_ntz '2022-01-01 00:00:00' + make_dt_interval(0, if(id % 3 > 0, 5, id), 0, 0)").alias("hourutc"),
+                                 F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("tie"), "id").repartition(9)
+    got = windows.series_position(rows, S, tie=["tie", "id"]).collect()
+    want = pd.DataFrame([r.asDict() for r in rows.collect()]).sort_values(["entity", "hourutc", "tie", "id"], ignore_index=True)
+    want["position"] = want.groupby("entity").cumcount()
+    assert {r["id"]: r["position"] for r in got} == dict(zip(want.id, want.position)) and len(got) == n
+    from meterflow.operators import layout
+    pieces = layout.by_tie_chunk(rows, S, ["tie", "id"]).groupBy("entity", layout.CHUNK, layout.PIECE).count()
+    assert pieces.agg(F.max("count")).first()[0] < n / 50
+    nulls = rows.withColumns({"entity": F.lit("a"), "tie": F.lit(None).cast("string")})
+    assert sorted(r["position"] for r in windows.series_position(nulls, S, tie=["tie"]).collect()) == list(range(n))
+
+
+@pytest.mark.parametrize("offset", [0, 1, 60, 4100, 4500, 5999, 6000, 9000])
+def test_scan_offset(spark, offset):
+    from meterflow.operators import filters
+
+    rows = spark.range(6000).select(F.expr("timestamp_ntz '2022-01-01 00:00:00' + make_dt_interval(0, 0, 0, if(id % 3 > 0, 5000, id))").alias("hourutc"), (F.col("id") % 50).alias("tie"), "id")
+    got = filters.time_range(rows, "hourutc", "2022-01-01", "2022-02-01", offset, ["tie", "id"])
+    want = sorted(map(tuple, rows.collect()))[offset:]
+    assert got.columns == rows.columns and sorted(map(tuple, got.collect())) == want
+
+
 def test_asfreq_and_daily(spark, case):
     pdf, df, s = case
     got = resample.asfreq_ffill(df, s).toPandas().sort_values(["entity", "hourutc"])
