@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import row_id
-from ..functions.times import local_to_utc
-from ..operators import filters, resample, schema
+from ..functions.times import local_to_utc, ts
+from ..operators import filters, resample, schema, windows
 from ..plans import imputation, ingest
 from ..sources.html import extract_html_table
 from ..sources.records import read_records
@@ -20,13 +20,16 @@ from .views import Tables, sql
 ORDER_FIELDS = "OrderKey bigint, CustKey bigint, Status string, TotalPrice double, OrderDate string, Priority string"
 
 
-def _payload(t: Tables):
-    """Orders as API payload documents, one per line, each with the records of up to 500 orders."""
-    record = F.struct(
+def _record():
+    return F.struct(
         F.col("o_orderkey").alias("OrderKey"), F.col("o_custkey").alias("CustKey"), F.col("o_orderstatus").alias("Status"),
         F.col("o_totalprice").alias("TotalPrice"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("OrderDate"),
         F.col("o_orderpriority").alias("Priority"))
-    pages = t.orders.groupBy(F.expr("o_orderkey div 500")).agg(F.collect_list(record).alias("records"))
+
+
+def _payload(t: Tables):
+    """Orders as API payload documents, one per line, each with the records of up to 500 orders."""
+    pages = t.orders.groupBy(F.expr("o_orderkey div 500")).agg(F.collect_list(_record()).alias("records"))
     return pages.select(F.to_json(F.struct("records")).alias("value"))
 
 
@@ -42,6 +45,20 @@ def json_records(t):
     return read_records(t.spark, _land_payloads(t), ORDER_FIELDS, per_line=True)
 
 
+@query("json_one_document", """select o_orderkey as "OrderKey", o_custkey as "CustKey", o_orderstatus as "Status", o_totalprice as "TotalPrice",
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as "OrderDate", o_orderpriority as "Priority" from orders""")
+def json_one_document(t):
+    """All orders in one file, one document of one array, as a large download lands."""
+    folder = new_folder(t.spark, "document")
+    comma = F.when(F.col("o_orderkey") > t.orders.agg(F.min("o_orderkey")).scalar(), ",").otherwise("")
+    records = t.orders.select(F.concat(comma, F.to_json(_record())).alias("value"), F.col("o_orderkey").alias("at"))
+    head = t.spark.range(1).select(F.lit('{"total": 0, "links": [{"next": "}"}], "records": [').alias("value"), F.lit(None).cast("bigint").alias("at"))
+    tail = t.spark.range(1).select(F.lit("]}").alias("value"), F.lit((1 << 63) - 1).alias("at"))
+    lines = head.unionAll(records).unionAll(tail)
+    lines.repartition(1).sortWithinPartitions("at").select("value").write.text(folder)
+    return read_records(t.spark, folder, ORDER_FIELDS)
+
+
 @query("ingest_clean", """select o_orderkey as orderkey, o_custkey as custkey, o_orderstatus as status, o_totalprice as totalprice,
     cast(o_orderdate as timestamp) as orderdate, o_orderpriority as priority from orders""")
 def ingest_clean(t):
@@ -228,6 +245,18 @@ def to_utc(t):
     return t.orders.select("o_orderkey", local_to_utc("o_orderdate").alias("utc"))
 
 
+# A local clock made of the orders: one row every 37 seconds, in four series, over the end of summer time.
+_INSTANT = "2022-10-29 20:00:00"
+
+
+@query("local_to_utc_in_order", f"""select o_orderkey, o_custkey % 4 as area, timestamp '{_INSTANT}' + to_seconds(37 * o_orderkey) as utc from orders""")
+def to_utc_in_order(t):
+    instant = ts(_INSTANT) + F.make_dt_interval(secs=F.col("o_orderkey") * 37)
+    local = F.convert_timezone(F.lit("UTC"), F.lit("Europe/Copenhagen"), instant).cast("timestamp_ntz")
+    rows = t.orders.select("o_orderkey", (F.col("o_custkey") % 4).alias("area"), local.alias("hourdk"))
+    return windows.local_to_utc_in_order(rows, ["area"], "hourdk", ["o_orderkey"]).drop("hourdk")
+
+
 # Constant fills
 
 @query("fill_constant", sql("select entity, hourutc, coalesce(v, 0) as v, v_view, coalesce(v_error, 0) as v_error from "

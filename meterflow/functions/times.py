@@ -32,6 +32,6 @@ def month_of(c: Column | str) -> Column:
 
 
 def local_to_utc(c: Column | str, zone: str = "Europe/Copenhagen") -> Column:
-    """Wall-clock time in ``zone`` to UTC; a repeated autumn hour takes the earlier instant."""
+    """Wall-clock time in ``zone`` to UTC; a repeated autumn hour takes the earlier instant (see ``operators.windows.local_to_utc_in_order``)."""
     shifted = F.convert_timezone(F.lit(zone), F.lit("UTC"), _col(c).cast("timestamp_ntz"))
     return shifted.cast("timestamp_ntz")

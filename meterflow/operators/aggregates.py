@@ -38,38 +38,51 @@ def summary_by_group(df: DataFrame, key: str, column: str, how: str = "sum", nam
 
 
 def summaries_by_group(df: DataFrame, key: str, column: str, hows: Sequence[str]) -> DataFrame:
-    """Several named aggregates per group, a column each: one pass for all but the median."""
+    """Several named aggregates per group, a column each: one pass over the table, two with the median."""
     named = [how for how in hows if how != "median"]
     unknown = [how for how in named if how not in _AGGREGATES]
     if unknown:
         raise ValueError(f"unknown aggregates {unknown}")
-    result = _known(df, [key]).groupBy(key).agg(F.count("*").alias("_rows"), *[_AGGREGATES[how](column).alias(how) for how in named]).drop("_rows")
     if "median" in hows:
-        result = result.join(median_by_group(df, key, column, "median"), key, "left")
+        return _with_median(df, key, column).select(key, *hows)
+    result = _known(df, [key]).groupBy(key).agg(F.count("*").alias("_rows"), *[_AGGREGATES[how](column).alias(how) for how in named])
     return result.select(key, *hows)
 
 
 def median_by_group(df: DataFrame, key: str, column: str, name: str, accuracy: int = 100_000) -> DataFrame:
-    """Exact median per group without ordering a whole group.
+    """Exact median per group without ordering a whole group; a group without values is left out."""
+    rows = _known(df, [key]).filter(F.col(column).isNotNull())
+    return _with_median(rows, key, column, accuracy).select(key, F.col("median").alias(name))
 
-    An approximate quantile is off by at most 1/accuracy of the rows, so two of them
-    bracket the middle; counting the rows below the bracket leaves only those inside
-    it (a few in ``accuracy``) to be ordered, equal values as one counted row.
+
+def _with_median(df: DataFrame, key: str, column: str, accuracy: int = 100_000) -> DataFrame:
+    """All named aggregates and the exact median, from two passes.
+
+    The first is a mergeable quantile sketch, off by at most 1 / accuracy of the rows, so two of its quantiles bracket
+    the middle. The second reduces all rows of a group outside of the bracket to one row of partial aggregates, and those inside (a
+    few in ``accuracy``) to one per value; both are combined map-side. What is left to be ordered is inside the bracket.
     """
-    rows = _known(df, [key]).select(key, F.col(column).alias("_v")).filter("_v is not null")
+    rows = _known(df, [key]).select(key, F.col(column).cast("double").alias("_v"))
     margin = 2 / accuracy
-    bracket = rows.groupBy(key).agg(
-        F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_b"))
+    bracket = rows.groupBy(key).agg(F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_b"))
     bracket = bracket.select(key, F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"))
     placed = join_dimension(rows, bracket, key, key, ["_low", "_high"])
-    sizes = placed.groupBy(key).agg(F.count("*").alias("_n"), F.count_if(F.col("_v") < F.col("_low")).alias("_below"))
-    inside = placed.filter(F.col("_v").between(F.col("_low"), F.col("_high"))).groupBy(key, "_v").agg(F.count("*").alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(key).orderBy("_v"))
-    ordered = inside.join(sizes, key).withColumn("_last", F.col("_below") + upto)
-    first = F.col("_last") - F.col("_c") + 1
-    holds = [(first <= rank) & (F.col("_last") >= rank) for rank in (F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1"))]
-    middle = [F.max(F.when(h, F.col("_v"))) for h in holds]
-    return ordered.groupBy(key).agg(((middle[0] + middle[1]) / 2).alias(name))
+    inside = F.when(F.col("_v").between(F.col("_low"), F.col("_high")), F.col("_v")).alias("_at")
+    parts = placed.groupBy(key, inside).agg(
+        F.count("_v").alias("_n"), F.count_if(F.col("_v") < F.col("_low")).alias("_below"), F.sum("_v").alias("_sum"), F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"), F.avg("_v").alias("_mean"), F.var_pop("_v").alias("_var"))
+    group = Window.partitionBy(key)
+    n = F.sum("_n").over(group)
+    parts = parts.withColumns({"_all": n, "_under": F.sum("_below").over(group), "_center": F.sum("_sum").over(group) / F.nullif(n, F.lit(0)),
+                               "_last": F.sum(F.when(F.col("_at").isNotNull(), F.col("_n"))).over(group.orderBy("_at"))})
+    last = F.col("_under") + F.col("_last")
+    ranks = [F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")]
+    middle = [F.max(F.when(F.col("_at").isNotNull() & (last - F.col("_n") < rank) & (last >= rank), F.col("_at"))) for rank in ranks]
+    spread = F.sum(F.col("_n") * (F.col("_var") + (F.col("_mean") - F.col("_center")) * (F.col("_mean") - F.col("_center"))))
+    total = F.sum("_n")
+    return parts.groupBy(key).agg(
+        F.coalesce(F.sum("_sum"), F.lit(0.0)).alias("sum"), F.max("_center").alias("mean"), F.min("_min").alias("min"), F.max("_max").alias("max"),
+        total.alias("count"), F.sqrt(spread / F.nullif(total - 1, F.lit(0))).alias("std"), ((middle[0] + middle[1]) / 2).alias("median"))
 
 
 def summary_two_level(df: DataFrame, main: str, sub: str, column: str) -> DataFrame:

@@ -44,26 +44,30 @@ def sliding_corr(df: DataFrame, s: Series, x: str, y: str, width: int, name: str
     # Each block is measured from a value of its own, so that means keep the digits of the differences.
     anywhere = block.orderBy(INDEX).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns({f"_o{p}": F.first(f"_p{p}", ignorenulls=True).over(anywhere) for p in "xy"})
-    rows = rows.withColumns({f"_p{p}": F.col(f"_p{p}") - F.col(f"_o{p}") for p in "xy"})
+    rows = rows.withColumns({f"_q{p}": F.col(f"_p{p}") - F.col(f"_o{p}") for p in "xy"})
     rows = rows.withColumn("_end", _moments(back)).withColumn("_start", _moments(forth))
     along = Window.partitionBy(*s.keys, CHUNK).orderBy("_block", INDEX)
     rows = rows.withColumns({"_end": F.lag("_end", before).over(along), "_start": F.lead("_start", after).over(along)})
     one_block = F.pmod(F.col(INDEX) - before, F.lit(width)) == 0
-    alone = F.struct(*[F.col(f"_start.{k}") for k in ("n", "xx", "yy", "xy")])
+    alone = F.struct(*[F.col(f"_start.{k}") for k in ("n", *_SPREADS, *_PRODUCTS)])
     rows = rows.withColumn("_frame", F.when(one_block, alone).otherwise(_merged("_end", "_start")))
     m = lambda field: F.col(f"_frame.{field}")
-    usable = (m("n") == width) & (m("xx") > 0) & (m("yy") > 0)
+    usable = (m("n") == width) & (m("lx") < m("hx")) & (m("ly") < m("hy")) & (m("xx") > 0) & (m("yy") > 0)
     value = F.when(usable, m("xy") / (F.sqrt(m("xx")) * F.sqrt(m("yy"))))
     return at_home(rows, table, s).withColumn(name, value).select(*dict.fromkeys([*df.columns, name]))
 
 
+_SPREADS, _PRODUCTS = ("lx", "hx", "ly", "hy"), ("xx", "yy", "xy")
+
+
 def _moments(over: WindowSpec) -> Column:
-    """Count, origins, means from there and sums of squares and products about the means; a stretch without pairs has zeros."""
+    """Count, least and greatest values, origins, means from there and sums of squares and products about the means."""
     n = F.count("_px").over(over)
     scaled = lambda f: F.coalesce(f.over(over), F.lit(0.0))
     origin = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-    return F.struct(n.alias("n"), origin("_ox").alias("ox"), origin("_oy").alias("oy"), scaled(F.avg("_px")).alias("x"), scaled(F.avg("_py")).alias("y"),
-                    (scaled(F.var_pop("_px")) * n).alias("xx"), (scaled(F.var_pop("_py")) * n).alias("yy"), (scaled(F.covar_pop("_px", "_py")) * n).alias("xy"))
+    ends = [f(f"_p{c}").over(over).alias(k + c) for c in "xy" for k, f in (("l", F.min), ("h", F.max))]
+    return F.struct(n.alias("n"), *ends, origin("_ox").alias("ox"), origin("_oy").alias("oy"), scaled(F.avg("_qx")).alias("x"), scaled(F.avg("_qy")).alias("y"),
+                    (scaled(F.var_pop("_qx")) * n).alias("xx"), (scaled(F.var_pop("_qy")) * n).alias("yy"), (scaled(F.covar_pop("_qx", "_qy")) * n).alias("xy"))
 
 
 def _merged(a: str, b: str) -> Column:
@@ -71,6 +75,7 @@ def _merged(a: str, b: str) -> Column:
     f = lambda side, field: F.col(f"{side}.{field}")
     n = f(a, "n") + f(b, "n")
     share = F.coalesce(f(a, "n") * f(b, "n") / F.nullif(n, F.lit(0)), F.lit(0.0))
+    ends = [pick(f(a, k + c), f(b, k + c)).alias(k + c) for c in "xy" for k, pick in (("l", F.least), ("h", F.greatest))]
     dx, dy = ((f(b, "o" + c) - f(a, "o" + c)) + (f(b, c) - f(a, c)) for c in "xy")
     about = {"xx": dx * dx, "yy": dy * dy, "xy": dx * dy}
-    return F.struct(n.alias("n"), *[(f(a, k) + f(b, k) + d * share).alias(k) for k, d in about.items()])
+    return F.struct(n.alias("n"), *ends, *[(f(a, k) + f(b, k) + d * share).alias(k) for k, d in about.items()])

@@ -4,9 +4,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.times import epoch_micros, ts
+from ..functions.times import ts
 from .layout import Series, floor_div, with_position
 
 
@@ -17,28 +17,26 @@ def time_range(df: DataFrame, time: str, start, end, offset: int = 0, ties: Sequ
     """Rows from start up to but not including end; ``offset`` leaves out the first rows by (time, ties).
 
     The time of the row behind the offset is found by counting: rows per slot of the range, then per slot of the slot that holds
-    it, down to microseconds, at most ``SLOTS`` counts at a level. Later rows stay by a comparison; only rows at
-    that very time are numbered, by their ties. Everything is part of one plan; an offset past the last row leaves nothing.
+    it, down to microseconds. These are small jobs, each over one slot of the last, with at most ``SLOTS`` counts. Later rows then
+    stay by a comparison that reaches the scan, and only rows at that very time are numbered, by their ties. An offset
+    past the last row leaves nothing.
     """
     rows = df.filter((F.col(time) >= ts(start)) & (F.col(time) < ts(end)))
     if not offset:
         return rows
-    micros = epoch_micros(time)
-    span = int((_time(end) - _time(start)) / timedelta(microseconds=1))
-    low: Column = F.lit(int((_time(start) - _time("1970-01-01")) / timedelta(microseconds=1))).cast("bigint")
-    rank: Column = F.lit(offset).cast("bigint")
-    width = max(span, 1)
-    while width > 1:
-        step = -(-width // SLOTS)
-        inside = rows.filter((micros >= low) & (micros < low + width)).select(floor_div(micros - low, step).alias("_slot"))
-        counts = inside.groupBy("_slot").agg(F.count("*").alias("_n"))
-        upto = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_slot")))
-        slot = upto.filter((F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank))
-        found = slot.agg(F.max(F.struct((low + F.col("_slot") * step).alias("low"), (rank - F.col("_upto") + F.col("_n")).alias("rank")))).scalar()
-        low, rank, width = found.getField("low"), found.getField("rank"), step
-    then = rows.filter(micros == low)
-    placed = with_position(then, Series((), time, chunk=1), "_place", [*ties] or [time])
-    return rows.filter(micros > low).unionAll(placed.filter(F.col("_place") >= rank).select(*df.columns))
+    micro = timedelta(microseconds=1)
+    low, width, rank = _time(start), max(_time(end) - _time(start), micro), offset
+    while width > micro:
+        step = timedelta(microseconds=-(-(width // micro) // SLOTS))
+        slot = floor_div(F.timestamp_diff("MICROSECOND", ts(low), F.col(time)), step // micro)
+        counts = rows.filter((F.col(time) >= ts(low)) & (F.col(time) < ts(low + width))).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("slot")))
+        found = upto.filter((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)).first()
+        if found is None:
+            return rows.filter(F.lit(False))
+        low, rank, width = low + found["slot"] * step, rank - found["upto"] + found["n"], step
+    placed = with_position(rows.filter(F.col(time) == ts(low)), Series((), time, chunk=1), "_place", [*ties] or [time])
+    return rows.filter(F.col(time) > ts(low)).unionAll(placed.filter(F.col("_place") >= rank).select(*df.columns))
 
 
 def _time(value) -> datetime:

@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.times import local_to_utc
 from .fill import _names, next_known
 from .joins import join_dimension
 from .layout import (CHUNK, COUNT, HOME, INDEX, SO_FAR, Series, by_time_chunk, chunk_table, ends, join_state, no_gaps, spread,
@@ -115,3 +117,23 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[st
     rest = [c for c in df.columns if c not in (*keys, time)]
     first = F.min_by(F.struct(*rest), F.struct(*tie)).alias("_first")
     return df.groupBy(*keys, time).agg(first).select(*keys, time, "_first.*").select(*df.columns)
+
+
+def local_to_utc_in_order(df: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], zone: str = "Europe/Copenhagen",
+                          name: str = "utc", repeat: timedelta = timedelta(hours=1)) -> DataFrame:
+    """Wall-clock times of series to UTC, the pass of a repeated autumn hour found from the order of the rows.
+
+    Within one such hour of a series, the clock going back (or standing still) from one row to the next starts the second pass. Without such
+    a step the rows are taken for the first, the earlier instant. ``repeat`` is how far the zone's clock goes back. Only rows
+    in a repeated hour are ordered, by series and hour; all others are converted where they are. Rows without a time or order keep that.
+    """
+    first = local_to_utc(time, zone)
+    second = first + F.make_dt_interval(secs=F.lit(repeat.total_seconds()))
+    again = F.convert_timezone(F.lit("UTC"), F.lit(zone), second).cast("timestamp_ntz") == F.col(time).cast("timestamp_ntz")
+    marked = df.withColumns({"_first": first, "_again": F.coalesce(again, F.lit(False))})
+    once = marked.filter("not _again").select(*df.columns, F.col("_first").alias(name))
+    hour = Window.partitionBy(*keys, F.to_date("_first")).orderBy(*order)
+    back = F.coalesce((F.col(time) <= F.lag(time).over(hour)).cast("int"), F.lit(0))
+    steps = marked.filter("_again").withColumn("_back", back).withColumn("_passed", F.max("_back").over(hour.rowsBetween(*SO_FAR)))
+    shift = F.when(F.col("_passed") > 0, F.lit(repeat.total_seconds())).otherwise(F.lit(0.0))
+    return once.unionAll(steps.select(*df.columns, (F.col("_first") + F.make_dt_interval(secs=shift)).alias(name)))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+ROWS_PER_FRAME = 5_000
+
 
 class _TableText(HTMLParser):
     """Collects the cells of the first table carrying a class."""
@@ -116,11 +118,15 @@ def extract_html_table(pages: DataFrame, html_col: str, table_class: str, schema
     raw = T.StructType([*kept, *[T.StructField(n, T.StringType()) for n in names]])
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[tuple] = []
         for batch in batches:
-            for row in batch.itertuples(index=False):  # a page at a time: a batch may hold many large tables
-                found = [(*row[:-1], *[cells.get(n) for n in names]) for cells in first_table(row[-1], table_class)]
-                if found:
+            for row in batch.itertuples(index=False):
+                found += [(*row[:-1], *[cells.get(n) for n in names]) for cells in first_table(row[-1], table_class)]
+                if len(found) >= ROWS_PER_FRAME:  # some small tables or one large one: never all tables of a batch
                     yield pd.DataFrame(found, columns=raw.names)
+                    found = []
+        if found:
+            yield pd.DataFrame(found, columns=raw.names)
 
     cells = pages.select(*keep, html_col).mapInPandas(parse, raw)
     return cells.select(*keep, *[_typed(f.name, f.dataType) for f in schema.fields])

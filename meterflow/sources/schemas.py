@@ -11,7 +11,6 @@ SETTLEMENT_MEASURES = (
 EXCHANGE_MEASURES = ("exchangeno_mwh", "exchangese_mwh", "exchangenl_mwh", "exchangege_mwh", "exchangegb_mwh")
 WEATHER_MEASURES = ("coco", "dwpt", "prcp", "pres", "rhum", "snow", "temp", "tsun", "wdir", "wpgt", "wspd")
 PRICE_MEASURES = ("purchasepricedkk_kwh", "salespricedkk_kwh", "eexlowestpricesaledkk_kwh", "eexhighestpricepurchasedkk_kwh")
-NOT_FORECAST = ("id", "hourdk", "hourutc", "municipality", "municipalityno")
 
 
 def _doubles(names) -> str:
