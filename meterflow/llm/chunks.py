@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 NO_ID = -(1 << 62)
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -69,6 +69,8 @@ def texts_in_chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = C
                 yield batch.slice(begin, i - begin), [t or b"" for t in column.slice(begin, i - begin).to_pylist()]
                 begin, held = i, 0
             held += length or 0
+        del column, batch
+        pa.default_memory_pool().release_unused()  # workers live on: what the next step needs must be free
 
 
 class Words:

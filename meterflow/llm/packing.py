@@ -2,9 +2,9 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,45 +15,85 @@ from .chunks import Words, texts_in_chunks
 
 CAPACITY = 2048
 OPEN_BINS = 512
-ROWS_PER_BLOCK = 2_000
-KNOWN_WORDS = 3_000_000
-WORDS_PER_CALL = 10_000
+BYTES_PER_BLOCK = 4 << 20
+KNOWN_WORDS = 2_000_000
+WORDS_PER_CALL = 500
 CHUNK_BYTES = 2 << 20
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
+#: Words that the tokenizer's normalizer leaves as they are (lower-case, composed), and its parts of such words: fixed by the tokenizer.
+PLAIN = re.compile(r"[!-@\[-~ß-öø-ÿ]+")
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+END_OF_PART = "</w>"
+
+
 class WordIds:
     """Token ids of texts, by way of the ids of their words.
 
     The tokenizer puts letters in lower case and splits at white space before it merges, so a text has the ids of
-    its words in a row. Words met before are found by their hash in a sorted table, which is emptied when
+    its words in a row. Words met before are found by their hash in a sorted table of some 25 bytes a word, which is emptied when
     it holds ``KNOWN_WORDS``; a worker keeps it from task to task.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers
+
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(END_OF_PART)]] = True
+        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.begin, self.length = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.flat = np.empty(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+        self.key, self.begin, self.length = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint32)
+        self.flat = np.empty(0, self.kind)
+
+    def _encode(self, tokenizer, texts: list[str]) -> Iterator[np.ndarray]:
+        for i in range(0, len(texts), WORDS_PER_CALL):
+            yield from (np.array(e.ids, self.kind) for e in tokenizer.encode_batch_fast(texts[i:i + WORDS_PER_CALL], add_special_tokens=False))
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and the number of ids of each.
+
+        Plain words go to the tokenizer many at a time, joined by spaces: the ids that end a part are known, and so is the number of parts of
+        a word. If they don't add up, as a tokenizer of other parts would have it, and for all other words, each is a text of its own.
+        """
+        plain = np.fromiter((PLAIN.fullmatch(w) is not None and "<|" not in w for w in words), bool, len(words))
+        lengths, found = np.zeros(len(words), np.int64), [None] * 2
+        own = [w for w, p in zip(words, plain) if p]
+        if own:
+            joined = [" ".join(own[i:i + WORDS_PER_CALL]) for i in range(0, len(own), WORDS_PER_CALL)]
+            ids = np.concatenate(list(self._encode(self.plain, joined)))
+            parts = np.cumsum(np.fromiter((len(PARTS.findall(w)) for w in own), np.int64, len(own)))
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) == parts[-1] and ends[-1] == len(ids) - 1:
+                lengths[plain] = np.diff(ends[parts - 1], prepend=-1)
+                found[0] = ids
+            else:
+                plain[:] = False
+        rest = [w for w, p in zip(words, plain) if not p]
+        coded = list(self._encode(self.tokenizer, rest))
+        lengths[~plain] = np.fromiter(map(len, coded), np.int64, len(coded))
+        found[1] = np.concatenate([np.empty(0, self.kind), *coded])
+        if found[0] is None or not len(rest):
+            return (found[1] if found[0] is None else found[0]), lengths
+        out = np.empty(int(lengths.sum()), self.kind)
+        out[np.repeat(plain, lengths)], out[np.repeat(~plain, lengths)] = found
+        return out, lengths
 
     def learn(self, keys: np.ndarray, words: list[str]) -> None:
-        lengths, flats = [], [self.flat]
-        for i in range(0, len(words), WORDS_PER_CALL):
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(words[i:i + WORDS_PER_CALL], add_special_tokens=False)]
-            lengths += map(len, coded)
-            flats.append(np.fromiter(chain.from_iterable(coded), self.flat.dtype))
-        length = np.array(lengths, np.int64)
+        ids, length = self.encode(words)
         begin = len(self.flat) + np.cumsum(length) - length
-        self.flat = np.concatenate(flats)
+        self.flat = np.concatenate([self.flat, ids])
         place = np.searchsorted(self.key, keys)
-        self.key, self.begin, self.length = (np.insert(old, place, new) for old, new in
-                                             ((self.key, keys), (self.begin, begin), (self.length, length)))
+        for name, new in (("begin", begin), ("length", length), ("key", keys)):
+            old = getattr(self, name)
+            setattr(self, name, np.insert(old, place, new.astype(old.dtype)))
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
@@ -66,12 +106,12 @@ class WordIds:
         new = np.union1d(new, np.flatnonzero(place == len(self.key)))
         if len(new):
             spans = zip(words.begin[first[new]].tolist(), words.end[first[new]].tolist())
-            self.learn(keys[new], [words.bytes[a:b].decode() for a, b in spans])
+            self.learn(keys[new], [words.bytes[a:b].decode("utf-8", "replace") for a, b in spans])
             place = np.searchsorted(self.key, keys)
         place = place[word]
-        lengths = self.length[place]
+        lengths = self.length[place].astype(np.int64)
         ends = np.cumsum(lengths)
-        ids = self.flat[np.repeat(self.begin[place] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        ids = self.flat[np.repeat(self.begin[place].astype(np.int64) - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
         sums = np.concatenate([[0], ends])
         return ids, sums[words.first[1:]] - sums[words.first[:-1]]
 
@@ -121,12 +161,13 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     One row per piece: ``doc_id``, ``piece``, ``start`` (ids of the document before it), ``length``, ``ids_crc32``
     (of its ids as little-endian unsigned 32-bit numbers), ``sequence_id``, ``offset`` in the sequence, and with
     ``with_ids`` the ``ids``. Each task packs the documents it reads, one after the other, into bins of its own; at
-    most ``open_bins`` are open, so a task needs the same memory however many documents come. Nothing is shuffled. Parts of
-    fewer than some 2,000 documents are read together, as each part leaves a few bins part filled.
-    An empty or null text is the one id ``end_id``. Repeated rows are packed as often as they come.
+    most ``open_bins`` are open, so a task needs the same memory however many documents come. Nothing is shuffled. Parts with
+    texts of less than some 4 MB are read together, as each part leaves a few bins part filled.
+    An empty or null text is the one id ``end_id``. Repeated rows are packed as often as they come; null ids stay null. Bytes that are no UTF-8 are
+    read as replacement characters. Other columns are not read.
     """
     parts = docs.rdd.getNumPartitions()
-    blocks = max(1, docs.count() // ROWS_PER_BLOCK)
+    blocks = max(1, (docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0) // BYTES_PER_BLOCK)
     columns = SCHEMA + (", ids array<int>" if with_ids else "")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
