@@ -1,5 +1,5 @@
-"""Benchmark passages in documents: SimHash windows of the items' sizes, looked up by Hamming blocks, and the items' heaviest
-shingles, looked up by their hashes; verified on weighted shingles."""
+"""Benchmark passages in documents: SimHash windows of the items' sizes and of runs of their words, looked up by Hamming
+blocks and verified on weighted shingles."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -17,9 +17,11 @@ LADDER = 1.25
 SHORT = 10
 SHINGLE = 5
 THRESHOLD = 0.75
+#: Words of a window inside an item, and its radius (see ``run_size``).
+RUN = 13
+RUN_RADIUS = 3
 ITEMS_PER_PASS = 20_000
 CHUNK_BYTES = 1 << 19
-MARKS = 1 << 21
 
 #: A-Z to a-z; what is no letter, digit or part of a non-ASCII character to a space.
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -44,6 +46,18 @@ def window_size(length: int) -> tuple[int, int]:
     return size, STRIDE
 
 
+def run_size(length: int) -> tuple[int, int, int]:
+    """Words in the windows at every place of an item, the stride at which documents are read for them, and the number of those places.
+
+    A copy with a similarity of 3/4 lacks at most a seventh of the item's n shingles, so at most n / 35 words inside of it have
+    changed, and of the stretches between them one has some 30 n / (n + 35) shingles, 17 words or more from an item of 20 words on. Such
+    a stretch holds a document window of ``RUN`` words at a multiple of the stride, which is met at distance 0. Items of fewer than 17
+    words can have lost a word at one end, those of fewer than 11 none.
+    """
+    size, stride = (RUN, STRIDE) if length >= RUN + STRIDE else (length - STRIDE, STRIDE) if length >= RUN else (length - 1, 1) if length >= 11 else (length, 1)
+    return size, stride, length - size + 1
+
+
 def bit_sums(hashes: np.ndarray, longest: int) -> np.ndarray:
     """Running counts of set bits of the word hashes, one row per bit. They wrap around in the smallest type that tells
     the counts of ``longest`` words apart."""
@@ -104,11 +118,11 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """The benchmark items of one pass: shingles, their weights, by window size the blocks of their fingerprints, and their anchors.
+    """The benchmark items of one pass: shingles, their weights, and by window size the blocks of their fingerprints.
 
     A shingle weighs 1 / (number of different items of the whole benchmark that hold it): what many items share says little. ``shared``
-    has the shingles that several hold, ascending, and by how many. Items of the same words are one, with several ids. The anchors of an item are its heaviest
-    shingles, as many as weigh more than 1 - ``threshold`` of it all: words that hold none of them are less similar than ``threshold``.
+    has the shingles that several hold, ascending, and by how many. Items of the same words are one, with several ids. An item has a window of about its own size, met
+    within ``radius``, and the windows of ``RUN`` words at each of its places, met within ``RUN_RADIUS``.
     """
 
     def __init__(self, rows: list[tuple[int, bytes]], radius: int, threshold: float, shared: tuple[np.ndarray, np.ndarray] | None = None):
@@ -120,7 +134,7 @@ class Items:
         self.ids, texts = list(by_words.values()), [words.split() for words in by_words]
         self.threshold = threshold
         self.length = [len(w) for w in texts]
-        self.longest = max([window_size(n)[0] for n in self.length], default=1)
+        self.longest = max([max(window_size(n)[0], run_size(n)[0]) for n in self.length], default=1)
         hashes = [Words([b" ".join(words)], lower=False).hash for words in texts]
         #: by item: its different shingles, ascending, and how often it has each
         self.shingles = [np.unique(shingles(h), return_counts=True) for h in hashes]
@@ -132,29 +146,16 @@ class Items:
                 place = np.minimum(np.searchsorted(several, own), len(several) - 1)
                 self.weight[-1] = 1 / np.where(several[place] == own, held_by[place], 1)
         self.total = [float((w * n).sum()) for w, (_, n) in zip(self.weight, self.shingles)]
-        classes: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        anchors: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        classes: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
         for item, own in enumerate(hashes):
+            sums = bit_sums(own, self.longest)
             size, stride = window_size(len(own))
-            prints = fingerprints(bit_sums(own, self.longest), np.arange(stride), size)
-            classes.setdefault((size, stride), []).extend((int(p), item, o) for o, p in enumerate(prints))
-            picked = self._anchors(item)
-            anchors.setdefault(min(SHINGLE, len(own)), []).append((picked, np.full(len(picked), item)))
-        self.classes = [(size, stride, Blocks(np.array([r[0] for r in rows_], np.uint64), radius), [r[1:] for r in rows_])
-                        for (size, stride), rows_ in sorted(classes.items())]
-        self.anchors = {}
-        for size, found in anchors.items():
-            keys, item = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(keys, kind="stable")
-            marks = np.zeros(MARKS, bool)
-            marks[keys & np.uint64(MARKS - 1)] = True
-            self.anchors[size] = keys[order], item[order], marks
-
-    def _anchors(self, item: int) -> np.ndarray:
-        (own, n), weight = self.shingles[item], self.weight[item]
-        order = np.argsort(-weight, kind="stable")
-        held = np.cumsum((weight * n)[order])
-        return own[order[:np.searchsorted(held, (1 - self.threshold) * self.total[item] + 1e-9, side="right") + 1]]
+            run, run_stride, places = run_size(len(own))
+            for kind, offsets in (((size, stride, radius), stride), ((run, run_stride, min(radius, RUN_RADIUS)), places)):
+                prints = fingerprints(sums, np.arange(offsets), kind[0])
+                classes.setdefault(kind, []).extend((int(p), item, o) for o, p in enumerate(prints))
+        self.classes = [(size, stride, Blocks(np.array([r[0] for r in rows_], np.uint64), reach), np.array([r[1:] for r in rows_], np.int64))
+                        for (size, stride, reach), rows_ in sorted(classes.items()) if reach >= 0]
 
     def similarity(self, item: int, other: np.ndarray) -> float:
         """Weighted Jaccard similarity of the item's shingles with others. A shingle that is not the item's weighs as much as those
@@ -200,35 +201,24 @@ class Items:
         place = np.arange(len(words.hash)) - words.first[text]
         sums = bit_sums(words.hash, self.longest)
         length = np.array(self.length, np.int64)
-        met: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for size, stride, blocks, entries in self.classes:
             starts = np.flatnonzero((place % stride == 0) & (place + size <= counts[text]))
             if not len(starts):
                 continue
             own, held = blocks.within(fingerprints(sums, starts, size))
             if len(own):
-                item, offset = np.array(entries, np.int64)[held].T
-                begin = place[starts[own]] - offset
-                met.append((text[starts[own]], item, begin, begin))
-        for size, (keys, items, marks) in self.anchors.items():
-            grams = rolling(words.hash, size)
-            at = np.flatnonzero(marks[grams & np.uint64(MARKS - 1)])
-            first = np.searchsorted(keys, grams[at])
-            count = np.searchsorted(keys, grams[at], side="right") - first
-            at, first, count = (x[(count > 0) & (text[at] == text[at + size - 1])] for x in (at, first, count))
-            if not len(at):
-                continue
-            item = items[np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())]
-            at = np.repeat(at, count)
-            met.append((text[at], item, place[at] - length[item] + size, place[at]))
+                item, offset = entries[held].T
+                met.append((text[starts[own]], item, place[starts[own]] - offset))
         if not met:
             return
-        t, item, low, high = (np.concatenate(x) for x in zip(*met))
+        t, item, begin = (np.concatenate(x) for x in zip(*met))
         last = np.maximum(0, counts[t] - length[item])
         pairs, which = np.unique(t * len(length) + item, return_inverse=True)
         lows, highs = np.full(len(pairs), np.iinfo(np.int64).max), np.zeros(len(pairs), np.int64)
-        np.minimum.at(lows, which, np.clip(low, 0, last))
-        np.maximum.at(highs, which, np.clip(high, 0, last))
+        begin = np.clip(begin, 0, last)
+        np.minimum.at(lows, which, begin)
+        np.maximum.at(highs, which, begin)
         for pair, low_, high_ in zip(pairs.tolist(), lows.tolist(), highs.tolist()):
             t, item = divmod(pair, len(length))
             found = self.best(item, words.hash[words.first[t]:words.first[t + 1]], low_, high_)
@@ -241,9 +231,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     """Documents that hold a benchmark item: ``doc_id``, ``item_id``, ``first_word``, ``n_words``, ``similarity``.
 
     A place of a document holds an item if the weighted Jaccard similarity of the shingles of the item and of as many words
-    of the document is at least ``threshold``. Each window of a document that has the size of an item is hashed to 64 bits, and every pair of
-    fingerprints that differ in at most ``radius`` bits is tried; so is every place around one of the item's heaviest shingles,
-    one of which all such places hold, so that none is lost whatever was changed in a copy. A document gives one row per
+    of the document is at least ``threshold``. Windows of a document that have the size of an item, and short ones, are hashed to 64 bits, and
+    every pair of fingerprints within the radius of its size is tried: a copy with a stretch of ``RUN`` + 3 unchanged words is always met, as
+    are shorter items that lost a word at an end. A document gives one row per
     item, at its most similar (then first) place. Documents and items without words, and null ids of items,
     give none; rows repeated in either table repeat in the result. Weights are counted over the whole benchmark, so that passes decide
     nothing. Documents are read once for each
