@@ -70,17 +70,17 @@ def _prefixes(n: int) -> tuple[int, int]:
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    """Per row: document, its set's class, size and bitmaps; no class without words."""
+    """Per row: id, document, its set's class, size and bitmaps; no class without words."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in texts_in_chunks(batches, "text"):
             values, counts = shingle_sets(texts)
             sets = list(_of(values, counts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array([classes_of(s) if len(s) else None for s in sets], pa.int64()), pa.array(counts),
+                [batch.column("id"), batch.column("doc"), pa.array([classes_of(s) if len(s) else None for s in sets], pa.int64()), pa.array(counts),
                  pa.array([bitmap(s, own_bits(len(s))) if len(s) else None for s in sets], pa.binary()),
-                 pa.array([bitmap(s, TREE_BITS) if len(s) else None for s in sets], pa.binary())], ["doc", "class", "n", "bits", "tree"])
+                 pa.array([bitmap(s, TREE_BITS) if len(s) else None for s in sets], pa.binary())], ["id", "doc", "class", "n", "bits", "tree"])
 
-    return docs.select("doc", "text").mapInArrow(rows, "doc long, class long, n long, bits binary, tree binary")
+    return docs.select("id", "doc", "text").mapInArrow(rows, "id long, doc long, class long, n long, bits binary, tree binary")
 
 
 def _distinct(sets: list[np.ndarray]) -> dict[int, np.ndarray]:
@@ -127,20 +127,19 @@ def _across(rows: DataFrame, value: str) -> DataFrame:
             .where(F.col("_low") != F.col("_high")).drop("_low", "_high"))
 
 
-def _neighbours(shared: DataFrame) -> DataFrame:
-    """Pairs of a class with the most typical member under a shingle, and with the one next smaller in size, for a few of
-    its shingles: those with the least hash, which are the same ones for most of its near copies. The text that others are copies of is
-    the most typical: it holds what they share, and nothing of their own."""
-    own, by_class = Window.partitionBy("shingle"), Window.partitionBy("class")
-    counted = shared.withColumn("_members", F.count("*").over(own))
-    few = counted.withColumns({"_typical": F.sum("_members").over(by_class) / F.col("n"),
-                               "_place": F.row_number().over(by_class.orderBy(F.xxhash64("shingle"), "shingle"))})
-    few = few.where(F.col("_place") <= TRIED)
-    ahead = F.struct("class", "n")
-    both = few.select("class", "n", F.first(ahead).over(own.orderBy(F.desc("_typical"), "class")).alias("one"), F.lag(ahead).over(own.orderBy("n", "class")).alias("two"))
-    pairs = [both.where(F.col(x).isNotNull() & (4 * F.col(f"{x}.n") >= 3 * F.col("n")) & (4 * F.col("n") >= 3 * F.col(f"{x}.n")) & (F.col(f"{x}.class") != F.col("class")))
-             .select(F.least(f"{x}.class", "class").alias("a"), F.greatest(f"{x}.class", "class").alias("b")) for x in ("one", "two")]
-    return pairs[0].unionAll(pairs[1]).distinct()
+def _few(shared: DataFrame) -> DataFrame:
+    """A few of the shared shingles of every class: those with the least hash, which are the same ones for most of its near copies."""
+    by_class = Window.partitionBy("class").orderBy(F.xxhash64("shingle"), "shingle")
+    few = shared.withColumn("_place", F.row_number().over(by_class)).where(F.col("_place") <= TRIED).drop("_place")
+    return few.withColumn("component", F.col("class"))
+
+
+def _told_apart(entries: DataFrame) -> DataFrame:
+    """Without shingles that have the very members of another one: near copies share whole runs of them, and each would give the same pairs."""
+    member = F.xxhash64("class", "early").cast("decimal(38,0)")
+    groups = entries.groupBy("shingle").agg(F.sum(member).alias("members"), F.count("*").alias("n"))
+    one = groups.groupBy("members", "n").agg(F.min("shingle").alias("shingle")).select("shingle")
+    return entries.join(one, "shingle", "left_semi")
 
 
 class Tree:
@@ -170,6 +169,39 @@ class Tree:
         found[left[7 * overlap >= 3 * (low[a] + low[b])]] = True
         return found
 
+    def _overlap(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The largest part of two nodes' smallest members that can be shared."""
+        low, high, _, _, union, rest = self.levels[level]
+        common = np.bitwise_count(union[a] & union[b]).sum(1)
+        return np.minimum(np.minimum(high[a], high[b]), common + np.minimum(rest[a], rest[b])) / (low[a] + low[b])
+
+    def partners(self) -> tuple[np.ndarray, np.ndarray]:
+        """At most two pairs a member that may link: with the member whose signature overlaps most, found by going down both sides of
+        the tree with the ``FAN`` best partners of every node, and with the most typical member, whose signature has the bits that most have."""
+        top = len(self.levels[-1][0])
+        a, b = (x.ravel() for x in np.indices((top, top)))
+        for level in range(len(self.levels) - 1, -1, -1):
+            if level < len(self.levels) - 1:
+                size = len(self.levels[level][0])
+                a, b = (np.repeat(a * FAN, FAN * FAN) + np.tile(np.repeat(np.arange(FAN), FAN), len(a)),
+                        np.repeat(b * FAN, FAN * FAN) + np.tile(np.tile(np.arange(FAN), FAN), len(b)))
+                inside = (a < size) & (b < size)
+                a, b = a[inside], b[inside]
+            kept = self.may_link(level, a, b) if level else (a != b) & self.may_link(level, a, b)
+            a, b = a[kept], b[kept]
+            order = np.lexsort((b, -self._overlap(level, a, b), a))
+            a, b = a[order], b[order]
+            place = np.arange(len(a)) - np.searchsorted(a, a)
+            few = place < (FAN if level else 1)
+            a, b = a[few], b[few]
+        n, _, _, _, bits, _ = self.levels[0]
+        each = np.unpackbits(bits.view(np.uint8), axis=1)
+        most = each.sum(0, dtype=np.int64) * 2 > len(n)
+        typical = int(np.argmax(np.where(most, each, 0).sum(1, dtype=np.int64) * 2 - each.sum(1, dtype=np.int64)))
+        others = np.delete(np.arange(len(n)), typical)
+        others = others[self.may_link(0, others, np.full(len(others), typical))]
+        return np.concatenate([a, others]), np.concatenate([b, np.full(len(others), typical)])
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Members that may link, by going down both sides of the tree at once."""
         top = len(self.levels[-1][0])
@@ -187,8 +219,9 @@ class Tree:
         return a, b
 
 
-def _tree_pairs(grouped: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that may link, from rows (key, class, n, early, component, tree)."""
+def _tree_pairs(grouped: DataFrame, best: bool = False) -> DataFrame:
+    """Pairs of classes of different components that may link, from rows (key, class, n, early, component, tree): all, or for the members of
+    large groups the ``best`` ones."""
     parts = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def pairs_of(table: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
@@ -204,9 +237,11 @@ def _tree_pairs(grouped: DataFrame) -> DataFrame:
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
         found = [(a[k], b[k]) for k in [Tree(n, component, bits).may_link(0, a, b)]] if len(a) else []
         for begin, end in zip(starts[sizes > FAN].tolist(), ends[sizes > FAN].tolist()):
-            a, b = Tree(n[begin:end], component[begin:end], bits[begin:end]).pairs()
+            tree = Tree(n[begin:end], component[begin:end], bits[begin:end])
+            a, b = tree.partners() if best else tree.pairs()
             found.append((a + begin, b + begin))
         a, b = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in (0, 1))
+        a, b = np.minimum(a, b), np.maximum(a, b)
         kept = early[a] | (early[b] & (n[a] == n[b]))
         pairs = np.unique(np.stack([np.minimum(own[a], own[b])[kept], np.maximum(own[a], own[b])[kept]]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
@@ -312,32 +347,31 @@ def link_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     """Per document: ``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable over links, itself included.
 
     Two documents link if 100 * shared >= 75 * all of their distinct five-word shingles (fewer words: all as one). Equal
-    sets are one class. Linked sets share a shingle of their prefixes in one order of all shingles, the common ones last. Classes that share one
-    are first tied to a neighbour in size; where several components are left under a shingle, its
-    members stand in a signature tree, and both sides of it are descended, leaving out pairs of nodes that cannot
+    sets are one class. Linked sets share a shingle of their prefixes in one order of all shingles, the common ones last. Classes that share
+    one stand in a signature tree. Its best partners are verified first, which ties most near copies; then, where several components
+    are left under a shingle, both sides of its tree are descended once more, leaving out pairs of nodes that are tied or cannot
     link. Every pair that is left is verified on whole sets, so no link is lost and none is made up but for equal 64-bit hashes.
-    Documents without words or text link with nothing. Rows that repeat an id and its text give one row. A null id
-    links with nothing and gives null.
+    Documents without words or text link with nothing. A document is an id with a text: rows that repeat both give one row, two
+    texts under one id give two, and rows without an id link like others (a group without any id has a null ``component_id``).
     """
-    every = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).alias("text"))
-    own = every.where("doc is not null")
+    read = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
+    own = read.withColumn("doc", F.xxhash64("id", "text"))
     table = step(_documents(own), "documents")
     classes = step(table.where("class is not null").groupBy("class").agg(
-        F.min("doc").alias("rep"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("tree").alias("tree")), "classes")
+        F.min("doc").alias("rep"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("tree").alias("tree"), F.min("id").alias("low")), "classes")
+    signatures = classes.select("class", "tree")
     shared = step(_across(_entries(own, _common(own)), "class").distinct(), "shared")
-    first = _verified(_neighbours(shared), classes, own)
+    first = _verified(_tree_pairs(_dealt(step(_few(shared), "few")).join(signatures, "class"), best=True), classes, own)
     tied = step(components(first), "tied")
     labelled = shared.join(tied.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    apart = _dealt(step(_across(labelled, "component"), "apart")).join(classes.select("class", "tree"), "class")
+    apart = _dealt(_told_apart(step(_across(labelled, "component"), "apart"))).join(signatures, "class")
     second = _verified(_tree_pairs(apart), classes, own)
     joined = components(first.unionAll(second)).withColumnRenamed("id", "class")
-    reached = classes.select("class", "rep").join(joined, "class")
-    least = reached.groupBy("component").agg(F.min("rep").alias("least"))
-    of_class = classes.select("class", "rep").join(reached.select("class", "component"), "class", "left").join(least, "component", "left")
-    found = table.select("doc", "class", "n").distinct().join(of_class, "class", "left").select(
-        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("least", "rep", "doc").alias("component_id"))
-    nameless = _documents(every.where("doc is null")).select(F.lit(None).cast("long").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return found.unionAll(nameless)
+    reached = classes.select("class", "low").join(joined, "class")
+    least = reached.groupBy("component").agg(F.min("low").alias("least"))
+    of_class = classes.select("class", "low").join(reached.select("class", "component"), "class", "left").join(least, "component", "left")
+    return table.select("id", "doc", "class", "n").distinct().join(of_class, "class", "left").select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("least", "low", "id").alias("component_id"))
 
 
 def op4_signature_trees(spark, sf_dir: str) -> DataFrame:
