@@ -1,8 +1,12 @@
+import random
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
 from meterflow.llm import jaccard, toxicity
 from meterflow.llm.store import step
+from tests.llm.data import empty, odd, prose
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -45,3 +49,26 @@ def test_the_benchmark_is_gone_and_personal_data_too(spark, tables):
 def test_run_gives_the_last_table(spark, tables):
     got = corpus_pipeline.run(spark, SMALL)
     assert {(r["doc_id"], r["piece"], r["length"]) for r in got.collect()} == {(r["doc_id"], r["piece"], r["length"]) for r in tables[5].collect()}
+
+
+def test_near_copies_go_by_row(spark):
+    """Missing and repeated ids, further columns, an empty table: one row of each group stays, and no other text goes."""
+    rng = random.Random(9)
+    a, b, c = (prose(rng, 50) for _ in range(3))
+    rows = [(4, a), (2, a + " end"), (None, a), (None, b), (None, b), (6, b), (6, c), (8, c), (9, c), (9, c), (None, None), (1, ""), (1, "  "), (None, "few words here"), (None, "few words here")]
+    docs = spark.createDataFrame([(i, t, "x", 1, "r") for i, t in rows], "doc_id long, text string, row string, component_id int, _row string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert got == Counter([(2, a + " end"), (6, b), (6, c), (None, None), (1, ""), (1, "  "), (None, "few words here")])
+    assert corpus_pipeline.one_of_each_group(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_stages_take_odd_tables(spark):
+    """Every stage on null ids, repeated rows, empty texts and clashing names, and on an empty table."""
+    for docs in (odd(spark), empty(spark)):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = step(stage(spark, docs, SMALL), name)
+            if name != "packing":
+                assert docs.columns == odd(spark).columns
+        docs.count()

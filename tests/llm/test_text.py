@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -230,6 +231,38 @@ def test_groups_of_near_copies(spark, corpus, documents, monkeypatch, block, com
     assert len(set(group.values())) < len(group)
 
 
+def test_documents_are_told_apart_by_id_and_text(spark):
+    """Two texts under one id, copies without an id and a repeated row: every text is linked for itself."""
+    rng = random.Random(11)
+    one, two, three = (prose(rng, 40) for _ in range(3))
+    rows = [(1, one), (5, two), (5, three), (7, two), (None, three), (None, three), (None, one), (9, three + " more"), (3, None), (None, ""), (None, "alone in the world of words"), (1, one)]
+    got = Counter(map(tuple, jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == Counter([(1, 36, 1), (5, 36, 5), (5, 36, 5), (7, 36, 5), (None, 36, 5), (None, 36, 1), (9, 37, 5), (3, 0, 3), (None, 0, None), (None, 2, None)])
+
+
+def test_links_come_from_the_trees(spark, corpus, documents, monkeypatch):
+    want = sum(i != g for i, g in linked(corpus)[1].items())
+    monkeypatch.setattr(jaccard, "_tree_pairs", lambda grouped, best=False: grouped.select(F.col("class").alias("a"), F.col("class").alias("b")).where("false"))
+    assert want and jaccard.link_documents(documents).where("doc_id <> component_id").count() < want / 2
+
+
+def test_partners_are_few_and_tie_near_copies():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    sets = []
+    for _ in range(500):
+        own = base.copy()
+        at = rng.random(len(own)) < 0.05
+        own[at] = rng.integers(0, 1 << 63, at.sum()).astype(np.uint64)
+        sets.append(np.unique(own))
+    sets.sort(key=len)
+    bits = np.frombuffer(b"".join(jaccard.bitmap(s, jaccard.TREE_BITS) for s in sets), np.uint64).reshape(len(sets), -1)
+    a, b = jaccard.Tree(np.array([len(s) for s in sets]), np.arange(len(sets)), bits).partners()
+    assert len(a) <= 2 * len(sets) and (a != b).all()
+    true = [(x, y) for x, y in zip(a.tolist(), b.tolist()) if 7 * len(np.intersect1d(sets[x], sets[y])) >= 3 * (len(sets[x]) + len(sets[y]))]
+    assert len(set(groups_of(list(range(len(sets))), true).values())) < 0.1 * len(sets)
+
+
 def test_the_tree_loses_no_pair():
     rng = np.random.default_rng(4)
     sets = []
