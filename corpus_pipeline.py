@@ -1,7 +1,7 @@
 """The corpus pipeline: stages of the operators in ``meterflow.llm``, each written and read again.
 
 A document is dropped if it is scored as toxic, if it is a near-duplicate of one that stays (of each
-group the smallest id stays), or if it holds a benchmark item. In what is left personal data get surrogates, and the texts
+group the row with the smallest id stays, of rows that share it or have none one of them), or if it holds a benchmark item. In what is left personal data get surrogates, and the texts
 are packed into sequences.
 """
 from __future__ import annotations
@@ -28,9 +28,18 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least id, of each group of linked ones. Rows without an id stay."""
-    copies = step(link_documents(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_copy")), "copies")
-    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    """One document of each group of linked ones: the row with the least id, rows without an id last.
+
+    Rows are told apart by a number that is written with them, so neither repeated ids nor missing ones matter. Rows without words are in no group.
+    """
+    key = "row"
+    while key in docs.columns:
+        key += "_"
+    rows = step(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    groups = step(link_documents(rows, key).select(F.col("doc_id").alias("_row"), "component_id"), "groups")
+    named = groups.join(rows.select(F.col(key).alias("_row"), "doc_id"), "_row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row"))
+    return rows.join(first.select("_row"), rows[key] == F.col("_row"), "left_semi").drop(key)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
