@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from .layout import CHUNK, INDEX, SO_FAR, Series, at_home, floor_div, framed
+from .layout import CHUNK, INDEX, SO_FAR, Series, at_home, floor_div, framed, own_columns
 
 
 def align_series(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -54,7 +54,7 @@ def sliding_corr(df: DataFrame, s: Series, x: str, y: str, width: int, name: str
     m = lambda field: F.col(f"_frame.{field}")
     usable = (m("n") == width) & (m("lx") < m("hx")) & (m("ly") < m("hy")) & (m("xx") > 0) & (m("yy") > 0)
     value = F.when(usable, m("xy") / (F.sqrt(m("xx")) * F.sqrt(m("yy"))))
-    return at_home(rows, table, s).withColumn(name, value).select(*dict.fromkeys([*df.columns, name]))
+    return at_home(rows, table, s).withColumn(name, value).select(*dict.fromkeys([*own_columns(df), name]))
 
 
 _SPREADS, _PRODUCTS = ("lx", "hx", "ly", "hy"), ("xx", "yy", "xy")

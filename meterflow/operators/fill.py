@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import truncate_whole
 from .layout import (CHUNK, COUNT, CROWD, HOME, INDEX, SO_FAR, Series, at_home, by_time_chunk, chunk_table, ends, framed, join_state,
-                     no_gaps, spread, whole, with_halo, with_index)
+                     no_gaps, own_columns, reached, spread, whole, with_index)
 
 
 def last_known(column: str, order: str) -> Column:
@@ -33,7 +33,7 @@ def forward_fill(df: DataFrame, s: Series, columns: str | Sequence[str]) -> Data
     here = s.local().rowsBetween(*SO_FAR)
     filled = spread(chunked, s).withColumns({c: F.last(c, ignorenulls=True).over(here) for c in cols})
     out = join_state(filled, state, s)
-    return out.withColumns({c: F.coalesce(c, f"_before_{c}") for c in cols}).select(*df.columns)
+    return out.withColumns({c: F.coalesce(c, f"_before_{c}") for c in cols}).select(*own_columns(df))
 
 
 def backward_fill(df: DataFrame, s: Series, columns: str | Sequence[str]) -> DataFrame:
@@ -44,7 +44,7 @@ def backward_fill(df: DataFrame, s: Series, columns: str | Sequence[str]) -> Dat
         *s.keys, CHUNK, *[F.last(f"_{c}", ignorenulls=True).over(s.later()).alias(f"_after_{c}") for c in cols])
     filled = spread(chunked, s).withColumns({c: F.coalesce(F.col(c), s.next_value(c)) for c in cols})
     out = join_state(filled, state, s)
-    return out.withColumns({c: F.coalesce(c, f"_after_{c}") for c in cols}).select(*df.columns)
+    return out.withColumns({c: F.coalesce(c, f"_after_{c}") for c in cols}).select(*own_columns(df))
 
 
 def trailing_means(rows: DataFrame, s: Series, wanted: dict[str, tuple[str, int]]) -> DataFrame:
@@ -117,8 +117,8 @@ def impute(df: DataFrame, s: Series, rules: Iterable[Rule]) -> DataFrame:
 
     if rolling:
         indexed = with_index(df, s)
-        source = indexed.withColumn(CHUNK, s.chunk_of(F.col(INDEX)))
-        rows, order = with_halo(indexed, s, max(r.window for r in rolling) - 1), INDEX
+        source = indexed.withColumn(CHUNK, s.chunk_of(F.col(INDEX))) if not s.halo else indexed
+        rows, order = reached(df, indexed, s, max(r.window for r in rolling) - 1), INDEX
     else:
         source = by_time_chunk(df, s)
         rows, order = spread(source, s) if forward or backward else source, s.time
@@ -137,7 +137,7 @@ def impute(df: DataFrame, s: Series, rules: Iterable[Rule]) -> DataFrame:
         rows = rows.filter(HOME)
     if state is not None:
         rows = join_state(rows, state, s)
-    return rows.withColumns({r.column: _filled(r, s) for r in rules}).select(*df.columns)
+    return rows.withColumns({r.column: _filled(r, s) for r in rules}).select(*own_columns(df))
 
 
 def _chunk_state(source, s, order, forward, backward, gated) -> DataFrame | None:
@@ -194,7 +194,7 @@ def rolling_mean(df: DataFrame, s: Series, column: str, window: int = 24, name:
     """Trailing mean over ``window`` rows, missing values skipped; null where the frame has none."""
     rows, table = framed(df, s, window - 1)
     means = trailing_means(rows, s, {"_mean": (column, window)})
-    return at_home(means, table, s).withColumn(name, F.col("_mean")).select(*dict.fromkeys([*df.columns, name]))
+    return at_home(means, table, s).withColumn(name, F.col("_mean")).select(*dict.fromkeys([*own_columns(df), name]))
 
 
 def fill_constant(df: DataFrame, columns: Sequence[str], value=0) -> DataFrame:

@@ -42,6 +42,8 @@ class Series:
     ``chunk``    chunk length in steps: the most rows one window group holds
     ``regular``  True if no step is left out, i.e. row frames are time frames; saves the numbering pass that
                  other tables need for row frames. Row frames raise if a step is missing or there twice
+    ``halo``     of a table from ``sources.store.read_store``: rows are stored by chunk, with as many
+                 neighbours before and after it, and no operator within that reach shuffles them
     """
 
     keys: tuple[str, ...]
@@ -49,6 +51,7 @@ class Series:
     step: timedelta = timedelta(hours=1)
     chunk: int = 4096
     regular: bool = False
+    halo: tuple[int, int] | None = None
 
     def over(self, **changes) -> Series:
         return replace(self, **changes)
@@ -89,8 +92,16 @@ def floor_div(value: Column, by: int) -> Column:
     return F.round((value - F.pmod(value, F.lit(by))) / F.lit(by)).cast("bigint")
 
 
+HELPERS = (CHUNK, INDEX, HOME)
+
+
+def own_columns(df: DataFrame) -> list[str]:
+    """The columns of a table without those a stored one has beside them."""
+    return [c for c in df.columns if c not in HELPERS]
+
+
 def by_time_chunk(df: DataFrame, s: Series) -> DataFrame:
-    return df.withColumn(CHUNK, s.chunk_of(s.slot()))
+    return df.filter(HOME) if s.halo else df.withColumn(CHUNK, s.chunk_of(s.slot()))
 
 
 def by_tie_chunk(df: DataFrame, s: Series, tie: Sequence[str]) -> DataFrame:
@@ -162,12 +173,12 @@ def no_gaps(table: DataFrame, s: Series) -> DataFrame:
 
 
 def spread(df: DataFrame, s: Series) -> DataFrame:
-    """Shuffle by (keys, chunk).
+    """Shuffle by (keys, chunk), unless the rows are stored that way.
 
     Asked for, because rows already hashed by the keys alone would count as clustered,
     and the chunks of one long series would stay in one task.
     """
-    return df.repartition(*s.keys, CHUNK)
+    return df if s.halo else df.repartition(*s.keys, CHUNK)
 
 
 def join_state(df: DataFrame, state: DataFrame, s: Series) -> DataFrame:
@@ -205,6 +216,8 @@ def with_position(df: DataFrame, s: Series, name: str = INDEX, tie: Sequence[str
 
 def with_index(df: DataFrame, s: Series) -> DataFrame:
     """Add the index that row frames run over: the step number, or the counted position."""
+    if s.halo:
+        return df.filter(HOME)
     return df.withColumn(INDEX, s.slot()) if s.regular else with_position(df, s)
 
 
@@ -214,6 +227,8 @@ def with_halo(indexed: DataFrame, s: Series, before: int, after: int = 0) -> Dat
     A frame of ``before`` rows back and ``after`` rows on, ordered by the index, is
     then complete for every row marked as at home in its chunk.
     """
+    if s.halo:
+        raise ValueError("a stored table has its neighbours with it: see framed")
     first, last = s.chunk_of(F.col(INDEX) - after), s.chunk_of(F.col(INDEX) + before)
     copies = spread(indexed.withColumn(CHUNK, F.explode(F.sequence(first, last))), s)
     return copies.withColumn(HOME, F.col(CHUNK) == s.chunk_of(F.col(INDEX)))
@@ -222,8 +237,18 @@ def with_halo(indexed: DataFrame, s: Series, before: int, after: int = 0) -> Dat
 def framed(df: DataFrame, s: Series, before: int, after: int = 0) -> tuple[DataFrame, DataFrame | None]:
     """Rows with the neighbours that their frames reach, and for a regular series the checked chunk table (see ``at_home``)."""
     indexed = with_index(df, s)
-    table = no_gaps(chunk_table(indexed.withColumn(CHUNK, s.chunk_of(F.col(INDEX))), s, *ends(s)), s) if s.regular else None
-    return with_halo(indexed, s, before, after), table
+    chunked = indexed if s.halo else indexed.withColumn(CHUNK, s.chunk_of(F.col(INDEX)))
+    table = no_gaps(chunk_table(chunked, s, *ends(s)), s) if s.regular else None
+    return reached(df, indexed, s, before, after), table
+
+
+def reached(df: DataFrame, indexed: DataFrame, s: Series, before: int, after: int = 0) -> DataFrame:
+    """The rows with the neighbours that their frames reach: copied, or there already."""
+    if not s.halo:
+        return with_halo(indexed, s, before, after)
+    if before > s.halo[0] or after > s.halo[1]:
+        raise ValueError(f"frames reach {before} rows back and {after} on; the table is stored with {s.halo}")
+    return df
 
 
 def at_home(rows: DataFrame, table: DataFrame | None, s: Series) -> DataFrame:

@@ -24,20 +24,20 @@ def table_path(base: str, name: str, namespace: str) -> str:
     return f"{base.rstrip('/')}/{namespace}/{name}"
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     """The file system a path is in, and the class of its paths."""
     kind = spark._jvm.org.apache.hadoop.fs.Path
     return kind(path).getFileSystem(spark._jsc.hadoopConfiguration()), kind
 
 
-def _listed(files, folder) -> list[str]:
+def listed(files, folder) -> list[str]:
     return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
 
 
 def _commits(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     """Number and version of every commit of a table, in order. A commit is an empty file whose name says all: it is there or not."""
-    files, kind = _files(spark, path)
-    names = [n.split(".", 2) for n in _listed(files, kind(f"{path}/{VERSIONS}")) if n.startswith("commit.")]
+    files, kind = files_of(spark, path)
+    names = [n.split(".", 2) for n in listed(files, kind(f"{path}/{VERSIONS}")) if n.startswith("commit.")]
     return sorted((int(number), version) for _, number, version in names)
 
 
@@ -99,7 +99,7 @@ def overwrite_table(df: DataFrame, base: str, name: str, namespace: str, add_id:
     left is removed by the next. The version before is kept for readers that already had found it.
     """
     spark, path = df.sparkSession, table_path(base, name, namespace)
-    files, kind = _files(spark, path)
+    files, kind = files_of(spark, path)
     version = f"v-{uuid.uuid4().hex}"
     df = nan_to_null(df)
     writer = (df.withColumn("id", row_id(*id_keys)) if add_id else df).write
@@ -116,19 +116,19 @@ def _drop_old(spark: SparkSession, path: str) -> None:
 
     Versions without a commit that another job may still be writing stay until a commit later than theirs has been followed by another.
     """
-    files, kind = _files(spark, path)
+    files, kind = files_of(spark, path)
     commits = _commits(spark, path)
     kept, old = commits[-2:], commits[:-2]
     for number, version in old:  # the rows first: a commit without rows is never the last one
         files.delete(kind(f"{path}/{VERSIONS}/{version}"), True)
         files.delete(kind(f"{path}/{VERSIONS}/commit.{number:012d}.{version}"), False)
     if len(kept) == 2:
-        for other in _listed(files, kind(path)):
+        for other in listed(files, kind(path)):
             if other != VERSIONS:
                 files.delete(kind(f"{path}/{other}"), True)
         committed = {v for _, v in kept}
         since = files.getFileStatus(kind(f"{path}/{VERSIONS}/commit.{kept[0][0]:012d}.{kept[0][1]}")).getModificationTime()
-        for other in _listed(files, kind(f"{path}/{VERSIONS}")):
+        for other in listed(files, kind(f"{path}/{VERSIONS}")):
             folder = kind(f"{path}/{VERSIONS}/{other}")
             if other.startswith("v-") and other not in committed and files.getFileStatus(folder).getModificationTime() < since:
                 files.delete(folder, True)

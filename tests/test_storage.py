@@ -71,20 +71,20 @@ class Stopping:
 def test_a_stopped_overwrite_leaves_one_whole_table(spark, tmp_path, monkeypatch, versions):
     """Stopped before every change of the file system in turn: the table read is the old one or the new one."""
     old, new = list(range(20)), list(range(100, 130))
-    real, stops = tables._files, 0
+    real, stops = tables.files_of, 0
     for stop in range(40):
         base = str(tmp_path / f"{versions}-{stop}")
         write_table(spark.createDataFrame([(x,) for x in (old if not versions else [1])], "x int"), base, "t", "n", add_id=False)
         for _ in range(versions):
             overwrite_table(spark.createDataFrame([(x,) for x in old], "x int"), base, "t", "n")
         left = [stop]
-        monkeypatch.setattr(tables, "_files", lambda s, p: (Stopping(real(s, p)[0], left), real(s, p)[1]))
+        monkeypatch.setattr(tables, "files_of", lambda s, p: (Stopping(real(s, p)[0], left), real(s, p)[1]))
         try:
             overwrite_table(spark.createDataFrame([(x,) for x in new], "x int"), base, "t", "n")
             done = True
         except KeyboardInterrupt:
             done, stops = False, stops + 1
-        monkeypatch.setattr(tables, "_files", real)
+        monkeypatch.setattr(tables, "files_of", real)
         assert rows_of(spark, base) == (old if stop == 0 else new)
         overwrite_table(read_table(spark, base, "t", "n").select((F.col("x") + 1).alias("x")), base, "t", "n")
         assert rows_of(spark, base) == [x + 1 for x in (old if stop == 0 else new)]
@@ -156,3 +156,40 @@ def test_summaries_with_median_scan_twice(spark):
     stored = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     text = aggregates.summaries_by_group(stored, "l_returnflag", "l_quantity", hows)._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") <= 2
+
+
+def test_a_stored_series_is_not_shuffled(spark, tmp_path):
+    from meterflow import Series
+    from meterflow.operators import correlate, fill
+    from meterflow.sources.store import plain, read_store, write_store
+
+    s = Series(("entity",), "hourutc", chunk=50, regular=True)
+    rows = spark.range(4000).select((F.col("id") % 4).alias("entity"), F.expr("timestamp_ntz '2022-01-01 00:00:00' + make_dt_interval(0, cast(id div 4 as int), 0, 0)").alias("hourutc"),
+                                    F.when(F.col("id") % 7 > 3, F.col("id") % 91 + 0.5).alias("x"), (F.col("id") % 13 * 1.0).alias("y"))
+    write_store(rows, s, str(tmp_path), "t", "n", before=30, after=5, buckets=6)
+    stored, series = read_store(spark, s, str(tmp_path), "t", "n")
+    assert series.halo == (30, 5) and sorted(map(str, plain(stored).collect())) == sorted(map(str, rows.collect()))
+    uses = {"W1": lambda d, k: fill.forward_fill(d, k, "x"), "W3": lambda d, k: fill.backward_fill(d, k, "x"), "W2": lambda d, k: fill.rolling_mean(d, k, "x", 24),
+            "W5": lambda d, k: fill.impute_threshold(d, k, "x", 24, 99.0), "W8": lambda d, k: correlate.sliding_corr(d, k, "y", "x", 2)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name, use in uses.items():
+            got = use(stored, series)
+            assert got.columns == use(rows, s).columns and sorted(map(str, got.collect())) == sorted(map(str, use(rows, s).collect())), name
+            text = use(stored, series)._jdf.queryExecution().executedPlan().toString()
+            assert "REPARTITION" not in text and "SelectedBucketsCount: 6 out of 6" in text, name
+            # What is shuffled are chunk tables: nothing with the rows' times.
+            lines = text.splitlines()
+            depth = lambda line: len(line) - len(line.lstrip(" :+-*(0123456789)"))
+            for i, line in enumerate(lines):
+                if "Exchange" in line:
+                    below = next(x for x in lines[i + 1:] if depth(x) > depth(line))
+                    assert "hourutc" not in below.split("[", 1)[-1] or "HashAggregate" in below or "Filter" in below, (name, line, below)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError, match="stored with"):
+        fill.rolling_mean(stored, series, "x", 40)
+    with pytest.raises(FileExistsError):
+        write_store(rows, s, str(tmp_path), "t", "n")
+    with pytest.raises(FileNotFoundError):
+        read_store(spark, s, str(tmp_path), "other", "n")
