@@ -1,19 +1,20 @@
-"""Language-model scores: Katz backoff from bigrams to words to the unknown word, with Good-Turing discounts."""
+"""Language-model scores: Katz backoff from runs of three tokens to pairs, words and the unknown word, with Good-Turing discounts."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .chunks import Words, document_id, document_key, mix, texts_in_chunks
 from .store import step
 from .toxicity import held_out
 
-DOCS_PER_BLOCK = 2_048
-TOKENS_AT_ONCE = 1_200_000
+ORDER = 3
+BLOCK_BYTES = 6 << 20
+PART_BYTES = 8 << 20
 CHUNK_BYTES = 1 << 20
 #: Counts up to this have discounts of their own.
 LARGEST = 5
@@ -26,12 +27,16 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words.hash, words.first[1:], END), words.count + 1
 
 
-def pair_keys(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places of tokens that follow another one in their text, and the hash of both."""
-    later = np.ones(len(tokens), bool)
-    later[np.cumsum(counts) - counts] = False
-    place = np.flatnonzero(later)
-    return place, mix(tokens[place - 1] * np.uint64(0xE7037ED1A0B428DB) + tokens[place])
+def runs(tokens: np.ndarray, counts: np.ndarray, order: int = ORDER) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For runs of 1, 2 .. ``order`` tokens that lie in one text: the place of the last token of each, and its hash."""
+    into = np.arange(len(tokens)) - np.repeat(np.cumsum(counts) - counts, counts)
+    key = mix(tokens ^ np.uint64(0x8EBC6AF09C88C6E3))
+    for n in range(order):
+        place = np.flatnonzero(into >= n)
+        if n:
+            key[place] = mix(before[place - 1] * np.uint64(0xE7037ED1A0B428DB) + tokens[place] + np.uint64(n))
+        yield place, key[place]
+        before = key.copy()
 
 
 @dataclass
@@ -64,147 +69,244 @@ class Discounts:
 
 @dataclass
 class Totals:
-    """Sums over the training tokens: ``tokens``, ``words`` (different ones), the discounts, and the probability of the unknown word."""
+    """Sums over the training tokens: ``tokens``, ``words`` (different ones), the discounts by length of run, and the probability of
+    the unknown word."""
     tokens: int
     words: int
-    word: Discounts
-    pair: Discounts
+    discounts: list[Discounts]
     unknown: float
 
     @classmethod
-    def fit(cls, seen: dict) -> Totals:
-        having = {k: [seen[f"n{k}_{r}"] for r in range(1, LARGEST + 2)] for k in (1, 2)}
-        word, pair = Discounts.fit(having[1]), Discounts.fit(having[2])
-        tokens, words = seen["tokens"] or 0, seen["words"]
-        small = np.array(having[1][:LARGEST], float)
-        r = np.arange(1, LARGEST + 1)
+    def fit(cls, tokens: int, words: int, having: list[list[int]]) -> Totals:
+        discounts = [Discounts.fit(h) for h in having]
+        small, r, word = np.array(having[0][:LARGEST], float), np.arange(1, LARGEST + 1), discounts[0]
         lost = ((1 - word.small) * r * small).sum() + LARGEST * (1 - word.small[-1]) * (words - small.sum())
-        return cls(tokens, words, word, pair, lost / tokens if tokens else 1.0)
+        return cls(tokens, words, discounts, lost / tokens if tokens else 1.0)
+
+
+@dataclass
+class Block:
+    """The different documents of a block: tokens, tokens per document, and how many of a document's rows are learnt from."""
+    number: int
+    names: list[int]
+    docs: np.ndarray
+    tokens: np.ndarray
+    counts: np.ndarray
+    learnt: np.ndarray
+
+    def types(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """By length of run: places of last tokens, the different hashes in order, the place of the first of each, and which each run is."""
+        for place, key in runs(self.tokens, self.counts):
+            yield place, *np.unique(key, return_index=True, return_inverse=True)
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers: the first, then the differences, in as many bytes as the largest needs."""
+    gaps = np.diff(keys)
+    width = max(1, (int(gaps.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + keys[:1].tobytes() + gaps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    width, own = packed[0], np.frombuffer(packed, np.uint8)[1:]
+    gaps = np.zeros((1 + max(0, len(own) - 8) // width, 8), np.uint8)
+    gaps[0] = own[:8]
+    gaps[1:, :width] = own[8:].reshape(-1, width)
+    return np.cumsum(gaps.view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
+    """Blocks, from rows (block, doc, train, text) in the order of block and doc. Rows that repeat a document are counted, not held."""
+    number, parts, names, docs, learnt = None, [], [], [], []
 
+    def done() -> Block:
+        tokens, counts = (np.concatenate(x) for x in zip(*parts))
+        return Block(number, names, np.array(docs, np.int64), tokens, counts, np.array(learnt, np.int64))
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Neighbouring documents of one block: block, tokens, tokens per document, whether it is learnt from."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    size, now = 0, None
-    join = lambda: tuple(np.concatenate(x) for x in zip(*held))
     for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
-        block, train = batch.column("block").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(block)]):
-            if held and (block[begin] != now or size > TOKENS_AT_ONCE):
-                yield now, *join()
-                held, size = [], 0
-            now = int(block[begin])
-            held.append((*tokens_of(texts[begin:end]), train[begin:end]))
-            size += len(held[-1][0])
+        fresh: list[bytes] = []
+        for block, name, doc, train, text in zip(*(batch.column(c).to_pylist() for c in ("block", "named", "doc", "train")), texts):
+            if block != number:
+                if fresh:
+                    parts.append(tokens_of(fresh))
+                if docs:
+                    yield done()
+                number, parts, names, docs, learnt, fresh = block, [], [], [], [], []
+            if docs and docs[-1] == doc:
+                learnt[-1] += train
+            else:
+                names.append(name)
+                docs.append(doc)
+                learnt.append(int(train))
+                fresh.append(text)
+        if fresh:
+            parts.append(tokens_of(fresh))
+    if docs:
+        yield done()
+
+
+def _counts(bits: int):
+    """A function from documents to rows (part, block, packed hashes and their counts in what is learnt from): every hash of a block
+    once. A part has the runs of one length whose hashes share their upper ``bits``; only parts that a block has runs in get a row."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
+        for block in _blocks(batches):
+            weight = np.repeat(block.learnt, block.counts)
+            for k, (place, key, _, which) in enumerate(block.types(), 1):
+                n = np.bincount(which, weight[place], len(key)).astype(np.uint32)
+                cut = np.append(np.searchsorted(key, edges), len(key))
+                parts = np.flatnonzero(np.diff(cut))
+                if not len(parts):
+                    continue
+                keys, counts = ([f(x[a:b]) for a, b in zip(cut[parts].tolist(), cut[parts + 1].tolist())] for f, x in ((_packed, key), (np.ndarray.tobytes, n)))
+                yield pa.RecordBatch.from_arrays([pa.array((parts * ORDER + k - 1).astype(np.int64)), pa.array(np.full(len(parts), block.number, np.int64)),
+                                                  pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["part", "block", "keys", "n"])
+    return rows
+
+
+def _totalled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each block asked for: the counts over all blocks, in the order it sent its hashes, doubled, and 1 more in the
+    one block that speaks for a run. One row of each part has its sums: tokens, different runs, and how many of them occur 1, 2 .. times."""
+    held: list[pa.RecordBatch] = []
+
+    def done() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = [_unpacked(x) for x in table["keys"].to_pylist()]
+        n = np.frombuffer(b"".join(table["n"].to_pylist()), np.uint32)
+        known, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        total = np.bincount(which, n, len(known)).astype(np.int64)
+        having = np.bincount(np.minimum(total, LARGEST + 2), minlength=LARGEST + 3)[1:LARGEST + 2]
+        answer = (total * 2)[which]
+        answer[first] += 1
+        ends = np.cumsum([len(x) for x in keys])
+        replies = [answer[b - len(x):b].astype(np.uint64 if answer.max() >> 32 else np.uint32).tobytes() for x, b in zip(keys, ends.tolist())]
+        sums = [[int(total.sum()), int((total > 0).sum()), *having.tolist()], *[None] * (table.num_rows - 1)]
+        arrays = [table[c].combine_chunks() for c in ("part", "block")] + [pa.array([len(x) for x in keys], pa.int64()), pa.array(replies, pa.binary()), pa.array(sums, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in arrays], ["part", "block", "size", "reply", "sums"])
+
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist() if len(part) else []
+        for begin, end in zip(starts, [*starts[1:], len(part)]):
+            if held and held[-1].column("part")[0].as_py() != part[begin]:
+                yield done()
+                held = []
+            held.append(batch.slice(begin, end - begin))
     if held:
-        yield now, *join()
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each block its words (1) and pairs (2), with their counts in what is learnt from."""
-    for block, tokens, counts, train in _blocks(batches):
-        learnt = np.repeat(train, counts)
-        place, pairs = pair_keys(tokens, counts)
-        for kind, keys, own in ((1, tokens, learnt), (2, pairs, learnt[place])):
-            key, index = np.unique(keys, return_inverse=True)
-            n = np.bincount(index, own, len(key)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), pa.array(np.full(len(key), block)),
-                                              pa.array(key.view(np.int64)), pa.array(n)], ["kind", "block", "key", "n"])
-
-
-def _looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, otherwise: np.ndarray | float) -> np.ndarray:
-    if not len(keys):
-        return np.broadcast_to(otherwise, asked.shape).copy()
-    place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return np.where(keys[place] == asked, values[place], otherwise)
-
-
-def _sorted_by_key(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    own = table.filter(pa.array(table["kind"].to_numpy() == kind))
-    key = own["key"].to_numpy().view(np.uint64)
-    order = np.argsort(key)
-    return key[order], own["c"].to_numpy()[order], own["owner"].to_numpy()[order]
-
-
-def _score_block(docs: pa.Table, looked: pa.Table, totals: Totals) -> pa.Table:
-    """Rows (0, document, its tokens, known ones, base and model score so far), (1, context, its count, what its pairs held by
-    this block take, what their second words have as words) and (2, document, context, times it backs off from it)."""
-    word_keys, word_counts, _ = _sorted_by_key(looked, 1)
-    pair_keys_, pair_counts, pair_owner = _sorted_by_key(looked, 2)
-    ids = docs["doc"].to_numpy()
-    parts = [tokens_of(texts) for _, texts in texts_in_chunks(docs.to_batches(), "text", CHUNK_BYTES)]
-    tokens, counts = (np.concatenate(x) for x in zip(*parts))
-    doc = np.repeat(np.arange(len(counts)), counts)
-    learnt = np.repeat(docs["train"].to_numpy(), counts)
-    c = _looked_up(word_keys, word_counts, tokens, 0).astype(np.int64)
-    base = np.log10((c + 1) / (totals.tokens + totals.words + 1))
-    single = np.where(c > 0, totals.word(c) / max(1, totals.tokens), totals.unknown)
-    place, pairs = pair_keys(tokens, counts)
-    types, first, index = np.unique(pairs, return_index=True, return_inverse=True)
-    local = np.bincount(index, learnt[place], len(types))
-    total = _looked_up(pair_keys_, pair_counts, types, local)
-    owner = _looked_up(pair_keys_, pair_owner.astype(float), types, 1.0) > 0
-    both, context = total[index], c[place - 1]
-    found = np.log10(single)
-    seen = both > 0
-    found[place[seen]] = np.log10(totals.pair(both[seen]) / context[seen])
-    n = len(counts)
-    rows = [(0, ids, counts, np.bincount(doc, c > 0, n), np.bincount(doc, base, n), np.bincount(doc, found, n))]
-    own = np.flatnonzero(owner & (total > 0))
-    at = place[first[own]]
-    contexts, which = np.unique(tokens[at - 1], return_inverse=True)
-    times = np.zeros(len(contexts))
-    times[which] = c[at - 1]
-    rows.append((1, contexts.view(np.int64), np.zeros(len(contexts), np.int64), times, np.bincount(which, totals.pair(total[own]), len(contexts)), np.bincount(which, single[at], len(contexts))))
-    off = ~seen & (context > 0)
-    back = np.unique(np.stack([doc[place[off]].astype(np.uint64), tokens[place[off] - 1]]), axis=1, return_counts=True)
-    rows.append((2, ids[back[0][0].astype(np.int64)], back[0][1].view(np.int64), back[1], np.zeros(len(back[1])), np.zeros(len(back[1]))))
-    columns = [np.concatenate([np.full(len(r[1]), r[0], np.int8) for r in rows]), *(np.concatenate([r[i] for r in rows]) for i in range(1, 6))]
-    kinds = [np.int8, np.int64, np.int64, np.float64, np.float64, np.float64]
-    return pa.table([pa.array(x.astype(k)) for x, k in zip(columns, kinds)], names=["kind", "id", "other", "x", "y", "z"])
+        yield done()
+
+
+_SCORES = "kind tinyint, id long, other long, x double, y double, z double, name long"
+
+
+def _scored(totals: Totals):
+    """A function from a block's replies and then its documents to rows (0, document, its tokens, known ones, base and model score so far),
+    (n, context of n tokens, -, its count, what the runs it begins take of it, what they have without its first token) for the runs that the block
+    speaks for, and (-n, document, context of n tokens, times it backs off from it)."""
+    def score(block: Block, replies: list[np.ndarray]) -> pa.RecordBatch:
+        size, n_docs = len(block.tokens), len(block.docs)
+        doc = np.repeat(np.arange(n_docs), block.counts)
+        count = np.zeros((ORDER, size), np.int64)        # of the run of n + 1 tokens that ends at each place
+        key = np.zeros((ORDER, size), np.uint64)
+        chance = np.zeros((ORDER, size))                 # of its last token, where it was seen
+        speaks: list[np.ndarray] = []
+        rows: list[tuple] = []
+        for k, (place, known, first, which) in enumerate(block.types()):
+            answer = replies[k]
+            count[k, place], key[k, place] = (answer >> 1)[which], known[which]
+            speaks.append(place[first[(answer & 1 == 1) & (answer > 1)]])
+            before = np.full(size, totals.tokens) if not k else np.concatenate([[0], count[k - 1, :-1]])
+            seen = place[count[k, place] > 0]
+            chance[k, seen] = totals.discounts[k](count[k, seen]) / before[seen]
+        chance[0, count[0] == 0] = totals.unknown
+        for k in range(1, ORDER):
+            at = speaks[k]
+            context, which = np.unique(key[k - 1, at - 1], return_inverse=True)
+            held = np.zeros(len(context))
+            held[which] = count[k - 1, at - 1]
+            rows.append((k, context.view(np.int64), np.zeros(len(context), np.int64), held, np.bincount(which, totals.discounts[k](count[k, at]), len(context)),
+                         np.bincount(which, chance[k - 1, at], len(context))))
+        open_, found = np.ones(size, bool), np.zeros(size)
+        into = np.arange(size) - np.repeat(np.cumsum(block.counts) - block.counts, block.counts)
+        for k in range(ORDER - 1, -1, -1):  # the longest run that was seen; on the way down, the contexts that were
+            seen = open_ & ((count[k] > 0) | (k == 0)) & (into >= k)
+            found[seen] = np.log10(chance[k, seen])
+            open_ &= ~seen
+            if k:
+                off = np.flatnonzero(open_ & (into >= k))
+                off = off[count[k - 1, off - 1] > 0]
+                pairs, times = np.unique(np.stack([doc[off].astype(np.uint64), key[k - 1, off - 1]]), axis=1, return_counts=True)
+                rows.append((-k, block.docs[pairs[0].astype(np.int64)], pairs[1].view(np.int64), times, np.zeros(len(times)), np.zeros(len(times))))
+        base = np.log10((count[0] + 1) / (totals.tokens + totals.words + 1))
+        rows.append((0, block.docs, block.counts, np.bincount(doc, count[0] > 0, n_docs), np.bincount(doc, base, n_docs), np.bincount(doc, found, n_docs)))
+        columns = [np.concatenate([np.full(len(r[1]), r[0], np.int8) for r in rows]), *(np.concatenate([r[i] for r in rows]) for i in range(1, 6))]
+        kinds = [np.int8, np.int64, np.int64, np.float64, np.float64, np.float64]
+        names = pa.array([None] * (len(columns[0]) - n_docs) + block.names, pa.int64())
+        return pa.RecordBatch.from_arrays([*(pa.array(x.astype(t)) for x, t in zip(columns, kinds)), names], ["kind", "id", "other", "x", "y", "z", "name"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[np.ndarray]] = {}
+
+        def texts() -> Iterator[pa.RecordBatch]:
+            """The documents; a block's replies, which come before them, are put aside."""
+            for batch in batches:
+                part = batch.column("part")
+                reply = part.is_valid().to_numpy(zero_copy_only=False)
+                edges = np.flatnonzero(np.concatenate([[True], reply[1:] != reply[:-1], [True]])) if len(reply) else [0]
+                for begin, end in zip(edges[:-1], edges[1:]):
+                    own = batch.slice(int(begin), int(end - begin))
+                    if not reply[begin]:
+                        yield own.select(["block", "named", "doc", "train", "text"])
+                        continue
+                    for block, part_, size, found in zip(*(own.column(c).to_pylist() for c in ("block", "part", "size", "reply"))):
+                        held = waiting.setdefault(block, [[np.empty(0, np.int64)] for _ in range(ORDER)])
+                        held[part_ % ORDER].append(np.frombuffer(found, np.uint64 if len(found) == 8 * size else np.uint32).astype(np.int64))
+
+        for block in _blocks(texts()):
+            yield score(block, [np.concatenate(x) for x in waiting.pop(block.number)])
+
+    return rows
 
 
 def score_documents(docs: DataFrame, learn, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Score every text under a model learnt from the rows where ``learn`` (a column; null: no) holds.
 
-    A document's tokens are its lower-cased words and one end. Pairs of tokens that were seen have their discounted count
-    over that of the first; others have the probability of the second alone times the weight that makes all of
-    the first's followers sum to 1; words not seen share one unknown word. Documents stand in blocks of neighbouring ids. A block
-    sends each of its words and pairs once; the tables of counts are partitioned by them; a block gets back only
-    what it can't know itself. Per row: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one) and
+    A document's tokens are its lower-cased words and one end. A run of three tokens that was seen has its discounted count over that
+    of the first two; others have the probability of their last two, found in the same way, times the weight that makes all that may follow the
+    first two sum to 1; so on down to single words, and words not seen share one unknown word. Documents are dealt to blocks of some
+    ``BLOCK_BYTES`` by a hash. A block sends the hash of each of its runs once with its count, packed, dealt to parts of the
+    table of counts; a part adds them up and answers every block with the counts in the order it asked. Blocks and parts are
+    streamed in sorted order. Per document: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one) and
     ``score``, both log10. Null and empty texts have the end alone. Rows that repeat an id count as often as they come in what is learnt, and
-    give one row if their texts agree; so do rows of one text without an id.
+    give one row if their texts agree; so do rows of one text without an id. Two texts under one id are two documents.
     """
-    every = docs.select(document_key(id_column, text).alias("doc"), F.coalesce(learn, F.lit(False)).alias("train"), F.col(text).alias("text"))
-    span = docs.agg(F.min(F.col(id_column).cast("long")).alias("low"), F.max(F.col(id_column).cast("long")).alias("high"), F.count("*").alias("n")).first()
-    low, high = span["low"] or 0, span["high"] or 0
-    width = max(1, (high - low + 1) * DOCS_PER_BLOCK // max(1, span["n"]))
-    every = every.withColumn("block", F.expr(f"(greatest(doc, {low}L) - {low}L) div {width}L"))
-    chosen = every.select("doc", "train", "block", "text")
-    rows = chosen.mapInArrow(_counts, "kind tinyint, block long, key long, n int")
-    own = Window.partitionBy("kind", "key")
-    counted = rows.withColumns({"c": F.sum("n").over(own), "_first": F.min("block").over(own), "_number": F.row_number().over(own.orderBy("block"))})
-    counted = counted.withColumn("owner", F.col("block") == F.col("_first"))
-    seen = Observation()
-    once = (F.col("_number") == 1) & (F.col("c") > 0)
-    sums = [F.count_if(once & (F.col("kind") == k) & (F.col("c") == r)).alias(f"n{k}_{r}") for k in (1, 2) for r in range(1, LARGEST + 2)]
-    sums += [F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("tokens"), F.count_if(once & (F.col("kind") == 1)).alias("words")]
-    asked = (F.col("kind") == 1) | ~F.col("owner") | (F.col("c") != F.col("n"))
-    looked = step(counted.observe(seen, *sums).where(asked).select("block", "kind", "key", "c", "owner"), "counts")
-    totals = Totals.fit(seen.get)
-
-    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score_block(left, right, totals)
-
-    parts = step(chosen.groupBy("block").cogroup(looked.groupBy("block")).applyInArrow(
-        scored, "kind tinyint, id long, other long, x double, y double, z double"), "scores")
-    weights = parts.where("kind = 1").groupBy("id").agg(F.max("x").alias("c"), F.sum("y").alias("taken"), F.sum("z").alias("lower")).select(
-        F.col("id").alias("other"), F.log10((1 - F.col("taken") / F.col("c")) / (1 - F.col("lower"))).alias("weight"))
-    backed = parts.where("kind = 2").select("id", "other", "x").join(weights, "other").groupBy("id").agg(F.sum(F.col("x") * F.col("weight")).alias("more"))
-    each = parts.where("kind = 0").groupBy("id").agg(F.max("other").alias("n_tokens"), F.max("x").cast("long").alias("n_known"), F.max("y").alias("base_score"), F.max("z").alias("found"))
+    sizes = docs.agg(F.sum(F.octet_length(text).cast("long")), F.count("*")).first()
+    weight = (sizes[0] or 0) + 8 * sizes[1]
+    blocks, bits = weight // BLOCK_BYTES + 1, (weight // PART_BYTES).bit_length()
+    every = docs.select(document_key(id_column, text).alias("named"), F.coalesce(learn, F.lit(False)).alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    every = every.withColumn("doc", F.xxhash64("named", "text")).withColumn("block", F.pmod("doc", F.lit(blocks)))
+    own = ["block", "named", "doc", "train", "text"]
+    dealt = every.select(*own).repartition("block").sortWithinPartitions("block", "doc")
+    sent = dealt.mapInArrow(_counts(bits), "part long, block long, keys binary, n binary")
+    answered = sent.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_totalled, "part long, block long, size long, reply binary, sums array<long>")
+    replies = step(answered, "replies")
+    sums = replies.where("sums is not null").select((F.col("part") % ORDER).alias("k"), F.posexplode("sums").alias("at", "n")).groupBy("k", "at").agg(F.sum("n").alias("n")).collect()
+    seen = np.zeros((ORDER, 3 + LARGEST), np.int64)
+    for r in sums:
+        seen[r["k"], r["at"]] = r["n"]
+    totals = Totals.fit(int(seen[0, 0]), int(seen[0, 1]), seen[:, 2:].tolist())
+
+    nothing = lambda **types: [F.lit(None).cast(t).alias(c) for c, t in types.items()]
+    left = replies.select("block", "part", "size", "reply", *nothing(named="long", doc="long", train="boolean", text="string"))
+    right = every.select("block", *nothing(part="long", size="long", reply="binary"), "named", "doc", "train", "text")
+    mixed = left.unionAll(right).repartition("block").sortWithinPartitions("block", F.col("part").asc_nulls_last(), "doc")
+    parts = step(mixed.mapInArrow(_scored(totals), _SCORES), "scores")
+    weights = parts.where("kind > 0").groupBy("kind", "id").agg(F.max("x").alias("c"), F.sum("y").alias("taken"), F.sum("z").alias("lower")).select(
+        (-F.col("kind")).cast("tinyint").alias("kind"), F.col("id").alias("other"), F.log10((1 - F.col("taken") / F.col("c")) / (1 - F.col("lower"))).alias("weight"))
+    backed = parts.where("kind < 0").select("kind", "id", "other", "x").join(weights, ["kind", "other"]).groupBy("id").agg(F.sum(F.col("x") * F.col("weight")).alias("more"))
+    each = parts.where("kind = 0").select("id", "name", F.col("other").alias("n_tokens"), F.col("x").cast("long").alias("n_known"), F.col("y").alias("base_score"), F.col("z").alias("found"))
     return each.join(backed, "id", "left").select(
-        document_id("id").alias("doc_id"), "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),
+        document_id("name").alias("doc_id"), "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),
         "base_score", (F.col("found") + F.coalesce("more", F.lit(0.0))).alias("score"))
 
 
