@@ -329,47 +329,76 @@ def test_a_repeated_row_is_one_document(spark):
 # language model
 
 def plain_model(rows, learn):
-    tokens = {i: split(ascii_lower(t)) + [None] for i, t in rows}
-    one, two = collections.Counter(), collections.Counter()
-    for i in tokens:
+    """Katz backoff of order three, by its definition: ``p(history, word)`` with at most two words of history."""
+    tokens = {n: split(ascii_lower(t)) + [None] for n, (i, t) in enumerate(rows)}
+    count = collections.Counter()
+    for n, (i, _) in enumerate(rows):
         if learn(i):
-            one.update(tokens[i])
-            two.update(zip(tokens[i], tokens[i][1:]))
-    total, words = sum(one.values()), len(one)
-    having = lambda c: [sum(v == r for v in c.values()) for r in range(1, katz.LARGEST + 2)]
-    d1, d2 = katz.Discounts.fit(having(one)), katz.Discounts.fit(having(two))
-    p1 = {w: float(d1(n)) / total for w, n in one.items()}
+            count.update(tuple(tokens[n][k:k + m]) for m in (1, 2, 3) for k in range(len(tokens[n]) - m + 1))
+    of = [{g: c for g, c in count.items() if len(g) == m} for m in (1, 2, 3)]
+    total, words = sum(of[0].values()), len(of[0])
+    d = [katz.Discounts.fit([sum(v == r for v in c.values()) for r in range(1, katz.LARGEST + 2)]) for c in of]
+    p1 = {w: float(d[0](n)) / total for (w,), n in of[0].items()}
     unknown = 1 - sum(p1.values()) if total else 1.0
-    after = collections.defaultdict(dict)
-    for (v, w), n in two.items():
-        after[v][w] = n
-    weight = {v: (1 - sum(float(d2(n)) for n in f.values()) / one[v]) / (1 - sum(p1[w] for w in f)) for v, f in after.items()}
-
-    def p(v, w):
-        if v in after:
-            return float(d2(after[v][w])) / one[v] if w in after[v] else weight[v] * p1.get(w, unknown)
-        return p1.get(w, unknown)
+    after = collections.defaultdict(list)
+    for g in count:
+        after[g[:-1]].append(g[-1])
+    weight = {}
+
+    def p(history, w):
+        if not history:
+            return p1.get(w, unknown)
+        if (*history, w) in count:
+            return float(d[len(history)](count[(*history, w)])) / count[history]
+        if history not in after:
+            return p(history[1:], w)
+        if history not in weight:
+            seen = after[history]
+            weight[history] = (1 - sum(p(history, x) for x in seen)) / (1 - sum(p(history[1:], x) for x in seen))
+        return weight[history] * p(history[1:], w)
 
     scores = {}
-    for i, t in tokens.items():
-        score = sum(math.log10(p(t[k - 1] if k else "", w)) for k, w in enumerate(t))
-        base = sum(math.log10((one[w] + 1) / (total + words + 1)) for w in t)
-        scores[i] = (len(t), sum(one[w] > 0 for w in t), total, base, score)
-    return scores, p, after, [*p1, "unknown word"]
+    for n, t in tokens.items():
+        score = sum(math.log10(p(tuple(t[max(0, k - 2):k]), w)) for k, w in enumerate(t))
+        base = sum(math.log10((count[(w,)] + 1) / (total + words + 1)) for w in t)
+        scores[n] = (len(t), sum(count[(w,)] > 0 for w in t), total, base, score)
+    return scores, p, [h for h in after if h], [*p1, "unknown word"]
 
 
-@pytest.mark.parametrize("per_block", [katz.DOCS_PER_BLOCK, 5])
-def test_scores_are_those_of_the_plain_model(spark, corpus, documents, monkeypatch, per_block):
-    monkeypatch.setattr(katz, "DOCS_PER_BLOCK", per_block)
+@pytest.mark.parametrize("block, part", [(katz.BLOCK_BYTES, katz.PART_BYTES), (3000, 2000)])
+def test_scores_are_those_of_the_plain_model(spark, corpus, documents, monkeypatch, block, part):
+    monkeypatch.setattr(katz, "BLOCK_BYTES", block)
+    monkeypatch.setattr(katz, "PART_BYTES", part)
     learn = lambda i: zlib.crc32(str(i).encode()) % 7 != 2
-    want, p, after, words = plain_model(corpus, learn)
-    for v in list(after)[:40]:
-        assert sum(p(v, w) for w in words) == pytest.approx(1, abs=1e-9)
+    want, p, histories, words = plain_model(corpus, learn)
+    for h in histories[:20] + [h for h in histories if len(h) == 2][:40]:
+        assert sum(p(h, w) for w in words) == pytest.approx(1, abs=1e-9)
     rows = katz.score_documents(documents, ~toxicity.held_out("doc_id", 7, 2)).collect()
+    of = {i: want[n] for n, (i, _) in enumerate(corpus)}
     assert len(rows) == len(corpus)
     for r in rows:
-        assert tuple(r)[1:4] == want[r["doc_id"]][:3]
-        assert tuple(r)[4:] == pytest.approx(want[r["doc_id"]][3:], abs=1e-8)
+        assert tuple(r)[1:4] == of[r["doc_id"]][:3]
+        assert tuple(r)[4:] == pytest.approx(of[r["doc_id"]][3:], abs=1e-8)
+
+
+def test_far_and_missing_ids_and_two_texts_under_one(spark, monkeypatch):
+    """Blocks don't depend on ids: a third of the rows without one, one far away, repeated rows, two texts under an id."""
+    monkeypatch.setattr(katz, "BLOCK_BYTES", 2000)
+    rng = random.Random(3)
+    rows = [(None if i % 3 == 0 else i, prose(rng, 30)) for i in range(120)] + [(1 << 60, prose(rng, 20)), (7, "ka lo ka lo"), (None, None)]
+    rows += [rows[1]] * 5
+    got = katz.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), F.lit(True)).collect()
+    want = plain_model([(i, t or "") for i, t in rows], lambda i: True)[0]
+    key = lambda x: (x[0] is None, x[0] or 0, round(x[-1], 6))
+    expected = sorted({(i, *want[n][:3], round(want[n][3], 6), round(want[n][4], 6)) for n, (i, t) in enumerate(rows)}, key=key)
+    assert sorted([(*tuple(r)[:4], round(r["base_score"], 6), round(r["score"], 6)) for r in got], key=key) == expected
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    for n, top in ((1, 1 << 63), (2, 10), (1000, 1 << 62), (50, 1 << 16)):
+        keys = np.unique(rng.integers(0, top, n).astype(np.uint64) + np.uint64(5))
+        assert (katz._unpacked(katz._packed(keys)) == keys).all()
 
 
 def test_a_model_learnt_from_nothing(spark):
