@@ -3,9 +3,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.joins import join_dimension
+from ..sources.storage import new_folder
 from .store import step
 
 #: Attempts in an entity's own format; each further one makes the format wider.
+HOT_SHARE = 0.02
 MAX_ROUNDS = 100
 
 # Patterns (Java syntax), titles, names and alphabets.
@@ -139,24 +142,29 @@ def _widened(kind: Column, core: Column, extra: Column) -> Column:
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """(``kind``, ``core``, ``gender``) with a ``surrogate`` each. Of entities with one candidate, and where it is itself an entity of the
     table, all but the first get the next candidate, until all surrogates differ from each other and from every entity, and family names from their own.
-    What has had no free candidate in ``MAX_ROUNDS`` attempts gets candidates of a wider format, as its own may hold no more."""
-    tried = entities.withColumn("attempt", F.lit(0))
+    A round is over those that are left, held against the surrogates that are taken. What has had no free candidate in ``MAX_ROUNDS`` attempts gets candidates of a wider format, as its own may hold no more."""
+    spark, folder = entities.sparkSession, new_folder(entities.sparkSession, "taken")
+    schema = "kind string, core string, gender string, surrogate string"
+    spark.createDataFrame([], schema).write.parquet(folder)
+    real = entities.select("kind", F.col("core").alias("surrogate"), F.lit(True).alias("real")).distinct()
+    same = Window.partitionBy("kind", "surrogate").orderBy("core", "gender")
+    last = lambda c: F.substring_index(c, " ", -1)
+    left, attempt = entities, 0
     while True:
         # The digest is stored before it is used: an expression over it would hash anew for each character.
-        hashed = step(tried.withColumn("digest", _digest(key, F.col("attempt"), F.col("kind"), F.col("core"))), "digests")
-        form = _widened(F.col("kind"), F.col("core"), F.col("attempt") - MAX_ROUNDS + 1)
+        hashed = step(left.withColumn("digest", _digest(key, F.lit(attempt), F.col("kind"), F.col("core"))), "digests")
+        form = _widened(F.col("kind"), F.col("core"), F.lit(attempt - MAX_ROUNDS + 1))
         made = step(hashed.withColumn("form", form).withColumn("surrogate", _surrogate(F.col("kind"), F.col("form"), F.col("gender"), F.col("digest")))
                     .drop("digest", "form"), "surrogates")
-        same = Window.partitionBy("kind", "surrogate").orderBy("attempt", "core", "gender")
-        real = entities.select("kind", F.col("core").alias("surrogate"), F.lit(True).alias("real")).distinct()
-        last = lambda c: F.substring_index(c, " ", -1)
+        taken = spark.read.schema(schema).parquet(folder).select("kind", "surrogate", F.lit(True).alias("taken"))
         same_family = (F.col("kind") == "person") & (last("surrogate") == last("core"))
-        judged = (made.withColumn("place", F.row_number().over(same)).join(real, ["kind", "surrogate"], "left")
-                  .withColumn("again", (F.col("place") > 1) | F.coalesce("real", F.lit(False)) | same_family))
-        judged = step(judged, "judged")
-        if not judged.where("again").limit(1).count():
-            return made.drop("attempt")
-        tried = judged.select("kind", "core", "gender", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+        again = (F.row_number().over(same) > 1) | same_family
+        judged = made.withColumn("again", again).join(real, ["kind", "surrogate"], "left").join(taken, ["kind", "surrogate"], "left")
+        judged = step(judged.withColumn("again", F.col("again") | F.coalesce("real", "taken", F.lit(False))), "judged")
+        judged.where("not again").select("kind", "core", "gender", "surrogate").write.mode("append").parquet(folder)
+        left, attempt = judged.where("again").select("kind", "core", "gender"), attempt + 1
+        if not left.limit(1).count():
+            return spark.read.schema(schema).parquet(folder)
 
 
 def _shaped(found: Column, kind: Column, surrogate: Column) -> Column:
@@ -206,7 +214,7 @@ def _person(mention: Column, people: Column) -> Column:
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text", with_count: bool = False) -> DataFrame:
     """The rows with every entity of ``text`` replaced; other columns stay, and with ``with_count`` a column
-    ``n_entities`` is added. Texts without entities, nulls and empty ones come back as they are, without a shuffle.
+    ``n_entities`` is added (in the place of one of that name). Texts without entities, nulls and empty ones come back as they are, without a shuffle.
 
     A person is found behind a title; the full and the family name are then found again in the same text, with or without one, and
     mean the same person (of several of one family name, the first with a full name). A name that has no title anywhere in its
@@ -223,7 +231,8 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", with_count:
     marked = whole.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
     marked = marked.withColumn("people", _people(F.col("found")))
     count = [F.lit(0).cast("long").alias("n_entities")] if with_count else []
-    plain = marked.where(F.size("found") == 0).select("row.*", *count)
+    own = [F.col(f"row.`{c}`") for c in docs.columns if not (with_count and c == "n_entities")]
+    plain = marked.where(F.size("found") == 0).select(*own, *count)
     with_names, some = _with_names(F.col("people")), F.size("people") > 0
     held = step(marked.where(F.size("found") > 0).withColumns({
         "number": F.monotonically_increasing_id(), "found": F.when(some, F.regexp_extract_all("body", with_names, F.lit(0))).otherwise(F.col("found")),
@@ -236,12 +245,16 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", with_count:
     gender = F.when(F.col("kind") != "person", "").otherwise(F.coalesce("person.gender", _gender(F.col("mention"))))
     each = each.withColumn("gender", gender).drop("person")
     given = assign(step(each.select("kind", "core", "gender").distinct(), "entities"), key)
-    shaped = each.join(given, ["kind", "core", "gender"]).select("number", "place", _shaped(F.col("mention"), F.col("kind"), F.col("surrogate")).alias("new"))
+    entity = F.struct("kind", "core", "gender")
+    each, given = each.withColumn("entity", entity), given.withColumn("entity", entity)
+    # One address may be a third of all mentions: those of hot entities are dealt over several tasks.
+    met = join_dimension(each, given, "entity", "entity", ["surrogate"], hot_share=HOT_SHARE)
+    shaped = met.select("number", "place", _shaped(F.col("mention"), F.col("kind"), F.col("surrogate")).alias("new"))
     lists = shaped.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("new"))
     joined = held.join(lists, "number").withColumn("new", F.col("new.new"))
     pieces = F.zip_with("between", F.concat("new", F.array(F.lit(""))), lambda a, b: F.concat(a, b))
     rows = joined.select(F.col("row").withField(f"`{text}`", F.array_join(pieces, "")).alias("row"), F.size("new").cast("long").alias("n_entities"))
-    return plain.unionByName(rows.select("row.*", *(["n_entities"] if with_count else [])))
+    return plain.unionByName(rows.select(*own, *([F.col("n_entities")] if with_count else [])))
 
 
 def op2_surrogates(spark, sf_dir: str) -> DataFrame:
