@@ -54,11 +54,17 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, id_column: str = "doc_id",
 
 
 def write_shards(docs: DataFrame, folder: str, shards: int = 8, id_column: str = "doc_id", text: str = "text") -> None:
-    """Write the documents as folders ``shard=0`` to ``shard=n``, rows of each file in the order of their slots."""
-    columns = tuple(c for c in docs.columns if c not in (id_column, "size", "text_crc32", "shard", "slot"))
-    dealt = shard_by_bytes(docs, shards, id_column, text, columns)
+    """Write the documents, all their columns as they are, as folders ``shard=0`` to ``shard=n``, rows of each file in the order of their
+    slots. If a column is named ``shard``, the folders are named ``shard_=0`` and so on. An empty table writes no shard."""
+    name = "shard"
+    while name in docs.columns:
+        name += "_"
+    # Carried as one value, the columns meet none of those that the cuts need.
+    whole = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("body"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    dealt = shard_by_bytes(whole, shards, "id", "body", ("row",))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt.repartitionByRange(parts, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
+    ordered = dealt.repartitionByRange(parts, "shard", "slot").sortWithinPartitions("shard", "slot")
+    ordered.select("row.*", F.col("shard").alias(name)).write.partitionBy(name).parquet(folder)
 
 
 def op9_byte_shards(spark, sf_dir: str) -> DataFrame:

@@ -143,7 +143,7 @@ def _kept(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
                 left = b" ".join(own)
                 digest.append(hashlib.sha256(left).hexdigest())
                 if with_text:
-                    kept.append(left.decode())
+                    kept.append(left.decode("utf-8", "replace"))
             names = "doc n_words n_removed kept_sha256" + " kept" * with_text
             yield _table(names, batch.column("doc"), np.array(total, np.int64), np.array(removed, np.int64), digest, *[kept] * with_text)
 
