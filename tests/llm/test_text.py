@@ -528,6 +528,38 @@ def test_shards_written_and_read(spark, documents, tmp_path):
     assert back.count() == documents.count() and {r["shard"] for r in back.select("shard").distinct().collect()} == {0, 1, 2}
 
 
+def test_written_shards_keep_every_column(spark, tmp_path):
+    """Columns named like those the cuts need come back as they were."""
+    rows = [(i, f"text {i}" * (i % 5), i + 1, "s", 2.0, "n", i, "t", 9) for i in range(50)] + [(None, None, 0, None, None, None, None, None, None)]
+    schema = "doc_id long, text string, size int, text_crc32 string, slot double, number string, start long, total string, shard int"
+    docs = spark.createDataFrame(rows, schema)
+    shards.write_shards(docs, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == {*docs.columns, "shard_"}
+    assert sorted(map(str, back.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    cuts = {r["doc_id"]: r["shard"] for r in shards.shard_by_bytes(docs.select("doc_id", "text"), 4).collect()}
+    assert {r["doc_id"]: r["shard_"] for r in back.collect()} == cuts
+
+
+def test_cuts_are_those_of_a_plain_sum(spark, corpus, documents):
+    """The cuts computed a second time: a row is in the shard that the middle of its bytes falls into."""
+    rows = sorted((i, len((t or "").encode()) + 1) for i, t in corpus)
+    total, at, want = sum(n for _, n in rows), 0, {}
+    for i, n in rows:
+        want[i] = min(4, (2 * at + n) * 5 // (2 * total))
+        at += n
+    assert {r["doc_id"]: r["shard"] for r in shards.shard_by_bytes(documents, 5).collect()} == want
+
+
+def test_a_count_column_and_a_hot_address(spark):
+    rows = [(i, "write to bob.smith@example.com now" if i % 2 else f"call user{i}@mail.org", 7) for i in range(300)]
+    got = pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string, n_entities int"), "k", with_count=True).collect()
+    assert len(got) == 300 and all(r["n_entities"] == 1 for r in got)
+    hot = {r["text"] for r in got if r["doc_id"] % 2}
+    rest = {r["text"] for r in got if not r["doc_id"] % 2}
+    assert len(hot) == 1 and "bob.smith@example.com" not in hot.pop() and len(rest) == 150
+
+
 def test_shards_of_one_repeated_row(spark):
     df = spark.createDataFrame([(7, "same")] * 800, "doc_id long, text string").repartition(4)
     counts = collections.Counter(r["shard"] for r in shards.shard_by_bytes(df, 8).collect())
@@ -567,6 +599,35 @@ def test_word_ids_are_those_of_whole_texts():
     assert [ids_of([t.encode()])[0].tolist() for t in texts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_bins_are_those_of_a_plain_packer():
+    """Best fit over a list of open bins, the fullest closed past the limit."""
+    rng = random.Random(2)
+    bins, open_, made = packing.OpenBins(64, 5), [], 0
+    for _ in range(3000):
+        length = rng.randint(1, 64)
+        fitting = [b for b in open_ if b[0] >= length]
+        if fitting:
+            best = min(b[0] for b in fitting)
+            chosen = [b for b in open_ if b[0] == best][-1]
+            open_.remove(chosen)
+        else:
+            chosen, made = (64, made), made + 1
+        want = (chosen[1], 64 - chosen[0])
+        if chosen[0] > length:
+            if len(open_) == 5:
+                fullest = min(b[0] for b in open_)
+                open_.remove([b for b in open_ if b[0] == fullest][-1])
+            open_.append((chosen[0] - length, chosen[1]))
+        assert bins.place(length) == want
+
+
+def test_bytes_that_are_no_text_do_not_stop_it(spark):
+    rows = spark.createDataFrame([(1, bytearray(b"good words"), 0), (2, bytearray(b"bad \xff\xfe bytes"), 0)], "doc_id long, raw binary, piece int")
+    odd_text = rows.select("doc_id", F.col("raw").cast("string").alias("text"), "piece")
+    assert packing.pack_documents(odd_text, TOKENS).count() == 2
+    assert substrings.remove_repeats(odd_text, with_text=True).count() == 2
+
+
 def test_best_fit_and_the_fullest_closes_first():
     bins = packing.OpenBins(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 9)] == [(0, 0), (1, 0), (1, 7), (2, 0)]
