@@ -5,6 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .chunks import Words, mix, rolling, texts_in_chunks
@@ -15,12 +16,15 @@ SHINGLE = 5
 #: Shingles that are ordered last, so that prefixes avoid them; bounds what is sent to every task.
 COMMON = 1 << 18
 COMMON_FROM = 8
-TREE_BITS = 512
+TREE_BITS = 2048
 MAX_BITS = 1 << 16
 FAN = 8
 BLOCK = 16_384
 TRIED = 6
+#: Shingles that a class carries along, by which pairs met under another one are known.
+CARRIED = 8
 MARKS = 1 << 24
+PAIRS_AT_ONCE = 100_000
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -142,6 +146,21 @@ def _told_apart(entries: DataFrame) -> DataFrame:
     return entries.join(one, "shingle", "left_semi")
 
 
+def _carried(entries: DataFrame) -> DataFrame:
+    """Per class the least of its shingles, and which of them are early."""
+    least = F.slice(F.sort_array(F.collect_list(F.struct("shingle", "early"))), 1, CARRIED)
+    return entries.groupBy("class").agg(least.alias("least")).select("class", F.col("least.shingle").alias("least"), F.col("least.early").alias("least_early"))
+
+
+def _padded(lists: pa.ChunkedArray, otherwise) -> np.ndarray:
+    """Lists of at most ``CARRIED`` values as rows of a matrix."""
+    lists = lists.combine_chunks()
+    lengths = pc.list_value_length(lists).to_numpy()
+    out = np.full((len(lengths), CARRIED), otherwise)
+    out[np.arange(CARRIED) < lengths[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
 class Tree:
     """Members in the order of their sizes; ``FAN`` nodes make one of the next level. A node has the range of its
     members' sizes and components, the bitmaps of all combined, and the most shingles that share a bit with another in one member."""
@@ -220,8 +239,10 @@ class Tree:
 
 
 def _tree_pairs(grouped: DataFrame, best: bool = False) -> DataFrame:
-    """Pairs of classes of different components that may link, from rows (key, class, n, early, component, tree): all, or for the members of
-    large groups the ``best`` ones."""
+    """Pairs of classes of different components that may link, from rows (key, shingle, class, n, early, component, tree): all, or for the
+    members of large groups the ``best`` ones. Where all are asked for, rows have what ``_carried`` gives, and a pair that also meets
+    under a lesser one of those shingles is left to that one.
+    """
     parts = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def pairs_of(table: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
@@ -243,6 +264,15 @@ def _tree_pairs(grouped: DataFrame, best: bool = False) -> DataFrame:
         a, b = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in (0, 1))
         a, b = np.minimum(a, b), np.maximum(a, b)
         kept = early[a] | (early[b] & (n[a] == n[b]))
+        if not best:
+            a, b = a[kept], b[kept]
+            shingle, least, least_early = table["shingle"].to_numpy(), _padded(table["least"], np.iinfo(np.int64).max), _padded(table["least_early"], False)
+            kept = np.ones(len(a), bool)
+            for i in range(0, len(a), PAIRS_AT_ONCE):
+                x, y = a[i:i + PAIRS_AT_ONCE], b[i:i + PAIRS_AT_ONCE]
+                same = (least[x][:, :, None] == least[y][:, None, :]) & (least[x] < shingle[x][:, None])[:, :, None]
+                met = same & (least_early[x][:, :, None] | (least_early[y][:, None, :] & (n[x] == n[y])[:, None, None]))
+                kept[i:i + PAIRS_AT_ONCE] = ~met.any((1, 2))
         pairs = np.unique(np.stack([np.minimum(own[a], own[b])[kept], np.maximum(own[a], own[b])[kept]]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
@@ -364,8 +394,8 @@ def link_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     first = _verified(_tree_pairs(_dealt(step(_few(shared), "few")).join(signatures, "class"), best=True), classes, own)
     tied = step(components(first), "tied")
     labelled = shared.join(tied.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    apart = _dealt(_told_apart(step(_across(labelled, "component"), "apart"))).join(signatures, "class")
-    second = _verified(_tree_pairs(apart), classes, own)
+    apart = step(_told_apart(step(_across(labelled, "component"), "apart")), "told_apart")
+    second = _verified(_tree_pairs(_dealt(apart).join(signatures, "class").join(_carried(apart), "class")), classes, own)
     joined = components(first.unionAll(second)).withColumnRenamed("id", "class")
     reached = classes.select("class", "low").join(joined, "class")
     least = reached.groupBy("component").agg(F.min("low").alias("least"))
