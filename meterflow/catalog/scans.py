@@ -279,8 +279,10 @@ def fill_all(t):
     return rounded(imputation.impute_settlement(views.exchange(t)), "x_no", "x_se", "x_nl", "x_ge")
 
 
-@query("impute_price", sql("""select dt, round(purchase + 1e-9, 4) + 0.0 as purchase, case when purchase < 250000 then 0 else round(sales + 1e-9, 4) + 0.0 end as sales
-    from price order by dt""", "price"))
+@query("impute_price", """select dt, round(purchase + 1e-9, 4) + 0.0 as purchase, coalesce(round(sales + 1e-9, 4) + 0.0, 0) as sales from
+    (select cast(o_orderdate as date) as dt, avg(o_totalprice) as purchase, avg(o_totalprice) filter (o_orderstatus = 'P') as sales from orders group by 1) order by dt""")
 def impute_price(t):
-    rows = views.price(t).withColumn("sales", F.when(F.col("purchase") >= 250000, F.col("sales")))
+    """A day without an order of one status has no price for it."""
+    rows = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("dt")).agg(
+        F.avg("o_totalprice").alias("purchase"), F.avg(F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice"))).alias("sales"))
     return rounded(imputation.impute_price(rows, "dt", ["sales"]), "purchase", "sales", digits=4)
