@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .chunks import Words, document_id, document_key, mix, texts_in_chunks
@@ -115,74 +116,119 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.cumsum(gaps.view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
-    """Blocks, from rows (block, doc, train, text) in the order of block and doc. Rows that repeat a document are counted, not held."""
-    number, parts, names, docs, learnt = None, [], [], [], []
-
-    def done() -> Block:
-        tokens, counts = (np.concatenate(x) for x in zip(*parts))
-        return Block(number, names, np.array(docs, np.int64), tokens, counts, np.array(learnt, np.int64))
-
+class _Gathered:
+    """A block that grows by documents. Rows that repeat a document are counted, not held."""
+
+    def __init__(self):
+        self.place: dict[int, int] = {}
+        self.names, self.learnt, self.fresh, self.parts, self.bytes = [], [], [], [], 0
+
+    def add(self, name: int, doc: int, train: bool, text: bytes) -> None:
+        if doc in self.place:
+            self.learnt[self.place[doc]] += train
+            return
+        self.place[doc] = len(self.names)
+        self.names.append(name)
+        self.learnt.append(int(train))
+        self.fresh.append(text)
+        self.bytes += len(text) + 8
+
+    def settle(self) -> None:
+        """Turn the texts that came last into tokens."""
+        if self.fresh:
+            self.parts.append(tokens_of(self.fresh))
+            self.fresh = []
+
+    def block(self, number: int) -> Block:
+        self.settle()
+        tokens, counts = (np.concatenate(x) for x in zip(*self.parts))
+        return Block(number, self.names, np.array(list(self.place), np.int64), tokens, counts, np.array(self.learnt, np.int64))
+
+
+def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
+    """The documents of a task, rows (named, doc, train, text), as blocks of some ``BLOCK_BYTES``, with numbers of their own."""
+    task, made, now = TaskContext.get().partitionId(), 0, _Gathered()
+    for batch, texts in texts_in_chunks(batches, "text", min(CHUNK_BYTES, BLOCK_BYTES)):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("named", "doc", "train")), texts):
+            now.add(*row)
+        now.settle()
+        if now.bytes >= BLOCK_BYTES:
+            yield now.block(task << 32 | made)
+            made, now = made + 1, _Gathered()
+    if now.place:
+        yield now.block(task << 32 | made)
+
+
+def _dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
+    """Blocks from rows (block, named, doc, text) in the order of block."""
+    number, now = None, _Gathered()
     for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
-        fresh: list[bytes] = []
-        for block, name, doc, train, text in zip(*(batch.column(c).to_pylist() for c in ("block", "named", "doc", "train")), texts):
+        for block, name, doc, text in zip(*(batch.column(c).to_pylist() for c in ("block", "named", "doc")), texts):
             if block != number:
-                if fresh:
-                    parts.append(tokens_of(fresh))
-                if docs:
-                    yield done()
-                number, parts, names, docs, learnt, fresh = block, [], [], [], [], []
-            if docs and docs[-1] == doc:
-                learnt[-1] += train
-            else:
-                names.append(name)
-                docs.append(doc)
-                learnt.append(int(train))
-                fresh.append(text)
-        if fresh:
-            parts.append(tokens_of(fresh))
-    if docs:
-        yield done()
+                if now.place:
+                    yield now.block(number)
+                number, now = block, _Gathered()
+            now.add(name, doc, False, text)
+        now.settle()
+    if now.place:
+        yield now.block(number)
+
+
+_SENT = "part long, block long, keys binary, n binary, docs array<long>"
 
 
 def _counts(bits: int):
-    """A function from documents to rows (part, block, packed hashes and their counts in what is learnt from): every hash of a block
-    once. A part has the runs of one length whose hashes share their upper ``bits``; only parts that a block has runs in get a row."""
+    """A function from documents to rows (part, block, packed hashes, numbers): every hash of a block once, with its count in what is
+    learnt from, doubled, and 1 more if a document that is not learnt from has it. A part has the runs of one length whose hashes share
+    their upper ``bits``; only parts that a block has runs in get a row. One more row of a part below 0 has the block's documents."""
+    names = [c.split()[0] for c in _SENT.split(", ")]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
-        for block in _blocks(batches):
+        for block in _cut(batches):
             weight = np.repeat(block.learnt, block.counts)
-            for k, (place, key, _, which) in enumerate(block.types(), 1):
-                n = np.bincount(which, weight[place], len(key)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - block.number % 1024], pa.int64()), pa.array([block.number], pa.int64()), pa.array([None], pa.binary()),
+                                              pa.array([None], pa.binary()), pa.array([block.docs], pa.list_(pa.int64()))], names)
+            for k, (place, key, _, which) in enumerate(block.types()):
+                n = np.bincount(which, weight[place], len(key)).astype(np.uint32) * np.uint32(2)
+                n[which[weight[place] == 0]] |= np.uint32(1)
                 cut = np.append(np.searchsorted(key, edges), len(key))
                 parts = np.flatnonzero(np.diff(cut))
                 if not len(parts):
                     continue
                 keys, counts = ([f(x[a:b]) for a, b in zip(cut[parts].tolist(), cut[parts + 1].tolist())] for f, x in ((_packed, key), (np.ndarray.tobytes, n)))
-                yield pa.RecordBatch.from_arrays([pa.array((parts * ORDER + k - 1).astype(np.int64)), pa.array(np.full(len(parts), block.number, np.int64)),
-                                                  pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["part", "block", "keys", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array((parts * ORDER + k).astype(np.int64)), pa.array(np.full(len(parts), block.number, np.int64)),
+                                                  pa.array(keys, pa.binary()), pa.array(counts, pa.binary()), pa.nulls(len(parts), pa.list_(pa.int64()))], names)
     return rows
 
 
+_ANSWERED = "part long, block long, size long, reply binary, sums array<long>, docs array<long>"
+
+
 def _totalled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What each block asked for: the counts over all blocks, in the order it sent its hashes, doubled, and 1 more in the
-    one block that speaks for a run. One row of each part has its sums: tokens, different runs, and how many of them occur 1, 2 .. times."""
+    """What each block asked for: four times the counts over all blocks, in the order it sent its hashes, 2 more if a document that is not
+    learnt from has the run, and 1 more in the one block that speaks for it. One row of each part has its sums: tokens, different runs, and how many of them occur 1, 2 .. times."""
     held: list[pa.RecordBatch] = []
+    names = [c.split()[0] for c in _ANSWERED.split(", ")]
 
     def done() -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
+        own = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (table[c].combine_chunks() for c in ("part", "block", "docs"))]
+        none = table.num_rows * [None]
+        if own[0][0].as_py() < 0:
+            return pa.RecordBatch.from_arrays([*own[:2], pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(none, pa.list_(pa.int64())), own[2]], names)
         keys = [_unpacked(x) for x in table["keys"].to_pylist()]
         n = np.frombuffer(b"".join(table["n"].to_pylist()), np.uint32)
         known, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        total = np.bincount(which, n, len(known)).astype(np.int64)
+        total = np.bincount(which, n >> np.uint32(1), len(known)).astype(np.int64)
+        wanted = np.bincount(which, n & np.uint32(1), len(known)) > 0
         having = np.bincount(np.minimum(total, LARGEST + 2), minlength=LARGEST + 3)[1:LARGEST + 2]
-        answer = (total * 2)[which]
+        answer = (total * 4 + wanted * 2)[which]
         answer[first] += 1
         ends = np.cumsum([len(x) for x in keys])
         replies = [answer[b - len(x):b].astype(np.uint64 if answer.max() >> 32 else np.uint32).tobytes() for x, b in zip(keys, ends.tolist())]
-        sums = [[int(total.sum()), int((total > 0).sum()), *having.tolist()], *[None] * (table.num_rows - 1)]
-        arrays = [table[c].combine_chunks() for c in ("part", "block")] + [pa.array([len(x) for x in keys], pa.int64()), pa.array(replies, pa.binary()), pa.array(sums, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in arrays], ["part", "block", "size", "reply", "sums"])
+        sums = [[int(total.sum()), int((total > 0).sum()), *having.tolist()], *none[1:]]
+        return pa.RecordBatch.from_arrays([*own[:2], pa.array([len(x) for x in keys], pa.int64()), pa.array(replies, pa.binary()), pa.array(sums, pa.list_(pa.int64())), own[2]], names)
 
     for batch in batches:
         part = batch.column("part").to_numpy()
@@ -202,25 +248,26 @@ _SCORES = "kind tinyint, id long, other long, x double, y double, z double, name
 def _scored(totals: Totals):
     """A function from a block's replies and then its documents to rows (0, document, its tokens, known ones, base and model score so far),
     (n, context of n tokens, -, its count, what the runs it begins take of it, what they have without its first token) for the runs that the block
-    speaks for, and (-n, document, context of n tokens, times it backs off from it)."""
+    speaks for and that follow a context some document may back off from, and (-n, document, context of n tokens, times it backs off from it)."""
     def score(block: Block, replies: list[np.ndarray]) -> pa.RecordBatch:
         size, n_docs = len(block.tokens), len(block.docs)
         doc = np.repeat(np.arange(n_docs), block.counts)
         count = np.zeros((ORDER, size), np.int64)        # of the run of n + 1 tokens that ends at each place
         key = np.zeros((ORDER, size), np.uint64)
         chance = np.zeros((ORDER, size))                 # of its last token, where it was seen
+        wanted = np.zeros((ORDER, size), bool)           # as a context: some document may back off from it
         speaks: list[np.ndarray] = []
         rows: list[tuple] = []
         for k, (place, known, first, which) in enumerate(block.types()):
             answer = replies[k]
-            count[k, place], key[k, place] = (answer >> 1)[which], known[which]
-            speaks.append(place[first[(answer & 1 == 1) & (answer > 1)]])
+            count[k, place], key[k, place], wanted[k, place] = (answer >> 2)[which], known[which], (answer & 2 > 0)[which]
+            speaks.append(place[first[(answer & 1 > 0) & (answer >= 4)]])
             before = np.full(size, totals.tokens) if not k else np.concatenate([[0], count[k - 1, :-1]])
             seen = place[count[k, place] > 0]
             chance[k, seen] = totals.discounts[k](count[k, seen]) / before[seen]
         chance[0, count[0] == 0] = totals.unknown
         for k in range(1, ORDER):
-            at = speaks[k]
+            at = speaks[k][wanted[k - 1, speaks[k] - 1]]
             context, which = np.unique(key[k - 1, at - 1], return_inverse=True)
             held = np.zeros(len(context))
             held[which] = count[k - 1, at - 1]
@@ -256,13 +303,13 @@ def _scored(totals: Totals):
                 for begin, end in zip(edges[:-1], edges[1:]):
                     own = batch.slice(int(begin), int(end - begin))
                     if not reply[begin]:
-                        yield own.select(["block", "named", "doc", "train", "text"])
+                        yield own.select(["block", "named", "doc", "text"])
                         continue
                     for block, part_, size, found in zip(*(own.column(c).to_pylist() for c in ("block", "part", "size", "reply"))):
                         held = waiting.setdefault(block, [[np.empty(0, np.int64)] for _ in range(ORDER)])
                         held[part_ % ORDER].append(np.frombuffer(found, np.uint64 if len(found) == 8 * size else np.uint32).astype(np.int64))
 
-        for block in _blocks(texts()):
+        for block in _dealt(texts()):
             yield score(block, [np.concatenate(x) for x in waiting.pop(block.number)])
 
     return rows
@@ -273,38 +320,37 @@ def score_documents(docs: DataFrame, learn, id_column: str = "doc_id", text: str
 
     A document's tokens are its lower-cased words and one end. A run of three tokens that was seen has its discounted count over that
     of the first two; others have the probability of their last two, found in the same way, times the weight that makes all that may follow the
-    first two sum to 1; so on down to single words, and words not seen share one unknown word. Documents are dealt to blocks of some
-    ``BLOCK_BYTES`` by a hash. A block sends the hash of each of its runs once with its count, packed, dealt to parts of the
-    table of counts; a part adds them up and answers every block with the counts in the order it asked. Blocks and parts are
-    streamed in sorted order. Per document: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one) and
+    first two sum to 1; so on down to single words, and words not seen share one unknown word. What a task reads is cut into blocks of some
+    ``BLOCK_BYTES``. A block sends the hash of each of its runs once with its count, packed, dealt to parts of the
+    table of counts; a part adds them up and answers every block with the counts in the order it asked. The answers and the documents meet by
+    block, streamed in sorted order. Per document: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one) and
     ``score``, both log10. Null and empty texts have the end alone. Rows that repeat an id count as often as they come in what is learnt, and
     give one row if their texts agree; so do rows of one text without an id. Two texts under one id are two documents.
     """
-    sizes = docs.agg(F.sum(F.octet_length(text).cast("long")), F.count("*")).first()
-    weight = (sizes[0] or 0) + 8 * sizes[1]
-    blocks, bits = weight // BLOCK_BYTES + 1, (weight // PART_BYTES).bit_length()
+    weight = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8)).first()[0] or 0
+    bits = (weight // PART_BYTES).bit_length()
     every = docs.select(document_key(id_column, text).alias("named"), F.coalesce(learn, F.lit(False)).alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    every = every.withColumn("doc", F.xxhash64("named", "text")).withColumn("block", F.pmod("doc", F.lit(blocks)))
-    own = ["block", "named", "doc", "train", "text"]
-    dealt = every.select(*own).repartition("block").sortWithinPartitions("block", "doc")
-    sent = dealt.mapInArrow(_counts(bits), "part long, block long, keys binary, n binary")
-    answered = sent.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_totalled, "part long, block long, size long, reply binary, sums array<long>")
-    replies = step(answered, "replies")
+    every = every.withColumn("doc", F.xxhash64("named", "text"))
+    sent = every.select("named", "doc", "train", "text").mapInArrow(_counts(bits), _SENT)
+    replies = step(sent.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_totalled, _ANSWERED), "replies")
     sums = replies.where("sums is not null").select((F.col("part") % ORDER).alias("k"), F.posexplode("sums").alias("at", "n")).groupBy("k", "at").agg(F.sum("n").alias("n")).collect()
     seen = np.zeros((ORDER, 3 + LARGEST), np.int64)
     for r in sums:
         seen[r["k"], r["at"]] = r["n"]
     totals = Totals.fit(int(seen[0, 0]), int(seen[0, 1]), seen[:, 2:].tolist())
 
+    # Each document once, to the blocks that it was read in; a block's replies come before its documents.
+    texts = every.groupBy("doc").agg(F.first("named").alias("named"), F.first("text").alias("text"))
+    placed = texts.join(replies.where("part < 0").select("block", F.explode("docs").alias("doc")), "doc")
     nothing = lambda **types: [F.lit(None).cast(t).alias(c) for c, t in types.items()]
-    left = replies.select("block", "part", "size", "reply", *nothing(named="long", doc="long", train="boolean", text="string"))
-    right = every.select("block", *nothing(part="long", size="long", reply="binary"), "named", "doc", "train", "text")
-    mixed = left.unionAll(right).repartition("block").sortWithinPartitions("block", F.col("part").asc_nulls_last(), "doc")
+    left = replies.where("part >= 0").select("block", "part", "size", "reply", *nothing(named="long", doc="long", text="string"))
+    right = placed.select("block", *nothing(part="long", size="long", reply="binary"), "named", "doc", "text")
+    mixed = left.unionAll(right).repartition("block").sortWithinPartitions("block", F.col("part").asc_nulls_last())
     parts = step(mixed.mapInArrow(_scored(totals), _SCORES), "scores")
     weights = parts.where("kind > 0").groupBy("kind", "id").agg(F.max("x").alias("c"), F.sum("y").alias("taken"), F.sum("z").alias("lower")).select(
         (-F.col("kind")).cast("tinyint").alias("kind"), F.col("id").alias("other"), F.log10((1 - F.col("taken") / F.col("c")) / (1 - F.col("lower"))).alias("weight"))
     backed = parts.where("kind < 0").select("kind", "id", "other", "x").join(weights, ["kind", "other"]).groupBy("id").agg(F.sum(F.col("x") * F.col("weight")).alias("more"))
-    each = parts.where("kind = 0").select("id", "name", F.col("other").alias("n_tokens"), F.col("x").cast("long").alias("n_known"), F.col("y").alias("base_score"), F.col("z").alias("found"))
+    each = parts.where("kind = 0").dropDuplicates(["id"]).select("id", "name", F.col("other").alias("n_tokens"), F.col("x").cast("long").alias("n_known"), F.col("y").alias("base_score"), F.col("z").alias("found"))
     return each.join(backed, "id", "left").select(
         document_id("name").alias("doc_id"), "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),
         "base_score", (F.col("found") + F.coalesce("more", F.lit(0.0))).alias("score"))
