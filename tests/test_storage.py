@@ -193,3 +193,23 @@ def test_a_stored_series_is_not_shuffled(spark, tmp_path):
         write_store(rows, s, str(tmp_path), "t", "n")
     with pytest.raises(FileNotFoundError):
         read_store(spark, s, str(tmp_path), "other", "n")
+
+
+def test_steps_are_removed_with_their_scope(spark, tmp_path):
+    from pathlib import Path
+
+    from meterflow.sources.storage import settled, shared_folder, steps_removed
+
+    base = Path(shared_folder(spark))
+    outside = settled(spark.range(3), "outside")
+    with steps_removed(spark):
+        inner = settled(spark.range(5), "inner")
+        with steps_removed(spark):
+            settled(spark.range(7), "innermost")
+        inner.write.parquet(str(tmp_path / "result"))
+        assert list(base.glob("scope-*/inner-*")) and not list(base.glob("scope-*/*/innermost-*"))
+    assert not list(base.glob("scope-*")) and outside.count() == 3 and spark.read.parquet(str(tmp_path / "result")).count() == 5
+    with pytest.raises(ZeroDivisionError), steps_removed(spark):
+        settled(spark.range(1), "failing")
+        1 / 0
+    assert not list(base.glob("scope-*"))
