@@ -39,7 +39,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     groups = step(link_documents(rows, key).select(F.col("doc_id").alias("_row"), "component_id"), "groups")
     named = groups.join(rows.select(F.col(key).alias("_row"), "doc_id"), "_row")
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row"))
-    return rows.join(first.select("_row"), rows[key] == F.col("_row"), "left_semi").drop(key)
+    return rows.join(first.select(F.col("_row").alias(key)), key, "left_semi").drop(key)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
