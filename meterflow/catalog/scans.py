@@ -1,7 +1,11 @@
 """Sources, sinks and schema operators."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import row_id
@@ -50,15 +54,27 @@ def json_records(t):
 def json_one_document(t):
     """All orders in one file, one document of one array, as a large download lands."""
     folder = new_folder(t.spark, "document")
-    comma = F.when(F.col("o_orderkey") > t.orders.agg(F.min("o_orderkey")).scalar(), ",").otherwise("")
-    records = t.orders.select(F.concat(comma, F.to_json(_record())).alias("value"), F.col("o_orderkey").alias("at"))
-    head = t.spark.range(1).select(F.lit('{"total": 0, "links": [{"next": "}"}], "records": [').alias("value"), F.lit(None).cast("bigint").alias("at"))
-    tail = t.spark.range(1).select(F.lit("]}").alias("value"), F.lit((1 << 63) - 1).alias("at"))
-    lines = head.unionAll(records).unionAll(tail)
-    lines.repartition(1).sortWithinPartitions("at").select("value").write.text(folder)
+    _one_document(t.orders.select(F.to_json(_record()).alias("value"))).write.text(folder)
     return read_records(t.spark, folder, ORDER_FIELDS)
 
 
+def _one_document(records: DataFrame) -> DataFrame:
+    """The lines of one document of all records, in one partition: a file has one writer. It passes on what comes, and neither sorts nor holds the rows."""
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = lambda texts: pa.RecordBatch.from_arrays([texts], ["value"])
+        yield line(pa.array(['{"total": 0, "links": [{"next": "}"}], "records": [']))
+        first = True
+        for batch in batches:
+            own = batch.column(0)
+            if first and len(own):
+                yield line(own.slice(0, 1))
+                own, first = own.slice(1), False
+            yield line(pc.binary_join_element_wise(pa.scalar("", own.type), own, pa.scalar(",", own.type)))
+        yield line(pa.array(["]}"]))
+
+    return records.repartition(1).mapInArrow(lines, "value string")
+
+
 @query("ingest_clean", """select o_orderkey as orderkey, o_custkey as custkey, o_orderstatus as status, o_totalprice as totalprice,
     cast(o_orderdate as timestamp) as orderdate, o_orderpriority as priority from orders""")
 def ingest_clean(t):

@@ -42,6 +42,8 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | str, per
 
 
 _BLOCK = ["_file", "_block"]
+STRETCH = 8192  # pieces of a block
+PARTS = 4  # partitions of the pieces that one split read
 _STRING = r'"(?:[^"\\]++|\\.)*+"'
 _TO_BRACE = rf'(?:[^"{{]++|{_STRING})*+\{{'
 
@@ -59,17 +61,20 @@ def record_texts(spark: SparkSession, path: str) -> DataFrame:
 
     Files are read as pieces that end at a ``}``, so Spark splits a large one anywhere and no task holds a document. Whether a
     brace is inside a string, and how deep, follows from the pieces before it: quotes and braces are counted
-    per block (the stretch of a file that one split read), the counts of earlier blocks come through a table of one row per
+    per block (at most ``STRETCH`` pieces of what one split of a file read), the counts of earlier blocks come through a table of one row per
     block, and running counts inside a block do the rest. An object that ends in the piece it began in, which is any
     flat one, is that piece; the pieces of others are put together by where the object began. A document that is no JSON, or cut off, raises.
     """
     read = spark.read.option("lineSep", "}").text(path)
-    pieces = read.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+    pieces = read.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start_of_split"),
                          F.col("_metadata.file_size").alias("_size"), F.monotonically_increasing_id().alias("_seq"), "value")
+    stretch = F.floor((F.col("_seq").bitwiseAND((1 << 33) - 1)) / STRETCH)
+    pieces = pieces.withColumn("_block", F.struct("_start_of_split", stretch.alias("_stretch"))).drop("_start_of_split")
     bare = F.regexp_replace("value", r"(?s)\\.", "")  # without escaped characters, which are in strings only
     pieces = pieces.withColumn("_quotes", F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit(""))))
     # By name, or blocks of one file would count as clustered by the file alone.
-    rows = pieces.repartition(*_BLOCK)
+    # As many partitions as the splits ask for: pieces take far more memory than the bytes that adaptive execution goes by.
+    rows = pieces.repartition(PARTS * max(1, read.rdd.getNumPartitions()), *_BLOCK)
 
     # Strings: an odd number of quotes so far.
     quotes = _before(pieces, F.sum("_quotes"))

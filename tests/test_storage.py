@@ -213,3 +213,30 @@ def test_steps_are_removed_with_their_scope(spark, tmp_path):
         settled(spark.range(1), "failing")
         1 / 0
     assert not list(base.glob("scope-*"))
+
+
+def test_a_split_is_dealt_in_stretches(spark, tmp_path):
+    """One split, as a large file has many of, goes to several tasks, and the objects keep their texts."""
+    records = [{"A": i, "s": TEXTS[i % len(TEXTS)]} for i in range(30_000)]
+    (tmp_path / "one.json").write_text(json.dumps({"records": records}))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        rows = read_records(spark, str(tmp_path), "A int, s string")
+        assert rows.groupBy(F.spark_partition_id().alias("p")).count().where("count > 2000").count() > 1
+        assert sorted((r["A"], r["s"]) for r in rows.collect()) == [(r["A"], r["s"]) for r in records]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_document_of_repeated_and_missing_keys(spark, tmp_path):
+    """The document is JSON whatever the keys, in one file, and no task sorts it."""
+    from meterflow.catalog import scans
+    from meterflow.catalog.views import Tables
+    rows = [(k, i, "O", 1.5, None, "a}{") for i, k in enumerate([None, 3, 3, 5, None, 9])]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    written = scans._one_document(Tables(spark, str(tmp_path)).orders.select(F.to_json(scans._record()).alias("value")))
+    document = json.loads("\n".join(r["value"] for r in written.collect()))
+    assert sorted((r["CustKey"], r.get("OrderKey")) for r in document["records"]) == [(i, r[0]) for i, r in enumerate(rows)]
+    assert "Sort" not in written._jdf.queryExecution().executedPlan().toString() and written.rdd.getNumPartitions() == 1
+    got = scans.json_one_document(Tables(spark, str(tmp_path))).collect()
+    assert sorted((r["CustKey"], r["OrderKey"], r["Priority"]) for r in got) == [(i, r[0], "a}{") for i, r in enumerate(rows)]
