@@ -29,7 +29,7 @@ PAST, REST = "unbounded preceding and current row", "current row and unbounded f
 
 @query("forward_fill", sql(f"select entity, hourutc, round(last_value(v_view ignore nulls) {_over(PAST)} + 1e-9, 6) + 0.0 as v_view from series", "series"))
 def forward_fill(t):
-    return rounded(fill.forward_fill(views.series(t).select("entity", "hourutc", "v_view"), SERIES, "v_view"), "v_view")
+    return rounded(fill.forward_fill(views.series(t).select("entity", "hourutc", "v_view"), views.layout(t, SERIES), "v_view"), "v_view")
 
 
 @query("backward_fill", sql(f"select entity, hourutc, round(first_value(v_view ignore nulls) {_over(REST)} + 1e-9, 6) + 0.0 as v_view from series", "series"))
@@ -58,12 +58,12 @@ def _impute_sql(c: str, window: int, source: str = "series", keep: str = "") ->
 
 @query("impute_rolling", sql(f"select entity, hourutc, round(coalesce(v, f) + 1e-9, 6) + 0.0 as v from ({_impute_sql('v', 24)})", "series"))
 def impute_rolling(t):
-    return rounded(fill.impute_rolling(views.series(t).select("entity", "hourutc", "v"), SERIES, "v"), "v")
+    return rounded(fill.impute_rolling(views.series(t).select("entity", "hourutc", "v"), views.layout(t, SERIES), "v"), "v")
 
 
 @query("impute_threshold", sql(f"select entity, hourutc, round(case when pct < 40 then coalesce(v_view, f) else v_view end + 1e-9, 6) + 0.0 as v_view from ({_impute_sql('v_view', 24)})", "series"))
 def impute_threshold(t):
-    return rounded(fill.impute_threshold(views.series(t).select("entity", "hourutc", "v_view"), SERIES, "v_view"), "v_view")
+    return rounded(fill.impute_threshold(views.series(t).select("entity", "hourutc", "v_view"), views.layout(t, SERIES), "v_view"), "v_view")
 
 
 _GAPS = """(select entity, rn - rk as run, min(hourutc) as start_time, max(hourutc) as end_time, count(*) as gap_length_records,
@@ -76,7 +76,7 @@ _GAPS = """(select entity, rn - rk as run, min(hourutc) as start_time, max(houru
 @query("find_gaps", sql(f"""select entity, start_time, end_time, date_diff('second', start_time, end_time) as duration_s,
     round(date_diff('second', start_time, end_time) / 86400e0 + 1e-9, 6) as duration_days, gap_length_records, start_index, end_index from {_GAPS}""", "series"))
 def find_gaps(t):
-    gaps = windows.find_gaps(views.series(t), SERIES, "v_view")
+    gaps = windows.find_gaps(views.series(t), views.layout(t, SERIES), "v_view")
     return rounded(gaps.withColumn("duration_s", F.col("duration").cast("bigint")).drop("duration"), "duration_days")
 
 
@@ -263,7 +263,7 @@ def _back(c: str) -> str:
     round(case when {_gate('v_error')} then {_back('v_error')} else v_error end + 1e-9, 6) + 0.0 as v_error
     from (select *, {_rolled('v_signup', 24)}, {_rolled('v', 24)}, {_rolled('v_click', 168)}, {_rolled('v_error', 24)} from series)""", "series"))
 def impute_weather(t):
-    return rounded(imputation.impute_weather(views.series(t), WIDE, RULES, MEASURES), *MEASURES)
+    return rounded(imputation.impute_weather(views.series(t), views.layout(t, WIDE), RULES, MEASURES), *MEASURES)
 
 
 # Dashboard frames
@@ -314,17 +314,17 @@ def _by_user_sql(text: str) -> str:
 
 
 def _zero_filled(t):
-    rows = views.series(Tables(t.spark, t.folder, by_user=True), kinds=("view",)).select("entity", "hourutc", "v", "v_view")
+    rows = views.series(t, kinds=("view",)).select("entity", "hourutc", "v", "v_view")
     return fill.fill_constant(rows, ["v", "v_view"], 0.0)
 
 
 @query("user_sliding_corr", _by_user_sql(sql(_corr_sql("v", "v_view", 8, "partition by entity", "hourutc", _ZERO, "entity, hourutc"), "series")))
 def user_sliding_corr(t):
     from ..operators.correlate import sliding_corr as corr
-    return rounded(corr(_zero_filled(t), SERIES, "v", "v_view", 8).select("entity", "hourutc", "corr"), "corr")
+    return rounded(corr(_zero_filled(t := Tables(t.spark, t.folder, by_user=True)), views.layout(t), "v", "v_view", 8).select("entity", "hourutc", "corr"), "corr")
 
 
 @query("user_dct_smooth", _by_user_sql(_with(sql("", "series"), _dct_ctes("d", _ZERO, "entity", "hourutc", "v", 10))
        + " select entity, hourutc, round(smooth + 1e-9, 6) + 0.0 as v_smooth from ds"))
 def user_dct_smooth(t):
-    return rounded(spectral.dct_smooth(_zero_filled(t), SERIES, "v", 10).select("entity", "hourutc", "v_smooth"), "v_smooth")
+    return rounded(spectral.dct_smooth(_zero_filled(t := Tables(t.spark, t.folder, by_user=True)), views.layout(t), "v", 10).select("entity", "hourutc", "v_smooth"), "v_smooth")

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import hour_of
 from ..operators.layout import Series
-from ..operators.resample import calendar
+from ..operators.resample import on_calendar
 
 KINDS = ("view", "click", "purchase", "signup", "error")
+ROWS_PER_PART = 250_000
 SERIES = Series(("entity",), "hourutc", chunk=168, regular=True)
 MEASURES = ["v", *[f"v_{k}" for k in KINDS]]
 
@@ -43,8 +44,17 @@ def series(t: Tables, entity: Column | None = None, kinds=KINDS) -> DataFrame:
     per_kind = [F.avg(F.when(F.col("event_type") == k, F.col("value"))).alias(f"v_{k}") for k in kinds]
     measured = ev.groupBy("entity", F.col("hr").alias("hourutc")).agg(F.avg("value").alias("v"), *per_kind)
     span = t.events.select(hour_of("ts").alias("hr"))
-    grid = calendar(ev.select("entity").distinct(), span.agg(F.min("hr")).scalar(), span.agg(F.max("hr")).scalar(), "hourutc")
-    return grid.join(measured, ["entity", "hourutc"], "left")
+    return on_calendar(measured, ev.select("entity").distinct(), span.agg(F.min("hr")).scalar(), span.agg(F.max("hr")).scalar(), "hourutc")
+
+
+def layout(t: Tables, s: Series = SERIES) -> Series:
+    """How the series are laid out: by user in as many parts as their rows ask for, so that a task's share does not grow with the table."""
+    if not t.by_user:
+        return s
+    hours = F.timestamp_diff("HOUR", F.min(hour_of("ts")), F.max(hour_of("ts")))
+    users, hours = t.events.agg(F.approx_count_distinct("user_id"), hours).first()
+    rows = (users or 0) * ((hours or 0) + 1)
+    return s.over(parts=max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_PER_PART))
 
 
 def readings(t: Tables) -> DataFrame:

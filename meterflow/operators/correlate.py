@@ -39,15 +39,18 @@ def sliding_corr(df: DataFrame, s: Series, x: str, y: str, width: int, name: str
     rows, table = framed(df, s, before, after)
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     rows = rows.withColumns({"_px": F.when(both, F.col(x)), "_py": F.when(both, F.col(y)), "_block": floor_div(F.col(INDEX), width)})
+    rows = rows.withColumn("_kcolb", -F.col("_block"))
+    # Two sorts in all: up the chunk, for what is carried forth, and down it, for what is carried back and for the merge.
     block = Window.partitionBy(*s.keys, CHUNK, "_block")
-    back, forth = (block.orderBy(order).rowsBetween(*SO_FAR) for order in (F.desc(INDEX), F.asc(INDEX)))
+    forth = block.orderBy(INDEX).rowsBetween(*SO_FAR)
+    back = Window.partitionBy(*s.keys, CHUNK, "_kcolb").orderBy(F.desc(INDEX)).rowsBetween(*SO_FAR)
     # Each block is measured from a value of its own, so that means keep the digits of the differences.
     anywhere = block.orderBy(INDEX).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns({f"_o{p}": F.first(f"_p{p}", ignorenulls=True).over(anywhere) for p in "xy"})
     rows = rows.withColumns({f"_q{p}": F.col(f"_p{p}") - F.col(f"_o{p}") for p in "xy"})
-    rows = rows.withColumn("_end", _moments(back)).withColumn("_start", _moments(forth))
-    along = Window.partitionBy(*s.keys, CHUNK).orderBy("_block", INDEX)
-    rows = rows.withColumns({"_end": F.lag("_end", before).over(along), "_start": F.lead("_start", after).over(along)})
+    rows = rows.withColumn("_start", _moments(forth)).withColumn("_end", _moments(back))
+    down = Window.partitionBy(*s.keys, CHUNK).orderBy("_kcolb", F.desc(INDEX))
+    rows = rows.withColumns({"_end": F.lead("_end", before).over(down), "_start": F.lag("_start", after).over(down)})
     one_block = F.pmod(F.col(INDEX) - before, F.lit(width)) == 0
     alone = F.struct(*[F.col(f"_start.{k}") for k in ("n", *_SPREADS, *_PRODUCTS)])
     rows = rows.withColumn("_frame", F.when(one_block, alone).otherwise(_merged("_end", "_start")))

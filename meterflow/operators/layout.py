@@ -44,6 +44,8 @@ class Series:
                  other tables need for row frames. Row frames raise if a step is missing or there twice
     ``halo``     of a table from ``sources.store.read_store``: rows are stored by chunk, with as many
                  neighbours before and after it, and no operator within that reach shuffles them
+    ``parts``    tasks that the rows are dealt to by chunk. None: adaptive execution goes by the shuffle's bytes, which for rows
+                 that compress well are far fewer than what a task holds
     """
 
     keys: tuple[str, ...]
@@ -52,6 +54,7 @@ class Series:
     chunk: int = 4096
     regular: bool = False
     halo: tuple[int, int] | None = None
+    parts: int | None = None
 
     def over(self, **changes) -> Series:
         return replace(self, **changes)
@@ -178,7 +181,9 @@ def spread(df: DataFrame, s: Series) -> DataFrame:
     Asked for, because rows already hashed by the keys alone would count as clustered,
     and the chunks of one long series would stay in one task.
     """
-    return df if s.halo else df.repartition(*s.keys, CHUNK)
+    if s.halo:
+        return df
+    return df.repartition(s.parts, *s.keys, CHUNK) if s.parts else df.repartition(*s.keys, CHUNK)
 
 
 def join_state(df: DataFrame, state: DataFrame, s: Series) -> DataFrame:

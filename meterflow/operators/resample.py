@@ -34,6 +34,23 @@ def calendar(entities: DataFrame, first: Column, last: Column, name: str) -> Dat
     return hours.filter(F.col(name).between(F.col("_first"), F.col("_last"))).drop("_day", "_first", "_last")
 
 
+def on_calendar(measured: DataFrame, entities: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """Every hour from first to last for each row of ``entities``, with what was measured in it.
+
+    ``measured`` has at most one row per entity and hour. Its rows meet the calendar as days, each with its hours as a map, so
+    hours are neither shuffled nor sorted.
+    """
+    spark, keys = entities.sparkSession, entities.columns
+    values = [c for c in measured.columns if c not in (*keys, name)]
+    by_day = measured.groupBy(*keys, day_of(name).alias("_day")).agg(F.map_from_entries(F.collect_list(F.struct(F.col(name), F.struct(*values)))).alias("_hours"))
+    days = entities.select("*", first.alias("_first"), last.alias("_last")).select("*", F.explode(F.sequence(
+        day_of("_first"), day_of("_last"), F.make_dt_interval(days=F.lit(1)))).alias("_day"))
+    days = days.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, "_day").join(by_day, [*keys, "_day"], "left")
+    hour = F.explode(F.sequence(F.col("_day"), F.col("_day") + F.make_dt_interval(hours=F.lit(23)), F.make_dt_interval(hours=F.lit(1))))
+    hours = days.withColumn(name, hour).filter(F.col(name).between(F.col("_first"), F.col("_last"))).withColumn("_row", F.col("_hours")[F.col(name)])
+    return hours.select(*keys, name, *[F.col("_row")[c].alias(c) for c in values])
+
+
 def date_range(first: Column, last: Column, source: DataFrame, name: str = "dt") -> DataFrame:
     """Every day from first to last, one row each, for each row of ``source``."""
     return source.select("*", F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias(name))
