@@ -47,19 +47,21 @@ def backward_fill(df: DataFrame, s: Series, columns: str | Sequence[str]) -> Dat
     return out.withColumns({c: F.coalesce(c, f"_after_{c}") for c in cols}).select(*own_columns(df))
 
 
-def trailing_means(rows: DataFrame, s: Series, wanted: dict[str, tuple[str, int]]) -> DataFrame:
+def trailing_means(rows: DataFrame, s: Series, wanted: dict[str, tuple[str, int]], beside: dict[str, Column] | None = None) -> DataFrame:
     """Means of frames that end in each row, by name: (column, rows of the frame).
 
     ``rows`` carry the neighbours of their chunk. A mean is the difference of two running sums, so a row costs the
     same whatever the frame. Nothing cancels: a value is split at units that are powers of two, chosen by the
     largest value of the chunk so that the running sums of the first two parts are exact; what is left has less than a
-    2 ** -50th of that value. Values that are not finite count as missing.
+    2 ** -50th of that value. Values that are not finite count as missing. ``beside`` are window columns in the order of the
+    index, which share a pass over the rows.
     """
     columns = list(dict.fromkeys(c for c, _ in wanted.values()))
     most = (s.chunk * (1 if s.regular else CROWD) + max(w for _, w in wanted.values())).bit_length()
     rows = rows.withColumns({f"_v_{c}": F.when(F.abs(c) < float("inf"), F.col(c).cast("double")) for c in columns})
     largest = {c: F.nullif(F.max(F.abs(f"_v_{c}")).over(whole(s)), F.lit(0.0)) for c in columns}
-    rows = rows.withColumns({f"_u_{c}": F.pow(F.lit(2.0), F.ceil(F.log2(largest[c])) + (most - 51)) for c in columns})
+    units = {f"_u_{c}": F.pow(F.lit(2.0), F.ceil(F.log2(largest[c])) + (most - 51)) for c in columns}
+    rows = rows.withColumns({**units, **(beside or {})})
 
     def part(value: Column, unit: Column) -> Column:
         return F.when(unit > 0, F.rint(value / unit) * unit).otherwise(value * 0)
@@ -125,16 +127,15 @@ def impute(df: DataFrame, s: Series, rules: Iterable[Rule]) -> DataFrame:
 
     state = _chunk_state(source, s, order, forward, backward, gated)
     local = s.local(order)
-    if rolling:
-        rows = trailing_means(rows, s, {f"_mean_{r.column}": (r.column, r.window) for r in rolling})
     values = {}
     for r in backward:
         values[f"_next_{r.column}"] = s.next_value(r.column, order)
     for r in forward:
         values[f"_last_{r.column}"] = F.last(r.column, ignorenulls=True).over(local.rowsBetween(*SO_FAR))
-    rows = rows.withColumns(values) if values else rows
     if rolling:
-        rows = rows.filter(HOME)
+        rows = trailing_means(rows, s, {f"_mean_{r.column}": (r.column, r.window) for r in rolling}, values).filter(HOME)
+    elif values:
+        rows = rows.withColumns(values)
     if state is not None:
         rows = join_state(rows, state, s)
     return rows.withColumns({r.column: _filled(r, s) for r in rules}).select(*own_columns(df))

@@ -149,3 +149,49 @@ def test_skewed_tables_match_sql(spark, tmp_path):
     for name in ("impute_threshold", "find_gaps", "enrich_orders", "summary_by_group", "dedupe_first", "series_position", "first_order",
                  "daily_resample", "price_wind_corr", "minmax_by_time"):
         assert compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], str(tmp_path)) == [], name
+
+
+@pytest.mark.parametrize("name", ["user_sliding_corr", "user_impute_weather", "user_forward_fill"])
+def test_tasks_grow_with_the_rows(spark, monkeypatch, name):
+    """By user, the rows are dealt to as many tasks as they ask for, not to as few as their compressed bytes do."""
+    from meterflow.catalog import views
+    monkeypatch.setattr(views, "ROWS_PER_PART", 5_000, raising=False)
+    rows = entry.queries()[name](spark, "/root/testdata/sf0.01")
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 12
+
+
+def test_sorts_and_window_passes(spark):
+    """Two sorts of the rows for a sliding correlation, three window passes over the rows of an imputation."""
+    from meterflow.catalog.views import SERIES, series, Tables
+    from meterflow.operators.correlate import sliding_corr
+    from meterflow.operators.fill import Rule, impute
+    rows = spark.createDataFrame([], "entity long, hourutc timestamp_ntz, v double, w double")
+    s = SERIES.over(regular=True)
+    import re
+    sorts = re.findall(r"Sort \[entity[^\]]*_index[^\]]*\]", plan(sliding_corr(rows, s, "v", "w", 8)))
+    assert len(sorts) == 2, sorts
+    rules = [Rule("v", window=24), Rule("w", window=48, max_missing_pct=40.0)]
+    passes = [w for w in re.findall(r"Window \[.*", plan(impute(rows, s, rules))) if "_index" in w.rsplit("], [", 1)[-1]]
+    assert len(passes) == 3, passes
+    joined = plan(series(Tables(spark, FOLDER, by_user=True)))
+    assert not re.search(r"Sort \[entity#\d+L? ASC NULLS FIRST, hourutc", joined)
+
+
+def test_calendar_of_odd_rows(spark, tmp_path):
+    """Events without a user or a time, one user with one event, and no events at all."""
+    import datetime
+    import duckdb
+    from meterflow.catalog.views import MEASURES, Tables, series, sql
+    at = lambda d, h: datetime.datetime(2024, 1, d, h, 5)
+    rows = [(1, at(1, 5), 7, "view", 2.0, None), (2, at(1, 5), 7, "click", None, None), (3, at(3, 23), 7, "view", 4.0, None), (4, at(2, 0), None, "view", 1.0, None),
+            (5, None, 8, "view", 1.0, None), (6, at(4, 1), 9, None, 3.0, None)]
+    for name, own in (("some", rows), ("none", [])):
+        events = spark.createDataFrame(own, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+        events.write.parquet(f"{tmp_path}/{name}/events.parquet")
+        c = duckdb.connect()
+        c.execute(f"create view events as select * from '{tmp_path}/{name}/events.parquet/*.parquet'")
+        text = sql(f"select entity, hourutc, {', '.join(MEASURES)} from series", "series").replace("least(user_id % 8, 3)", "user_id")
+        want = sorted(map(str, c.sql(text).fetchall()))
+        got = series(Tables(spark, f"{tmp_path}/{name}", by_user=True)).select("entity", "hourutc", *MEASURES)
+        assert sorted(str(tuple(r)) for r in got.collect()) == want
+    assert want == []
