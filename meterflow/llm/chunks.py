@@ -1,6 +1,7 @@
 """Texts of a task in bounded chunks, as arrays of word hashes."""
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -57,6 +58,14 @@ def rolling(values: np.ndarray, k: int) -> np.ndarray:
     return mix((sums[k:] - sums[:-k]) * powers(INVERSE, n - k + 1))
 
 
+def give_back() -> None:
+    """Return what is free to the system: workers live on from step to step, and what the next one needs must be free."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def texts_in_chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches whose texts have at most ``limit`` bytes (a longer text is a slice of its own), with
     the texts as bytes, nulls as empty ones. Only the texts of one slice are copied at a time."""
@@ -70,7 +79,7 @@ def texts_in_chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = C
                 begin, held = i, 0
             held += length or 0
         del column, batch
-        pa.default_memory_pool().release_unused()  # workers live on: what the next step needs must be free
+        give_back()
 
 
 class Words:

@@ -18,7 +18,8 @@ OPEN_BINS = 512
 BYTES_PER_BLOCK = 4 << 20
 KNOWN_WORDS = 2_000_000
 WORDS_PER_CALL = 500
-CHUNK_BYTES = 2 << 20
+TEXTS_PER_CALL = 4
+CHUNK_BYTES = 1 << 20
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -53,9 +54,10 @@ class WordIds:
         self.key, self.begin, self.length = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint32)
         self.flat = np.empty(0, self.kind)
 
-    def _encode(self, tokenizer, texts: list[str]) -> Iterator[np.ndarray]:
-        for i in range(0, len(texts), WORDS_PER_CALL):
-            yield from (np.array(e.ids, self.kind) for e in tokenizer.encode_batch_fast(texts[i:i + WORDS_PER_CALL], add_special_tokens=False))
+    def _encode(self, tokenizer, texts: list[str], per_call: int = WORDS_PER_CALL) -> Iterator[np.ndarray]:
+        """What the tokenizer returns takes some 150 bytes a token, so it gets about as many words a call whatever a text holds."""
+        for i in range(0, len(texts), per_call):
+            yield from (np.array(e.ids, self.kind) for e in tokenizer.encode_batch_fast(texts[i:i + per_call], add_special_tokens=False))
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and the number of ids of each.
@@ -68,7 +70,7 @@ class WordIds:
         own = [w for w, p in zip(words, plain) if p]
         if own:
             joined = [" ".join(own[i:i + WORDS_PER_CALL]) for i in range(0, len(own), WORDS_PER_CALL)]
-            ids = np.concatenate(list(self._encode(self.plain, joined)))
+            ids = np.concatenate(list(self._encode(self.plain, joined, TEXTS_PER_CALL)))
             parts = np.cumsum(np.fromiter((len(PARTS.findall(w)) for w in own), np.int64, len(own)))
             ends = np.flatnonzero(self.ends[ids])
             if len(ends) == parts[-1] and ends[-1] == len(ids) - 1:

@@ -628,6 +628,28 @@ def test_bytes_that_are_no_text_do_not_stop_it(spark):
     assert substrings.remove_repeats(odd_text, with_text=True).count() == 2
 
 
+def test_tokenizer_calls_are_bounded():
+    """What a call returns is large, so no call gets more than some thousand words, however many are new."""
+    from tokenizers import Tokenizer
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner, self.most = inner, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.most = max(self.most, sum(len(t.split()) for t in texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=7)) + ("A" if i % 3 == 0 else "") for i in range(20_000)]
+    text, ids_of = " ".join(words), packing.WordIds(TOKENS)
+    ids_of.tokenizer, ids_of.plain = Watched(ids_of.tokenizer), Watched(ids_of.plain)
+    ids, counts = ids_of([text.encode(), b""])
+    assert counts.tolist() == [len(ids), 0]
+    assert ids.tolist() == Tokenizer.from_file(TOKENS).encode(text, add_special_tokens=False).ids
+    assert 0 < max(ids_of.tokenizer.most, ids_of.plain.most) <= 4_000
+
+
 def test_best_fit_and_the_fullest_closes_first():
     bins = packing.OpenBins(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 9)] == [(0, 0), (1, 0), (1, 7), (2, 0)]
