@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.storage import settled
-from .chunks import mix, texts_in_chunks
+from .chunks import give_back, mix, texts_in_chunks
 
 ORDERS = (4, 5, 6, 7)
 BITS = 20
@@ -21,6 +21,7 @@ SMOOTHING = 4.0
 MIN_SURPRISE = 10.0
 PER = 1000.0
 AT_ONCE = 1 << 20
+ROWS_AT_ONCE = 256
 
 
 def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,12 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     places = kept.feature.to_numpy()
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), pa.schema([("label", pa.int32()), ("feature", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))]))
-        lists = table["feature"].combine_chunks()
-        doc = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy())
-        feature = np.searchsorted(places, lists.flatten().to_numpy()).astype(np.int32)
-        value = table["value"].combine_chunks().flatten().to_numpy() * ratios[feature].astype(np.float32)
-        label_ = table["label"].to_numpy().astype(float)
+        label_, doc, feature, value = _gathered(batches, places, ratios)
         weight = np.where(label_ == 1, weights[1], weights[0])
         coefficients, intercept = _regression(doc, feature, value, label_, weight / weight.sum(), len(places), rounds)
         yield pa.RecordBatch.from_arrays([pa.array([coefficients.tolist()], pa.list_(pa.float64())), pa.array([intercept])], ["coefficients", "intercept"])
@@ -153,6 +149,29 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     return Model(places, np.array(found["coefficients"]) * ratios, found["intercept"])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], places: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Labels of the rows, and row, place of the feature and scaled value of every entry. Few rows at a time, so that hardly more than the result is held."""
+    label, doc, feature, value = ([np.empty(0, t)] for t in (float, np.int32, np.int32, np.float32))
+    done = 0
+    for batch in batches:
+        for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+            own = batch.slice(begin, ROWS_AT_ONCE)
+            lists = own.column("feature")
+            feature.append(np.searchsorted(places, lists.flatten().to_numpy()).astype(np.int32))
+            value.append(own.column("value").flatten().to_numpy() * ratios[feature[-1]].astype(np.float32))
+            doc.append(np.repeat(np.arange(done, done + own.num_rows, dtype=np.int32), lists.value_lengths().to_numpy()))
+            label.append(own.column("label").to_numpy().astype(float))
+            done += own.num_rows
+            del own, lists
+        del batch
+        give_back()
+    joined = []
+    for parts in (label, doc, feature, value):
+        joined.append(np.concatenate(parts))
+        parts.clear()
+    return tuple(joined)
+
+
 def _regression(doc, feature, value, label, weight, features: int, rounds: int, rate: float = 0.2, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Logistic regression by full-batch steps scaled by the root of the summed squared gradients."""
     w, b = np.zeros(features), 0.0

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
@@ -668,3 +669,24 @@ def test_empty_and_odd_tables(spark, run):
     assert run(empty(spark)).collect() == []
     ids = {r["doc_id"] for r in run(odd(spark)).collect()}
     assert ids == {r[0] for r in odd_rows()}
+
+
+def test_the_fit_holds_little_beside_its_entries():
+    """Entries come row by row, in order, and what is allocated on the way is near the size of what stays."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    places = np.sort(rng.choice(1 << 20, 5000, replace=False))
+    ratios = rng.normal(size=5000)
+    sizes = rng.integers(0, 1200, 3000)
+    feature, value = rng.choice(places, sizes.sum()).astype(np.int32), rng.random(sizes.sum()).astype(np.float32)
+    edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(edges, pa.array(x)) for x in (feature, value)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(3000) % 2, pa.int32()), *lists], ["label", "feature", "value"])
+    tracemalloc.start()
+    label, doc, place, scaled = toxicity._gathered(iter([batch.slice(0, 2000), batch.slice(2000, 0), batch.slice(2000)]), places, ratios)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (label == np.arange(3000) % 2).all() and (doc == np.repeat(np.arange(3000), sizes)).all()
+    assert (places[place] == feature).all() and (scaled == value * ratios[place].astype(np.float32)).all()
+    assert most < 1.7 * (doc.nbytes + place.nbytes + scaled.nbytes)
