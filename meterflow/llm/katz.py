@@ -3,13 +3,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .chunks import Words, document_id, document_key, mix, texts_in_chunks
+from .chunks import Words, document_id, document_key, give_back, mix, texts_in_chunks
 from .store import step
 from .toxicity import held_out
 
@@ -17,6 +18,12 @@ ORDER = 3
 BLOCK_BYTES = 6 << 20
 PART_BYTES = 8 << 20
 CHUNK_BYTES = 1 << 20
+#: A block is a row of a few MB: rows are written in small groups, so that a reader holds few of them.
+ROW_GROUPS = {"parquet.block.size": 4 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 1}
+#: Lengths of run, less one, that are counted at a time: what lies on disk between blocks and parts is the hashes of these.
+COUNTED = ((2,), (0, 1))
+#: Of the texts of stored blocks.
+LEVEL = 6
 #: Counts up to this have discounts of their own.
 LARGEST = 5
 END = np.uint64(0xA0761D6478BD642F)
@@ -89,31 +96,60 @@ class Totals:
 class Block:
     """The different documents of a block: tokens, tokens per document, and how many of a document's rows are learnt from."""
     number: int
-    names: list[int]
+    names: np.ndarray
     docs: np.ndarray
     tokens: np.ndarray
     counts: np.ndarray
     learnt: np.ndarray
 
-    def types(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """By length of run: places of last tokens, the different hashes in order, the place of the first of each, and which each run is."""
-        for place, key in runs(self.tokens, self.counts):
-            yield place, *np.unique(key, return_index=True, return_inverse=True)
+    def types(self, lengths: Iterable[int] = range(ORDER)) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """By length of run, less one: the length, places of last tokens, the different hashes in order, the place of the first of each, and which each run is."""
+        for k, (place, key) in enumerate(runs(self.tokens, self.counts)):
+            if k in lengths:
+                yield k, place, *np.unique(key, return_index=True, return_inverse=True)
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Numbers, compressed byte by byte: first the lowest bytes of all, then the next ones. Upper bytes are mostly alike."""
+    width = numbers.itemsize
+    planes = np.ascontiguousarray(np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + len(numbers).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if len(numbers) else b"")
+
+
+def _restored(squeezed: bytes, kind: str = "u") -> np.ndarray:
+    """The numbers, of ``kind`` (u: unsigned, i: signed, f: floating) and the width they had."""
+    width, size = squeezed[0], int.from_bytes(squeezed[1:9], "little")
+    if not size:
+        return np.empty(0, f"{kind}{width}")
+    planes = np.frombuffer(pa.decompress(memoryview(squeezed)[9:], size * width, "zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, size).T).view(f"{kind}{width}").ravel()
 
 
 def _packed(keys: np.ndarray) -> bytes:
-    """Ascending 64-bit numbers: the first, then the differences, in as many bytes as the largest needs."""
-    gaps = np.diff(keys)
-    width = max(1, (int(gaps.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + keys[:1].tobytes() + gaps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    """Ascending 64-bit numbers, as their differences."""
+    return _squeezed(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpacked(packed: bytes) -> np.ndarray:
-    width, own = packed[0], np.frombuffer(packed, np.uint8)[1:]
-    gaps = np.zeros((1 + max(0, len(own) - 8) // width, 8), np.uint8)
-    gaps[0] = own[:8]
-    gaps[1:, :width] = own[8:].reshape(-1, width)
-    return np.cumsum(gaps.view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_restored(packed), dtype=np.uint64)
+
+
+def _parts(keys: np.ndarray, bits: int) -> tuple[list[int], list[slice]]:
+    """The parts that ascending hashes fall into, by their upper ``bits``, and where the hashes of each stand."""
+    edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
+    cut = np.append(np.searchsorted(keys, edges), len(keys))
+    parts = np.flatnonzero(np.diff(cut))
+    return parts.tolist(), [slice(a, b) for a, b in zip(cut[parts].tolist(), cut[parts + 1].tolist())]
+
+
+def _batch(schema: str, size: int, /, **columns) -> pa.RecordBatch:
+    """A batch of ``size`` rows with these columns, the others null."""
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "tinyint": pa.int8(), "double": pa.float64(), "array<long>": pa.list_(pa.int64())}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], kinds[k]) if c in columns else pa.nulls(size, kinds[k]) for c, k in fields], [c for c, _ in fields])
+
+
+_BLOCKS = "block long, size long, docs binary, text binary"
 
 
 class _Gathered:
@@ -121,7 +157,7 @@ class _Gathered:
 
     def __init__(self):
         self.place: dict[int, int] = {}
-        self.names, self.learnt, self.fresh, self.parts, self.bytes = [], [], [], [], 0
+        self.names, self.learnt, self.texts, self.bytes = [], [], [], 0
 
     def add(self, name: int, doc: int, train: bool, text: bytes) -> None:
         if doc in self.place:
@@ -130,228 +166,253 @@ class _Gathered:
         self.place[doc] = len(self.names)
         self.names.append(name)
         self.learnt.append(int(train))
-        self.fresh.append(text)
+        self.texts.append(text)
         self.bytes += len(text) + 8
 
-    def settle(self) -> None:
-        """Turn the texts that came last into tokens."""
-        if self.fresh:
-            self.parts.append(tokens_of(self.fresh))
-            self.fresh = []
-
-    def block(self, number: int) -> Block:
-        self.settle()
-        tokens, counts = (np.concatenate(x) for x in zip(*self.parts))
-        return Block(number, self.names, np.array(list(self.place), np.int64), tokens, counts, np.array(self.learnt, np.int64))
+    def row(self, number: int) -> pa.RecordBatch:
+        docs = np.array([self.names, list(self.place), self.learnt, [len(t) for t in self.texts]], np.int64)
+        text = pa.Codec("zstd", compression_level=LEVEL).compress(b"".join(self.texts), asbytes=True)
+        return _batch(_BLOCKS, 1, block=[number], size=[self.bytes], docs=[_squeezed(docs.ravel())], text=[text])
 
 
-def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
+def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of a task, rows (named, doc, train, text), as blocks of some ``BLOCK_BYTES``, with numbers of their own."""
     task, made, now = TaskContext.get().partitionId(), 0, _Gathered()
     for batch, texts in texts_in_chunks(batches, "text", min(CHUNK_BYTES, BLOCK_BYTES)):
         for row in zip(*(batch.column(c).to_pylist() for c in ("named", "doc", "train")), texts):
             now.add(*row)
-        now.settle()
         if now.bytes >= BLOCK_BYTES:
-            yield now.block(task << 32 | made)
+            yield now.row(task << 32 | made)
             made, now = made + 1, _Gathered()
     if now.place:
-        yield now.block(task << 32 | made)
-
-
-def _dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
-    """Blocks from rows (block, named, doc, text) in the order of block."""
-    number, now = None, _Gathered()
-    for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
-        for block, name, doc, text in zip(*(batch.column(c).to_pylist() for c in ("block", "named", "doc")), texts):
-            if block != number:
-                if now.place:
-                    yield now.block(number)
-                number, now = block, _Gathered()
-            now.add(name, doc, False, text)
-        now.settle()
-    if now.place:
-        yield now.block(number)
+        yield now.row(task << 32 | made)
 
 
-_SENT = "part long, block long, keys binary, n binary, docs array<long>"
+def _block(number: int, docs: bytes, text: bytes) -> Block:
+    """A block from its row. Only a chunk of its texts at a time is held beside the tokens."""
+    names, ids, learnt, lengths = _restored(docs, "i").reshape(4, -1)
+    ends = np.cumsum(lengths).tolist()
+    joined = memoryview(pa.decompress(text, ends[-1], "zstd")) if ends[-1] else memoryview(b"")
+    parts, texts, held, begin = [], [], 0, 0
+    for end in ends:
+        if texts and held + end - begin > CHUNK_BYTES:
+            parts.append(tokens_of(texts))
+            texts, held = [], 0
+        texts.append(bytes(joined[begin:end]))
+        held, begin = held + end - begin, end
+    parts.append(tokens_of(texts))
+    del joined, texts
+    tokens, counts = (np.concatenate(x) for x in zip(*parts))
+    return Block(number, names, ids, tokens, counts, learnt)
 
 
-def _counts(bits: int):
-    """A function from documents to rows (part, block, packed hashes, numbers): every hash of a block once, with its count in what is
-    learnt from, doubled, and 1 more if a document that is not learnt from has it. A part has the runs of one length whose hashes share
-    their upper ``bits``; only parts that a block has runs in get a row. One more row of a part below 0 has the block's documents."""
-    names = [c.split()[0] for c in _SENT.split(", ")]
+_SENT = "part long, block long, keys binary, n binary"
+
 
+def _counts(bits: int, lengths: tuple[int, ...]):
+    """A function from blocks to rows (part, block, packed hashes, numbers): every hash of a block's runs of these lengths once, with its count in what is
+    learnt from, doubled, and 1 more if a document that is not learnt from has it. A part has the runs of one length whose hashes share
+    their upper ``bits``; only parts that a block has runs in get a row."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
-        for block in _cut(batches):
-            weight = np.repeat(block.learnt, block.counts)
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - block.number % 1024], pa.int64()), pa.array([block.number], pa.int64()), pa.array([None], pa.binary()),
-                                              pa.array([None], pa.binary()), pa.array([block.docs], pa.list_(pa.int64()))], names)
-            for k, (place, key, _, which) in enumerate(block.types()):
-                n = np.bincount(which, weight[place], len(key)).astype(np.uint32) * np.uint32(2)
-                n[which[weight[place] == 0]] |= np.uint32(1)
-                cut = np.append(np.searchsorted(key, edges), len(key))
-                parts = np.flatnonzero(np.diff(cut))
-                if not len(parts):
-                    continue
-                keys, counts = ([f(x[a:b]) for a, b in zip(cut[parts].tolist(), cut[parts + 1].tolist())] for f, x in ((_packed, key), (np.ndarray.tobytes, n)))
-                yield pa.RecordBatch.from_arrays([pa.array((parts * ORDER + k).astype(np.int64)), pa.array(np.full(len(parts), block.number, np.int64)),
-                                                  pa.array(keys, pa.binary()), pa.array(counts, pa.binary()), pa.nulls(len(parts), pa.list_(pa.int64()))], names)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = _block(*(batch.column(c)[i].as_py() for c in ("block", "docs", "text")))
+                weight = np.repeat(block.learnt, block.counts)
+                for k, place, key, _, which in block.types(lengths):
+                    n = np.bincount(which, weight[place], len(key)).astype(np.uint32) * np.uint32(2)
+                    n[which[weight[place] == 0]] |= np.uint32(1)
+                    parts, cut = _parts(key, bits)
+                    yield _batch(_SENT, len(parts), part=[p * ORDER + k for p in parts], block=[block.number] * len(parts),
+                                 keys=[_packed(key[c]) for c in cut], n=[_squeezed(n[c]) for c in cut])
+                del block
+                give_back()
     return rows
 
 
-_ANSWERED = "part long, block long, size long, reply binary, sums array<long>, docs array<long>"
+def _by_part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one part after the other, from rows in the order of parts."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist() if len(part) else []
+        for begin, end in zip(starts, [*starts[1:], len(part)]):
+            if held and held[-1].column("part")[0].as_py() != part[begin]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+_ANSWERED = "part long, block long, reply binary, sums array<long>"
 
 
 def _totalled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What each block asked for: four times the counts over all blocks, in the order it sent its hashes, 2 more if a document that is not
     learnt from has the run, and 1 more in the one block that speaks for it. One row of each part has its sums: tokens, different runs, and how many of them occur 1, 2 .. times."""
-    held: list[pa.RecordBatch] = []
-    names = [c.split()[0] for c in _ANSWERED.split(", ")]
-
-    def done() -> pa.RecordBatch:
-        table = pa.Table.from_batches(held).combine_chunks()
-        own = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (table[c].combine_chunks() for c in ("part", "block", "docs"))]
-        none = table.num_rows * [None]
-        if own[0][0].as_py() < 0:
-            return pa.RecordBatch.from_arrays([*own[:2], pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(none, pa.list_(pa.int64())), own[2]], names)
+    for table in _by_part(batches):
         keys = [_unpacked(x) for x in table["keys"].to_pylist()]
-        n = np.frombuffer(b"".join(table["n"].to_pylist()), np.uint32)
+        n = np.concatenate([_restored(x) for x in table["n"].to_pylist()])
+        ends = np.cumsum([len(x) for x in keys]).tolist()
         known, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        del keys
         total = np.bincount(which, n >> np.uint32(1), len(known)).astype(np.int64)
         wanted = np.bincount(which, n & np.uint32(1), len(known)) > 0
         having = np.bincount(np.minimum(total, LARGEST + 2), minlength=LARGEST + 3)[1:LARGEST + 2]
         answer = (total * 4 + wanted * 2)[which]
         answer[first] += 1
-        ends = np.cumsum([len(x) for x in keys])
-        replies = [answer[b - len(x):b].astype(np.uint64 if answer.max() >> 32 else np.uint32).tobytes() for x, b in zip(keys, ends.tolist())]
-        sums = [[int(total.sum()), int((total > 0).sum()), *having.tolist()], *none[1:]]
-        return pa.RecordBatch.from_arrays([*own[:2], pa.array([len(x) for x in keys], pa.int64()), pa.array(replies, pa.binary()), pa.array(sums, pa.list_(pa.int64())), own[2]], names)
-
-    for batch in batches:
-        part = batch.column("part").to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist() if len(part) else []
-        for begin, end in zip(starts, [*starts[1:], len(part)]):
-            if held and held[-1].column("part")[0].as_py() != part[begin]:
-                yield done()
-                held = []
-            held.append(batch.slice(begin, end - begin))
-    if held:
-        yield done()
+        replies = [_squeezed(answer[a:b].astype(np.uint64 if answer.max() >> 32 else np.uint32)) for a, b in zip([0, *ends], ends)]
+        sums = [[int(total.sum()), int((total > 0).sum()), *having.tolist()], *[None] * (len(ends) - 1)]
+        yield _batch(_ANSWERED, len(ends), part=table["part"].to_pylist(), block=table["block"].to_pylist(), reply=replies, sums=sums)
+        del table, n, known, first, which, total, wanted, answer, replies
+        give_back()
 
 
-_SCORES = "kind tinyint, id long, other long, x double, y double, z double, name long"
+_SCORES = "part long, kind tinyint, block long, keys binary, x binary, y binary, z binary"
 
 
-def _scored(totals: Totals):
-    """A function from a block's replies and then its documents to rows (0, document, its tokens, known ones, base and model score so far),
-    (n, context of n tokens, -, its count, what the runs it begins take of it, what they have without its first token) for the runs that the block
-    speaks for and that follow a context some document may back off from, and (-n, document, context of n tokens, times it backs off from it)."""
-    def score(block: Block, replies: list[np.ndarray]) -> pa.RecordBatch:
+def _scored(totals: Totals, bits: int):
+    """A function from blocks, each after the replies to it, to rows of packed numbers: (0: documents; their name, tokens, known ones;
+    base and model score so far), (n: contexts of n tokens; their counts, what the runs they begin take of it, what they have without
+    their first token) for the runs that the block speaks for and that follow a context some document may back off from, and (-n: contexts of n tokens; the
+    place in the block of a document that backs off from it, how often). Contexts are dealt to parts as runs are, documents to parts below 0."""
+    def score(block: Block, replies: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         size, n_docs = len(block.tokens), len(block.docs)
-        doc = np.repeat(np.arange(n_docs), block.counts)
-        count = np.zeros((ORDER, size), np.int64)        # of the run of n + 1 tokens that ends at each place
-        key = np.zeros((ORDER, size), np.uint64)
-        chance = np.zeros((ORDER, size))                 # of its last token, where it was seen
-        wanted = np.zeros((ORDER, size), bool)           # as a context: some document may back off from it
-        speaks: list[np.ndarray] = []
-        rows: list[tuple] = []
-        for k, (place, known, first, which) in enumerate(block.types()):
-            answer = replies[k]
-            count[k, place], key[k, place], wanted[k, place] = (answer >> 2)[which], known[which], (answer & 2 > 0)[which]
-            speaks.append(place[first[(answer & 1 > 0) & (answer >= 4)]])
-            before = np.full(size, totals.tokens) if not k else np.concatenate([[0], count[k - 1, :-1]])
-            seen = place[count[k, place] > 0]
-            chance[k, seen] = totals.discounts[k](count[k, seen]) / before[seen]
-        chance[0, count[0] == 0] = totals.unknown
-        for k in range(1, ORDER):
-            at = speaks[k][wanted[k - 1, speaks[k] - 1]]
-            context, which = np.unique(key[k - 1, at - 1], return_inverse=True)
-            held = np.zeros(len(context))
-            held[which] = count[k - 1, at - 1]
-            rows.append((k, context.view(np.int64), np.zeros(len(context), np.int64), held, np.bincount(which, totals.discounts[k](count[k, at]), len(context)),
-                         np.bincount(which, chance[k - 1, at], len(context))))
+        count = [np.zeros(size, np.int64) for _ in range(ORDER)]       # of the run of n + 1 tokens that ends at each place
+        key = [np.zeros(size, np.uint64) for _ in range(ORDER - 1)]
+        chance = [np.zeros(size) for _ in range(ORDER)]                # of its last token, where it was seen
+        wanted = [np.zeros(size, bool) for _ in range(ORDER - 1)]      # as a context: some document may back off from it
+        for k, place, known, first, which in block.types():
+            answer, replies[k] = replies[k].astype(np.int64), None
+            count[k][place] = (answer >> 2)[which]
+            if k < ORDER - 1:
+                key[k][place], wanted[k][place] = known[which], (answer & 2 > 0)[which]
+            speaks = place[first[(answer & 1 > 0) & (answer >= 4)]]
+            del answer, known, first, which
+            before = np.full(size, totals.tokens) if not k else np.concatenate([[0], count[k - 1][:-1]])
+            seen = place[count[k][place] > 0]
+            chance[k][seen] = totals.discounts[k](count[k][seen]) / before[seen]
+            del before, seen, place
+            if not k:
+                chance[0][count[0] == 0] = totals.unknown
+                continue
+            at = speaks[wanted[k - 1][speaks - 1]]
+            context, which = np.unique(key[k - 1][at - 1], return_inverse=True)
+            held = np.zeros(len(context), np.int64)
+            held[which] = count[k - 1][at - 1]
+            yield sent(block, k, k, context, held, np.bincount(which, totals.discounts[k](count[k][at]), len(context)), np.bincount(which, chance[k - 1][at], len(context)))
+            del speaks, at, context, which, held
         open_, found = np.ones(size, bool), np.zeros(size)
         into = np.arange(size) - np.repeat(np.cumsum(block.counts) - block.counts, block.counts)
+        doc = np.repeat(np.arange(n_docs, dtype=np.uint64), block.counts)
         for k in range(ORDER - 1, -1, -1):  # the longest run that was seen; on the way down, the contexts that were
             seen = open_ & ((count[k] > 0) | (k == 0)) & (into >= k)
-            found[seen] = np.log10(chance[k, seen])
+            found[seen] = np.log10(chance[k][seen])
             open_ &= ~seen
             if k:
                 off = np.flatnonzero(open_ & (into >= k))
-                off = off[count[k - 1, off - 1] > 0]
-                pairs, times = np.unique(np.stack([doc[off].astype(np.uint64), key[k - 1, off - 1]]), axis=1, return_counts=True)
-                rows.append((-k, block.docs[pairs[0].astype(np.int64)], pairs[1].view(np.int64), times, np.zeros(len(times)), np.zeros(len(times))))
+                off = off[count[k - 1][off - 1] > 0]
+                off = off[np.lexsort((doc[off], key[k - 1][off - 1]))]
+                context, owner = key[k - 1][off - 1], doc[off]
+                new = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (owner[1:] != owner[:-1])])[:len(off)])
+                yield sent(block, k, -k, context[new], owner[new], np.diff(new, append=len(off)))
+        doc = doc.astype(np.int64)
         base = np.log10((count[0] + 1) / (totals.tokens + totals.words + 1))
-        rows.append((0, block.docs, block.counts, np.bincount(doc, count[0] > 0, n_docs), np.bincount(doc, base, n_docs), np.bincount(doc, found, n_docs)))
-        columns = [np.concatenate([np.full(len(r[1]), r[0], np.int8) for r in rows]), *(np.concatenate([r[i] for r in rows]) for i in range(1, 6))]
-        kinds = [np.int8, np.int64, np.int64, np.float64, np.float64, np.float64]
-        names = pa.array([None] * (len(columns[0]) - n_docs) + block.names, pa.int64())
-        return pa.RecordBatch.from_arrays([*(pa.array(x.astype(t)) for x, t in zip(columns, kinds)), names], ["kind", "id", "other", "x", "y", "z", "name"])
+        about = np.concatenate([block.names, block.docs, block.counts, np.bincount(doc, count[0] > 0, n_docs).astype(np.int64)])
+        yield _batch(_SCORES, 1, part=[-1 - block.number % 1024], kind=[0], block=[block.number], x=[_squeezed(about)],
+                     y=[_squeezed(np.bincount(doc, base, n_docs))], z=[_squeezed(np.bincount(doc, found, n_docs))])
+
+    def sent(block: Block, k: int, kind: int, context: np.ndarray, *numbers: np.ndarray) -> pa.RecordBatch:
+        parts, cut = _parts(context, bits)
+        columns = {c: [_squeezed(n[own]) for own in cut] for c, n in zip("xyz", numbers)}
+        return _batch(_SCORES, len(parts), part=[p * ORDER + k for p in parts], kind=[kind] * len(parts), block=[block.number] * len(parts),
+                      keys=[_packed(context[own]) for own in cut], **columns)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[int, list[np.ndarray]] = {}
-
-        def texts() -> Iterator[pa.RecordBatch]:
-            """The documents; a block's replies, which come before them, are put aside."""
-            for batch in batches:
-                part = batch.column("part")
-                reply = part.is_valid().to_numpy(zero_copy_only=False)
-                edges = np.flatnonzero(np.concatenate([[True], reply[1:] != reply[:-1], [True]])) if len(reply) else [0]
-                for begin, end in zip(edges[:-1], edges[1:]):
-                    own = batch.slice(int(begin), int(end - begin))
-                    if not reply[begin]:
-                        yield own.select(["block", "named", "doc", "text"])
-                        continue
-                    for block, part_, size, found in zip(*(own.column(c).to_pylist() for c in ("block", "part", "size", "reply"))):
-                        held = waiting.setdefault(block, [[np.empty(0, np.int64)] for _ in range(ORDER)])
-                        held[part_ % ORDER].append(np.frombuffer(found, np.uint64 if len(found) == 8 * size else np.uint32).astype(np.int64))
-
-        for block in _dealt(texts()):
-            yield score(block, [np.concatenate(x) for x in waiting.pop(block.number)])
+        waiting: list[list[np.ndarray]] = [[] for _ in range(ORDER)]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part = batch.column("part")[i].as_py()
+                if part is not None:
+                    waiting[part % ORDER].append(_restored(batch.column("reply")[i].as_py()))
+                    continue
+                own = [np.concatenate([np.empty(0, np.uint32), *x]) for x in waiting]
+                waiting = [[] for _ in range(ORDER)]
+                yield from score(_block(*(batch.column(c)[i].as_py() for c in ("block", "docs", "text"))), own)
+                del own
+                give_back()
 
     return rows
 
 
+_EACH = "block long, at long, id long, name long, n_tokens long, n_known long, base_score double, found double, more double"
+
+
+def _weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the rows of ``_scored``, by part and the contexts' own before those of documents: rows of documents (block, place in it, what is known),
+    and of what their backing off from the contexts of a part adds (block, place in it, more)."""
+    for table in _by_part(batches):
+        own: list[tuple] = []
+        weight = known = None
+        for row in (r for b in table.to_batches(1024) for r in b.to_pylist()):
+            if row["kind"] == 0:
+                names, ids, n_tokens, n_known = _restored(row["x"], "i").reshape(4, -1)
+                yield _batch(_EACH, len(ids), block=np.full(len(ids), row["block"]), at=np.arange(len(ids)), id=ids, name=names, n_tokens=n_tokens, n_known=n_known,
+                             base_score=_restored(row["y"], "f"), found=_restored(row["z"], "f"))
+                continue
+            keys = _unpacked(row["keys"])
+            if row["kind"] > 0:
+                own.append((keys, _restored(row["x"], "i"), _restored(row["y"], "f"), _restored(row["z"], "f")))
+                continue
+            if known is None:
+                every, count, taken, lower = (np.concatenate(x) for x in zip(*own)) if own else (np.empty(0, t) for t in (np.uint64, np.int64, float, float))
+                own = []
+                known, first, which = np.unique(every, return_index=True, return_inverse=True)
+                weight = np.log10((1 - np.bincount(which, taken, len(known)) / count[first]) / (1 - np.bincount(which, lower, len(known))))
+                del every, count, taken, lower, first, which
+            place = np.searchsorted(known, keys)
+            hit = np.flatnonzero(np.append(known, np.uint64(0))[place] == keys) if len(known) else np.empty(0, np.int64)
+            hit = hit[place[hit] < len(known)]
+            docs, which = np.unique(_restored(row["x"], "i")[hit], return_inverse=True)
+            yield _batch(_EACH, len(docs), block=np.full(len(docs), row["block"]), at=docs, more=np.bincount(which, _restored(row["y"], "i")[hit] * weight[place[hit]], len(docs)))
+        del table, own, weight, known
+        give_back()
+
+
 def score_documents(docs: DataFrame, learn, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Score every text under a model learnt from the rows where ``learn`` (a column; null: no) holds.
 
     A document's tokens are its lower-cased words and one end. A run of three tokens that was seen has its discounted count over that
     of the first two; others have the probability of their last two, found in the same way, times the weight that makes all that may follow the
     first two sum to 1; so on down to single words, and words not seen share one unknown word. What a task reads is cut into blocks of some
-    ``BLOCK_BYTES``. A block sends the hash of each of its runs once with its count, packed, dealt to parts of the
-    table of counts; a part adds them up and answers every block with the counts in the order it asked. The answers and the documents meet by
-    block, streamed in sorted order. Per document: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one) and
+    ``BLOCK_BYTES``, which are written once, compressed. A block sends the hash of each of its runs once with its count, packed, dealt to parts of the
+    table of counts, runs of three tokens first and the shorter ones after them; a part adds them up and answers every block with the counts in the order it asked. The answers and the blocks meet by
+    block, streamed in sorted order; contexts and those who back off from them meet by part, packed as the counts are. Per document: ``doc_id``,
+    ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one) and
     ``score``, both log10. Null and empty texts have the end alone. Rows that repeat an id count as often as they come in what is learnt, and
     give one row if their texts agree; so do rows of one text without an id. Two texts under one id are two documents.
     """
-    weight = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8)).first()[0] or 0
-    bits = (weight // PART_BYTES).bit_length()
     every = docs.select(document_key(id_column, text).alias("named"), F.coalesce(learn, F.lit(False)).alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    every = every.withColumn("doc", F.xxhash64("named", "text"))
-    sent = every.select("named", "doc", "train", "text").mapInArrow(_counts(bits), _SENT)
-    replies = step(sent.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_totalled, _ANSWERED), "replies")
+    every = every.withColumn("doc", F.xxhash64("named", "text")).select("named", "doc", "train", "text")
+    blocks = step(every.mapInArrow(_cut, _BLOCKS), "blocks", **ROW_GROUPS)
+    bits = ((blocks.agg(F.sum("size")).first()[0] or 0) // PART_BYTES).bit_length()
+    sent = [blocks.select("block", "docs", "text").mapInArrow(_counts(bits, lengths), _SENT) for lengths in COUNTED]
+    answered = [step(s.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_totalled, _ANSWERED), "replies") for s in sent]
+    replies = reduce(DataFrame.unionAll, answered)
     sums = replies.where("sums is not null").select((F.col("part") % ORDER).alias("k"), F.posexplode("sums").alias("at", "n")).groupBy("k", "at").agg(F.sum("n").alias("n")).collect()
     seen = np.zeros((ORDER, 3 + LARGEST), np.int64)
     for r in sums:
         seen[r["k"], r["at"]] = r["n"]
     totals = Totals.fit(int(seen[0, 0]), int(seen[0, 1]), seen[:, 2:].tolist())
 
-    # Each document once, to the blocks that it was read in; a block's replies come before its documents.
-    texts = every.groupBy("doc").agg(F.first("named").alias("named"), F.first("text").alias("text"))
-    placed = texts.join(replies.where("part < 0").select("block", F.explode("docs").alias("doc")), "doc")
-    nothing = lambda **types: [F.lit(None).cast(t).alias(c) for c, t in types.items()]
-    left = replies.where("part >= 0").select("block", "part", "size", "reply", *nothing(named="long", doc="long", text="string"))
-    right = placed.select("block", *nothing(part="long", size="long", reply="binary"), "named", "doc", "text")
+    left = replies.select("block", "part", "reply", *[F.lit(None).cast("binary").alias(c) for c in ("docs", "text")])
+    right = blocks.select("block", F.lit(None).cast("long").alias("part"), F.lit(None).cast("binary").alias("reply"), "docs", "text")
     mixed = left.unionAll(right).repartition("block").sortWithinPartitions("block", F.col("part").asc_nulls_last())
-    parts = step(mixed.mapInArrow(_scored(totals), _SCORES), "scores")
-    weights = parts.where("kind > 0").groupBy("kind", "id").agg(F.max("x").alias("c"), F.sum("y").alias("taken"), F.sum("z").alias("lower")).select(
-        (-F.col("kind")).cast("tinyint").alias("kind"), F.col("id").alias("other"), F.log10((1 - F.col("taken") / F.col("c")) / (1 - F.col("lower"))).alias("weight"))
-    backed = parts.where("kind < 0").select("kind", "id", "other", "x").join(weights, ["kind", "other"]).groupBy("id").agg(F.sum(F.col("x") * F.col("weight")).alias("more"))
-    each = parts.where("kind = 0").dropDuplicates(["id"]).select("id", "name", F.col("other").alias("n_tokens"), F.col("x").cast("long").alias("n_known"), F.col("y").alias("base_score"), F.col("z").alias("found"))
-    return each.join(backed, "id", "left").select(
+    scored = mixed.mapInArrow(_scored(totals, bits), _SCORES).repartition("part").sortWithinPartitions("part", F.col("kind").desc(), "block")
+    parts = step(scored.mapInArrow(_weighted, _EACH), "scores")
+    # A document has one row for each block that it was read in, all with the same scores.
+    each = parts.groupBy("block", "at").agg(*[F.max(c).alias(c) for c in ("id", "name", "n_tokens", "n_known", "base_score", "found")], F.sum("more").alias("more"))
+    return each.dropDuplicates(["id"]).select(
         document_id("name").alias("doc_id"), "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),
         "base_score", (F.col("found") + F.coalesce("more", F.lit(0.0))).alias("score"))
 

@@ -407,6 +407,31 @@ def test_a_model_learnt_from_nothing(spark):
     assert all(r["train_tokens"] == 0 and r["score"] == 0 and r["base_score"] == 0 for r in rows)
 
 
+def test_a_document_of_several_blocks_backs_off_once(spark, monkeypatch):
+    """Copies of a row that are read by different tasks are one document: what its backing off adds counts once."""
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 40)) for i in range(60)]
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    again = once.where("doc_id < 6").coalesce(1)
+    learn = F.col("doc_id") % 3 != 0
+    want = {r["doc_id"]: tuple(r) for r in katz.score_documents(once.union(again.where(~learn)), learn).collect()}
+    plain = plain_model(rows, lambda i: i % 3 != 0)[0]
+    assert len(want) == 60
+    for i, row in want.items():
+        assert row[1:4] == plain[i][:3] and row[4:] == pytest.approx(plain[i][3:], abs=1e-8)
+
+
+def test_runs_are_sent_in_little_room():
+    """Hashes of a block take hardly more than what tells them apart, and small counts next to nothing."""
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 63, 200_000).astype(np.uint64) * np.uint64(2))
+    counts = np.where(rng.random(len(keys)) < 0.02, 40, 2).astype(np.uint32)
+    assert len(katz._packed(keys)) < 6.3 * len(keys) and len(katz._squeezed(counts)) < 0.1 * len(keys)
+    assert (katz._restored(katz._squeezed(counts)) == counts).all()
+    shares = rng.random(1000)
+    assert (katz._restored(katz._squeezed(shares), "f") == shares).all() and len(katz._restored(katz._squeezed(shares[:0]), "f")) == 0
+
+
 # benchmark
 
 def test_benchmark_items_are_found_wherever_they_stand(spark):
