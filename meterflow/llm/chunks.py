@@ -68,7 +68,8 @@ def give_back() -> None:
 
 def texts_in_chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches whose texts have at most ``limit`` bytes (a longer text is a slice of its own), with
-    the texts as bytes, nulls as empty ones. Only the texts of one slice are copied at a time."""
+    the texts as bytes, nulls as empty ones. Only the texts of one slice are copied at a time. What the worker's last task left behind is given back first."""
+    give_back()
     for batch in batches:
         column = batch.column(text).cast(pa.binary())
         lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()

@@ -16,12 +16,13 @@ BITS = 20
 SLICES = 64
 ROWS_PER_CLASS = 6_000
 PARTS = 16
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 17
 SMOOTHING = 4.0
 MIN_SURPRISE = 10.0
 PER = 1000.0
 AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 256
+SENT_AT_ONCE = 1 << 16
 
 
 def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,6 +85,19 @@ def _sample(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label
     return docs.select(id_column, text).join(F.broadcast(few), id_column).select(F.col(text).alias("text"), "_label").repartition(PARTS)
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (text, _label): the features, and the numbers of rows of either class that have each."""
+    found = np.zeros(2 << BITS, np.int32)  # a part has fewer documents than that holds
+    for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
+        classes = np.array(batch.column("_label").to_pylist())
+        owner, feature, _ = counted(*ngrams(texts)[:2])
+        np.add.at(found, classes[owner] << BITS | feature, np.int32(1))
+    found = found.reshape(2, -1)
+    feature = np.flatnonzero(found.any(axis=0))
+    for at in (feature[i:i + SENT_AT_ONCE] for i in range(0, len(feature), SENT_AT_ONCE)):
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(found[k][at].astype(np.int64)) for k in (0, 1))], ["feature", "clean", "toxic"])
+
+
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
           per_class: int = ROWS_PER_CLASS, rounds: int = 80) -> Model:
     """Fit on a bounded sample: at most ``per_class`` labelled documents of each class, classes weighted as in the labels.
@@ -102,18 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     if len(sizes) < 2:
         return Model(np.empty(0, np.int64), np.empty(0), 30.0 if 1 in sizes else -30.0)
 
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros((2, 1 << BITS), np.int64)
-        for batch, texts in texts_in_chunks(batches, "text", CHUNK_BYTES):
-            classes = np.array(batch.column("_label").to_pylist())
-            owner, feature, _ = counted(*ngrams(texts)[:2])
-            for k in (0, 1):
-                found[k] += np.bincount(feature[classes[owner] == k], minlength=1 << BITS)
-        feature = np.flatnonzero(found.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(feature), pa.array(found[0][feature]), pa.array(found[1][feature])], ["feature", "clean", "toxic"])
-
     n0, n1 = sizes[0], sizes[1]
-    table = sample.mapInArrow(frequencies, "feature long, clean long, toxic long").groupBy("feature").agg(
+    table = sample.mapInArrow(_frequencies, "feature long, clean long, toxic long").groupBy("feature").agg(
         F.sum("clean").alias("a"), F.sum("toxic").alias("b"))
     part = lambda k, n: f"if({k} > 0, {k} * ln({k} / ((a + b) * {n}D / {n0 + n1})), 0)"
     surprise = F.expr(f"2 * ({part('a', n0)} + {part('b', n1)})")

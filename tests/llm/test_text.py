@@ -715,3 +715,35 @@ def test_the_fit_holds_little_beside_its_entries():
     assert (label == np.arange(3000) % 2).all() and (doc == np.repeat(np.arange(3000), sizes)).all()
     assert (places[place] == feature).all() and (scaled == value * ratios[place].astype(np.float32)).all()
     assert most < 1.7 * (doc.nbytes + place.nbytes + scaled.nbytes)
+
+
+def test_frequencies_are_counted_in_little_room():
+    """Documents of either class that have a feature; beside the two tables little is held, however long the batch."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    texts = [prose(rng, 150) for _ in range(3000)] + ["", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 2 for i in range(len(texts))])], ["text", "_label"])
+    list(toxicity._frequencies(iter([batch.slice(0, 10)])))
+    tracemalloc.start()
+    made = pa.Table.from_batches(list(toxicity._frequencies(iter([batch.slice(0, 1000), batch.slice(1000)]))))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = collections.Counter()
+    for i, t in enumerate(texts):
+        want.update((f, i % 2) for f in set(toxicity.ngrams([(t or "").encode()])[0].tolist()))
+    assert {(r["feature"], k): r[c] for r in made.to_pylist() for k, c in ((0, "clean"), (1, "toxic")) if r[c]} == want
+    assert most < 60 << 20
+
+
+def test_what_a_task_left_is_given_back_before_the_next(monkeypatch):
+    seen = []
+    monkeypatch.setattr("meterflow.llm.chunks.give_back", lambda: seen.append("given"))
+
+    def batches():
+        seen.append("read")
+        yield pa.RecordBatch.from_arrays([pa.array(["a", None])], ["text"])
+
+    from meterflow.llm.chunks import texts_in_chunks
+    assert [t for _, t in texts_in_chunks(batches(), "text")] == [[b"a", b""]]
+    assert seen[:2] == ["given", "read"]
