@@ -25,10 +25,26 @@ TRIED = 6
 CARRIED = 8
 MARKS = 1 << 24
 PAIRS_AT_ONCE = 100_000
+#: Bytes of text whose words and shingles are told apart at a time.
+AT_ONCE = 1 << 18
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingle hashes of each text, ascending, one text after the other; and how many each has."""
+    """The distinct shingle hashes of each text, ascending, one text after the other; and how many each has. Made from some ``AT_ONCE`` bytes at a time."""
+    parts, own, held = [], [], 0
+    for t in texts:
+        if own and held + len(t) > AT_ONCE:
+            parts.append(_shingled(own, size))
+            own, held = [], 0
+        own.append(t)
+        held += len(t)
+    if not parts:
+        return _shingled(own, size)
+    values, counts = zip(*parts, _shingled(own, size))
+    return np.concatenate(values), np.concatenate(counts)
+
+
+def _shingled(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     words = Words(texts, lower=True)
     hashes, first = words.windows(size)
     text = words.text_of()[first]

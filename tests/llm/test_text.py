@@ -747,3 +747,19 @@ def test_what_a_task_left_is_given_back_before_the_next(monkeypatch):
     from meterflow.llm.chunks import texts_in_chunks
     assert [t for _, t in texts_in_chunks(batches(), "text")] == [[b"a", b""]]
     assert seen[:2] == ["given", "read"]
+
+
+def test_shingle_sets_are_made_in_little_room():
+    """The sets of a chunk of 2 MB, as those of its texts one by one; what is held on the way does not go with the chunk."""
+    import tracemalloc
+
+    rng = random.Random(9)
+    texts = [prose(rng, rng.randrange(700)).encode() for _ in range(1400)] + [b"", b" \t", b"one", b"three words here"]
+    assert sum(map(len, texts)) > 19 << 17
+    jaccard.shingle_sets(texts)
+    tracemalloc.start()
+    values, counts = jaccard.shingle_sets(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((a == jaccard.shingle_sets([t])[0]).all() for a, t in zip(jaccard._of(values, counts), texts)) and len(counts) == len(texts)
+    assert most < 3 * values.nbytes + (20 << 20)
