@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .chunks import Words, mix, rolling, texts_in_chunks
 from .components import components
-from .store import step
+from .store import small_batches, step
 
 SHINGLE = 5
 #: Shingles that are ordered last, so that prefixes avoid them; bounds what is sent to every task.
@@ -24,7 +24,9 @@ TRIED = 6
 #: Shingles that a class carries along, by which pairs met under another one are known.
 CARRIED = 8
 MARKS = 1 << 24
+#: Pairs that a task goes down a tree with, or tells apart, at a time, and pairs of signatures it holds side by side.
 PAIRS_AT_ONCE = 100_000
+SIGNATURES_AT_ONCE = 8_192
 #: Bytes of text whose words and shingles are told apart at a time.
 AT_ONCE = 1 << 18
 
@@ -190,38 +192,49 @@ class Tree:
             self.levels.append((np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts), np.minimum.reduceat(least, starts),
                                 np.maximum.reduceat(most, starts), np.bitwise_or.reduceat(union, starts, axis=0), np.maximum.reduceat(rest, starts)))
 
+    def _common(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many bits two nodes have in common."""
+        union, out = self.levels[level][4], np.empty(len(a), np.int64)
+        for i in range(0, len(a), SIGNATURES_AT_ONCE):
+            own = slice(i, i + SIGNATURES_AT_ONCE)
+            out[own] = np.bitwise_count(union[a[own]] & union[b[own]]).sum(1)
+        return out
+
+    def _below(self, level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes of ``level`` under pairs of nodes of the level above, each under a with each under b."""
+        size = len(self.levels[level][0])
+        a, b = (np.repeat(a * FAN, FAN * FAN) + np.tile(np.repeat(np.arange(FAN), FAN), len(a)),
+                np.repeat(b * FAN, FAN * FAN) + np.tile(np.tile(np.arange(FAN), FAN), len(b)))
+        inside = (a < size) & (b < size)
+        return a[inside], b[inside]
+
     def may_link(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether a member of node a and one of node b can link: not all of one component, sizes within reach, and the
         overlap that the common bits allow is enough for the smallest members."""
-        low, high, least, most, union, rest = self.levels[level]
+        low, high, least, most, _, rest = self.levels[level]
         one = (least[a] == most[a]) & (least[b] == most[b]) & (least[a] == least[b])
         reach = (4 * high[a] >= 3 * low[b]) & (4 * high[b] >= 3 * low[a])
         left = np.flatnonzero(~one & reach)
         a, b = a[left], b[left]
-        common = np.bitwise_count(union[a] & union[b]).sum(1)
-        overlap = np.minimum(np.minimum(high[a], high[b]), common + np.minimum(rest[a], rest[b]))
+        overlap = np.minimum(np.minimum(high[a], high[b]), self._common(level, a, b) + np.minimum(rest[a], rest[b]))
         found = np.zeros(len(one), bool)
         found[left[7 * overlap >= 3 * (low[a] + low[b])]] = True
         return found
 
     def _overlap(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The largest part of two nodes' smallest members that can be shared."""
-        low, high, _, _, union, rest = self.levels[level]
-        common = np.bitwise_count(union[a] & union[b]).sum(1)
-        return np.minimum(np.minimum(high[a], high[b]), common + np.minimum(rest[a], rest[b])) / (low[a] + low[b])
+        low, high, _, _, _, rest = self.levels[level]
+        return np.minimum(np.minimum(high[a], high[b]), self._common(level, a, b) + np.minimum(rest[a], rest[b])) / (low[a] + low[b])
 
     def partners(self) -> tuple[np.ndarray, np.ndarray]:
         """At most two pairs a member that may link: with the member whose signature overlaps most, found by going down both sides of
         the tree with the ``FAN`` best partners of every node, and with the most typical member, whose signature has the bits that most have."""
         top = len(self.levels[-1][0])
-        a, b = (x.ravel() for x in np.indices((top, top)))
-        for level in range(len(self.levels) - 1, -1, -1):
-            if level < len(self.levels) - 1:
-                size = len(self.levels[level][0])
-                a, b = (np.repeat(a * FAN, FAN * FAN) + np.tile(np.repeat(np.arange(FAN), FAN), len(a)),
-                        np.repeat(b * FAN, FAN * FAN) + np.tile(np.tile(np.arange(FAN), FAN), len(b)))
-                inside = (a < size) & (b < size)
-                a, b = a[inside], b[inside]
+        found, left = [], [(len(self.levels) - 1, *(x.ravel() for x in np.indices((top, top))), False)]
+        while left:
+            level, a, b, above = left.pop()
+            if above:
+                a, b = self._below(level, a, b)
             kept = self.may_link(level, a, b) if level else (a != b) & self.may_link(level, a, b)
             a, b = a[kept], b[kept]
             order = np.lexsort((b, -self._overlap(level, a, b), a))
@@ -229,29 +242,51 @@ class Tree:
             place = np.arange(len(a)) - np.searchsorted(a, a)
             few = place < (FAN if level else 1)
             a, b = a[few], b[few]
-        n, _, _, _, bits, _ = self.levels[0]
-        each = np.unpackbits(bits.view(np.uint8), axis=1)
-        most = each.sum(0, dtype=np.int64) * 2 > len(n)
-        typical = int(np.argmax(np.where(most, each, 0).sum(1, dtype=np.int64) * 2 - each.sum(1, dtype=np.int64)))
-        others = np.delete(np.arange(len(n)), typical)
-        others = others[self.may_link(0, others, np.full(len(others), typical))]
-        return np.concatenate([a, others]), np.concatenate([b, np.full(len(others), typical)])
+            if not level:
+                found.append((a, b))
+                continue
+            # all partners of a node go down together
+            nodes = np.flatnonzero(np.diff(a, prepend=-1))[::max(1, PAIRS_AT_ONCE // FAN ** 3)].tolist()
+            left.extend((level - 1, a[i:j], b[i:j], True) for i, j in zip(nodes, [*nodes[1:], len(a)]))
+        others, typical = self._typical()
+        return np.concatenate([*(f[0] for f in found), others]), np.concatenate([*(f[1] for f in found), np.full(len(others), typical)])
+
+    def _typical(self) -> tuple[np.ndarray, int]:
+        """The member whose signature has the bits that most have, and the members that may link with it."""
+        bits = self.levels[0][4].view(np.uint8)
+        counts = sum(np.unpackbits(bits[i:i + SIGNATURES_AT_ONCE], axis=1).sum(0, dtype=np.int64) for i in range(0, len(bits), SIGNATURES_AT_ONCE))
+        most = np.packbits(counts * 2 > len(bits))
+        typical = int(np.argmax(np.bitwise_count(bits & most).sum(1, dtype=np.int64) * 2 - np.bitwise_count(bits).sum(1, dtype=np.int64)))
+        others = np.delete(np.arange(len(bits)), typical)
+        return others[self.may_link(0, others, np.full(len(others), typical))], typical
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Members that may link, by going down both sides of the tree at once."""
+        """Members that may link, all at once."""
+        a, b = zip(*self.some_pairs(), (np.empty(0, np.int64), np.empty(0, np.int64)))
+        return np.concatenate(a), np.concatenate(b)
+
+    def some_pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Members that may link, by going down both sides of the tree at once, at most ``PAIRS_AT_ONCE`` pairs of nodes at a time to the bottom."""
         top = len(self.levels[-1][0])
-        a, b = (x.ravel() for x in np.indices((top, top)))
-        a, b = a[a <= b], b[a <= b]
-        for level in range(len(self.levels) - 1, -1, -1):
-            kept = self.may_link(level, a, b) if level else (a < b) & self.may_link(level, a, b)
+        left = [(len(self.levels) - 1, *(x.ravel() for x in np.indices((top, top))), False)]
+        while left:
+            level, a, b, above = left.pop()
+            if above:
+                a, b = self._below(level, a, b)
+            ahead = a <= b if level else a < b
+            a, b = a[ahead], b[ahead]
+            kept = self.may_link(level, a, b)
             a, b = a[kept], b[kept]
-            if level:
-                size = len(self.levels[level - 1][0])
-                a, b = (np.repeat(a * FAN, FAN * FAN) + np.tile(np.repeat(np.arange(FAN), FAN), len(a)),
-                        np.repeat(b * FAN, FAN * FAN) + np.tile(np.tile(np.arange(FAN), FAN), len(b)))
-                inside = (a < size) & (b < size) & (a <= b)
-                a, b = a[inside], b[inside]
-        return a, b
+            if not level:
+                yield a, b
+                continue
+            some = max(1, PAIRS_AT_ONCE // FAN ** 2)
+            left.extend((level - 1, a[i:i + some], b[i:i + some], True) for i in range(0, len(a), some))
+
+
+def _batch_of(pairs: list[np.ndarray]) -> pa.RecordBatch:
+    a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _tree_pairs(grouped: DataFrame, best: bool = False) -> DataFrame:
@@ -261,36 +296,55 @@ def _tree_pairs(grouped: DataFrame, best: bool = False) -> DataFrame:
     """
     parts = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def pairs_of(table: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+    def pairs_of(table: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         own, n, early, component = (table[c].to_numpy() for c in ("class", "n", "early", "component"))
         bits = np.frombuffer(b"".join(table["tree"].to_pylist()), np.uint64).reshape(-1, TREE_BITS // 64)
         n = n.astype(np.int64)
         sizes = ends - starts
-        flat = np.repeat(sizes <= FAN, sizes)
-        # small groups: each member with all after it, for all groups at once
-        place = np.flatnonzero(flat) + starts[0]
-        count = np.repeat(ends, sizes)[flat] - place - 1
-        a = np.repeat(place, count)
-        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
-        found = [(a[k], b[k]) for k in [Tree(n, component, bits).may_link(0, a, b)]] if len(a) else []
-        for begin, end in zip(starts[sizes > FAN].tolist(), ends[sizes > FAN].tolist()):
-            tree = Tree(n[begin:end], component[begin:end], bits[begin:end])
-            a, b = tree.partners() if best else tree.pairs()
-            found.append((a + begin, b + begin))
-        a, b = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in (0, 1))
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        kept = early[a] | (early[b] & (n[a] == n[b]))
         if not best:
-            a, b = a[kept], b[kept]
             shingle, least, least_early = table["shingle"].to_numpy(), _padded(table["least"], np.iinfo(np.int64).max), _padded(table["least_early"], False)
-            kept = np.ones(len(a), bool)
-            for i in range(0, len(a), PAIRS_AT_ONCE):
-                x, y = a[i:i + PAIRS_AT_ONCE], b[i:i + PAIRS_AT_ONCE]
-                same = (least[x][:, :, None] == least[y][:, None, :]) & (least[x] < shingle[x][:, None])[:, :, None]
-                met = same & (least_early[x][:, :, None] | (least_early[y][:, None, :] & (n[x] == n[y])[:, None, None]))
-                kept[i:i + PAIRS_AT_ONCE] = ~met.any((1, 2))
-        pairs = np.unique(np.stack([np.minimum(own[a], own[b])[kept], np.maximum(own[a], own[b])[kept]]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+        def met(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            """Whether pairs of members also meet under a lesser shingle that they carry."""
+            same = (least[x][:, :, None] == least[y][:, None, :]) & (least[x] < shingle[x][:, None])[:, :, None]
+            return (same & (least_early[x][:, :, None] | (least_early[y][:, None, :] & (n[x] == n[y])[:, None, None]))).any((1, 2))
+
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            flat = np.repeat(sizes <= FAN, sizes)
+            # small groups: each member with all after it, for all groups at once
+            place = np.flatnonzero(flat) + starts[0]
+            count = np.repeat(ends, sizes)[flat] - place - 1
+            a = np.repeat(place, count)
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+            if len(a):
+                kept = Tree(n, component, bits).may_link(0, a, b)
+                yield a[kept], b[kept]
+            for begin, end in zip(starts[sizes > FAN].tolist(), ends[sizes > FAN].tolist()):
+                tree = Tree(n[begin:end], component[begin:end], bits[begin:end])
+                for a, b in [tree.partners()] if best else tree.some_pairs():
+                    yield a + begin, b + begin
+
+        def wanted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for a, b in found():
+                a, b = np.minimum(a, b), np.maximum(a, b)
+                if not best:
+                    kept = early[a] | (early[b] & (n[a] == n[b]))
+                    a, b = a[kept], b[kept]
+                    kept = np.ones(len(a), bool)
+                    for i in range(0, len(a), SIGNATURES_AT_ONCE):
+                        kept[i:i + SIGNATURES_AT_ONCE] = ~met(a[i:i + SIGNATURES_AT_ONCE], b[i:i + SIGNATURES_AT_ONCE])
+                    a, b = a[kept], b[kept]
+                yield np.minimum(own[a], own[b]), np.maximum(own[a], own[b])
+
+        held, count = [], 0
+        for pair in wanted():
+            held.append(np.stack(pair))
+            count += len(pair[0])
+            if count >= PAIRS_AT_ONCE:
+                yield _batch_of(held)
+                held, count = [], 0
+        if count:
+            yield _batch_of(held)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -303,13 +357,13 @@ def _tree_pairs(grouped: DataFrame, best: bool = False) -> DataFrame:
             table = pa.Table.from_batches(held)
             key = table["key"].to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            yield pairs_of(table, starts[:-1], starts[1:])
+            yield from pairs_of(table, starts[:-1], starts[1:])
             held = table.slice(int(starts[-1])).combine_chunks().to_batches()
         if held:
             table = pa.Table.from_batches(held)
             key = table["key"].to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            yield pairs_of(table, starts, np.append(starts[1:], len(key)))
+            yield from pairs_of(table, starts, np.append(starts[1:], len(key)))
 
     ordered = grouped.repartition(parts, "key").sortWithinPartitions("key", "n", "class")
     return ordered.mapInArrow(rows, "a long, b long").distinct()
@@ -400,6 +454,11 @@ def link_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     Documents without words or text link with nothing. A document is an id with a text: rows that repeat both give one row, two
     texts under one id give two, and rows without an id link like others (a group without any id has a null ``component_id``).
     """
+    with small_batches(docs.sparkSession):
+        return _linked(docs, id_column, text)
+
+
+def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     read = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
     own = read.withColumn("doc", F.xxhash64("id", "text"))
     table = step(_documents(own), "documents")

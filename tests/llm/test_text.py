@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -286,6 +287,57 @@ def test_the_tree_loses_no_pair():
     assert len(tree.levels) > 1
 
 
+def near_copies(rng, n):
+    """Sizes and signatures of sets made from one: whatever pair is asked, its bits do not rule out a link."""
+    base = rng.integers(0, 1 << 63, 100).astype(np.uint64)
+    sets = sorted((base[rng.random(len(base)) >= 0.1] for _ in range(n)), key=len)
+    bits = np.frombuffer(b"".join(jaccard.bitmap(s, jaccard.TREE_BITS) for s in sets), np.uint64).reshape(n, -1)
+    return np.array([len(s) for s in sets]), bits
+
+
+def most_held(call):
+    tracemalloc.start()
+    try:
+        return call(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_tree_of_near_copies_needs_little_memory():
+    """All pairs of a large group are gone through, but a bounded number at a time; they were all side by side, with both signatures."""
+    n, bits = near_copies(np.random.default_rng(8), 3000)
+    tree = jaccard.Tree(n, np.arange(len(n)), bits)
+    count, held = most_held(lambda: sum(len(a) for a, _ in tree.some_pairs()))
+    assert count > 0.9 * len(n) * (len(n) - 1) / 2 and held < 40
+    assert most_held(tree.partners)[1] < 40
+
+
+@pytest.mark.parametrize("at_once", [1, 700, 100_000])
+def test_pieces_of_a_tree_give_the_same_pairs(monkeypatch, at_once):
+    n, bits = near_copies(np.random.default_rng(9), 150)
+    component = np.arange(len(n)) // 3
+    tree = jaccard.Tree(n, component, bits)
+    monkeypatch.setattr(jaccard, "SIGNATURES_AT_ONCE", 13)
+    monkeypatch.setattr(jaccard, "PAIRS_AT_ONCE", at_once)
+    a, b = (x.ravel() for x in np.indices((len(n), len(n))))
+    a, b = a[a < b], b[a < b]
+    kept = tree.may_link(0, a, b)
+    pairs = list(zip(*(x.tolist() for x in tree.pairs())))
+    assert sorted(pairs) == sorted(zip(a[kept].tolist(), b[kept].tolist())) and len(pairs) == len(set(pairs))
+    best = sorted(zip(*(x.tolist() for x in tree.partners())))
+    monkeypatch.undo()
+    assert best == sorted(zip(*(x.tolist() for x in tree.partners())))
+
+
+def test_near_duplicates_read_few_texts_at_a_time(spark, monkeypatch):
+    """Batches end by the bytes of their texts, and the session's setting is as before."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(key), []
+    monkeypatch.setattr(jaccard, "_documents", lambda docs, own=jaccard._documents: seen.append(spark.conf.get(key)) or own(docs))
+    jaccard.link_documents(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"))
+    assert seen == [str(4 << 20)] and spark.conf.get(key) == before
+
+
 # repeated runs
 
 def without_repeats(rows, window):
