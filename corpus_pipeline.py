@@ -13,7 +13,7 @@ from meterflow.llm.decontamination import drop_contaminated
 from meterflow.llm.jaccard import link_documents
 from meterflow.llm.packing import pack_documents
 from meterflow.llm.pii import replace_entities
-from meterflow.llm.store import step
+from meterflow.llm.store import small_batches, step
 from meterflow.llm.toxicity import held_out, keep_below, train
 
 KEY = "a key of the session"
@@ -55,7 +55,8 @@ def with_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
-    return pack_documents(docs, path("word_bpe_49k.json"))
+    with small_batches(spark):
+        return step(pack_documents(docs, path("word_bpe_49k.json")), "packed")
 
 
 STAGES = [
