@@ -19,7 +19,7 @@ BYTES_PER_BLOCK = 4 << 20
 KNOWN_WORDS = 2_000_000
 WORDS_PER_CALL = 500
 TEXTS_PER_CALL = 4
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -35,7 +35,7 @@ class WordIds:
 
     The tokenizer puts letters in lower case and splits at white space before it merges, so a text has the ids of
     its words in a row. Words met before are found by their hash in a sorted table of some 25 bytes a word, which is emptied when
-    it holds ``KNOWN_WORDS``; a worker keeps it from task to task.
+    it holds ``KNOWN_WORDS``. A task has its own: nothing of it may be left when the task ends, as a worker runs any number of them.
     """
 
     def __init__(self, path: str):
@@ -44,6 +44,11 @@ class WordIds:
 
         self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
+        for tokenizer in (self.tokenizer, self.plain):
+            # Its cache of words is not freed with it, some 4 MB a tokenizer; words come here once, so it is of no use.
+            resize = getattr(tokenizer.model, "_resize_cache", None)
+            if resize:
+                resize(0)
         size = self.tokenizer.get_vocab_size()
         self.ends = np.zeros(size, bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(END_OF_PART)]] = True
@@ -92,10 +97,13 @@ class WordIds:
         ids, length = self.encode(words)
         begin = len(self.flat) + np.cumsum(length) - length
         self.flat = np.concatenate([self.flat, ids])
-        place = np.searchsorted(self.key, keys)
+        own = np.zeros(len(self.key) + len(keys), bool)
+        own[np.searchsorted(self.key, keys) + np.arange(len(keys))] = True
         for name, new in (("begin", begin), ("length", length), ("key", keys)):
             old = getattr(self, name)
-            setattr(self, name, np.insert(old, place, new.astype(old.dtype)))
+            merged = np.empty(len(own), old.dtype)
+            merged[own], merged[~own] = new, old
+            setattr(self, name, merged)
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
@@ -153,9 +161,6 @@ class OpenBins:
         return number, self.capacity - space
 
 
-_tokenizers: dict[str, WordIds] = {}
-
-
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, open_bins: int = OPEN_BINS,
                    id_column: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """Tokenize documents, close each with ``end_id``, cut only those longer than ``capacity`` and pack the pieces.
@@ -173,8 +178,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     columns = SCHEMA + (", ids array<int>" if with_ids else "")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _tokenizers.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
-        _tokenizers[tokenizer_path] = ids_of
+        ids_of = WordIds(tokenizer_path)
         bins, prefix = OpenBins(capacity, open_bins), TaskContext.get().partitionId() << 32
         for batch, texts in texts_in_chunks(batches, text, CHUNK_BYTES):
             ids, counts = ids_of(texts)

@@ -145,7 +145,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     A round is over those that are left, held against the surrogates that are taken. What has had no free candidate in ``MAX_ROUNDS`` attempts gets candidates of a wider format, as its own may hold no more."""
     spark, folder = entities.sparkSession, new_folder(entities.sparkSession, "taken")
     schema = "kind string, core string, gender string, surrogate string"
-    spark.createDataFrame([], schema).write.parquet(folder)
+    # No rows, made without a Python worker, which would keep a daemon and workers of its own beside those of other stages.
+    spark.range(0).selectExpr(*[f"cast(null as string) as {c.split()[0]}" for c in schema.split(", ")]).write.parquet(folder)
     real = entities.select("kind", F.col("core").alias("surrogate"), F.lit(True).alias("real")).distinct()
     same = Window.partitionBy("kind", "surrogate").orderBy("core", "gender")
     last = lambda c: F.substring_index(c, " ", -1)

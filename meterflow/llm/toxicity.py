@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.storage import settled
 from .chunks import give_back, mix, texts_in_chunks
+from .store import small_batches
 
 ORDERS = (4, 5, 6, 7)
 BITS = 20
@@ -108,6 +109,11 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     features in the sample, by logistic regression in one task. Without labels of both classes the model knows no
     feature, and its intercept is the share of the class there is.
     """
+    with small_batches(docs.sparkSession):
+        return _trained(docs, labels, id_column, text, label, per_class, rounds)
+
+
+def _trained(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label: str, per_class: int, rounds: int) -> Model:
     share = {r["k"]: r["n"] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).alias("k")).agg(F.countDistinct(id_column).alias("n")).collect()}
     if len(share) < 2:
         return Model(np.empty(0, np.int64), np.empty(0), 30.0 if 1 in share else -30.0)

@@ -1,5 +1,7 @@
 """Operators over documents, held against plain versions of what they should give."""
 import collections
+import ctypes
+import gc
 import hashlib
 import math
 import random
@@ -728,6 +730,31 @@ def test_tokenizer_calls_are_bounded():
     assert 0 < max(ids_of.tokenizer.most, ids_of.plain.most) <= 4_000
 
 
+def test_word_ids_leave_nothing_behind():
+    """A worker makes new ones for each task, so what is not freed with them would grow with the table."""
+    class Info(ctypes.Structure):
+        _fields_ = [(n, ctypes.c_size_t) for n in "arena ordblks smblks hblks hblkhd usmblks fsmblks uordblks fordblks keepcost".split()]
+
+    info = getattr(ctypes.CDLL(None), "mallinfo2", None)
+    if info is None:
+        pytest.skip("only glibc tells what is allocated")
+    info.restype = Info
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choices("abcdefghijklm", k=9)) + ("A" if i % 2 else "") for i in range(40_000)).encode()
+
+    def held() -> float:
+        packing.WordIds(TOKENS)([text])
+        gc.collect()
+        found = info()
+        return (found.uordblks + found.hblkhd) / 1e6
+
+    held()
+    before = held()
+    for _ in range(3):
+        after = held()
+    assert after - before < 6  # 25 MB and more with the caches of six tokenizers
+
+
 def test_best_fit_and_the_fullest_closes_first():
     bins = packing.OpenBins(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 9)] == [(0, 0), (1, 0), (1, 7), (2, 0)]
@@ -736,6 +763,29 @@ def test_best_fit_and_the_fullest_closes_first():
     assert bins.place(4) == (0, 6) and bins.count == 1
 
 
+def test_surrogates_start_no_python_worker(spark, monkeypatch):
+    """Rows made from Python objects are made by workers, which stay beside those of other stages."""
+    docs = spark.createDataFrame([(1, "write to a.b@c.org or a.b@c.org"), (2, None)], "doc_id long, text string")
+
+    def refused(*_, **__):
+        raise AssertionError("rows from Python objects")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    first, second = pii.replace_entities(docs, "k").orderBy("doc_id").collect()
+    assert "a.b@c.org" not in first["text"] and first["text"].startswith("write to ") and second["text"] is None
+
+
+def test_classifier_is_fitted_in_small_batches(spark, monkeypatch):
+    """The rows of the one task that fits are large: some megabytes of them go to the worker at a time."""
+    key, seen, settled = "spark.sql.execution.arrow.maxBytesPerBatch", [], toxicity.settled
+    monkeypatch.setattr(toxicity, "settled", lambda df, name: seen.append(spark.conf.get(key)) or settled(df, name))
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, "bad words" if i % 2 else "good words") for i in range(40)], "doc_id long, text string")
+    toxicity.train(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic"))
+    assert seen and {int(x) for x in seen} == {4 << 20}
+    assert spark.conf.get(key) == before
+
+
 # all of them
 
 @pytest.mark.parametrize("run", [
